@@ -115,7 +115,63 @@ PREPROCESS_QUERIES = {
 }
 
 
+
+
+# --- evaluation -----------------------------------------------------------------
+
+from ..operators import metrics as ME  # noqa: E402
+from ..sources.predictions import (ROW_KEYS, SCORE_MODELS, long_predictions,  # noqa: E402
+                                   wide_predictions)
+
+
+def q_roc_auc(spark: SparkSession, sf: str) -> DataFrame:
+    return ME.roc_auc(long_predictions(spark, sf))
+
+
+def q_roc_points(spark: SparkSession, sf: str) -> DataFrame:
+    return ME.roc_points(long_predictions(spark, sf))
+
+
+def q_confusion_at_cutoff(spark: SparkSession, sf: str) -> DataFrame:
+    return ME.confusion_at_cutoff(long_predictions(spark, sf), 0.5)
+
+
+def q_best_cutoff(spark: SparkSession, sf: str) -> DataFrame:
+    return ME.best_cutoff(long_predictions(spark, sf))
+
+
+def q_ensemble_mean(spark: SparkSession, sf: str) -> DataFrame:
+    ens = ME.ensemble_mean(long_predictions(spark, sf), list(SCORE_MODELS), (*ROW_KEYS, "split"))
+    return ens.withColumn("prob", F.round("prob", 9))
+
+
+def q_auc_ranking(spark: SparkSession, sf: str) -> DataFrame:
+    """Validation and test AUC for every score and their average, ranked by
+    test AUC (the ensemble averages the per-row scores of the same rows)."""
+    w = ME.ensemble_mean_wide(wide_predictions(spark, sf), list(SCORE_MODELS), "Ensemble")
+    models = list(SCORE_MODELS) + ["Ensemble"]
+    long = w.unpivot([*ROW_KEYS, "split", "label"], models, "model", "prob")
+    return ME.auc_summary(ME.roc_auc(long))
+
+
+def q_feature_stats(spark: SparkSession, sf: str) -> DataFrame:
+    li = spark.read.parquet(f"{sf}/lineitem.parquet")
+    return rounded(ME.feature_stats(li, ["l_quantity", "l_discount", "l_tax"]))
+
+
+METRIC_QUERIES = {
+    "roc_auc": q_roc_auc,
+    "roc_points": q_roc_points,
+    "confusion_at_cutoff": q_confusion_at_cutoff,
+    "best_cutoff": q_best_cutoff,
+    "ensemble_mean": q_ensemble_mean,
+    "auc_ranking": q_auc_ranking,
+    "feature_stats": q_feature_stats,
+}
+
+
 def all_queries() -> dict:
     out = {}
     out.update(PREPROCESS_QUERIES)
+    out.update(METRIC_QUERIES)
     return out

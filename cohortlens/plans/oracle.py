@@ -271,6 +271,131 @@ PREPROCESS_ORACLES = {
 }
 
 
+
+
+# --- evaluation ---------------------------------------------------------------
+
+from ..sources.predictions import SCORE_MODELS  # noqa: E402
+
+_MODELS = list(SCORE_MODELS)
+
+
+def _pred_ctes():
+    scores = ", ".join(f"CAST({e} AS DOUBLE) AS {m}" for m, e in SCORE_MODELS.items())
+    return [
+        "li AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_linestatus = 'F' "
+        "THEN 'validation' ELSE 'test' END AS split, CAST(l_returnflag = 'R' AS INTEGER) AS label, "
+        f"{scores} FROM lineitem)",
+        f"p AS (UNPIVOT li ON {', '.join(_MODELS)} INTO NAME model VALUE prob)",
+    ]
+
+
+def _auc_ctes(src="p"):
+    return [
+        f"c AS (SELECT model, split, prob AS score, CAST(sum(label) AS BIGINT) AS pos, "
+        f"CAST(sum(1 - label) AS BIGINT) AS neg FROM {src} GROUP BY model, split, prob)",
+        "w AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY model, split ORDER BY score ROWS BETWEEN "
+        "UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below FROM c)",
+        "auc AS (SELECT model, split, CAST(sum(pos * (2 * neg_below + neg)) AS DOUBLE) / "
+        "(CAST(2 AS DOUBLE) * CAST(sum(pos) AS BIGINT) * CAST(sum(neg) AS BIGINT)) AS auc, "
+        "CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM w GROUP BY model, split)",
+    ]
+
+
+def roc_auc():
+    return _cte(*_pred_ctes(), *_auc_ctes()) + "SELECT * FROM auc"
+
+
+def roc_points():
+    part = "PARTITION BY model, split"
+    ctes = _pred_ctes() + _auc_ctes()[:1] + [
+        f"r AS (SELECT *, sum(pos) OVER ({part} ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp, "
+        f"sum(neg) OVER ({part} ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp, "
+        f"lead(pos) OVER ({part} ORDER BY score DESC) AS next_pos, "
+        f"lead(neg) OVER ({part} ORDER BY score DESC) AS next_neg, "
+        f"row_number() OVER ({part} ORDER BY score DESC) AS rn, "
+        f"sum(pos) OVER ({part}) AS P_, sum(neg) OVER ({part}) AS N_ FROM c)"]
+    return (_cte(*ctes) + "SELECT model, split, score AS threshold, CAST(fp AS DOUBLE) / N_ AS fpr, "
+            "CAST(tp AS DOUBLE) / P_ AS tpr FROM r WHERE rn = 1 OR next_pos IS NULL OR next_pos != pos "
+            "OR next_neg != neg UNION ALL SELECT DISTINCT model, split, CAST('inf' AS DOUBLE), "
+            "CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM c")
+
+
+def _rates_sql(tp, fp, P_, N_):
+    fn, tn = f"({P_} - {tp})", f"({N_} - {fp})"
+    return (f"CASE WHEN {tp} + {fp} = 0 THEN 0.0 ELSE CAST({tp} AS DOUBLE) / ({tp} + {fp}) END",
+            f"CASE WHEN {P_} = 0 THEN 0.0 ELSE CAST({tp} AS DOUBLE) / {P_} END",
+            f"CASE WHEN 2 * {tp} + {fp} + {fn} = 0 THEN 0.0 ELSE (CAST(2 AS DOUBLE) * {tp}) / "
+            f"(2 * {tp} + {fp} + {fn}) END",
+            f"CAST({tp} + {tn} AS DOUBLE) / ({P_} + {N_})")
+
+
+def confusion_at_cutoff():
+    pr, rc, f1, acc = _rates_sql("tp", "fp", "P_", "N_")
+    return (_cte(*_pred_ctes(), "g AS (SELECT model, split, CAST(sum(CASE WHEN prob >= 0.5 THEN label "
+                 "ELSE 0 END) AS BIGINT) AS tp, CAST(sum(CASE WHEN prob >= 0.5 THEN 1 - label ELSE 0 END) "
+                 "AS BIGINT) AS fp, CAST(sum(label) AS BIGINT) AS P_, CAST(sum(1 - label) AS BIGINT) AS N_ "
+                 "FROM p GROUP BY model, split)")
+            + f"SELECT model, split, tp, fp, P_ - tp AS fn, N_ - fp AS tn, {pr} AS precision, "
+              f"{rc} AS recall, {f1} AS f1, {acc} AS accuracy FROM g")
+
+
+def best_cutoff():
+    pr, rc, f1, acc = _rates_sql("tp", "fp", "P_", "N_")
+    ctes = _pred_ctes() + [
+        "grid AS (SELECT range AS j, CAST(0.01 AS DOUBLE) + CAST(range - 1 AS DOUBLE) * CAST(0.01 AS DOUBLE) "
+        "AS cutoff FROM range(1, 100))",
+        "tot AS (SELECT model, split, CAST(sum(label) AS BIGINT) AS P_, CAST(sum(1 - label) AS BIGINT) AS N_ "
+        "FROM p GROUP BY model, split)",
+        "cm AS (SELECT p.model, p.split, grid.j, grid.cutoff, CAST(sum(CASE WHEN p.prob >= grid.cutoff THEN "
+        "p.label ELSE 0 END) AS BIGINT) AS tp, CAST(sum(CASE WHEN p.prob >= grid.cutoff THEN 1 - p.label "
+        "ELSE 0 END) AS BIGINT) AS fp FROM p CROSS JOIN grid GROUP BY p.model, p.split, grid.j, grid.cutoff)",
+        f"m AS (SELECT cm.*, tot.P_, tot.N_, {f1} AS f1, {pr} AS precision, {rc} AS recall, {acc} AS accuracy "
+        "FROM cm JOIN tot USING (model, split))",
+        "pick AS (SELECT model, j, f1 AS validation_f1 FROM (SELECT model, j, f1, row_number() OVER "
+        "(PARTITION BY model ORDER BY f1 DESC, j ASC) AS rn FROM m WHERE split = 'validation') WHERE rn = 1)",
+    ]
+    return (_cte(*ctes) + "SELECT m.model, m.cutoff, m.precision, m.recall, m.f1, m.accuracy, "
+            "pick.validation_f1 FROM m JOIN pick ON m.model = pick.model AND m.j = pick.j "
+            "WHERE m.split = 'test'")
+
+
+def ensemble_mean():
+    keys = "l_orderkey, l_linenumber, l_partkey, l_suppkey, split"
+    return (_cte(*_pred_ctes()) + f"SELECT {keys}, 'Ensemble' AS model, max(label) AS label, "
+            f"round(avg(prob), 9) AS prob FROM p GROUP BY {keys}")
+
+
+def auc_ranking():
+    total = " + ".join(_MODELS)
+    ctes = _pred_ctes()[:1] + [
+        f"lie AS (SELECT *, ({total}) / {len(_MODELS)} AS Ensemble FROM li)",
+        f"p AS (UNPIVOT lie ON {', '.join(_MODELS + ['Ensemble'])} INTO NAME model VALUE prob)",
+    ] + _auc_ctes()
+    ctes.append("s AS (SELECT model, max(CASE WHEN split = 'validation' THEN auc END) AS auc_validation, "
+                "max(CASE WHEN split = 'test' THEN auc END) AS auc_test FROM auc GROUP BY model)")
+    return (_cte(*ctes) + "SELECT model, auc_validation, auc_test, CAST(row_number() OVER "
+            "(ORDER BY auc_test DESC, model) AS INTEGER) AS rank FROM s")
+
+
+def feature_stats():
+    parts = [f"SELECT '{c}' AS feature, round(avg({c}), 6) AS mean, round(var_pop({c}), 6) AS var_pop, "
+             f"round(sqrt(var_pop({c})), 6) AS sd FROM lineitem" for c in ("l_quantity", "l_discount", "l_tax")]
+    return " UNION ALL ".join(parts)
+
+
+METRIC_ORACLES = {
+    "roc_auc": roc_auc,
+    "roc_points": roc_points,
+    "confusion_at_cutoff": confusion_at_cutoff,
+    "best_cutoff": best_cutoff,
+    "ensemble_mean": ensemble_mean,
+    "auc_ranking": auc_ranking,
+    "feature_stats": feature_stats,
+}
+
+
 def all_oracles() -> dict:
     out = {k: f() for k, f in PREPROCESS_ORACLES.items()}
+    out.update({k: f() for k, f in METRIC_ORACLES.items()})
     return out
