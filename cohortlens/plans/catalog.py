@@ -170,8 +170,56 @@ METRIC_QUERIES = {
 }
 
 
+# --- splitting ------------------------------------------------------------------
+
+from ..operators import split as SP  # noqa: E402
+
+
+def order_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Split stand-in: participant = customer, one row per order, label = status F."""
+    o = spark.read.parquet(f"{sf}/orders.parquet")
+    return o.select(F.col("o_custkey").alias("rid"), "o_orderkey",
+                    (F.col("o_orderstatus") == "F").cast("int").alias("label"))
+
+
+def q_rid_strata(spark: SparkSession, sf: str) -> DataFrame:
+    return SP.participant_summary(order_rows(spark, sf))
+
+
+def q_strata_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return SP.strata_counts(SP.participant_summary(order_rows(spark, sf)))
+
+
+def q_rid_split(spark: SparkSession, sf: str) -> DataFrame:
+    return SP.split_participants(SP.participant_summary(order_rows(spark, sf)))
+
+
+def q_split_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    rows = SP.data_split(order_rows(spark, sf))
+    return rows.groupBy("split").agg(F.count_distinct("rid").alias("n_rids"))
+
+
+def q_oversample(spark: SparkSession, sf: str) -> DataFrame:
+    return SP.data_split(order_rows(spark, sf), "over", row_keys=["o_orderkey"])
+
+
+def q_oversample_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    return q_oversample(spark, sf).groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+SPLIT_QUERIES = {
+    "rid_strata": q_rid_strata,
+    "strata_counts": q_strata_counts,
+    "rid_split": q_rid_split,
+    "split_sizes": q_split_sizes,
+    "oversample": q_oversample,
+    "oversample_sizes": q_oversample_sizes,
+}
+
+
 def all_queries() -> dict:
     out = {}
     out.update(PREPROCESS_QUERIES)
     out.update(METRIC_QUERIES)
+    out.update(SPLIT_QUERIES)
     return out

@@ -395,7 +395,48 @@ METRIC_ORACLES = {
 }
 
 
+# --- splitting ------------------------------------------------------------------
+
+_ORDERS = ("o AS (SELECT o_custkey AS rid, o_orderkey, CAST(o_orderstatus = 'F' AS INTEGER) AS label "
+           "FROM orders)")
+_SUMMARY = ("s AS (SELECT rid, count(*) AS total, CAST(sum(label) AS BIGINT) AS positive, "
+            "count(*) - CAST(sum(label) AS BIGINT) AS negative FROM o GROUP BY rid)")
+_STRATA = ("CASE WHEN positive = 0 THEN 'only_0' WHEN negative = 0 THEN 'only_1' ELSE 'mixed' END")
+
+
+def rid_strata():
+    return _cte(_ORDERS, _SUMMARY) + f"SELECT *, {_STRATA} AS strata FROM s"
+
+
+def strata_counts():
+    return _cte(_ORDERS, _SUMMARY) + f"SELECT {_STRATA} AS strata, count(*) AS n_rids FROM s GROUP BY 1"
+
+
+def split_sizes():
+    first, second = P.FIRST_HOLDOUT, P.SECOND_HOLDOUT
+    return _cte(_ORDERS, "n AS (SELECT count(DISTINCT rid) AS n FROM o)",
+                f"h AS (SELECT n, CAST(ceil(n * CAST({first} AS DOUBLE)) AS BIGINT) AS nh FROM n)",
+                f"h2 AS (SELECT n, nh, CAST(ceil(nh * CAST({second} AS DOUBLE)) AS BIGINT) AS nt FROM h)") + (
+        "SELECT 'train' AS split, n - nh AS n_rids FROM h2 UNION ALL "
+        "SELECT 'validation', nh - nt FROM h2 UNION ALL SELECT 'test', nt FROM h2")
+
+
+def oversample_sizes():
+    total = sum(P.OVERSAMPLE_TARGETS.values())
+    return _cte(_ORDERS) + (f"SELECT 0 AS label, count(*) AS n_rows FROM o WHERE label = 0 "
+                            f"UNION ALL SELECT 1, CAST({total} AS BIGINT)")
+
+
+SPLIT_ORACLES = {
+    "rid_strata": rid_strata,
+    "strata_counts": strata_counts,
+    "split_sizes": split_sizes,
+    "oversample_sizes": oversample_sizes,
+}
+
+
 def all_oracles() -> dict:
     out = {k: f() for k, f in PREPROCESS_ORACLES.items()}
     out.update({k: f() for k, f in METRIC_ORACLES.items()})
+    out.update({k: f() for k, f in SPLIT_ORACLES.items()})
     return out
