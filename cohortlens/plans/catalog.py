@@ -217,9 +217,128 @@ SPLIT_QUERIES = {
 }
 
 
+# --- features and models --------------------------------------------------------
+
+from ..operators import features as FE  # noqa: E402
+from ..operators import models as MO  # noqa: E402
+from ..plans import experiment as EX  # noqa: E402
+from ..sources.standins import EVENT_BLOCKS, EVENT_SET_DROPS, EVENT_SET_PCA  # noqa: E402
+
+CATEGORICAL = EVENT_SPEC.categorical_columns
+
+
+def training_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Diagnosis rows of the imputed event intervals (the study's default input)."""
+    coh, meas = _event_inputs(spark, sf)
+    return FE.training_table(preprocess(coh, meas, EVENT_SPEC, scale_income=True), "diag")
+
+
+def experiment_config(**kw) -> EX.ExperimentConfig:
+    base = dict(blocks=EVENT_BLOCKS, set_drops=EVENT_SET_DROPS, set_pca_blocks=EVENT_SET_PCA,
+                categorical=CATEGORICAL, row_keys=("rid", "visit"))
+    base.update(kw)
+    return EX.ExperimentConfig(**base)
+
+
+def q_nominal_strings(spark: SparkSession, sf: str) -> DataFrame:
+    coh, meas = _event_inputs(spark, sf)
+    pre = preprocess(coh, meas, EVENT_SPEC, scale_income=True)
+    return FE.nominal_strings(pre, CATEGORICAL).select("rid", "visit", "data_type", *CATEGORICAL)
+
+
+def q_one_hot(spark: SparkSession, sf: str) -> DataFrame:
+    coh, meas = _event_inputs(spark, sf)
+    pre = FE.nominal_strings(preprocess(coh, meas, EVENT_SPEC, scale_income=True), CATEGORICAL)
+    out = FE.one_hot_positions(pre, CATEGORICAL)
+    return out.select("rid", "visit", "data_type", *[f"{c}_hot" for c in CATEGORICAL])
+
+
+def q_pca_block(spark: SparkSession, sf: str) -> DataFrame:
+    rows = training_rows(spark, sf)
+    out = FE.pca_features(rows, "only", "all", EVENT_BLOCKS, EVENT_SET_PCA)
+    return out.select("rid", "visit", *[c for c in out.columns if "_pca_" in c])
+
+
+def _prepared(spark, sf, sampling=None):
+    cfg = experiment_config(sampling=sampling)
+    rows = training_rows(spark, sf).checkpoint(eager=True)
+    return EX.prepare_combo(rows, "all", "none", cfg), cfg
+
+
+def _fit_query(name):
+    def q(spark: SparkSession, sf: str) -> DataFrame:
+        rows, cfg = _prepared(spark, sf)
+        cfg.models = (name,)
+        preds, _ = EX.combo_predictions(rows, cfg)
+        return preds
+    q.__name__ = f"q_fit_{name.lower()}"
+    q.__doc__ = f"Fit the {name} preset on train, tune on validation, score validation and test."
+    return q
+
+
+# fixed values: the wider logistic grid kept (commented out) next to the shipped one
+LR_WIDE_GRID = [{"C": c, "penalty": p} for c in (1.0, 0.001, 0.01, 0.1, 10.0) for p in ("l1", "l2")]
+
+
+# fixed values: the boosted preset A's alternative learning rate kept next to the shipped one
+XGB_RATE_GRID = [{"maxIter": 10, "maxDepth": 5, "stepSize": r} for r in (0.01, 0.1)]
+
+
+def q_grid_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Validation-set grid search (M7) over preset A's two learning rates; log, best AUC first."""
+    fm = _boosted(spark, sf, "XGB", XGB_RATE_GRID)
+    return MO.grid_log_frame(spark, fm)
+
+
+def q_coef_table(spark: SparkSession, sf: str) -> DataFrame:
+    rows, cfg = _prepared(spark, sf)
+    cat = FE.existing(rows, CATEGORICAL)
+    keys = ["rid", "visit", "copy"]
+    num = [c for c in FE.feature_columns(rows, FE.ID_LIKE + tuple(keys)) if c not in cat]
+    fm = MO.fit_model("LR", rows, num, cat, keys)
+    table = MO.coefficient_table(fm, rows)
+    data = [(k, v[0], v[1]) for k, v in table.items()]
+    return spark.createDataFrame(data, "feature string, coef double, p_value double")
+
+
+def _boosted(spark, sf, name="XGB", grid=None):
+    rows, cfg = _prepared(spark, sf)
+    cat = FE.existing(rows, CATEGORICAL)
+    keys = ["rid", "visit", "copy"]
+    num = [c for c in FE.feature_columns(rows, FE.ID_LIKE + tuple(keys)) if c not in cat]
+    return MO.fit_model(name, rows, num, cat, keys, grid=grid)
+
+
+def q_tree_table(spark: SparkSession, sf: str) -> DataFrame:
+    return MO.tree_table(_boosted(spark, sf))
+
+
+def q_split_importance(spark: SparkSession, sf: str) -> DataFrame:
+    return MO.split_importance(MO.tree_table(_boosted(spark, sf)))
+
+
+def q_experiment(spark: SparkSession, sf: str) -> DataFrame:
+    cfg = experiment_config(feature_sets=("all",), models=("LR", "RF", "XGB"))
+    return EX.run_experiment(spark, training_rows(spark, sf), cfg)
+
+
+MODEL_QUERIES = {
+    "nominal_strings": q_nominal_strings,
+    "one_hot": q_one_hot,
+    "pca_block": q_pca_block,
+    **{f"fit_{m.lower()}": _fit_query(m) for m in ("LR", "RF", "XGB", "LGBM", "ANN", "RNN")},
+    "grid_search": q_grid_search,
+    "coef_table": q_coef_table,
+    "tree_table": q_tree_table,
+    "split_importance": q_split_importance,
+    "experiment": q_experiment,
+}
+
+
 def all_queries() -> dict:
     out = {}
     out.update(PREPROCESS_QUERIES)
     out.update(METRIC_QUERIES)
     out.update(SPLIT_QUERIES)
+    out.update(MODEL_QUERIES)
     return out

@@ -35,17 +35,19 @@ def _event_ctes(scale_income: bool = False):
     out_cols = ", ".join([f"V{k}_{f.upper()}" for k in V for f in feats] + [f"AS{k}_AGE" for k in V])
     seg = " ".join(f"WHEN '{n}' THEN '{c}'" for n, c in SEGMENT_CODES.items())
     ctes = [
-        "ev AS (SELECT user_id, ts, event_type, value, CAST(floor(date_diff('day', DATE '2024-01-01', "
+        "ev AS (SELECT user_id, ts, event_type, value, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) "
+        "AS k, CAST(floor(date_diff('day', DATE '2024-01-01', "
         "CAST(ts AS DATE)) / 3) AS INTEGER) + 1 AS visit FROM events)",
         f"cells0 AS (SELECT user_id, visit, {cell_max}, "
         "sum(CASE WHEN event_type = 'purchase' THEN value END) AS income, "
-        "CAST(count(*) AS DOUBLE) AS age, arg_min(event_type, ts) AS ft, min(ts) AS fts "
+        "CAST(count(*) AS DOUBLE) AS age, arg_min(event_type, ts) AS ft, min(ts) AS fts, "
+        "max(CAST(event_type = 'purchase' AND value > 120 AND k >= 50 AS INTEGER)) AS hit "
         "FROM ev GROUP BY user_id, visit)",
         "cells AS (SELECT *, CASE WHEN view IS NOT NULL THEN CAST(view > 30 AS DOUBLE) END AS active, "
         "CASE WHEN purchase IS NOT NULL THEN CAST(least(floor(purchase / 120), 2) AS DOUBLE) END AS tier "
         "FROM cells0)",
         f"wide AS (SELECT user_id, {wide_cols}, {age_cols}, "
-        "min(CASE WHEN purchase > 120 THEN visit END) AS ev_, max(visit) AS last_, "
+        "min(CASE WHEN hit = 1 THEN visit END) AS ev_, max(visit) AS last_, "
         "arg_min(ft, fts) AS first_ FROM cells GROUP BY user_id)",
         "cohort0 AS (SELECT user_id AS RID, CAST(CASE WHEN ev_ IS NOT NULL THEN ev_ WHEN last_ < 10 "
         "THEN 20 - last_ ELSE 10 END AS DOUBLE) AS DMCASE, CASE WHEN first_ = 'error' THEN "

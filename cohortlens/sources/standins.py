@@ -52,11 +52,13 @@ def event_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Cells: max value per event type; INCOME = summed purchase value; ACTIVE =
     view value above 30 (binary); TIER = purchase value in thirds of 0..360
-    (ternary); AS{k}_AGE = number of events. DMCASE = first period whose
-    purchase value exceeds 120; with none, 20 - last active period when that
+    (ternary); AS{k}_AGE = number of events. DMCASE = first period with a
+    purchase above 120 whose ``props.k`` is at least 50; with none, 20 - last active period when that
     is before period 10, else 10. DMSTATUS_SUB from the first event's type.
     """
-    ev = read_table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "value")
+    ev = read_table(spark, sf_dir, "events").select(
+        "user_id", "ts", "event_type", "value",
+        F.get_json_object("props", "$.k").try_cast("int").alias("k"))
     ev = ev.withColumn("visit", F.floor(F.datediff(F.to_date("ts"), F.lit(EVENT_ORIGIN))
                                         / EVENT_PERIOD_DAYS).cast("int") + 1)
     cell_aggs = [F.max(F.when(F.col("event_type") == t, F.col("value"))).alias(t) for t in EVENT_TYPES]
@@ -64,7 +66,9 @@ def event_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
              .agg(*cell_aggs,
                   F.sum(F.when(F.col("event_type") == "purchase", F.col("value"))).alias("income"),
                   F.count(F.lit(1)).cast("double").alias("age"),
-                  F.min_by("event_type", "ts").alias("__ft"), F.min("ts").alias("__fts")))
+                  F.min_by("event_type", "ts").alias("__ft"), F.min("ts").alias("__fts"),
+                  F.max(((F.col("event_type") == "purchase") & (F.col("value") > 120)
+                         & (F.col("k") >= 50)).cast("int")).alias("__hit")))
     cells = cells.withColumns({
         "active": F.when(F.col("view").isNotNull(), (F.col("view") > 30).cast("double")),
         "tier": F.when(F.col("purchase").isNotNull(),
@@ -75,7 +79,7 @@ def event_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
             for k in range(1, N_VISITS + 1) for f in feats]
     aggs += [F.max(F.when(F.col("visit") == k, F.col("age"))).alias(f"AS{k}_AGE")
              for k in range(1, N_VISITS + 1)]
-    aggs += [F.min(F.when(F.col("purchase") > 120, F.col("visit"))).alias("__event"),
+    aggs += [F.min(F.when(F.col("__hit") == 1, F.col("visit"))).alias("__event"),
              F.max("visit").alias("__last"), F.min_by("__ft", "__fts").alias("__first")]
     wide = cells.groupBy("user_id").agg(*aggs)
     dmcase = (F.when(F.col("__event").isNotNull(), F.col("__event"))
@@ -150,3 +154,16 @@ def order_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select(
         F.col("o_custkey").alias("RID"), dmcase.alias("DMCASE"), status.alias("DMSTATUS_SUB"),
         *[c for c in wide.columns if c.startswith(("V", "AS"))])
+
+
+def _with_changes(names):
+    return tuple(x for n in names for x in (n, f"{n}_diff"))
+
+
+# Feature groups of the event stand-in, shaped like the study's blocks.
+EVENT_BLOCKS = {
+    "activity": _with_changes(("click", "view", "signup", "active")),
+    "spend": _with_changes(("purchase", "income", "tier", "error")),
+}
+EVENT_SET_DROPS = {"all": (), "activity": ("spend",), "spend": ("activity",)}
+EVENT_SET_PCA = {"all": ("activity", "spend"), "activity": ("activity",), "spend": ("spend",)}
