@@ -49,10 +49,14 @@ def transition_code(prev, nxt, n_levels: int, sentinel: float = P.MISSING_SENTIN
         return (x > -1.0) & (x < float(n_levels))
 
     def trunc(x):
-        return F.least(F.greatest(x, F.lit(-0.5)), F.lit(n_levels - 0.5)).cast("int")
-
-    code = trunc(prev) * n_levels + trunc(nxt) + 1
-    return F.when(ok(prev) & ok(nxt), code.cast("double")).otherwise(F.lit(float(sentinel)))
+        # inside (-1, n) truncation toward zero is the number of levels 1..n-1 reached
+        t = F.lit(0.0)
+        for j in range(1, n_levels):
+            t = t + F.when(x >= float(j), F.lit(1.0)).otherwise(F.lit(0.0))
+        return t
+
+    code = trunc(prev) * float(n_levels) + trunc(nxt) + 1.0
+    return F.when(ok(prev) & ok(nxt), code).otherwise(F.lit(float(sentinel)))
 
 
 def _outcome_code(dmcase) -> Column:

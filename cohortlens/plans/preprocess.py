@@ -8,20 +8,28 @@ in every partition); the rest is narrow.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from .. import presets as P
 from ..operators.impute import impute_intervals
 from ..operators.intervals import build_intervals, drop_missing_baseline
 from ..operators.panel import (carry_forward, clean_measurements, lowercase_columns,
                                merge_panels, prepare_panel, scale_income_columns)
+from ..sources.readers import load_cohort_data, load_measurements
 from ..spec import STUDY, PanelSpec
 
 
 def prepared_panel(cohort: DataFrame, measurements: DataFrame | None, spec: PanelSpec = STUDY,
                    *, scale_income: bool = False, key: str = P.RAW_ID_COL,
                    validate_measurements: bool = True) -> DataFrame:
-    """Steps up to carry-forward: the wide panel the interval builder reads."""
+    """Steps up to carry-forward: the wide panel the interval builder reads.
+    Inputs are DataFrames or paths (.csv / .parquet)."""
+    if not isinstance(cohort, DataFrame) or (measurements is not None
+                                             and not isinstance(measurements, DataFrame)):
+        spark = SparkSession.getActiveSession()
+        cohort = load_cohort_data(spark, cohort)
+        if measurements is not None:
+            measurements = load_measurements(spark, measurements)
     if scale_income:
         cohort = scale_income_columns(cohort, spec)
     if measurements is not None:

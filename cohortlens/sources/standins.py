@@ -47,6 +47,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _type_code():
+    """Event type as its position in EVENT_TYPES (numeric, so aggregation
+    buffers stay fixed-width and hash aggregation applies)."""
+    code = F.lit(len(EVENT_TYPES))
+    for i, t in reversed(list(enumerate(EVENT_TYPES))):
+        code = F.when(F.col("event_type") == t, F.lit(i)).otherwise(code)
+    return code
+
+
 def event_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw wide cohort from ``events``: RID, DMCASE, DMSTATUS_SUB, AS{k}_AGE, V{k}_{F}.
 
@@ -66,7 +75,7 @@ def event_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
              .agg(*cell_aggs,
                   F.sum(F.when(F.col("event_type") == "purchase", F.col("value"))).alias("income"),
                   F.count(F.lit(1)).cast("double").alias("age"),
-                  F.min_by("event_type", "ts").alias("__ft"), F.min("ts").alias("__fts"),
+                  F.min_by(_type_code(), "ts").alias("__ft"), F.min("ts").alias("__fts"),
                   F.max(((F.col("event_type") == "purchase") & (F.col("value") > 120)
                          & (F.col("k") >= 50)).cast("int")).alias("__hit")))
     cells = cells.withColumns({
@@ -85,8 +94,8 @@ def event_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     dmcase = (F.when(F.col("__event").isNotNull(), F.col("__event"))
               .when(F.col("__last") < N_VISITS, F.lit(20) - F.col("__last"))
               .otherwise(F.lit(N_VISITS))).cast("double")
-    status = (F.when(F.col("__first") == "error", F.lit(1.1))
-              .when(F.col("__first") == "signup", F.lit(1.2)))
+    status = (F.when(F.col("__first") == EVENT_TYPES.index("error"), F.lit(1.1))
+              .when(F.col("__first") == EVENT_TYPES.index("signup"), F.lit(1.2)))
     out = wide.select(
         F.col("user_id").alias("RID"), dmcase.alias("DMCASE"), status.alias("DMSTATUS_SUB"),
         *[c for c in wide.columns if c.startswith(("V", "AS"))])
@@ -124,6 +133,12 @@ def order_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     months = ((F.year("o_orderdate") - ORDER_ORIGIN_YEAR) * 12 + F.month("o_orderdate") - 1)
     o = o.withColumn("visit", F.floor(months / ORDER_PERIOD_MONTHS).cast("int") + 1)
+    # first order = earliest date, then lowest key, packed into one long
+    # (days since 1970 above bit 40, order key below) so buffers stay numeric
+    o = o.withColumns({
+        "__order": F.shiftleft(F.datediff(F.col("o_orderdate"), F.lit("1970-01-01")).cast("long"), 40)
+        + F.col("o_orderkey"),
+        "__prio": F.substring("o_orderpriority", 1, 1).try_cast("int")})
     j = o.join(li, o.o_orderkey == li.l_orderkey, "left")
     cells = (j.groupBy("o_custkey", "visit")
              .agg(F.count(F.lit(1)).cast("double").alias("n_orders"),
@@ -136,8 +151,7 @@ def order_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.max((F.col("o_orderpriority") == "1-URGENT").cast("double")).alias("urgent"),
                   F.max(F.when(F.col("o_orderstatus") == "F", 0.0)
                         .when(F.col("o_orderstatus") == "O", 1.0).otherwise(2.0)).alias("state"),
-                  F.min_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey")).alias("__fp"),
-                  F.min(F.struct("o_orderdate", "o_orderkey")).alias("__fk")))
+                  F.min_by("__prio", "__order").alias("__fp"), F.min("__order").alias("__fk")))
     feats = list(ORDER_SPEC.features)
     aggs = [F.max(F.when(F.col("visit") == k, F.col(f))).alias(f"V{k}_{f.upper()}")
             for k in range(1, N_VISITS + 1) for f in feats]
@@ -149,8 +163,8 @@ def order_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
     dmcase = (F.when(F.col("__event").isNotNull(), F.col("__event"))
               .when(F.col("__last") < N_VISITS, F.lit(20) - F.col("__last"))
               .otherwise(F.lit(N_VISITS))).cast("double")
-    status = (F.when(F.col("__first") == "1-URGENT", F.lit(1.1))
-              .when(F.col("__first") == "2-HIGH", F.lit(1.2)))
+    status = (F.when(F.col("__first") == 1, F.lit(1.1))
+              .when(F.col("__first") == 2, F.lit(1.2)))
     return wide.select(
         F.col("o_custkey").alias("RID"), dmcase.alias("DMCASE"), status.alias("DMSTATUS_SUB"),
         *[c for c in wide.columns if c.startswith(("V", "AS"))])

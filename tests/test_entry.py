@@ -43,3 +43,14 @@ def test_oracles_match_on_smallest_tables(spark):
         idx = sorted(range(len(names)), key=lambda i: names[i])
         b = sorted((norm([r[i] for i in idx], [names[i] for i in idx]) for r in res.fetchall()), key=repr)
         assert a == b, name
+
+
+def test_readers(spark, tmp_path):
+    from cohortlens.sources.readers import load_input
+    p = tmp_path / "cohort.csv"
+    p.write_text("RID,V1_X\n1,.\n2,3.5\n")
+    df = load_input(spark, str(p))
+    assert [r.V1_X for r in df.orderBy("RID").collect()] == [".", "3.5"]
+    assert load_input(spark, df) is df
+    with pytest.raises(ValueError, match="Unsupported"):
+        load_input(spark, str(tmp_path / "cohort.xlsx"))
