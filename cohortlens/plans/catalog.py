@@ -317,6 +317,33 @@ def q_split_importance(spark: SparkSession, sf: str) -> DataFrame:
     return MO.split_importance(MO.tree_table(_boosted(spark, sf)))
 
 
+def _test_contributions(spark, sf):
+    from ..operators import contributions as CO
+    rows, cfg = _prepared(spark, sf)
+    fm = _fit_on(rows, "XGB")
+    keys = ["rid", "visit", "copy"]
+    sample = CO.contribution_sample(rows.filter(F.col("split") == "test"), keys)
+    return CO, CO.contributions(fm, sample, keys)
+
+
+def _fit_on(rows, name, grid=None):
+    cat = FE.existing(rows, CATEGORICAL)
+    keys = ["rid", "visit", "copy"]
+    num = [c for c in FE.feature_columns(rows, FE.ID_LIKE + tuple(keys)) if c not in cat]
+    return MO.fit_model(name, rows, num, cat, keys, grid=grid)
+
+
+def q_contributions(spark: SparkSession, sf: str) -> DataFrame:
+    """Per-feature contributions (class-1 margin) of the boosted preset A for up to
+    1,000 test rows chosen by a seeded hash."""
+    return _test_contributions(spark, sf)[1]
+
+
+def q_contribution_summary(spark: SparkSession, sf: str) -> DataFrame:
+    CO, contrib = _test_contributions(spark, sf)
+    return CO.contribution_summary(contrib)
+
+
 def q_experiment(spark: SparkSession, sf: str) -> DataFrame:
     cfg = experiment_config(feature_sets=("all",), models=("LR", "RF", "XGB"))
     return EX.run_experiment(spark, training_rows(spark, sf), cfg)
@@ -331,6 +358,8 @@ MODEL_QUERIES = {
     "coef_table": q_coef_table,
     "tree_table": q_tree_table,
     "split_importance": q_split_importance,
+    "contributions": q_contributions,
+    "contribution_summary": q_contribution_summary,
     "experiment": q_experiment,
 }
 
