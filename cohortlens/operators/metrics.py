@@ -12,6 +12,11 @@ a score held by a third of all rows costs one row), scores fall into
 bucket's offset, and a window partitioned by (group, bucket) finishes the
 sum. The bucket table has at most ``n_buckets`` rows per group, which is the
 size bound that justifies broadcasting it.
+
+The reduced tables that several branches read (distinct-score counts, the
+cutoff histogram) are cut with ``checkpoint()`` into the shared checkpoint
+folder, so the prediction table is scanned once per metric instead of once
+per branch.
 """
 
 from __future__ import annotations
@@ -20,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import presets as P
+from ..session import ensure_checkpoint_dir
 
 N_BUCKETS = 4096
 
@@ -42,6 +48,8 @@ def cumulative_below(counts: DataFrame, keys) -> DataFrame:
     """Add ``pos_below`` / ``neg_below``: counts at strictly lower scores in the
     group, plus the (pos, neg) of the next lower distinct score (``prev_pos``,
     ``prev_neg``; null for the lowest)."""
+    ensure_checkpoint_dir(counts.sparkSession)
+    counts = counts.checkpoint(eager=True)   # read by two branches below
     bw = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bucket_tot = (counts.groupBy(*keys, "bucket")
                   .agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"),
@@ -145,6 +153,8 @@ def best_cutoff(preds: DataFrame, keys=("model",), split_col: str = "split",
     never on the cross product of rows and cutoffs."""
     keys = list(keys)
     h = cutoff_histogram(preds, keys + [split_col], score, label)
+    ensure_checkpoint_dir(h.sparkSession)
+    h = h.checkpoint(eager=True)             # <= 100 rows per group, read by four branches
     tot = h.groupBy(*keys, split_col).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     val = h.filter(F.col(split_col) == select_on)
     per_j = (val.filter(F.col("k") >= 1)
