@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import presets as P
-from ..functions.columns import interval_plan, transition_code
+from ..functions import sqlexpr as X
+from ..functions.columns import transition_code
 from ..spec import STUDY, PanelSpec
 
 OUTCOMES = ("drug", "diag")
@@ -35,6 +36,8 @@ def build_intervals(df: DataFrame, spec: PanelSpec = STUDY, outcomes=OUTCOMES,
     one ``{f}_diff`` per feature, and ``tag_col``. Numeric changes are plain
     differences (sentinel arithmetic included); nominal changes are
     transition codes. A plan that needs visit k+1 beyond ``n_visits`` raises.
+    The projections are SQL text (``selectExpr``), so planning stays fast for
+    wide panels.
     """
     for o in outcomes:
         if o not in _EXCLUDED:
@@ -42,40 +45,28 @@ def build_intervals(df: DataFrame, spec: PanelSpec = STUDY, outcomes=OUTCOMES,
     dm, status = spec.status_columns
     plans = []
     for o in outcomes:
-        n, pos = interval_plan(F.col(dm), o)
-        n = F.when(F.col(status) == _EXCLUDED[o], F.lit(0)).otherwise(n)
-        plans.append(F.struct(F.lit(o).alias("tag"), n.alias("n"), pos.alias("pos")))
-
-    arrays = {f: F.array(*[F.col(spec.feature_col(k, f)) for k in spec.visits()])
-              for f in spec.features}
-    arrays["__age"] = F.array(*[F.col(spec.age_col(k)) for k in spec.visits()])
-
-    plan = F.explode(F.array(*plans)).alias("__o")
-    packed = df.select(spec.id_col, *spec.base_columns,
-                       *[a.alias(f"__a_{f}") for f, a in arrays.items()], plan)
-    too_long = F.col("__o.n") >= spec.n_visits
-    guarded = packed.filter(
-        F.when(too_long, F.raise_error(F.concat(
-            F.lit("Invalid interval: a participant needs visit "),
-            (F.col("__o.n") + 1).cast("string"),
-            F.lit(f" but n_visits={spec.n_visits}"))))
-        .otherwise(F.col("__o.n") > 0))
-    rows = guarded.select("*", F.explode(F.sequence(F.lit(1), F.col("__o.n"))).alias("visit"))
-
-    visit = F.col("visit")
-    out = [F.col(spec.id_col), visit.cast("int").alias("visit"),
-           F.coalesce((visit == F.col("__o.pos")).cast("int"), F.lit(0)).alias("label"),
-           *[F.col(c) for c in spec.base_columns],
-           F.element_at(F.col("__a___age"), visit).alias("age")]
+        n, pos = X.interval_plan(X.q(dm), X.q(status), o, _EXCLUDED[o])
+        plans.append(f"named_struct('tag', '{o}', 'n', {n}, 'pos', {pos})")
+    arrays = [f"array({', '.join(X.q(spec.feature_col(k, f)) for k in spec.visits())}) AS `__a_{f}`"
+              for f in spec.features]
+    arrays.append(f"array({', '.join(X.q(spec.age_col(k)) for k in spec.visits())}) AS `__a___age`")
+    packed = df.selectExpr(X.q(spec.id_col), *[X.q(c) for c in spec.base_columns], *arrays,
+                           f"explode(array({', '.join(plans)})) AS __o")
+    guard = (f"CASE WHEN __o.n >= {spec.n_visits} THEN raise_error(concat('Invalid interval: a "
+             f"participant needs visit ', CAST(__o.n + 1 AS STRING), ' but n_visits={spec.n_visits}')) "
+             f"ELSE __o.n > 0 END")
+    rows = packed.filter(F.expr(guard)).selectExpr("*", "explode(sequence(1, __o.n)) AS visit")
+    out = [X.q(spec.id_col), "CAST(visit AS INT) AS visit",
+           "coalesce(CAST(visit = __o.pos AS INT), 0) AS label",
+           *[X.q(c) for c in spec.base_columns], "element_at(`__a___age`, visit) AS age"]
     diffs = []
     for f in spec.features:
-        a = F.col(f"__a_{f}")
-        cur, nxt = F.element_at(a, visit), F.element_at(a, visit + 1)
-        out.append(cur.alias(f))
+        cur, nxt = f"element_at(`__a_{f}`, visit)", f"element_at(`__a_{f}`, visit + 1)"
+        out.append(f"{cur} AS {X.q(f)}")
         lv = spec.n_levels(f)
-        d = (nxt - cur) if lv is None else transition_code(cur, nxt, lv, spec.sentinel)
-        diffs.append(d.alias(f"{f}_diff"))
-    return rows.select(*out, *diffs, F.col("__o.tag").alias(tag_col))
+        d = f"{nxt} - {cur}" if lv is None else X.transition_code(cur, nxt, lv, spec.sentinel)
+        diffs.append(f"{d} AS `{f}_diff`")
+    return rows.selectExpr(*out, *diffs, f"__o.tag AS {X.q(tag_col)}")
 
 
 def drop_missing_baseline(df: DataFrame, spec: PanelSpec = STUDY, outcome: str = "drug",
