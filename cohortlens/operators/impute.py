@@ -31,10 +31,25 @@ def numeric_columns(df: DataFrame, exclude=()) -> list:
 
 def sentinel_to_null(df: DataFrame, threshold: float = P.SENTINEL_THRESHOLD,
                      exclude=(P.ID_COL,)) -> DataFrame:
-    """Every numeric column except the id: |value| > threshold -> null."""
-    cols = numeric_columns(df, exclude)
-    return df.withColumns({c: null_if_sentinel(F.col(c), threshold).cast(df.schema[c].dataType)
-                           for c in cols})
+    """Every numeric column except the id: |value| > threshold -> null.
+    NaN orders above every number in Spark, so it turns null too."""
+    cols = set(numeric_columns(df, exclude))
+    t = float(threshold)
+    return df.selectExpr(*[
+        f"CASE WHEN `{c}` > {t}D OR `{c}` < -{t}D THEN NULL ELSE `{c}` END AS `{c}`" if c in cols
+        else f"`{c}`" for c in df.columns])
+
+
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return f"{v}L"
+    return f"CAST({float(v)!r} AS DOUBLE)"
 
 
 @dataclass
@@ -44,21 +59,23 @@ class ImputeModel:
     columns: list
 
     def transform(self, df: DataFrame) -> DataFrame:
-        repl = {}
+        """Fill nulls with the group's statistic: one projection (SQL text, so a
+        wide table is planned in one call)."""
+        exprs = {}
         for c in self.columns:
-            fill = None
+            branches = []
             for key, values in self.stats.items():
                 v = values.get(c)
                 if v is None:
                     continue
-                cond = None
-                for b, kv in zip(self.by, key):
-                    e = F.col(b).eqNullSafe(F.lit(kv))
-                    cond = e if cond is None else cond & e
-                fill = (F.when(cond, F.lit(v)) if fill is None else fill.when(cond, F.lit(v)))
-            if fill is not None:
-                repl[c] = F.coalesce(F.col(c), fill.cast(df.schema[c].dataType))
-        return df.withColumns(repl) if repl else df
+                cond = " AND ".join(f"`{b}` <=> {_sql_literal(kv)}" for b, kv in zip(self.by, key)) or "TRUE"
+                branches.append(f"WHEN {cond} THEN {_sql_literal(v)}")
+            if branches:
+                t = df.schema[c].dataType.simpleString()
+                exprs[c] = f"coalesce(`{c}`, CAST(CASE {' '.join(branches)} END AS {t})) AS `{c}`"
+        if not exprs:
+            return df
+        return df.selectExpr(*[exprs.get(c, f"`{c}`") for c in df.columns])
 
     def stats_frame(self, spark) -> DataFrame:
         rows = [(*k, c, float(v) if v is not None else None)
