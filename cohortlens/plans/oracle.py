@@ -437,8 +437,41 @@ SPLIT_ORACLES = {
 }
 
 
+# --- category strings and one-hot positions ---------------------------------------
+
+def _string_ctes():
+    cat = _categorical()
+    cols = []
+    for c in cat:
+        int_like = (f"((SELECT count(*) FROM pu WHERE {c} IS NOT NULL AND {c} <> floor({c})) = 0 "
+                    f"AND (SELECT count({c}) FROM pu) > 0)")
+        cols.append(f"CASE WHEN {int_like} THEN CAST(CAST({c} AS BIGINT) AS VARCHAR) "
+                    f"ELSE CAST({c} AS VARCHAR) END AS {c}")
+    return [f"pu AS ({preprocess_union()})",
+            f"ns AS (SELECT rid, visit, data_type, {', '.join(cols)} FROM pu)"]
+
+
+def nominal_strings():
+    return _cte(*_string_ctes()) + "SELECT * FROM ns"
+
+
+def one_hot():
+    cols = []
+    for c in _categorical():
+        cols.append(f"CAST(CASE WHEN {c} IS NULL THEN (SELECT count(DISTINCT {c}) FROM ns) "
+                    f"ELSE dense_rank() OVER (ORDER BY {c}) - 1 END AS INTEGER) AS {c}_hot")
+    return _cte(*_string_ctes()) + f"SELECT rid, visit, data_type, {', '.join(cols)} FROM ns"
+
+
+FEATURE_ORACLES = {
+    "nominal_strings": nominal_strings,
+    "one_hot": one_hot,
+}
+
+
 def all_oracles() -> dict:
     out = {k: f() for k, f in PREPROCESS_ORACLES.items()}
     out.update({k: f() for k, f in METRIC_ORACLES.items()})
     out.update({k: f() for k, f in SPLIT_ORACLES.items()})
+    out.update({k: f() for k, f in FEATURE_ORACLES.items()})
     return out
