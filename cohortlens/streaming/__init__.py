@@ -1 +1,8 @@
+"""No streaming operators.
 
+The reference is a batch pipeline: it has no watermark, window, state or
+late-data handling and no user-supplied function hook, so there is nothing to
+express with Structured Streaming here. New panel extracts are processed by
+re-running the batch plans (``plans.preprocess``), which are incremental-safe
+because every step is a pure function of its input tables.
+"""
