@@ -44,12 +44,13 @@ def score_counts(preds: DataFrame, keys, score: str = "prob", label: str = "labe
             .agg(F.sum("__y").alias("pos"), F.sum(1 - F.col("__y")).alias("neg")))
 
 
-def cumulative_below(counts: DataFrame, keys) -> DataFrame:
+def cumulative_below(counts: DataFrame, keys, cut: bool = True) -> DataFrame:
     """Add ``pos_below`` / ``neg_below``: counts at strictly lower scores in the
     group, plus the (pos, neg) of the next lower distinct score (``prev_pos``,
     ``prev_neg``; null for the lowest)."""
-    ensure_checkpoint_dir(counts.sparkSession)
-    counts = counts.checkpoint(eager=True)   # read by two branches below
+    if cut:
+        ensure_checkpoint_dir(counts.sparkSession)
+        counts = counts.checkpoint(eager=True)   # read by two branches below
     bw = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bucket_tot = (counts.groupBy(*keys, "bucket")
                   .agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"),
@@ -73,12 +74,12 @@ def cumulative_below(counts: DataFrame, keys) -> DataFrame:
 
 
 def roc_auc(preds: DataFrame, keys=("model", "split"), score: str = "prob", label: str = "label",
-            n_buckets: int = N_BUCKETS, check_classes: bool = True) -> DataFrame:
+            n_buckets: int = N_BUCKETS, check_classes: bool = True, cut: bool = True) -> DataFrame:
     """Exact ROC AUC per group, ties counted half:
     sum(pos * (2 * neg_below + neg)) / (2 * P * N) in exact integers.
     A group with one class raises (the evaluator would return 1.0)."""
     keys = list(keys)
-    cum = cumulative_below(score_counts(preds, keys, score, label, n_buckets), keys)
+    cum = cumulative_below(score_counts(preds, keys, score, label, n_buckets), keys, cut)
     g = cum.groupBy(*keys).agg(
         F.sum(F.col("pos") * (2 * F.col("neg_below") + F.col("neg"))).alias("__num"),
         F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))

@@ -160,7 +160,10 @@ def early_stopping_cut(model, valid: DataFrame, patience: int) -> tuple[int, flo
     wide = prefix_margins(model, valid, n)
     long = wide.select("label", F.posexplode("__margins").alias("pos", "score")) \
         .select("label", (F.col("pos") + 1).alias("prefix"), "score")
-    aucs = {r["prefix"]: r["auc"] for r in ME.roc_auc(long, keys=["prefix"], score="score").collect()}
+    # no lineage cut here: the input is only the validation rows, and a cut on
+    # top of the chained tree transforms costs more than scoring them twice
+    aucs = {r["prefix"]: r["auc"] for r in
+            ME.roc_auc(long, keys=["prefix"], score="score", cut=False).collect()}
     best_p, best = 1, aucs[1]
     for p in range(2, n + 1):
         if p - best_p > patience:
