@@ -63,8 +63,8 @@ def tempered(cells: DataFrame, dim: str, temper: float) -> DataFrame:
     """Targets of one dimension: value, target (shares that sum to 1)."""
     sums = cells.groupBy(F.col(dim).alias("value")).agg(F.sum("tokens").alias("tokens")).filter("tokens > 0")
     raised = sums.select("value", F.pow(F.col("tokens").cast("double"), F.lit(temper)).alias("p"))
-    total = raised.agg(F.sum("p").alias("total"))
-    return raised.join(F.broadcast(total)).select("value", (F.col("p") / F.col("total")).alias("target"))
+    total = raised.agg(F.sum("p")).first()[0] or 1.0
+    return raised.select("value", (F.col("p") / F.lit(total)).alias("target"))
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
