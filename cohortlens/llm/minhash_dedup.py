@@ -4,8 +4,9 @@
    ``rows`` universal hash minima make its band keys and a signature of one
    byte a minimum. Documents with equal sets (all copies) are one node.
 2. Every band bucket hangs its nodes on its smallest one; the components of
-   these candidate edges hold every pair that shares a band. With 48 bands of
-   8 rows a pair at the threshold 0.85 is missed with probability 2e-7.
+   these candidate edges hold every pair that shares a band. The rows of a
+   band follow from the threshold: a pair at the threshold shares none of the
+   48 bands with a probability under 1e-6 (8 rows at 0.85, 6 at 0.8).
 3. Inside a candidate component nodes are dealt to tasks of ``TILE`` nodes,
    each with a few common hubs. A task links its nodes: pairs whose signatures
    allow the threshold (5 standard deviations of slack) are confirmed on the
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from cohortlens.llm.common import pieces, saved, split_words, table, whole_text
 from cohortlens.llm.components import connected_components
 
-BANDS, ROWS = 48, 8
+BANDS, MISS = 48, 1e-6
 TILE, HUBS = 512, 8
 SLACK = 5.0
 _SEP = np.uint64(0x9E3779B97F4A7C15)
@@ -90,6 +91,14 @@ def hash_family(count: int, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     return (rng.integers(0, top, count, np.uint64) | np.uint64(1)), rng.integers(0, top, count, np.uint64)
 
 
+def rows_for(percent: int, bands: int = BANDS) -> int:
+    """The most rows of a band at which a pair at the threshold is still found with probability 1 - MISS."""
+    rows = 1
+    while rows < 16 and (1 - (percent / 100) ** (rows + 1)) ** bands <= MISS:
+        rows += 1
+    return rows
+
+
 def minima_of(x: np.ndarray, offsets: np.ndarray, mul: np.ndarray, add: np.ndarray,
               step: int = 1 << 16) -> np.ndarray:
     """Documents x hashes: the top 32 bits of the least hash of each document's (never empty) set."""
@@ -214,8 +223,9 @@ def _link(percent: int):
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
-                    percent: int = 80, bands: int = BANDS, rows: int = ROWS, tile: int = TILE) -> DataFrame:
+                    percent: int = 80, bands: int = BANDS, tile: int = TILE) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (null without shingles or id: alone)."""
+    rows = rows_for(percent, bands)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     signed = saved(texts.mapInArrow(_signatures(size, bands, rows),
                                     "doc_id long, n_shingles long, set_key binary, bands array<long>, sig binary"),

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from cohortlens.llm import chat_format, exact_dedup, line_dedup, sharding
+from cohortlens.llm import (chat_format, decontaminate, exact_dedup, line_dedup, maxent, minhash_dedup, mixing, sharding,
+                            token_output, toxicity)
 
 
 def llm_queries() -> dict:
     return {
+        "op1_token_output": token_output.op1_token_output,
+        "op2_decontamination": decontaminate.op2_decontamination,
+        "op3_lm_scoring": maxent.op3_lm_scoring,
         "op4_chat_format": chat_format.op4_chat_format,
+        "op5_toxicity": toxicity.op5_toxicity,
+        "op6_mixing": mixing.op6_mixing,
         "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+        "op8_minhash_dedup": minhash_dedup.op8_minhash_dedup,
         "op9_line_dedup": line_dedup.op9_line_dedup,
         "op10_sharding": sharding.op10_sharding,
     }
