@@ -23,6 +23,7 @@ give no rows; other columns are not read.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -164,15 +165,25 @@ def tile(item: list[int], doc: list[int], least: int) -> list[tuple[int, int, in
         if longest > 2 * s:      # much longer ones exist: look for those first
             s = longest
             continue
-        marked = False
-        for n, p, d in sorted(found, key=lambda x: (-x[0], x[1], x[2])):
-            if n >= s and not (any(im[p:p + n]) or any(dm[d:d + n])):
+        # Longest first; what a longer tile has cut leaves stretches that wait their turn at their own length.
+        queue = [(-n, p, d) for n, p, d in found]
+        heapq.heapify(queue)
+        while queue:
+            n, p, d = heapq.heappop(queue)
+            n = -n
+            free = [not (im[p + k] or dm[d + k]) for k in range(n)]
+            if all(free):
                 tiles.append((p, d, n))
                 im[p:p + n] = dm[d:d + n] = [True] * n
-                marked = True
-        # What a longer tile has cut short is found again at this length or a lower one.
-        if marked and found:
-            continue
+                continue
+            k = 0
+            while k < n:
+                z = k
+                while z < n and free[z]:
+                    z += 1
+                if z - k >= s:
+                    heapq.heappush(queue, (k - z, p + k, d + k))
+                k = z + 1
         if s <= least:
             return tiles
         s = max(least, s // 2)

@@ -11,7 +11,7 @@ word is a second softmax; in a tail class it has the smoothed share
 (c + 0.5) / (N + 0.5 (V + 1)) of the class's training tokens, where unknown
 words of the class share one event, so all events of a step sum to 1.
 
-Training is distributed: each task runs AdaGrad steps over minibatches of its
+The weights start at the training shares. Training is distributed: each task runs AdaGrad steps over minibatches of its
 documents, starting from the common weights; the tasks' weights are averaged
 row by row, weighted by how often a task used the row. ``ROUNDS`` rounds see
 disjoint parts that together are all training documents.
@@ -61,6 +61,7 @@ ROWS2 = HEAD // SLOTS + 2 * WORD_ROWS
 class Shape:
     """What the weights refer to: head words by rank and statistics of the tail classes."""
     head: dict[int, int]        # hash -> rank
+    head_n: np.ndarray          # training tokens of each head word
     tail_n: np.ndarray          # training tokens of each tail class
     tail_v: np.ndarray          # distinct training tokens of each tail class
 
@@ -90,8 +91,9 @@ def count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.bincount(codes, minlength=len(words) + 1)
         h = np.append(hash_words(words), END)
         tail = np.fromiter((suffix_hash(w) % TAILS for w in words), np.int64, len(words))
-        yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.append(tail, 0).astype(np.int32)), pa.array(n)],
-                                         names=["h", "tail", "n"])
+        real = n > 0
+        yield pa.RecordBatch.from_arrays([pa.array(h[real]), pa.array(np.append(tail, 0).astype(np.int32)[real]),
+                                          pa.array(n[real])], names=["h", "tail", "n"])
 
 
 def _events(texts: pa.Array, shape: Shape):
@@ -224,12 +226,24 @@ def shape_of(counts: DataFrame) -> Shape:
     for r in counts.join(F.broadcast(listed), "h", "left_anti").groupBy("tail").agg(
             F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():
         n[r["tail"]], v[r["tail"]] = r["n"], r["v"]
-    return Shape(head, n, v)
+    head_n = np.zeros(HEAD)
+    head_n[:len(top)] = [r["n"] for r in top]
+    return Shape(head, head_n, n, v)
+
+
+def first_weights(shape: Shape) -> tuple[np.ndarray, np.ndarray]:
+    """Weights under which both factors are the training shares, whatever the history."""
+    w1, w2 = np.zeros((ROWS1, CLASSES), np.float32), np.zeros((ROWS2, SLOTS), np.float32)
+    words = shape.head_n.reshape(-1, SLOTS)
+    mass = np.concatenate([words.sum(1), shape.tail_n + 0.5])
+    w1[0] = np.log(np.maximum(mass, 1e-3) / mass.sum())
+    w2[:len(words)] = np.log(np.maximum(words, 1e-3) / np.maximum(words.sum(1, keepdims=True), 1e-3))
+    return w1, w2
 
 
 def train_model(train: DataFrame, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     """Weights of the class and the word softmax (their size is fixed by the module's parameters)."""
-    w1, w2 = np.zeros((ROWS1, CLASSES), np.float32), np.zeros((ROWS2, SLOTS), np.float32)
+    w1, w2 = first_weights(shape)
     for part in range(ROUNDS):
         docs = train.filter(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == part).select("text")
         got = docs.mapInArrow(_train(shape, w1, w2), _PART) \
