@@ -1,5 +1,3 @@
-from .columns import (fill_sentinel, interval_plan, is_absent, null_if_sentinel, numeric,
-                      transition_code)
+from .columns import numeric
 
-__all__ = ["fill_sentinel", "interval_plan", "is_absent", "null_if_sentinel", "numeric",
-           "transition_code"]
+__all__ = ["numeric"]

@@ -5,84 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .. import presets as P
-
-
-def _c(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def is_absent(c) -> Column:
-    """Null or NaN: what a pandas ``fillna`` treats as missing."""
-    c = _c(c)
-    return c.isNull() | F.isnan(c)
-
-
-def fill_sentinel(c, sentinel: float = P.MISSING_SENTINEL) -> Column:
-    """Null / NaN -> sentinel (the reference codes every gap as 99999)."""
-    c = _c(c)
-    return F.when(is_absent(c), F.lit(float(sentinel))).otherwise(c)
-
-
-def null_if_sentinel(c, threshold: float = P.SENTINEL_THRESHOLD) -> Column:
-    """Values beyond +/- threshold become null. NaN orders above every number
-    in Spark, so it also turns null, as it is missing in pandas."""
-    c = _c(c)
-    return F.when((c > threshold) | (c < -threshold), F.lit(None)).otherwise(c)
-
 
 def numeric(c) -> Column:
     """Lenient numeric coercion: unparsable text becomes null."""
-    return _c(c).try_cast("double")
-
-
-def transition_code(prev, nxt, n_levels: int, sentinel: float = P.MISSING_SENTINEL) -> Column:
-    """Nominal change ``prev -> next`` as ``int(prev) * n + int(next) + 1``.
-
-    Values truncate toward zero as ``int()`` does, so the valid range is the
-    open interval (-1, n). Anything else (including null / NaN) gives the
-    sentinel.
-    """
-    prev, nxt = _c(prev), _c(nxt)
-
-    def ok(x):
-        return (x > -1.0) & (x < float(n_levels))
-
-    def trunc(x):
-        # inside (-1, n) truncation toward zero is the number of levels 1..n-1 reached
-        t = F.lit(0.0)
-        for j in range(1, n_levels):
-            t = t + F.when(x >= float(j), F.lit(1.0)).otherwise(F.lit(0.0))
-        return t
-
-    code = trunc(prev) * float(n_levels) + trunc(nxt) + 1.0
-    return F.when(ok(prev) & ok(nxt), code).otherwise(F.lit(float(sentinel)))
-
-
-def _outcome_code(dmcase) -> Column:
-    """Integer outcome code, or null where no interval can arise (>= 20, < 0, NaN)."""
-    d = _c(dmcase)
-    return F.when((d > -1.0) & (d < 20.0), d.cast("int"))
-
-
-def interval_plan(dmcase, outcome: str) -> tuple[Column, Column]:
-    """(number of intervals, positive visit or null) for one participant.
-
-    diag: code 1..9 -> visits 1..code, positive at code; drug: code 2..9 ->
-    visits 1..code-1, positive at code-1; 10 -> nine negative visits; codes
-    above 10 -> 19 - code negative visits; anything else -> none.
-    """
-    d = _outcome_code(dmcase)
-    if outcome == "diag":
-        lo, shift = 1, 0
-    elif outcome == "drug":
-        lo, shift = 2, 1
-    else:
-        raise ValueError("outcome must be either 'diag' or 'drug'")
-    event = d.between(lo, 9)
-    n = (F.when(event, d - shift)
-         .when(d == 10, F.lit(9))
-         .when(d > 10, F.lit(19) - d)
-         .otherwise(F.lit(0)))
-    pos = F.when(event, d - shift)
-    return n, pos
+    return (F.col(c) if isinstance(c, str) else c).try_cast("double")

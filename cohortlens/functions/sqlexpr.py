@@ -1,10 +1,9 @@
-"""The same column rules as ``columns.py``, as Spark SQL expression text.
+"""The panel's value rules as Spark SQL expression text.
 
 Wide projections (hundreds of columns) are built as text and handed to
 ``selectExpr`` in one call: the JVM parses them at once instead of one
 Python-to-JVM round trip per expression node, which keeps planning time of
-the study's 358-column panel well under a second. Semantics are identical to
-the Column builders (checked against the SQL oracles and unit tests).
+the study's 358-column panel well under a second.
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ def dbl(x: float) -> str:
 
 
 def fill_sentinel(x: str, sentinel: float) -> str:
+    """Null / NaN -> sentinel."""
     return f"CASE WHEN {x} IS NULL OR isnan({x}) THEN {dbl(sentinel)} ELSE {x} END"
 
 
@@ -27,6 +27,7 @@ def numeric(x: str) -> str:
 
 
 def transition_code(prev: str, nxt: str, n_levels: int, sentinel: float) -> str:
+    """Nominal change as trunc(prev) * n + trunc(next) + 1; values outside (-1, n) give the sentinel."""
     def ok(x):
         return f"({x} > -1.0D AND {x} < {float(n_levels)}D)"
 
@@ -38,6 +39,12 @@ def transition_code(prev: str, nxt: str, n_levels: int, sentinel: float) -> str:
 
 
 def interval_plan(dmcase: str, status: str, outcome: str, excluded: float) -> tuple[str, str]:
+    """(number of intervals, positive visit or null) for one participant.
+
+    diag: code 1..9 -> visits 1..code, positive at code; drug: code 2..9 ->
+    visits 1..code-1, positive at code-1; 10 -> nine negative visits; codes
+    above 10 -> 19 - code negative visits; anything else -> none.
+    """
     d = f"(CASE WHEN {dmcase} > -1.0D AND {dmcase} < 20.0D THEN CAST({dmcase} AS INT) END)"
     lo, shift = (1, 0) if outcome == "diag" else (2, 1)
     event = f"{d} BETWEEN {lo} AND 9"
@@ -48,6 +55,7 @@ def interval_plan(dmcase: str, status: str, outcome: str, excluded: float) -> tu
 
 
 def carried_array(cols, sentinel: float) -> str:
+    """Array of one series with each sentinel replaced by the last present earlier value: one left fold."""
     s = dbl(sentinel)
     arr = "array(" + ", ".join(q(c) for c in cols) + ")"
     v = f"IF(x = {s}, acc.last, x)"

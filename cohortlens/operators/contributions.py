@@ -10,11 +10,10 @@ Path-dependent Shapley values, computed from the model's own node table:
   whose Shapley values have a closed form. That pattern table is model-sized
   (trees x leaves x patterns) and is built on the driver from the collected
   node table.
-* Rows: a fold over each leaf's path conditions gives the row's pattern code
-  for that leaf; the code meets the pattern table in a broadcast equi-join
-  (bounded by the model size) and contributions are summed per (row,
-  feature). Rows of one input row stay in one partition until the partial
-  aggregate, so only (row, feature) sums are shuffled.
+* Rows: Arrow batches are scored leaf by leaf with numpy; a row gets one
+  array of per-feature sums, so nothing is multiplied by the leaf count and
+  nothing is shuffled. The pattern tables go to the tasks with the model: at
+  most trees x leaves x 2^MAX_PATH x MAX_PATH numbers.
 
 The sum of a row's contributions plus the bias (the cover-weighted mean
 margin) equals the model's margin for that row.
@@ -25,19 +24,18 @@ from __future__ import annotations
 import math
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import presets as P
 from ..session import ensure_checkpoint_dir
 from .models import FEATURES, FittedModel
 
-PATH_TYPE = T.ArrayType(T.StructType([
-    T.StructField("fi", T.IntegerType()), T.StructField("num", T.BooleanType()),
-    T.StructField("thr", T.DoubleType()), T.StructField("cats", T.ArrayType(T.DoubleType())),
-    T.StructField("left", T.BooleanType()), T.StructField("flag", T.LongType())]))
+#: Most distinct features on one path; a path of m features has 2^m patterns.
+MAX_PATH = 12
 
 
 def node_rows(fitted: FittedModel, path: str | None = None) -> list:
@@ -99,6 +97,8 @@ def model_tables(fitted: FittedModel, path: str | None = None):
             n = nodes[node_id]
             if n.left < 0:
                 feats = list(dict.fromkeys(c[0] for c in conds))
+                if len(feats) > MAX_PATH:
+                    raise ValueError(f"a path tests {len(feats)} features; contributions take {MAX_PATH} at most")
                 r = [math.prod(ratios[j] for j, c in enumerate(conds) if c[0] == f) for f in feats]
                 value = wt * n.value
                 bias += value * math.prod(r)
@@ -121,50 +121,58 @@ def model_tables(fitted: FittedModel, path: str | None = None):
     return paths, patterns, bias
 
 
-def contributions(fitted: FittedModel, rows: DataFrame, row_keys, path: str | None = None) -> DataFrame:
-    """(row keys..., feature, contribution) for every row and every feature
-    that any leaf splits on; the bias is returned separately by ``model_tables``."""
-    paths, patterns, bias = model_tables(fitted, path)
-    spark = rows.sparkSession
-    pattern_df = spark.createDataFrame(patterns, "tree int, leaf int, code long, fi int, phi double")
-    lit_paths = F.array(*[
-        F.struct(F.lit(t).alias("tree"), F.lit(leaf).alias("leaf"),
-                 F.lit((1 << len({c[0] for c in conds})) - 1).cast("long").alias("mask"),
-                 (F.array(*[F.struct(F.lit(c[0]).alias("fi"), F.lit(c[1]).alias("num"),
-                                     F.lit(c[2]).cast("double").alias("thr"),
-                                     (F.array(*[F.lit(x) for x in c[3]]) if c[3] is not None
-                                      else F.lit(None).cast("array<double>")).alias("cats"),
-                                     F.lit(c[4]).alias("left"),
-                                     F.lit(1 << c[5]).cast("long").alias("flag"))
-                            for c in conds]) if conds else F.lit(None).cast(PATH_TYPE)).alias("conds"))
-        for t, leaf, conds in paths])
-    enc = fitted.prep.transform(rows).select(*row_keys, vector_to_array(F.col(FEATURES)).alias("__x"))
-    per_leaf = enc.select(*row_keys, "__x", F.explode(lit_paths).alias("p"))
-
-    def violated(acc, c):
-        x = F.element_at(F.col("__x"), c["fi"] + 1)
-        sat = F.when(c["num"], (x <= c["thr"]) == c["left"]).otherwise(
-            F.array_contains(c["cats"], x) == c["left"])
-        return acc.bitwiseOR(F.when(sat, F.lit(0).cast("long")).otherwise(c["flag"]))
-
-    bad = F.aggregate(F.coalesce(F.col("p.conds"), F.lit(None).cast(PATH_TYPE)), F.lit(0).cast("long"),
-                      violated)
-    coded = per_leaf.select(*row_keys, F.col("p.tree").alias("tree"), F.col("p.leaf").alias("leaf"),
-                            (F.col("p.mask") - F.coalesce(bad, F.lit(0).cast("long"))).alias("code"))
-    joined = coded.join(F.broadcast(pattern_df), ["tree", "leaf", "code"])
-    names = F.array(*[F.lit(n) for n in fitted.feature_names])
-    return (joined.groupBy(*row_keys, "fi").agg(F.sum("phi").alias("contribution"))
-            .select(*row_keys, F.element_at(names, F.col("fi") + 1).alias("feature"), "contribution"))
+def _row_sums(paths, patterns, n_features: int, keys: list):
+    tables = {}
+    for t, leaf, code, fi, phi in patterns:
+        tables.setdefault((t, leaf), []).append((code, fi, phi))
+    leaves = []
+    for t, leaf, conds in paths:
+        feats = list(dict.fromkeys(c[0] for c in conds))
+        values = np.zeros((1 << len(feats), len(feats)))
+        for code, fi, phi in tables.get((t, leaf), ()):
+            values[code, feats.index(fi)] += phi
+        if feats:
+            leaves.append((conds, feats, values))
+
+    def run(batches):
+        for batch in batches:
+            x = batch.column("__x")
+            x = x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
+            sums = np.zeros((len(x), n_features))
+            for conds, feats, values in leaves:
+                code = np.full(len(x), (1 << len(feats)) - 1)
+                for fi, numeric, thr, cats, left, bit in conds:
+                    met = (x[:, fi] <= thr if numeric else np.isin(x[:, fi], cats)) == left
+                    code[~met] &= ~(1 << bit)
+                sums[:, feats] += values[code]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(k) for k in keys],
+                 pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * n_features, pa.int32()), pa.array(sums.ravel()))],
+                names=[*keys, "contributions"])
+    return run
+
+
+def row_contributions(fitted: FittedModel, rows: DataFrame, row_keys, path: str | None = None) -> DataFrame:
+    """(row keys..., contributions array<double> in the order of ``fitted.feature_names``) for every row."""
+    paths, patterns, _ = model_tables(fitted, path)
+    keys = list(row_keys)
+    enc = fitted.prep.transform(rows).select(*keys, vector_to_array(F.col(FEATURES)).alias("__x"))
+    schema = T.StructType([enc.schema[k] for k in keys]
+                          + [T.StructField("contributions", T.ArrayType(T.DoubleType()))])
+    return enc.mapInArrow(_row_sums(paths, patterns, len(fitted.feature_names), keys), schema)
 
 
-def contribution_sample(rows: DataFrame, row_keys, n: int = P.CONTRIBUTION_SAMPLE,
-                        seed: int = P.SPLIT_SEED) -> DataFrame:
-    """At most ``n`` rows chosen by a seeded hash of the row key (a top-k, so
-    it is repeatable and needs no collect)."""
-    return rows.orderBy(F.xxhash64(*[F.col(k) for k in row_keys], F.lit(seed))).limit(n)
+def contributions(fitted: FittedModel, rows: DataFrame, row_keys, path: str | None = None) -> DataFrame:
+    """(row keys..., feature, contribution) for every row and every feature (0 where no leaf uses it);
+    the bias is returned separately by ``model_tables``."""
+    names = F.array(*[F.lit(n) for n in fitted.feature_names])
+    wide = row_contributions(fitted, rows, row_keys, path)
+    return wide.select(*row_keys, F.explode(F.arrays_zip(names.alias("feature"), F.col("contributions"))).alias("c")) \
+        .select(*row_keys, F.col("c.feature").alias("feature"), F.col("c.contributions").alias("contribution"))
 
 
-def contribution_summary(contrib: DataFrame, top: int = P.TOP_CONTRIBUTIONS) -> DataFrame:
-    """Mean absolute contribution per feature, largest first (top ``top``)."""
+def contribution_summary(contrib: DataFrame) -> DataFrame:
+    """Mean absolute contribution of every feature with its rank (one row per feature, so the window is small)."""
+    w = Window.orderBy(F.desc("mean_abs"), "feature")
     return (contrib.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("mean_abs"))
-            .orderBy(F.desc("mean_abs"), "feature").limit(top))
+            .withColumn("rank", F.row_number().over(w)))

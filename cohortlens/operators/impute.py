@@ -1,9 +1,9 @@
 """Sentinel -> null and mode / mean imputation, fitted per group.
 
-``fit_imputer`` runs one grouped aggregate (partial aggregation, so every
-partition sends at most one row per group) and brings the statistics to the
-driver: one value per (group, column), a bounded table like Spark ML's
-``Imputer`` surrogate. ``ImputeModel.transform`` is then a pure projection.
+``fit_imputer`` is one grouped aggregate (partial aggregation, so every
+partition sends at most one row per group); ``ImputeModel.transform`` joins
+that table null-safely on the group key and fills nulls. Both are lazy, so
+fitting and filling are one plan, and the join's strategy is the optimizer's.
 Fitting on a train split alone gives leak-free imputation.
 """
 
@@ -16,12 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import presets as P
-from ..functions.columns import null_if_sentinel
 from ..spec import STUDY, PanelSpec
 
 _NUMERIC = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType, T.ShortType, T.ByteType,
             T.DecimalType)
-MAX_GROUPS = 10000
 
 
 def numeric_columns(df: DataFrame, exclude=()) -> list:
@@ -40,48 +38,26 @@ def sentinel_to_null(df: DataFrame, threshold: float = P.SENTINEL_THRESHOLD,
         else f"`{c}`" for c in df.columns])
 
 
-def _sql_literal(v) -> str:
-    if v is None:
-        return "NULL"
-    if isinstance(v, str):
-        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    if isinstance(v, bool):
-        return "TRUE" if v else "FALSE"
-    if isinstance(v, int):
-        return f"{v}L"
-    return f"CAST({float(v)!r} AS DOUBLE)"
-
-
 @dataclass
 class ImputeModel:
     by: tuple
-    stats: dict          # group tuple -> {column: value}
+    stats: DataFrame     # one row per group: the group columns, then one statistic per column
     columns: list
 
     def transform(self, df: DataFrame) -> DataFrame:
-        """Fill nulls with the group's statistic: one projection (SQL text, so a
-        wide table is planned in one call)."""
-        exprs = {}
-        for c in self.columns:
-            branches = []
-            for key, values in self.stats.items():
-                v = values.get(c)
-                if v is None:
-                    continue
-                cond = " AND ".join(f"`{b}` <=> {_sql_literal(kv)}" for b, kv in zip(self.by, key)) or "TRUE"
-                branches.append(f"WHEN {cond} THEN {_sql_literal(v)}")
-            if branches:
-                t = df.schema[c].dataType.simpleString()
-                exprs[c] = f"coalesce(`{c}`, CAST(CASE {' '.join(branches)} END AS {t})) AS `{c}`"
-        if not exprs:
+        """Fill nulls with the group's statistic; groups without one stay as they are."""
+        if not self.columns:
             return df
-        return df.selectExpr(*[exprs.get(c, f"`{c}`") for c in df.columns])
-
-    def stats_frame(self, spark) -> DataFrame:
-        rows = [(*k, c, float(v) if v is not None else None)
-                for k, vals in self.stats.items() for c, v in vals.items()]
-        schema = ", ".join(f"`{b}` string" for b in self.by) + ", column string, value double"
-        return spark.createDataFrame(rows, schema)
+        names = [f"`{b}` AS `__by_{b}`" for b in self.by] + [f"`{c}` AS `__fill_{c}`" for c in self.columns]
+        side = self.stats.selectExpr(*names, "1 AS __one")
+        rows = df.withColumn("__here", F.lit(1))
+        on = rows["__here"] == side["__one"]
+        for b in self.by:
+            on = on & rows[b].eqNullSafe(side[f"__by_{b}"])
+        filled = set(self.columns)
+        return rows.join(side, on, "left").selectExpr(*[
+            f"coalesce(`{c}`, CAST(`__fill_{c}` AS {df.schema[c].dataType.simpleString()})) AS `{c}`" if c in filled
+            else f"`{c}`" for c in df.columns])
 
 
 def _stat_columns(df, categorical, by, exclude):
@@ -115,15 +91,8 @@ def fit_imputer(df: DataFrame, categorical, by=("data_type",),
     other numeric columns. All-null columns get no statistic and stay null."""
     cat, num = _stat_columns(df, categorical, by, exclude)
     grouped = _grouped_stats(df, cat, num, by)
-    rows = grouped.limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"imputation groups exceed {MAX_GROUPS}: group by a coarser key")
-    stats = {}
-    for r in rows:
-        d = r.asDict()
-        key = tuple(d[b] for b in by)
-        stats[key] = {c: d[f"m__{c}"] for c in cat}
-        stats[key].update({c: d[f"a__{c}"] for c in num})
+    stats = grouped.selectExpr(*[f"`{b}`" for b in by], *[f"`m__{c}` AS `{c}`" for c in cat],
+                               *[f"`a__{c}` AS `{c}`" for c in num])
     return ImputeModel(tuple(by), stats, cat + num)
 
 

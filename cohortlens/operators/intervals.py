@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from .. import presets as P
 from ..functions import sqlexpr as X
-from ..functions.columns import transition_code
 from ..spec import STUDY, PanelSpec
 
 OUTCOMES = ("drug", "diag")
@@ -23,7 +22,7 @@ _EXCLUDED = {"diag": P.DIAG_EXCLUDED_STATUS, "drug": P.DRUG_EXCLUDED_STATUS}
 def outcome_source(df: DataFrame, outcome: str, spec: PanelSpec = STUDY) -> DataFrame:
     """Participants eligible for one outcome (status 1.1 leaves diag, 1.2 leaves drug)."""
     if outcome not in _EXCLUDED:
-        raise ValueError("outcome_type must be either 'diag' or 'drug'.")
+        raise ValueError("an outcome is diag or drug")
     status = spec.status_columns[1]
     return df.filter(F.col(status) != _EXCLUDED[outcome])
 
@@ -41,7 +40,7 @@ def build_intervals(df: DataFrame, spec: PanelSpec = STUDY, outcomes=OUTCOMES,
     """
     for o in outcomes:
         if o not in _EXCLUDED:
-            raise ValueError("outcome_type must be either 'diag' or 'drug'.")
+            raise ValueError("an outcome is diag or drug")
     dm, status = spec.status_columns
     plans = []
     for o in outcomes:
@@ -52,7 +51,7 @@ def build_intervals(df: DataFrame, spec: PanelSpec = STUDY, outcomes=OUTCOMES,
     arrays.append(f"array({', '.join(X.q(spec.age_col(k)) for k in spec.visits())}) AS `__a___age`")
     packed = df.selectExpr(X.q(spec.id_col), *[X.q(c) for c in spec.base_columns], *arrays,
                            f"explode(array({', '.join(plans)})) AS __o")
-    guard = (f"CASE WHEN __o.n >= {spec.n_visits} THEN raise_error(concat('Invalid interval: a "
+    guard = (f"CASE WHEN __o.n >= {spec.n_visits} THEN raise_error(concat('an interval of a "
              f"participant needs visit ', CAST(__o.n + 1 AS STRING), ' but n_visits={spec.n_visits}')) "
              f"ELSE __o.n > 0 END")
     rows = packed.filter(F.expr(guard)).selectExpr("*", "explode(sequence(1, __o.n)) AS visit")
@@ -85,13 +84,9 @@ def transition_table(df: DataFrame, spec: PanelSpec = STUDY) -> DataFrame:
     """Nominal transition codes for every adjacent visit pair (k -> k+1) of a
     carried-forward panel: one row per (participant, k), one ``{f}_code`` per
     nominal feature. Narrow: an explode over ``n_visits - 1`` positions."""
-    arrays = {f: F.array(*[F.col(spec.feature_col(k, f)) for k in spec.visits()])
-              for f in spec.nominal}
-    packed = df.select(spec.id_col, *[a.alias(f"__a_{f}") for f, a in arrays.items()],
-                       F.explode(F.sequence(F.lit(1), F.lit(spec.n_visits - 1))).alias("visit"))
-    v = F.col("visit")
-    codes = [transition_code(F.element_at(F.col(f"__a_{f}"), v),
-                             F.element_at(F.col(f"__a_{f}"), v + 1),
-                             spec.n_levels(f), spec.sentinel).alias(f"{f}_code")
-             for f in spec.nominal]
-    return packed.select(spec.id_col, v.cast("int").alias("visit"), *codes)
+    arrays = [f"array({', '.join(X.q(spec.feature_col(k, f)) for k in spec.visits())}) AS `__a_{f}`"
+              for f in spec.nominal]
+    packed = df.selectExpr(X.q(spec.id_col), *arrays, f"explode(sequence(1, {spec.n_visits - 1})) AS visit")
+    codes = [X.transition_code(f"element_at(`__a_{f}`, visit)", f"element_at(`__a_{f}`, visit + 1)",
+                               spec.n_levels(f), spec.sentinel) + f" AS `{f}_code`" for f in spec.nominal]
+    return packed.selectExpr(X.q(spec.id_col), "CAST(visit AS INT) AS visit", *codes)

@@ -7,16 +7,12 @@ many models are scored in one job.
 Running sums over scores use a two-level scheme instead of one window per
 group (a window keyed by model alone would put a whole model's rows in one
 task): rows are first collapsed to distinct scores (partial aggregation, so
-a score held by a third of all rows costs one row), scores fall into
-``n_buckets`` ordered buckets, a small window over bucket totals gives each
-bucket's offset, and a window partitioned by (group, bucket) finishes the
-sum. The bucket table has at most ``n_buckets`` rows per group, which is the
-size bound that justifies broadcasting it.
-
-The reduced tables that several branches read (distinct-score counts, the
-cutoff histogram) are cut with ``checkpoint()`` into the shared checkpoint
-folder, so the prediction table is scanned once per metric instead of once
-per branch.
+a score held by a third of all rows costs one row), quantile boundaries of
+each group's distinct scores cut them into ordered buckets of about equal
+size whatever the scale (probabilities, margins), a small window over bucket
+totals gives each bucket's offset, and a window partitioned by (group, bucket)
+finishes the sum. Everything is lazy; the branches share the exchange of the
+distinct scores. Null and NaN scores or labels raise.
 """
 
 from __future__ import annotations
@@ -25,32 +21,35 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import presets as P
-from ..session import ensure_checkpoint_dir
 
-N_BUCKETS = 4096
+BUCKETS = 256
 
 
-def _bucket(score, n_buckets: int):
-    """Monotone bucket of a score: floor(score * n) clipped to [0, n-1]."""
-    return F.least(F.greatest(F.floor(score * n_buckets), F.lit(0)), F.lit(n_buckets - 1)).cast("int")
+def checked_score(score: str, label: str):
+    """The score as double and the label as long; null or NaN raises."""
+    x = F.col(score).cast("double")
+    bad = x.isNull() | F.isnan(x) | F.col(label).isNull()
+    return (F.when(bad, F.raise_error(F.lit(f"{score} or {label} is missing or not a number"))).otherwise(x),
+            F.col(label).cast("long"))
 
 
-def score_counts(preds: DataFrame, keys, score: str = "prob", label: str = "label",
-                 n_buckets: int = N_BUCKETS) -> DataFrame:
-    """Rows collapsed to (keys, bucket, score, pos, neg)."""
-    lab = F.col(label).cast("long")
-    return (preds.select(*keys, F.col(score).alias("score"), lab.alias("__y"))
-            .groupBy(*keys, _bucket(F.col("score"), n_buckets).alias("bucket"), "score")
+def score_counts(preds: DataFrame, keys, score: str = "prob", label: str = "label") -> DataFrame:
+    """Rows collapsed to (keys, score, pos, neg)."""
+    x, y = checked_score(score, label)
+    return (preds.select(*keys, x.alias("score"), y.alias("__y"))
+            .groupBy(*keys, "score")
             .agg(F.sum("__y").alias("pos"), F.sum(1 - F.col("__y")).alias("neg")))
 
 
-def cumulative_below(counts: DataFrame, keys, cut: bool = True) -> DataFrame:
+def cumulative_below(counts: DataFrame, keys, buckets: int = BUCKETS) -> DataFrame:
     """Add ``pos_below`` / ``neg_below``: counts at strictly lower scores in the
     group, plus the (pos, neg) of the next lower distinct score (``prev_pos``,
     ``prev_neg``; null for the lowest)."""
-    if cut:
-        ensure_checkpoint_dir(counts.sparkSession)
-        counts = counts.checkpoint(eager=True)   # read by two branches below
+    keys = list(keys)
+    shares = F.array(*[F.lit((k + 1) / buckets) for k in range(buckets - 1)])
+    bounds = counts.groupBy(*keys).agg(F.percentile_approx("score", shares, 20 * buckets).alias("__bounds"))
+    counts = counts.join(bounds, keys).withColumn(
+        "bucket", F.size(F.filter("__bounds", lambda b: b < F.col("score")))).drop("__bounds")
     bw = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bucket_tot = (counts.groupBy(*keys, "bucket")
                   .agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"),
@@ -63,7 +62,7 @@ def cumulative_below(counts: DataFrame, keys, cut: bool = True) -> DataFrame:
         F.lag("top").over(lag_w).alias("prev_top"))
     inner = Window.partitionBy(*keys, "bucket").orderBy("score")
     inner_before = inner.rowsBetween(Window.unboundedPreceding, -1)
-    j = counts.join(F.broadcast(offsets), [*keys, "bucket"])
+    j = counts.join(offsets, [*keys, "bucket"])
     first_in_bucket = F.lag("pos").over(inner).isNull()
     return j.select(
         *keys, "bucket", "score", "pos", "neg",
@@ -74,33 +73,36 @@ def cumulative_below(counts: DataFrame, keys, cut: bool = True) -> DataFrame:
 
 
 def roc_auc(preds: DataFrame, keys=("model", "split"), score: str = "prob", label: str = "label",
-            n_buckets: int = N_BUCKETS, check_classes: bool = True, cut: bool = True) -> DataFrame:
+            check_classes: bool = True) -> DataFrame:
     """Exact ROC AUC per group, ties counted half:
-    sum(pos * (2 * neg_below + neg)) / (2 * P * N) in exact integers.
+    sum(pos * (2 * neg_below + neg)) / (2 * P * N), in decimals of 38 digits.
     A group with one class raises (the evaluator would return 1.0)."""
     keys = list(keys)
-    cum = cumulative_below(score_counts(preds, keys, score, label, n_buckets), keys, cut)
-    g = cum.groupBy(*keys).agg(
-        F.sum(F.col("pos") * (2 * F.col("neg_below") + F.col("neg"))).alias("__num"),
-        F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-    auc = F.col("__num") / (2.0 * F.col("n_pos") * F.col("n_neg"))
+    return auc_of(cumulative_below(score_counts(preds, keys, score, label), keys), keys, check_classes)
+
+
+def auc_of(cum: DataFrame, keys, check_classes: bool = True) -> DataFrame:
+    """AUC per group from ``cumulative_below``."""
+    wide = "decimal(18,0)"
+    area = F.col("pos").cast(wide) * (2 * F.col("neg_below") + F.col("neg")).cast("decimal(19,0)")
+    g = cum.groupBy(*keys).agg(F.sum(area.cast("decimal(38,0)")).alias("__num"),
+                               F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+    auc = F.col("__num").cast("double") / (2.0 * F.col("n_pos") * F.col("n_neg"))
     if check_classes:
         auc = F.when((F.col("n_pos") == 0) | (F.col("n_neg") == 0),
-                     F.raise_error(F.lit("Only one class present in y_true. ROC AUC score is not "
-                                         "defined in that case."))).otherwise(auc)
+                     F.raise_error(F.lit("AUC needs rows of both classes"))).otherwise(auc)
     return g.select(*keys, auc.cast("double").alias("auc"), "n_pos", "n_neg")
 
 
-def roc_points(preds: DataFrame, keys=("model", "split"), score: str = "prob", label: str = "label",
-               n_buckets: int = N_BUCKETS) -> DataFrame:
+def roc_points(preds: DataFrame, keys=("model", "split"), score: str = "prob", label: str = "label") -> DataFrame:
     """ROC curve (threshold, fpr, tpr) per group: one point per distinct score
     from the highest down, collinear interior points dropped, plus the
     starting point (inf, 0, 0)."""
     keys = list(keys)
-    cum = cumulative_below(score_counts(preds, keys, score, label, n_buckets), keys)
+    cum = cumulative_below(score_counts(preds, keys, score, label), keys)
     tot = cum.groupBy(*keys).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"),
                                  F.max("score").alias("top_score"))
-    j = cum.join(F.broadcast(tot), keys)  # one row per group
+    j = cum.join(tot, keys)
     tp = F.col("P") - F.col("pos_below")
     fp = F.col("N") - F.col("neg_below")
     lowest = F.col("prev_pos").isNull()
@@ -129,8 +131,8 @@ def grid_position(prob, count: int = P.CUTOFF_COUNT):
 
 def cutoff_histogram(preds: DataFrame, keys, score: str = "prob", label: str = "label") -> DataFrame:
     """(keys, k, pos, neg): rows counted by how many grid cutoffs they pass."""
-    y = F.col(label).cast("long")
-    return (preds.groupBy(*keys, grid_position(F.col(score)).alias("k"))
+    x, y = checked_score(score, label)
+    return (preds.groupBy(*keys, grid_position(x).alias("k"))
             .agg(F.sum(y).alias("pos"), F.sum(1 - y).alias("neg")))
 
 
@@ -154,8 +156,6 @@ def best_cutoff(preds: DataFrame, keys=("model",), split_col: str = "split",
     never on the cross product of rows and cutoffs."""
     keys = list(keys)
     h = cutoff_histogram(preds, keys + [split_col], score, label)
-    ensure_checkpoint_dir(h.sparkSession)
-    h = h.checkpoint(eager=True)             # <= 100 rows per group, read by four branches
     tot = h.groupBy(*keys, split_col).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     val = h.filter(F.col(split_col) == select_on)
     per_j = (val.filter(F.col("k") >= 1)
@@ -186,8 +186,8 @@ def confusion_at_cutoff(preds: DataFrame, cutoff: float = 0.5, keys=("model", "s
                         score: str = "prob", label: str = "label") -> DataFrame:
     """Confusion counts and rates at one cutoff (positive when prob >= cutoff)."""
     keys = list(keys)
-    y = F.col(label).cast("long")
-    hit = (F.col(score) >= F.lit(float(cutoff))).cast("long")
+    x, y = checked_score(score, label)
+    hit = (x >= F.lit(float(cutoff))).cast("long")
     g = preds.groupBy(*keys).agg(F.sum(hit * y).alias("tp"), F.sum(hit * (1 - y)).alias("fp"),
                                  F.sum(y).alias("P"), F.sum(1 - y).alias("N"))
     precision, recall, f1, acc = _rates(F.col("tp"), F.col("fp"), F.col("P"), F.col("N"))
@@ -200,17 +200,19 @@ def ensemble_mean(preds: DataFrame, models, row_keys=("row_id", "split"),
                   model_col: str = "model", name: str = "Ensemble") -> DataFrame:
     """Unweighted mean of the listed models' probabilities per row (long input).
 
-    Raises when a row lacks a prediction from any listed model. One shuffle
-    on the row key; see ``ensemble_mean_wide`` for the shuffle-free form."""
+    Raises unless every row has exactly one prediction from each listed model
+    (a bit per model and the row count). One shuffle on the row key; see
+    ``ensemble_mean_wide`` for the shuffle-free form."""
     models = list(models)
-    g = (preds.filter(F.col(model_col).isin(models))
+    number = F.array_position(F.array(*[F.lit(m) for m in models]), F.col(model_col)) - 1
+    g = (preds.filter(F.col(model_col).isin(models)).withColumn("__m", number.cast("int"))
          .groupBy(*row_keys)
          .agg(F.avg("prob").alias("prob"), F.count(F.lit(1)).alias("__n"),
-              F.max("label").alias("label")))
-    ok = F.col("__n") == len(models)
+              F.expr("bit_or(shiftleft(1L, __m))").alias("__seen"), F.max("label").alias("label")))
+    ok = (F.col("__n") == len(models)) & (F.col("__seen") == (1 << len(models)) - 1)
     return g.select(*row_keys, F.lit(name).alias(model_col), "label",
                     F.when(ok, F.col("prob")).otherwise(F.raise_error(
-                        F.lit(f"Ensemble predictions are missing for some of {models}"))).alias("prob"))
+                        F.lit(f"a row does not have one prediction from each of {models}"))).alias("prob"))
 
 
 def ensemble_mean_wide(df: DataFrame, prob_cols, out: str = "prob_ensemble") -> DataFrame:

@@ -8,11 +8,13 @@ re-split); the winning model is kept and scores ``validation`` and ``test``.
 
 from __future__ import annotations
 
+import json
 import math
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline
+from pyspark.errors import IllegalArgumentException
+from pyspark.ml import Pipeline, PipelineModel, classification
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.feature import StandardScaler
@@ -29,6 +31,14 @@ from .features import assemble_stages
 FEATURES = "features"
 
 
+def _known(params: dict, *names: str) -> dict:
+    """The parameters, all of which the preset reads; another key raises, as it would change nothing."""
+    extra = set(params) - set(names)
+    if extra:
+        raise KeyError(f"grid keys {sorted(extra)} are not read by this preset; it reads {sorted(names)}")
+    return params
+
+
 @dataclass
 class ModelPreset:
     name: str
@@ -41,6 +51,7 @@ class ModelPreset:
 
 
 def _lr(params, seed, n, d):
+    _known(params, "C", "penalty")
     c = params.get("C", 1.0)
     penalty = params.get("penalty", "l1")
     return LogisticRegression(featuresCol=FEATURES, labelCol="label", maxIter=500, tol=1e-4,
@@ -49,24 +60,32 @@ def _lr(params, seed, n, d):
 
 
 def _rf(params, seed, n, d):
+    _known(params, "numTrees", "maxDepth", "minInstancesPerNode", "featureSubsetStrategy", "subsamplingRate")
     return RandomForestClassifier(featuresCol=FEATURES, labelCol="label", seed=seed,
                                   numTrees=params.get("numTrees", 50), maxDepth=params.get("maxDepth", 5),
-                                  minInstancesPerNode=1, featureSubsetStrategy="sqrt", maxBins=64,
+                                  minInstancesPerNode=params.get("minInstancesPerNode", 1),
+                                  featureSubsetStrategy=str(params.get("featureSubsetStrategy", "sqrt")),
+                                  subsamplingRate=params.get("subsamplingRate", 1.0), maxBins=64,
                                   probabilityCol="__proba")
 
 
 def _gbt(rounds, rate, subsample):
     def build(params, seed, n, d):
+        _known(params, "maxIter", "maxDepth", "stepSize", "subsamplingRate", "featureSubsetStrategy",
+               "minInstancesPerNode")
         est = GBTClassifier(featuresCol=FEATURES, labelCol="label", seed=seed,
                             maxIter=params.get("maxIter", rounds), maxDepth=params.get("maxDepth", 5),
-                            stepSize=params.get("stepSize", rate), subsamplingRate=subsample,
-                            featureSubsetStrategy="0.5", maxBins=64)
+                            stepSize=params.get("stepSize", rate),
+                            subsamplingRate=params.get("subsamplingRate", subsample),
+                            featureSubsetStrategy=str(params.get("featureSubsetStrategy", "0.5")),
+                            minInstancesPerNode=params.get("minInstancesPerNode", 1), maxBins=64)
         return est.setProbabilityCol("__proba")
     return build
 
 
 def _mlp(hidden, epochs):
     def build(params, seed, n, d):
+        _known(params, "maxIter")
         return MultilayerPerceptronClassifier(featuresCol="__scaled", labelCol="label", seed=seed,
                                               layers=[d, *hidden, 2], maxIter=params.get("maxIter", epochs),
                                               blockSize=32, probabilityCol="__proba")
@@ -94,7 +113,7 @@ REGISTRY = {
 
 def get_preset(name: str) -> ModelPreset:
     if name not in REGISTRY:
-        raise ValueError(f"Unsupported model name: {name}. Supported models are {list(REGISTRY)}.")
+        raise ValueError(f"model {name!r} is not one of {list(REGISTRY)}")
     return REGISTRY[name]
 
 
@@ -160,10 +179,8 @@ def early_stopping_cut(model, valid: DataFrame, patience: int) -> tuple[int, flo
     wide = prefix_margins(model, valid, n)
     long = wide.select("label", F.posexplode("__margins").alias("pos", "score")) \
         .select("label", (F.col("pos") + 1).alias("prefix"), "score")
-    # no lineage cut here: the input is only the validation rows, and a cut on
-    # top of the chained tree transforms costs more than scoring them twice
     aucs = {r["prefix"]: r["auc"] for r in
-            ME.roc_auc(long, keys=["prefix"], score="score", cut=False).collect()}
+            ME.roc_auc(long, keys=["prefix"], score="score").collect()}
     best_p, best = 1, aucs[1]
     for p in range(2, n + 1):
         if p - best_p > patience:
@@ -183,8 +200,9 @@ def prep_pipeline(preset: ModelPreset, numeric, categorical) -> Pipeline:
 def fit_model(name: str, data: DataFrame, numeric, categorical, keys, seed: int = P.SPLIT_SEED,
               grid: list | None = None) -> FittedModel:
     """Fit every grid entry on ``train``, score by AUC on ``validation``, keep
-    the first best (earliest grid entry wins ties). Failing entries are
-    skipped; all failing raises."""
+    the first best (earliest grid entry wins ties). Only the logistic grid
+    skips entries, and only those whose parameters Spark rejects; they stay in
+    the log with their error. All failing raises."""
     preset = get_preset(name)
     grid = grid or preset.grid
     prep = prep_pipeline(preset, numeric, categorical).fit(data)
@@ -196,24 +214,27 @@ def fit_model(name: str, data: DataFrame, numeric, categorical, keys, seed: int
     log, best = [], None
     for i, params in enumerate(grid):
         try:
-            model = preset.build(params, seed, n_train, len(names)).fit(train)
-            cut = None
-            if preset.extra.get("early_stopping"):
-                cut, auc = early_stopping_cut(model, valid, preset.extra["early_stopping"])
-            else:
-                scored = model.transform(valid).select(
-                    "label", vector_to_array(F.col("__proba"))[1].alias("prob"), F.lit(name).alias("model"),
-                    F.lit("validation").alias("split"))
-                auc = ME.roc_auc(scored).first()["auc"]
-        except Exception as exc:  # noqa: BLE001 - a failing grid entry is skipped, as shipped
-            log.append({**params, "AUC": None, "error": str(exc)[:2000]})
+            estimator = preset.build(params, seed, n_train, len(names))
+            model = estimator.fit(train)
+        except (IllegalArgumentException, TypeError, ValueError) as exc:
+            if name != "LR":
+                raise
+            log.append({**params, "AUC": None, "error": str(exc)})
             continue
+        cut = None
+        if preset.extra.get("early_stopping"):
+            cut, auc = early_stopping_cut(model, valid, preset.extra["early_stopping"])
+        else:
+            scored = model.transform(valid).select(
+                "label", vector_to_array(F.col("__proba"))[1].alias("prob"), F.lit(name).alias("model"),
+                F.lit("validation").alias("split"))
+            auc = ME.roc_auc(scored).first()["auc"]
         log.append({**params, "AUC": auc, **({"best_iteration": cut} if cut else {})})
         if best is None or auc > best[0]:
             best = (auc, i, model, params, cut)
     if best is None:
         first = next((e.get("error") for e in log if e.get("error")), "")
-        raise RuntimeError(f"{name} grid search failed to fit any model. First error: {first}")
+        raise RuntimeError(f"no entry of the {name} grid could be fitted; the first failed with: {first}")
     params = dict(best[3])
     if best[4]:
         params["best_iteration"] = best[4]
@@ -221,10 +242,10 @@ def fit_model(name: str, data: DataFrame, numeric, categorical, keys, seed: int
 
 
 def grid_log_frame(spark, fitted: FittedModel) -> DataFrame:
-    """Grid-search log, best AUC first."""
-    rows = [(fitted.name, str({k: v for k, v in e.items() if k not in ("AUC", "error")}), e["AUC"])
+    """Grid-search log, best AUC first; entries that failed have their error."""
+    rows = [(fitted.name, str({k: v for k, v in e.items() if k not in ("AUC", "error")}), e["AUC"], e.get("error"))
             for e in fitted.grid_log]
-    return spark.createDataFrame(rows, "model string, params string, auc double").orderBy(F.desc("auc"))
+    return spark.createDataFrame(rows, "model string, params string, auc double, error string").orderBy(F.desc("auc"))
 
 
 def importance(fitted: FittedModel, data: DataFrame) -> dict:
@@ -263,9 +284,19 @@ def coefficient_table(fitted: FittedModel, data: DataFrame) -> dict:
 
 
 def save_model(fitted: FittedModel, path: str) -> None:
-    """Spark ML persistence for the feature pipeline and the classifier."""
+    """Spark ML persistence for the feature pipeline and the classifier, and what scoring needs besides."""
     fitted.prep.write().overwrite().save(f"{path}/prep")
     fitted.model.write().overwrite().save(f"{path}/model")
+    rest = {k: getattr(fitted, k) for k in ("name", "params", "grid_log", "feature_names", "n_train", "n_trees")}
+    rest["class"] = type(fitted.model).__name__
+    _session(fitted).createDataFrame([(json.dumps(rest),)], "value string").write.mode("overwrite").text(f"{path}/rest")
+
+
+def load_model(spark, path: str) -> FittedModel:
+    """A saved model; it scores as the one that was saved, early-stopping cut included."""
+    rest = json.loads(spark.read.text(f"{path}/rest").first()["value"])
+    model = getattr(classification, rest.pop("class")).load(f"{path}/model")
+    return FittedModel(prep=PipelineModel.load(f"{path}/prep"), model=model, **rest)
 
 
 def tree_table(fitted: FittedModel, path: str | None = None) -> DataFrame:

@@ -204,7 +204,7 @@ def q_oversample(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_oversample_sizes(spark: SparkSession, sf: str) -> DataFrame:
-    return q_oversample(spark, sf).groupBy("label").agg(F.count(F.lit(1)).alias("n_rows"))
+    return q_oversample(spark, sf).groupBy("split", "label").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 SPLIT_QUERIES = {
@@ -219,6 +219,7 @@ SPLIT_QUERIES = {
 
 # --- features and models --------------------------------------------------------
 
+from ..operators import contributions as CO  # noqa: E402
 from ..operators import features as FE  # noqa: E402
 from ..operators import models as MO  # noqa: E402
 from ..plans import experiment as EX  # noqa: E402
@@ -253,6 +254,12 @@ def q_one_hot(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("rid", "visit", "data_type", *[f"{c}_hot" for c in CATEGORICAL])
 
 
+def q_one_hot_slots(spark: SparkSession, sf: str) -> DataFrame:
+    coh, meas = _event_inputs(spark, sf)
+    pre = FE.nominal_strings(preprocess(coh, meas, EVENT_SPEC, scale_income=True), CATEGORICAL)
+    return FE.one_hot_slots(pre, CATEGORICAL)
+
+
 def q_pca_block(spark: SparkSession, sf: str) -> DataFrame:
     rows = training_rows(spark, sf)
     out = FE.pca_features(rows, "only", "all", EVENT_BLOCKS, EVENT_SET_PCA)
@@ -276,10 +283,6 @@ def _fit_query(name):
     return q
 
 
-# fixed values: the wider logistic grid kept (commented out) next to the shipped one
-LR_WIDE_GRID = [{"C": c, "penalty": p} for c in (1.0, 0.001, 0.01, 0.1, 10.0) for p in ("l1", "l2")]
-
-
 # fixed values: the boosted preset A's alternative learning rate kept next to the shipped one
 XGB_RATE_GRID = [{"maxIter": 10, "maxDepth": 5, "stepSize": r} for r in (0.01, 0.1)]
 
@@ -317,13 +320,11 @@ def q_split_importance(spark: SparkSession, sf: str) -> DataFrame:
     return MO.split_importance(MO.tree_table(_boosted(spark, sf)))
 
 
-def _test_contributions(spark, sf):
-    from ..operators import contributions as CO
+def _test_contributions(spark, sf, name="XGB"):
     rows, cfg = _prepared(spark, sf)
-    fm = _fit_on(rows, "XGB")
+    fm = _fit_on(rows, name)
     keys = ["rid", "visit", "copy"]
-    sample = CO.contribution_sample(rows.filter(F.col("split") == "test"), keys)
-    return CO, CO.contributions(fm, sample, keys)
+    return CO.contributions(fm, rows.filter(F.col("split") == "test"), keys)
 
 
 def _fit_on(rows, name, grid=None):
@@ -334,14 +335,17 @@ def _fit_on(rows, name, grid=None):
 
 
 def q_contributions(spark: SparkSession, sf: str) -> DataFrame:
-    """Per-feature contributions (class-1 margin) of the boosted preset A for up to
-    1,000 test rows chosen by a seeded hash."""
-    return _test_contributions(spark, sf)[1]
+    """Per-feature contributions (class-1 margin) of the boosted preset A for all test rows."""
+    return _test_contributions(spark, sf)
+
+
+def q_contributions_b(spark: SparkSession, sf: str) -> DataFrame:
+    """The same of the boosted preset B."""
+    return _test_contributions(spark, sf, "LGBM")
 
 
 def q_contribution_summary(spark: SparkSession, sf: str) -> DataFrame:
-    CO, contrib = _test_contributions(spark, sf)
-    return CO.contribution_summary(contrib)
+    return CO.contribution_summary(_test_contributions(spark, sf))
 
 
 def q_experiment(spark: SparkSession, sf: str) -> DataFrame:
@@ -352,6 +356,7 @@ def q_experiment(spark: SparkSession, sf: str) -> DataFrame:
 MODEL_QUERIES = {
     "nominal_strings": q_nominal_strings,
     "one_hot": q_one_hot,
+    "one_hot_slots": q_one_hot_slots,
     "pca_block": q_pca_block,
     **{f"fit_{m.lower()}": _fit_query(m) for m in ("LR", "RF", "XGB", "LGBM", "ANN", "RNN")},
     "grid_search": q_grid_search,
@@ -359,6 +364,7 @@ MODEL_QUERIES = {
     "tree_table": q_tree_table,
     "split_importance": q_split_importance,
     "contributions": q_contributions,
+    "contributions_b": q_contributions_b,
     "contribution_summary": q_contribution_summary,
     "experiment": q_experiment,
 }

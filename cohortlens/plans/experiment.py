@@ -38,6 +38,7 @@ METRICS_SCHEMA = T.StructType([
     T.StructField("accuracy", T.DoubleType()),
     T.StructField("params", T.MapType(T.StringType(), T.StringType())),
     T.StructField("importance", T.MapType(T.StringType(), T.ArrayType(T.DoubleType()))),
+    T.StructField("position", T.IntegerType()),       # place in the sweep
 ])
 
 
@@ -55,18 +56,29 @@ class ExperimentConfig:
     row_keys: tuple = (P.ID_COL, "visit")
     targets: dict | None = None
     pca_groups: dict = field(default_factory=dict)
+    pca_train_only: bool = False        # fit PCA on the training split instead of the whole table
+    on_unreached: str = "cap"           # components kept where the variance is not reached
+    shrink: bool = False                # allow oversampling targets below the positives present
+    output: str | None = None           # folder of the sweep's files, written if set
     ensemble: bool = True
     parallel_combos: int = 1
 
 
 def prepare_combo(df: DataFrame, feature_set: str, pca_mode: str, cfg: ExperimentConfig) -> DataFrame:
-    """Feature selection -> PCA (fitted on the whole table) -> split -> strings."""
+    """Feature selection -> split -> PCA (fitted on the whole table, or on train) -> strings; written once."""
     sel = FE.feature_selection(df, feature_set, cfg.blocks, cfg.set_drops)
-    sel = FE.pca_features(sel, pca_mode, feature_set, cfg.blocks, cfg.set_pca_blocks,
-                          groups=cfg.pca_groups)
-    rows = SP.data_split(sel, cfg.sampling, cfg.seed, cfg.targets, list(cfg.row_keys))
-    if "copy" not in rows.columns:
-        rows = rows.withColumn("copy", F.lit(0))
+    rows = SP.data_split(sel, None, cfg.seed)
+    fit_on = rows.filter("split = 'train'") if cfg.pca_train_only else sel
+    rows = FE.pca_features(rows, pca_mode, feature_set, cfg.blocks, cfg.set_pca_blocks, fit_on=fit_on,
+                           groups=cfg.pca_groups, on_unreached=cfg.on_unreached)
+    if cfg.sampling == "over":
+        targets = cfg.targets
+        if targets is None:
+            n = rows.filter("split = 'train'").agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
+            targets = {"train": max(n[0] or 0, n[1] or 0)}
+        rows = SP.oversample_positive(rows, targets, list(cfg.row_keys), cfg.seed, shrink=cfg.shrink)
+    else:
+        rows = rows.withColumn("copy", F.lit(0).cast("long"))
     rows = FE.nominal_strings(rows, cfg.categorical)
     ensure_checkpoint_dir(rows.sparkSession)
     return rows.checkpoint(eager=True)
@@ -111,15 +123,29 @@ def combo_metrics(preds: DataFrame, fitted: dict, rows: DataFrame, feature_set:
     return out
 
 
+def write_combo(preds: DataFrame, fitted: dict, path: str) -> None:
+    """The files of one combination: per model its grid log, itself, its trees; ROC points of all models."""
+    spark = preds.sparkSession
+    for name, fm in fitted.items():
+        MO.grid_log_frame(spark, fm).write.mode("overwrite").parquet(f"{path}/{name}/grid_log")
+        MO.save_model(fm, f"{path}/{name}/fitted")
+        if hasattr(fm.model, "trees"):
+            MO.tree_table(fm).write.mode("overwrite").parquet(f"{path}/{name}/trees")
+    ME.roc_points(preds).write.mode("overwrite").parquet(f"{path}/roc_points")
+
+
 def run_combo(df: DataFrame, feature_set: str, pca_mode: str, cfg: ExperimentConfig) -> list:
     rows = prepare_combo(df, feature_set, pca_mode, cfg)
     preds, fitted = combo_predictions(rows, cfg)
+    if cfg.output:
+        write_combo(preds, fitted, f"{cfg.output}/{feature_set}/{pca_mode}")
     return combo_metrics(preds, fitted, rows, feature_set, pca_mode, cfg)
 
 
 def run_experiment(spark: SparkSession, df: DataFrame, cfg: ExperimentConfig) -> DataFrame:
     """All combinations; ``parallel_combos`` > 1 submits combinations as
-    concurrent Spark jobs from a driver thread pool."""
+    concurrent Spark jobs from a driver thread pool. With ``cfg.output`` the
+    sweep's files are written there."""
     for m in cfg.models:
         MO.get_preset(m)
     ensure_checkpoint_dir(spark)
@@ -130,19 +156,23 @@ def run_experiment(spark: SparkSession, df: DataFrame, cfg: ExperimentConfig) ->
             parts = list(ex.map(lambda t: run_combo(df, t[0], t[1], cfg), tasks))
     else:
         parts = [run_combo(df, fs, pm, cfg) for fs, pm in tasks]
-    rows = [r for p in parts for r in p]
-    return spark.createDataFrame(rows, METRICS_SCHEMA)
+    rows = [(*r, k) for k, r in enumerate(r for p in parts for r in p)]
+    metrics = spark.createDataFrame(rows, METRICS_SCHEMA)
+    if cfg.output:
+        write_metrics(metrics, cfg.output)
+    return metrics
 
 
 def auc_summary(metrics: DataFrame) -> DataFrame:
     """Flattened result, best test AUC first."""
-    return metrics.select("feature_set", "pca_mode", "model", "auc_validation", "auc_test") \
-        .orderBy(F.desc("auc_test"))
+    return metrics.orderBy(F.desc("auc_test"), "position") \
+        .select("feature_set", "pca_mode", "model", "auc_validation", "auc_test")
 
 
 def best_row(metrics: DataFrame) -> DataFrame:
     """The combination with the highest test AUC (first in sweep order on ties)."""
-    return metrics.orderBy(F.desc("auc_test")).limit(1)
+    top = metrics.agg(F.max_by(F.struct(*metrics.columns), F.struct("auc_test", -F.col("position"))).alias("r"))
+    return top.select("r.*")
 
 
 def metrics_json(metrics: DataFrame) -> DataFrame:

@@ -423,16 +423,67 @@ def split_sizes():
         "SELECT 'validation', nh - nt FROM h2 UNION ALL SELECT 'test', nt FROM h2")
 
 
+def _md5_rank(key, part):
+    return (f"row_number() OVER (PARTITION BY {part} ORDER BY md5('{P.SPLIT_SEED}:' || {key}), {key})")
+
+
+def _holdout_ctes(step, source, share):
+    """Quota of each stratum of ``source`` (rid, strata) by the largest remainders; ``step`` names the tables."""
+    c, t, q, o = (f"{x}{step}" for x in "ctqo")
+    return [
+        f"{c} AS (SELECT strata, count(*) AS c FROM {source} GROUP BY strata)",
+        f"{t} AS (SELECT CAST(sum(c) AS BIGINT) AS n, CAST(ceil(sum(c) * CAST({share} AS DOUBLE)) AS BIGINT) AS nt, "
+        f"count(*) AS k, min(c) AS least FROM {c})",
+        f"{q} AS (SELECT strata, c, floor(CAST((n - nt) * c AS DOUBLE) / n) AS base, "
+        f"CAST((n - nt) * c AS DOUBLE) / n - floor(CAST((n - nt) * c AS DOUBLE) / n) AS rest, n - nt AS want, "
+        f"k >= 2 AND least >= 2 AND n - nt >= k AND nt >= k AS strat, nt FROM {c}, {t})",
+        f"{o} AS (SELECT strata, strat, CAST(CASE WHEN strat THEN c - base - CASE WHEN row_number() OVER (ORDER BY "
+        f"rest DESC, strata) <= want - sum(base) OVER () THEN 1 ELSE 0 END ELSE nt END AS BIGINT) AS quota FROM {q})"]
+
+
+def _split_ctes():
+    return [_ORDERS, _SUMMARY, f"p AS (SELECT rid, {_STRATA} AS strata, positive, negative FROM s)",
+            *_holdout_ctes(1, "p", P.FIRST_HOLDOUT),
+            f"r1 AS (SELECT p.*, quota, {_md5_rank('p.rid', 'CASE WHEN strat THEN p.strata END')} AS k "
+            "FROM p JOIN o1 USING (strata))",
+            "held AS (SELECT rid, strata FROM r1 WHERE k <= quota)",
+            *_holdout_ctes(2, "held", P.SECOND_HOLDOUT),
+            f"r2 AS (SELECT held.rid, quota, {_md5_rank('held.rid', 'CASE WHEN strat THEN held.strata END')} AS k "
+            "FROM held JOIN o2 USING (strata))",
+            "a AS (SELECT r1.rid, CASE WHEN r2.rid IS NULL THEN 'train' WHEN r2.k <= r2.quota THEN 'test' "
+            "ELSE 'validation' END AS split FROM r1 LEFT JOIN r2 ON r1.rid = r2.rid)"]
+
+
+def rid_split():
+    return _cte(*_split_ctes()) + "SELECT rid, split FROM a"
+
+
+def _oversample_ctes():
+    num = f"CAST('0x' || substr(md5('{P.SPLIT_SEED}:train:' || d.i), 1, 15) AS BIGINT) % m + 1"
+    return [*_split_ctes(), "e AS (SELECT rid, o_orderkey, label, split FROM o JOIN a USING (rid))",
+            f"pos AS (SELECT *, {_md5_rank('o_orderkey', '1')} AS num FROM e WHERE split = 'train' AND label = 1)",
+            "m AS (SELECT count(*) AS m FROM pos)",
+            "n AS (SELECT greatest((SELECT m FROM m), count(*) FILTER (label = 0)) AS n FROM e WHERE split = 'train')",
+            f"d AS (SELECT i, {num} AS num FROM (SELECT unnest(range(n)) AS i FROM n) d, m)",
+            "ov AS (SELECT rid, o_orderkey, label, split, CAST(0 AS BIGINT) AS copy FROM e "
+            "WHERE NOT (split = 'train' AND label = 1) "
+            "UNION ALL SELECT rid, o_orderkey, label, split, i + 1 FROM d JOIN pos USING (num))"]
+
+
+def oversample():
+    return _cte(*_oversample_ctes()) + "SELECT * FROM ov"
+
+
 def oversample_sizes():
-    total = sum(P.OVERSAMPLE_TARGETS.values())
-    return _cte(_ORDERS) + (f"SELECT 0 AS label, count(*) AS n_rows FROM o WHERE label = 0 "
-                            f"UNION ALL SELECT 1, CAST({total} AS BIGINT)")
+    return _cte(*_oversample_ctes()) + "SELECT split, label, count(*) AS n_rows FROM ov GROUP BY split, label"
 
 
 SPLIT_ORACLES = {
     "rid_strata": rid_strata,
     "strata_counts": strata_counts,
+    "rid_split": rid_split,
     "split_sizes": split_sizes,
+    "oversample": oversample,
     "oversample_sizes": oversample_sizes,
 }
 
@@ -463,9 +514,17 @@ def one_hot():
     return _cte(*_string_ctes()) + f"SELECT rid, visit, data_type, {', '.join(cols)} FROM ns"
 
 
+def one_hot_slots():
+    parts = [f"SELECT '{c}' AS category, CAST(row_number() OVER (ORDER BY {c} NULLS LAST) - 1 AS INTEGER) AS slot, "
+             f"coalesce({c}, '__unknown') AS name FROM (SELECT DISTINCT {c} FROM ns WHERE {c} IS NOT NULL "
+             f"UNION ALL SELECT NULL)" for c in _categorical()]
+    return _cte(*_string_ctes()) + " UNION ALL ".join(parts)
+
+
 FEATURE_ORACLES = {
     "nominal_strings": nominal_strings,
     "one_hot": one_hot,
+    "one_hot_slots": one_hot_slots,
 }
 
 

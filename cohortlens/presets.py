@@ -94,5 +94,3 @@ CUTOFF_COUNT = 99
 MODEL_NAMES = ("LR", "RF", "XGB", "LGBM", "ANN", "RNN")
 PCA_MAX_COMPONENTS = 10
 PCA_VARIANCE = 0.9
-CONTRIBUTION_SAMPLE = 1000
-TOP_CONTRIBUTIONS = 20

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings the operators are written for. On a cluster the deployment sets
 # partition counts; these are the local defaults for tests and the bench.
@@ -20,12 +21,15 @@ DEFAULT_CONF = {
 }
 
 
-def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "cohortlens", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+    """A session with the library's settings; master, memory and partition counts are the submitter's unless given."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "16g")
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -36,10 +40,10 @@ def get_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's ``spark.checkpoint.dir``; set a scratch one only if unset.
+    """Return the cluster's ``spark.checkpoint.dir``; set a scratch one only if unset on a local master.
 
-    On a cluster the deployment names a shared folder; a machine-local
-    folder is only chosen here for local runs and tests.
+    Elsewhere an unset folder raises: what one machine writes to its own disk
+    the others cannot read.
     """
     sc = spark.sparkContext
     if sc.getCheckpointDir():
@@ -48,12 +52,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         sc.setCheckpointDir(current)
         return sc.getCheckpointDir()
-    local = tempfile.mkdtemp(prefix="cohortlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(local)
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="cohortlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
     return sc.getCheckpointDir()
-
-
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)

@@ -22,8 +22,7 @@ def read_path(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.option("header", True).option("inferSchema", False).csv(path)
     if suffix == ".parquet":
         return spark.read.parquet(path)
-    raise ValueError(f"Unsupported cohort file format: {suffix or '(none)'}. "
-                     f"Supported formats are {', '.join(SUPPORTED)}.")
+    raise ValueError(f"can't read {suffix or 'a path without a suffix'}; known are {' and '.join(SUPPORTED)}")
 
 
 def load_input(spark: SparkSession, data) -> DataFrame:

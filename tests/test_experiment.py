@@ -3,10 +3,19 @@
 import json
 import random
 
+import pytest
+
+from cohortlens.operators import models as MO
 from cohortlens.plans import experiment as EX
 
 
-def test_sweep_metrics_and_json(spark):
+def test_grid_keys_must_be_known():
+    for name in MO.REGISTRY:
+        with pytest.raises(KeyError):
+            MO.get_preset(name).build({"columns": 0.5}, 1, 10, 3)
+
+
+def test_sweep_metrics_and_json(spark, tmp_path):
     rnd = random.Random(1)
     rows = []
     for rid in range(120):
@@ -17,15 +26,15 @@ def test_sweep_metrics_and_json(spark):
     df = spark.createDataFrame(rows, "rid long, visit int, label int, x double, x_diff double, "
                                      "z double, z_diff double, as1_sex double")
     cfg = EX.ExperimentConfig(
-        feature_sets=("all", "xonly"), pca_modes=("none", "plus"), models=("LR", "XGB"),
+        feature_sets=("all", "xonly"), pca_modes=("plus",), models=("LR", "XGB"),
         blocks={"xb": ("x", "x_diff"), "zb": ("z", "z_diff")},
         set_drops={"all": (), "xonly": ("zb",)},
         set_pca_blocks={"all": ("xb", "zb"), "xonly": ("xb",)},
         categorical=("as1_sex",), sampling="over",
-        targets={"train": 150, "validation": 30, "test": 30})
+        targets={"train": 500, "validation": 150, "test": 150}, output=str(tmp_path / "sweep"))
     metrics = EX.run_experiment(spark, df, cfg)
     got = metrics.collect()
-    assert len(got) == 2 * 2 * 3
+    assert len(got) == 2 * 3
     assert {r.model for r in got} == {"LR", "XGB", "Ensemble"}
     for r in got:
         assert 0.0 <= r.auc_test <= 1.0 and 0.0 <= r.auc_validation <= 1.0
@@ -33,6 +42,23 @@ def test_sweep_metrics_and_json(spark):
     lr = [r for r in got if r.model == "LR"][0]
     assert all(len(v) == 2 for v in lr.importance.values())        # coefficient + p-value
     nested = json.loads(EX.metrics_json(metrics).first().json)
-    assert set(nested) == {"all", "xonly"} and set(nested["all"]) == {"none", "plus"}
+    assert set(nested) == {"all", "xonly"} and set(nested["all"]) == {"plus"}
+    assert EX.best_row(metrics).first().auc_test == max(r.auc_test for r in got)
+    tied = spark.createDataFrame([("b", 0.5, 1), ("a", 0.5, 0), ("c", 0.4, 2)], "model string, auc_test double, position int")
+    assert EX.best_row(tied).first().model == "a"
+    one = tmp_path / "sweep" / "all" / "plus"
+    assert spark.read.parquet(str(one / "XGB" / "grid_log")).count() == 1
+    assert spark.read.parquet(str(one / "XGB" / "trees")).count() > 10
+    assert {r.model for r in spark.read.parquet(str(one / "roc_points")).select("model").distinct().collect()} \
+        == {"LR", "XGB", "Ensemble"}
+    rows = EX.prepare_combo(df, "all", "plus", cfg)
+    preds, fitted = EX.combo_predictions(rows, cfg)
+    for name in ("LR", "XGB"):
+        again = MO.load_model(spark, str(one / name / "fitted"))
+        keys = ["rid", "visit", "copy"]
+        a = sorted(map(tuple, again.score(rows.filter("split = 'test'"), keys).collect()))
+        b = sorted(map(tuple, fitted[name].score(rows.filter("split = 'test'"), keys).collect()))
+        assert a == b and again.n_trees == fitted[name].n_trees
+    assert json.loads((spark.read.text(str(tmp_path / "sweep" / "results_json")).first().value))["all"]
     ranked = EX.auc_summary(metrics).collect()
     assert ranked[0].auc_test == max(r.auc_test for r in got)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cohortlens.functions.columns import interval_plan, transition_code
+from cohortlens.functions import sqlexpr as X
 from cohortlens.operators import impute as IM
 from cohortlens.operators.intervals import build_intervals, drop_missing_baseline, transition_table
 from cohortlens.operators.panel import (carry_forward, carry_forward_long, panel_to_long,
@@ -75,7 +75,7 @@ def test_transition_codes(spark):
     df = spark.createDataFrame(
         [(0.0, 0.0), (0.0, 1.0), (1.0, 0.0), (1.0, 1.0), (2.0, 1.0), (3.0, 1.0), (None, 1.0),
          (-0.5, 1.0), (1.9, 0.2), (float("nan"), 0.0)], "p double, q double")
-    got = df.select(transition_code("p", "q", 2).alias("b"), transition_code("p", "q", 3).alias("t")).collect()
+    got = df.selectExpr(*[X.transition_code("p", "q", n, 99999.0) + f" AS {c}" for n, c in ((2, "b"), (3, "t"))]).collect()
     assert [r.b for r in got] == [1, 2, 3, 4, S, S, S, 2, 3, S]
     assert [r.t for r in got] == [1, 2, 4, 5, 8, S, S, 2, 4, S]
 
@@ -159,11 +159,15 @@ def test_measurement_cleaning_and_join(spark):
     clean = clean_measurements(meas)
     assert [r.A for r in clean.orderBy("B").collect()] == [S, 3.0]
     cohort = spark.createDataFrame([(1, 5.0), (None, 6.0)], "RID long, C double")
-    joined = merge_panels(cohort, clean).collect()
+    joined = merge_panels(cohort, clean, null_keys=True).collect()
     assert sorted((r.C, r.A) for r in joined) == [(5.0, S), (6.0, 3.0)]   # null key matches null key
+    with pytest.raises(Exception, match="null_keys"):
+        merge_panels(cohort, clean).collect()
+    keyed = clean_measurements(spark.createDataFrame([(".", "1"), ("2", "3")], "RID string, A string"))
+    assert sorted(r.RID for r in keyed.collect()) == ["2", "99999"]
     bad = spark.createDataFrame([(1, "oops")], "RID long, A string")
-    with pytest.raises(ValueError, match="non-numeric"):
-        clean_measurements(bad)
+    with pytest.raises(Exception, match="holds the text"):
+        clean_measurements(bad).collect()
 
 
 def test_validation_and_lowercase(spark):
@@ -196,6 +200,6 @@ def test_transition_table(spark):
 
 
 def test_interval_plan_columns(spark):
-    df = spark.createDataFrame([(2.0,), (1.0,), (25.0,)], "d double")
-    got = df.select(*[c.alias(n) for c, n in zip(interval_plan(F.col("d"), "drug"), ("n", "pos"))]).collect()
+    df = spark.createDataFrame([(2.0, 0.0), (1.0, 0.0), (25.0, 0.0)], "d double, s double")
+    got = df.selectExpr(*[f"{x} AS {n}" for x, n in zip(X.interval_plan("d", "s", "drug", 1.2), ("n", "pos"))]).collect()
     assert [(r.n, r.pos) for r in got] == [(1, 1), (0, None), (0, None)]

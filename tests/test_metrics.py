@@ -72,7 +72,7 @@ def _groups(rows):
 
 def test_auc_matches_pairwise(spark):
     rows = _fixture()
-    got = {(r.model, r.split): r.auc for r in ME.roc_auc(_df(spark, rows), n_buckets=4).collect()}
+    got = {(r.model, r.split): r.auc for r in ME.roc_auc(_df(spark, rows)).collect()}
     for k, pairs in _groups(rows).items():
         assert got[k] == pytest.approx(brute_auc(pairs), abs=1e-12)
 
@@ -86,14 +86,14 @@ def test_auc_invariant_under_repartition(spark):
 
 def test_auc_single_class_raises(spark):
     df = _df(spark, [(1, "test", "a", 1, 0.3), (2, "test", "a", 1, 0.6)])
-    with pytest.raises(Exception, match="Only one class"):
+    with pytest.raises(Exception, match="both classes"):
         ME.roc_auc(df).collect()
 
 
 def test_roc_points_match_sklearn_rule(spark):
     rows = _fixture(11)
     got = {}
-    for r in ME.roc_points(_df(spark, rows), n_buckets=3).collect():
+    for r in ME.roc_points(_df(spark, rows)).collect():
         got.setdefault((r.model, r.split), []).append((r.threshold, r.fpr, r.tpr))
     for k, pairs in _groups(rows).items():
         want = [tuple(round(x, 12) for x in t) for t in brute_roc(pairs)]
@@ -138,10 +138,42 @@ def test_ensemble_mean_and_missing(spark):
     rows = [(1, "test", "a", 1, 0.2), (1, "test", "b", 1, 0.4), (2, "test", "a", 0, 0.6), (2, "test", "b", 0, 0.8)]
     got = {r.row_id: r.prob for r in ME.ensemble_mean(_df(spark, rows), ["a", "b"]).collect()}
     assert got == pytest.approx({1: 0.3, 2: 0.7})
-    with pytest.raises(Exception, match="missing"):
+    with pytest.raises(Exception, match="one prediction"):
         ME.ensemble_mean(_df(spark, rows[:3]), ["a", "b"]).collect()
 
 
+def test_ensemble_counts_models_not_rows(spark):
+    rows = [(1, "test", "a", 1, 0.2), (1, "test", "a", 1, 0.4)]
+    with pytest.raises(Exception, match="one prediction"):
+        ME.ensemble_mean(_df(spark, rows), ["a", "b"]).collect()
+
+
+def test_missing_scores_raise(spark):
+    for bad in (None, float("nan")):
+        df = _df(spark, [(1, "test", "a", 1, 0.3), (2, "test", "a", 0, 0.2), (3, "test", "a", 0, bad)])
+        for f in (ME.roc_auc, ME.roc_points, ME.confusion_at_cutoff):
+            with pytest.raises(Exception, match="not a number"):
+                f(df).collect()
+        both = df.unionByName(_df(spark, [(4, "validation", "a", 1, 0.3), (5, "validation", "a", 0, 0.2)]))
+        with pytest.raises(Exception, match="not a number"):
+            ME.best_cutoff(both).collect()
+
+
+def test_auc_of_billions(spark):
+    cum = spark.createDataFrame([("m", 0.1, 0, 4_000_000_000, 0, 0), ("m", 0.9, 4_000_000_000, 0, 0, 4_000_000_000)],
+                                "model string, score double, pos long, neg long, pos_below long, neg_below long")
+    assert ME.auc_of(cum, ["model"]).first().auc == 1.0
+
+
+def test_margins_fill_many_buckets(spark):
+    rows = [(i, "test", "a", i % 2, -5.0 + i / 1000) for i in range(2000)]
+    keys = ["model", "split"]
+    cum = ME.cumulative_below(ME.score_counts(_df(spark, rows), keys), keys)
+    assert cum.select("bucket").distinct().count() > 200
+    want = brute_auc([(y, p) for _, _, _, y, p in rows[:400]])
+    assert ME.roc_auc(_df(spark, rows[:400])).first().auc == pytest.approx(want)
+
+
 def test_feature_stats(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,)], "x double")
     r = ME.feature_stats(df, ["x"]).first()
