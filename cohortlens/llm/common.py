@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from cohortlens.session import ensure_checkpoint_dir
 
 #: Bytes of text that one Python step holds at a time.
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,21 @@ def whole_text(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def maybe_in(rows: DataFrame, col: str, keys: DataFrame, bits: int = 24) -> DataFrame:
+    """The ``rows`` whose 64-bit ``col`` may be among ``keys`` (one column of that name): a bitmap of 2**bits bits.
+
+    The bitmap is broadcast as at most 2**(bits - 6) words, whatever the number of keys; rows it lets through by
+    chance are for an exact join that follows. DataFrame functions only.
+    """
+    def spot(c):
+        return F.pmod(F.xxhash64(c), F.lit(1 << bits))
+    words = keys.select(spot(col).alias("_b")).groupBy(F.shiftright("_b", 6).alias("_w")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(_b & 63 AS INT)))").alias("_bits"))
+    marked = rows.withColumn("_b", spot(col)).withColumn("_w", F.shiftright("_b", 6))
+    return marked.join(F.broadcast(words), "_w").filter("(shiftright(_bits, CAST(_b & 63 AS INT)) & 1) = 1") \
+        .drop("_w", "_b", "_bits")
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that ``column`` holds about ``limit`` bytes each (one row at least)."""
     for batch in batches:
@@ -55,6 +70,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BY
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+        pa.default_memory_pool().release_unused()
 
 
 def split_words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, list[str]]:
@@ -80,8 +96,9 @@ def split_words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.nda
 
 def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Indices start, start+1, ... (count of them) for each pair, one after the other."""
-    total = int(counts.sum())
-    if not total:
-        return np.zeros(0, np.int64)
     ends = np.cumsum(counts)
-    return np.arange(total) + np.repeat(starts - (ends - counts), counts)
+    if not len(ends) or not ends[-1]:
+        return np.zeros(0, np.int64)
+    out = np.repeat(starts - (ends - counts), counts)
+    out += np.arange(len(out))
+    return out

@@ -14,8 +14,9 @@ The coder keeps a 63-bit window and emits 32-bit words; carries are settled
 at the end of a block.
 
 Block bytes: magic ``TKB1``, uint32 ids, uint32 crc32 of the ids as
-little-endian uint32, uint16 lanes, uint16 zero, lanes x uint32 word counts,
-then the words lane by lane, all little-endian.
+little-endian uint32, uint32 crc32 of what follows the header, uint16 lanes,
+uint16 zero; then lanes x uint32 word counts and the words lane by lane, all
+little-endian.
 """
 
 from __future__ import annotations
@@ -29,16 +30,17 @@ BLOCK = 1 << 16
 LANES = 64
 MAX_ID = (1 << 16) - 2
 MAGIC = b"TKB1"
-HEAD = struct.Struct("<4sIIHH")
+HEAD = struct.Struct("<4sIIIHH")
 
-_T1, _T2 = 13, 15                 # bits of the order-1 and order-2 tables
+_T1, _T2 = 13, 14                 # bits of the order-1 and order-2 tables
 _MIX = 64                         # mixing weights are 1/64ths
 _UNIT = 16                        # order-0 frequencies add up to 2**16
 _TOTAL = 22                       # bits of the whole scale: 64 * 2**16
 _LOW = np.uint64(1 << 31)         # the range is kept at or above this
 _MASK31 = np.uint64((1 << 31) - 1)
-_REFRESH = {4, 16, 64, 256, 512, 768}   # steps that rebuild the order-0 distribution
+_REFRESH = {4, 32, 128, 448}   # steps that rebuild the order-0 distribution
 _CONTEXTS = 32
+_LEARN = 32                       # steps between two updates of the mixing weights
 
 
 def crc_of(ids: np.ndarray) -> int:
@@ -46,62 +48,91 @@ def crc_of(ids: np.ndarray) -> int:
 
 
 class _Model:
-    """Predictions and their mixing weights for ``blocks`` blocks of one length."""
+    """Predictions and their mixing weights for ``blocks`` blocks of one length.
 
-    def __init__(self, blocks: int, vocab: int, decode: bool):
-        self.g = np.repeat(np.arange(blocks), LANES)
-        self.vocab, self.width = vocab, vocab + 1       # the last symbol is the escape
+    ``rows``: steps x lanes, the ids coded so far (the decoder fills it as it goes).
+    """
+
+    def __init__(self, blocks: int, vocab: int, rows: np.ndarray, decode: bool):
+        g = np.repeat(np.arange(blocks), LANES)
+        lanes = len(g)
+        self.vocab, self.width, self.rows = vocab, vocab + 1, rows      # the last symbol is the escape
         self.t1 = np.zeros(blocks << _T1, np.int32)
         self.t2 = np.zeros(blocks << _T2, np.int32)
-        self.b1, self.b2, self.bc = self.g << _T1, self.g << _T2, self.g * _CONTEXTS
-        self.b0 = self.g * self.width
-        self.freq = np.zeros(blocks * self.width, np.int32)
-        self.cum = np.zeros(blocks * self.width, np.int32)
-        self.freq[vocab::self.width] = 1 << _UNIT
+        self.b1, self.b2, self.bc = g << _T1, g << _T2, (g * _CONTEXTS).astype(np.int32)
+        self.b0, self.bv = g * self.width, (g * vocab).astype(np.int32)
+        self.share = np.zeros(blocks * self.width, np.uint32)           # frequency << 16 | cumulated before it
+        self.share[vocab::self.width] = 0xFFFF << _UNIT
         self.slot = np.full(blocks << _UNIT, vocab, np.uint16) if decode else None
-        self.bs = self.g << _UNIT
+        self.bs = g << _UNIT
         self.counts = np.zeros(blocks * vocab, np.int32)
-        self.fresh: list[np.ndarray] = []
         self.tally = np.tile(np.array([6.0, 1.0, 1.0]), (blocks * _CONTEXTS, 1))   # literal, order 2, order 1
-        self.seen: list[np.ndarray] = []
-        self.blocks, self.step = blocks, 0
-        self.p1 = self.p2 = np.zeros(len(self.g), np.int64)
+        self.seen = np.zeros((_LEARN, lanes), np.int32)
+        self.blocks, self.step, self.counted = blocks, 0, 0
+        self.p1 = self.p2 = np.zeros(lanes, np.int64)
+        self.x, self.y, self.z = (np.empty(lanes, np.int64) for _ in range(3))
         self._weights()
 
     def _weights(self) -> None:
         share = self.tally / self.tally.sum(1, keepdims=True)
         k = np.maximum(1, (share[:, 1:] * (_MIX - 2)).astype(np.int64))
-        self.k2, self.k1 = np.ascontiguousarray(k[:, 0]), np.ascontiguousarray(k[:, 1])
+        self.k = k[:, 0] << 8 | k[:, 1]
 
     def predict(self) -> None:
-        self.i1 = self.b1 + ((self.p1 * 40503 >> 3) & ((1 << _T1) - 1))
-        self.i2 = self.b2 + (((self.p1 * 2654435761 ^ self.p2 * 40503 * 65599) >> 9) & ((1 << _T2) - 1))
-        e1, e2 = self.t1[self.i1], self.t2[self.i2]
-        self.e1, self.e2 = e1, e2
+        i1, i2, t = self.x, self.y, self.z
+        np.multiply(self.p1, 40503, out=i1)
+        i1 >>= 3
+        i1 &= (1 << _T1) - 1
+        i1 += self.b1
+        np.multiply(self.p1, 2654435761, out=i2)
+        np.multiply(self.p2, 2656934313, out=t)
+        i2 ^= t
+        i2 >>= 9
+        i2 &= (1 << _T2) - 1
+        i2 += self.b2
+        e1, e2 = self.t1.take(i1, mode="clip"), self.t2.take(i2, mode="clip")
         self.c1, self.c2 = e1 & 0xFFFF, e2 & 0xFFFF
-        self.ctx = self.bc + ((e2 >> 16) * 4 + (e1 >> 16) + 16 * (self.c1 == self.c2))
-        self.w2, self.w1 = self.k2[self.ctx], self.k1[self.ctx]
-        self.wl = _MIX - self.w2 - self.w1
+        e1 >>= 16
+        e2 >>= 16
+        self.n1, self.n2 = e1, e2
+        ctx = e2 << 2
+        ctx += e1
+        ctx += (self.c1 == self.c2).view(np.int8) << 4
+        ctx += self.bc
+        self.ctx = ctx
+        k = self.k.take(ctx, mode="clip")
+        self.w2, self.w1 = k >> 8, k & 0xFF
+        self.over = self.w2 + self.w1
+        self.wl = _MIX - self.over
+        self.over <<= _UNIT
 
     def update(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
         """``hit2``, ``hit1``: ids equal to the prediction; tables keep the last id and a confidence of 0 to 3."""
         small = ids.astype(np.int32)
-        self.t1[self.i1] = np.where(hit1, np.minimum(self.e1 + 65536, small + (3 << 16)), small)
-        self.t2[self.i2] = np.where(hit2, np.minimum(self.e2 + 65536, small + (3 << 16)), small)
-        self.seen.append(self.ctx * 3 + np.where(hit2, 1, hit1 * 2))
-        self.fresh.append(self.g * self.vocab + ids)
+        for table, at, n, hit in ((self.t1, self.x, self.n1, hit1), (self.t2, self.y, self.n2, hit2)):
+            n += 1
+            np.minimum(n, 3, out=n)
+            n *= hit
+            n <<= 16
+            n += small
+            table[at] = n
+        seen = self.seen[self.step % _LEARN]
+        np.multiply(self.ctx, 3, out=seen)
+        seen += hit2
+        seen += (hit1 > hit2).view(np.int8) << 1
         self.p2, self.p1 = self.p1, ids
         self.step += 1
-        if self.step % 16 == 0:
-            self.tally += np.bincount(np.concatenate(self.seen), minlength=self.tally.size).reshape(self.tally.shape)
-            self.seen = []
+        if self.step % _LEARN == 0:
+            self.tally += np.bincount(self.seen.ravel(), minlength=self.tally.size).reshape(self.tally.shape)
             self._weights()
         if self.step in _REFRESH:
             self._order0()
 
     def _order0(self) -> None:
-        self.counts += np.bincount(np.concatenate(self.fresh), minlength=self.counts.size).astype(np.int32)
-        self.fresh = []
+        for k in range(self.counted, self.step, 64):
+            part = self.rows[k:min(k + 64, self.step)] + self.bv
+            self.counts += np.bincount(part.ravel(), minlength=self.counts.size).astype(np.int32)
+        self.counted = self.step
         n = self.step * LANES
         for b in range(self.blocks):
             counts = self.counts[b * self.vocab:(b + 1) * self.vocab]
@@ -112,10 +143,8 @@ class _Model:
             f = 1 + c * (room - escape) // n
             ends = np.cumsum(f)
             at = b * self.width
-            self.freq[at + ids] = f
-            self.cum[at + ids] = ends - f
-            self.freq[at + self.vocab] = (1 << _UNIT) - int(ends[-1])
-            self.cum[at + self.vocab] = ends[-1]
+            self.share[at + ids] = f << _UNIT | ends - f
+            self.share[at + self.vocab] = (1 << _UNIT) - int(ends[-1]) << _UNIT | int(ends[-1])
             if self.slot is not None:
                 s = self.slot[b << _UNIT:(b + 1) << _UNIT]
                 s[:ends[-1]] = np.repeat(ids, f)
@@ -137,7 +166,7 @@ def encode_blocks(ids: np.ndarray, vocab: int) -> list[bytes]:
         raise ValueError("ids must be below the vocabulary's size, and that at most 65535")
     blocks, n = ids.shape
     rows = _laid(ids)
-    m = _Model(blocks, vocab, False)
+    m = _Model(blocks, vocab, rows, False)
     lanes = blocks * LANES
     low, rng = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 63) - 1, np.uint64)
     who: list[np.ndarray] = []
@@ -154,19 +183,28 @@ def encode_blocks(ids: np.ndarray, vocab: int) -> list[bytes]:
         m.predict()
         hit2, hit1 = m.c2 == x, m.c1 == x
         k = m.b0 + x
-        f0 = m.freq[k]
-        k[f0 == 0] = m.b0[f0 == 0] + vocab
-        over = (m.w2 + m.w1) << _UNIT
-        lit_f, lit_c = m.freq[k] * m.wl, over + m.cum[k] * m.wl
-        freq = np.where(hit2, m.w2 << _UNIT, np.where(hit1, m.w1 << _UNIT, lit_f))
-        cum = np.where(hit2, 0, np.where(hit1, m.w2 << _UNIT, lit_c))
+        share = m.share.take(k, mode="clip")
+        new = np.flatnonzero(share == 0)
+        if len(new):
+            share[new] = m.share[m.b0[new] + vocab]
+        freq = (share >> _UNIT).astype(np.int64)
+        cum = (share & 0xFFFF).astype(np.int64)
+        freq *= m.wl
+        cum *= m.wl
+        cum += m.over
+        at = np.flatnonzero(hit1)
+        freq[at] = m.w1[at] << _UNIT
+        cum[at] = m.w2[at] << _UNIT
+        at = np.flatnonzero(hit2)
+        freq[at] = m.w2[at] << _UNIT
+        cum[at] = 0
         r = rng >> np.uint64(_TOTAL)
-        low += r * cum.astype(np.uint64)
-        rng = r * freq.astype(np.uint64)
+        low += r * cum.view(np.uint64)
+        rng = r * freq.view(np.uint64)
         at = np.flatnonzero(rng < _LOW)
         if len(at):
             settle(at)
-        esc = np.flatnonzero((f0 == 0) & ~(hit2 | hit1))
+        esc = new[~(hit2[new] | hit1[new])]
         if len(esc):
             r = rng[esc] >> np.uint64(_UNIT)
             low[esc] += r * x[esc].astype(np.uint64)
@@ -194,21 +232,26 @@ def encode_blocks(ids: np.ndarray, vocab: int) -> list[bytes]:
     for b in range(blocks):
         a, z = b * LANES, (b + 1) * LANES
         first = ends[a] - sizes[a]
-        out.append(HEAD.pack(MAGIC, n, crc_of(ids[b]), LANES, 0) + sizes[a:z].astype("<u4").tobytes()
-                   + words[first:ends[z - 1]].tobytes())
+        body = sizes[a:z].astype("<u4").tobytes() + words[first:ends[z - 1]].tobytes()
+        out.append(HEAD.pack(MAGIC, n, crc_of(ids[b]), zlib.crc32(body), LANES, 0) + body)
     return out
 
 
 def block_length(data: bytes) -> int:
-    magic, n, _, lanes, _ = HEAD.unpack_from(data)
+    magic, n, _, crc, lanes, _ = HEAD.unpack_from(data)
     if magic != MAGIC or lanes != LANES:
         raise ValueError("not a token block")
+    if zlib.crc32(memoryview(data)[HEAD.size:]) != crc:
+        raise ValueError("the checksum of a token block is wrong")
     return n
 
 
 def decode_blocks(data: list[bytes], vocab: int) -> np.ndarray:
     """The ids (blocks x n) of blocks that hold the same number of ids; raises on a wrong checksum."""
-    blocks, n = len(data), block_length(data[0])
+    blocks, n = len(data), {block_length(d) for d in data}
+    if len(n) != 1:
+        raise ValueError("blocks that are decoded together must hold the same number of ids")
+    n = n.pop()
     steps, lanes = -(-n // LANES), blocks * LANES
     size = np.concatenate([np.frombuffer(d, "<u4", LANES, HEAD.size) for d in data]).astype(np.int64)
     words = np.concatenate([np.frombuffer(d, "<u4", offset=HEAD.size + 4 * LANES) for d in data]
@@ -220,9 +263,9 @@ def decode_blocks(data: list[bytes], vocab: int) -> np.ndarray:
     # The window is 63 bits, so the 32 bits that follow start one bit before a word.
     after = ((words[:-1] & np.uint64(1)) << np.uint64(31)) | (words[1:] >> np.uint64(1))
     pos += 1
-    m = _Model(blocks, vocab, True)
     rng = np.full(lanes, (1 << 63) - 1, np.uint64)
     out = np.empty((steps, lanes), np.int64)
+    m = _Model(blocks, vocab, out, True)
     top = np.uint64((1 << _TOTAL) - 1)
 
     def settle(at):
@@ -234,22 +277,31 @@ def decode_blocks(data: list[bytes], vocab: int) -> np.ndarray:
     for t in range(steps):
         m.predict()
         r = rng >> np.uint64(_TOTAL)
-        v = np.minimum(val // r, top).astype(np.int64)
-        unit = v >> _UNIT
-        over = m.w2 + m.w1
-        hit2, hit1 = unit < m.w2, unit < over
-        hit1 &= ~hit2
-        u = (np.where(unit >= over, v - (over << _UNIT), 0) // m.wl)
-        x = m.slot[m.bs + u].astype(np.int64)
-        k = m.b0 + x
-        freq = np.where(hit2, m.w2 << _UNIT, np.where(hit1, m.w1 << _UNIT, m.freq[k] * m.wl))
-        cum = np.where(hit2, 0, np.where(hit1, m.w2 << _UNIT, (over << _UNIT) + m.cum[k] * m.wl))
-        val -= r * cum.astype(np.uint64)
-        rng = r * freq.astype(np.uint64)
+        v = np.minimum(val // r, top).view(np.int64)
+        hit1 = v < m.over
+        v -= m.over
+        # Both are small whole numbers, so the quotient's floor is exact.
+        u = np.maximum(v / m.wl, 0).astype(np.int64)
+        u += m.bs
+        x = m.slot.take(u, mode="clip").astype(np.int64)
+        share = m.share.take(m.b0 + x, mode="clip")
+        freq = (share >> _UNIT).astype(np.int64)
+        cum = (share & 0xFFFF).astype(np.int64)
+        freq *= m.wl
+        cum *= m.wl
+        cum += m.over
+        at = np.flatnonzero(hit1)
+        w2, w1 = m.w2[at], m.w1[at]
+        two = v[at] + (w1 << _UNIT) < 0          # below the order-2 share
+        freq[at] = np.where(two, w2, w1) << _UNIT
+        cum[at] = np.where(two, 0, w2) << _UNIT
+        val -= r * cum.view(np.uint64)
+        rng = r * freq.view(np.uint64)
+        x[at] = np.where(two, m.c2[at], m.c1[at])
+        esc = np.flatnonzero(x == vocab)
         at = np.flatnonzero(rng < _LOW)
         if len(at):
             settle(at)
-        esc = np.flatnonzero((x == vocab) & ~(hit2 | hit1))
         if len(esc):
             r = rng[esc] >> np.uint64(_UNIT)
             plain = val[esc] // r
@@ -259,7 +311,6 @@ def decode_blocks(data: list[bytes], vocab: int) -> np.ndarray:
             at = esc[r < _LOW]
             if len(at):
                 settle(at)
-        x = np.where(hit2, m.c2, np.where(hit1, m.c1, x))
         if int(x.max()) >= vocab:
             raise ValueError("a token block is damaged")
         out[t] = x

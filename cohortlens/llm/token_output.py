@@ -24,12 +24,14 @@ an empty table writes an empty file; other columns are not read.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -39,67 +41,126 @@ from cohortlens.llm.common import pieces, ragged, split_words, table, whole_text
 
 END_ID = 1
 DOCS_PER_SHARD = 8192
-GROUP = 64
+GROUP = 32
 CACHED_WORDS = 1 << 19
+PIECE = 4 << 20
 
 BLOCK_SCHEMA = ("shard int, block int, first long, n_ids int, payload binary, doc_ids array<long>, "
                 "doc_nos array<long>, counts array<int>, after array<long>")
 
 
+#: Lower-case Latin letters that stay as they are under NFC and lower-casing.
+SIMPLE = frozenset(c for c in map(chr, [*range(97, 123), *range(0xDF, 0x180)])
+                   if c.isalpha() and c.lower() == c and unicodedata.normalize("NFKD", c)[0].isalpha()
+                   and unicodedata.normalize("NFC", c) == c)
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for the letters from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return {b: chr(b if b in plain else next(rest)) for b in range(256)}
+
+
 class WordIds:
     """Ids of words by the tokenizers library, remembered for the words of a worker."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_file(path)
         self.vocab = self.tok.get_vocab_size(with_added_tokens=True)
+        self.letters = _byte_letters()
+        # The same model on words that need no normalizing: white space alone tells them apart.
+        self.bare = Tokenizer(self.tok.model)
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        suffix = self.tok.model.end_of_word_suffix or "\0"
+        self.last = np.zeros(self.vocab, bool)
+        for piece, i in self.tok.get_vocab(with_added_tokens=False).items():
+            self.last[i] = piece.endswith(suffix)
+        self.tails = {t: self._whole([t])[0] for t in ".,"}
         self.clear()
+        # Used only if it gives what the whole tokenizer gives.
+        probe = ["".join(sorted(SIMPLE)), *sorted(SIMPLE), "the", "thth", "straße", "naïveté"]
+        ids, counts = self._direct(probe)
+        self.direct = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == self._whole(probe) \
+            and all(len(t) == 1 for t in self.tails.values())
 
     def clear(self) -> None:
         self.place: dict[str, int] = {}
-        self.cores: dict[str, list[int]] = {}
-        self.starts, self.counts, self.flat = array("q"), array("q"), array("q")
+        self.counts, self.flat = array("I"), array("H")
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def codes(self, words: list[str]) -> np.ndarray:
-        """Numbers of the words in ``starts`` and ``counts``."""
+    def _direct(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of simple letters, one after the other, and their number by word."""
+        words = [w if w.isascii() else w.encode().decode("latin-1").translate(self.letters) for w in words]
+        lines = [" ".join(words[k:k + 500]) for k in range(0, len(words), 500)]
+        ids = [np.array(e.ids, np.int64) for e in self.bare.encode_batch_fast(lines, add_special_tokens=False)]
+        ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+        return ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
+
+    def _learn(self, cores: list[str]) -> None:
         if len(self.place) > CACHED_WORDS:
             self.clear()
-        place, cores = self.place, self.cores
-        new = [w for w in words if w not in place]
-        split, rest = [], []
-        for w in new:
-            core, tail = (w[:-1], w[-1]) if len(w) > 1 and w[-1] in ".," and w[-2].isalpha() else (w, "")
-            if core.isascii() and core.isalpha():
-                core = core.lower()
-                if core not in cores:
-                    cores[core] = [t.id for t in self.tok.model.tokenize(core)]
-            elif core not in cores:
-                rest.append(core)
-                cores[core] = []
-            split.append((core, tail))
-        for core, ids in zip(rest, self._whole(rest)):
-            cores[core] = ids
-        tails = {t: self._whole([t])[0] if t else [] for t in {t for _, t in split}}
-        for w, (core, tail) in zip(new, split):
-            ids = cores[core] + tails[tail]
-            place[w] = len(self.starts)
-            self.starts.append(len(self.flat))
-            self.counts.append(len(ids))
-            self.flat.extend(ids)
-        return np.fromiter((place[w] for w in words), np.int64, len(words))
+        simple, rest, capital = [], [], []
+        for c in cores:
+            if c in self.place:
+                continue
+            if self.direct and c:
+                if SIMPLE.issuperset(c):
+                    simple.append(c)
+                    continue
+                low = c.lower()         # other capitals of the same letters
+                if len(low) == len(c) and SIMPLE.issuperset(low):
+                    capital.append((c, low))
+                    continue
+            rest.append(c)
+        simple = list(dict.fromkeys(simple + [low for _, low in capital if low not in self.place]))
+        ids, counts = self._direct(simple)
+        others = self._whole(rest)
+        self.place.update(zip(simple + rest, range(len(self.counts), len(self.counts) + len(simple) + len(rest))))
+        self.place.update((c, self.place[low]) for c, low in capital)
+        self.counts.frombytes(counts.astype(np.uint32).tobytes())
+        self.flat.frombytes(ids.astype(np.uint16).tobytes())
+        self.counts.extend(map(len, others))
+        for x in others:
+            self.flat.extend(x)
+
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one after the other, and their number by word."""
+        tails = self.tails
+        cut = [len(w) > 1 and w[-1] in tails and w[-2].isalpha() for w in words]
+        cores = [w[:-1] if t else w for w, t in zip(words, cut)]
+        self._learn(list(dict.fromkeys(c for c in cores if c not in self.place)))
+        place = self.place
+        missing = [c for c in dict.fromkeys(cores) if c not in place]     # the cache was emptied meanwhile
+        if missing:
+            self._learn(missing)
+        k = np.fromiter((place[c] for c in cores), np.int64, len(cores))
+        counts = np.frombuffer(self.counts, np.uint32).astype(np.int64)
+        starts = np.cumsum(counts) - counts
+        tail = np.fromiter((tails[w[-1]][0] + 1 if t else 0 for w, t in zip(words, cut)), np.int64, len(words))
+        n = counts[k]
+        total = n + (tail > 0)
+        ends = np.cumsum(total)
+        out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint16)
+        out[ragged(ends - total, n)] = np.frombuffer(self.flat, np.uint16)[ragged(starts[k], n)] if n.sum() else 0
+        out[ends[tail > 0] - 1] = tail[tail > 0] - 1
+        return out, total
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in order, and the number of ids of each text (without an end id)."""
-        codes, offsets, words = split_words(texts, lower=False)
-        k = self.codes(words)
-        starts, counts = (np.frombuffer(a, np.int64)[k][codes] if len(k) else np.zeros(0, np.int64)
-                          for a in (self.starts, self.counts))
-        ids = np.frombuffer(self.flat, np.int64)[ragged(starts, counts)] if len(self.flat) else np.zeros(0, np.int64)
-        per_doc = np.concatenate([[0], np.cumsum(counts)])[offsets]
-        return ids, np.diff(per_doc)
+        # Letters A-Z are lower-cased by the tokenizer; only marks of special tokens are told apart before that.
+        special = bool(pc.any(pc.match_substring(pc.fill_null(texts, ""), "<|")).as_py())
+        codes, offsets, words = split_words(texts, lower=not special)
+        if not len(codes):
+            return np.zeros(0, np.uint16), np.diff(offsets)
+        ids, counts = self.words(words)
+        starts = np.cumsum(counts) - counts
+        n = counts[codes]
+        per_doc = np.concatenate([[0], np.cumsum(n)])[offsets]
+        return ids[ragged(starts[codes], n)], np.diff(per_doc)
 
 
 _WORKER: dict[str, WordIds] = {}
@@ -178,13 +239,13 @@ def _encode_partitions(path: str, end_id: int, block: int):
         def rows_of(rows):
             return pa.RecordBatch.from_pylist([{"shard": shard, **r} for r in rows], schema=schema)
 
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", PIECE):
             shard = batch.column("shard")[0].as_py()     # a partition is one shard
             writer = writer or _Writer(coder.vocab, block)
             ids, counts = coder.encode(batch.column("text"))
             ends = np.cumsum(counts)
             for doc_id, a, z in zip(batch.column("doc_id").to_pylist(), ends - counts, ends):
-                writer.add(doc_id, np.append(ids[a:z], end_id).astype(np.uint16))
+                writer.add(doc_id, np.append(ids[a:z], np.uint16(end_id)))
             if writer.held >= GROUP * block:
                 yield rows_of(writer.cut(False))
         if writer:
