@@ -1,12 +1,12 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
 P(word | history) = P(class | history) * P(word | class, history), each factor
-a softmax over hashed features of the two words before (n-gram: the last word,
-the last two; skip: the one before the last).
+a softmax over hashed features of the two words before (n-gram: the last word;
+skip: the one before it).
 
 Classes: the ``HEAD`` most frequent training tokens form ``HEAD / SLOTS``
 classes of ``SLOTS`` words each, by frequency rank; every other word is in one
-of ``TAILS`` classes by a hash of its last two letters. In a head class the
+of ``TAILS`` classes by a hash of its last two letters (a final full stop or comma aside). In a head class the
 word is a second softmax; in a tail class it has the smoothed share
 (c + 0.5) / (N + 0.5 (V + 1)) of the class's training tokens, where unknown
 words of the class share one event, so all events of a step sum to 1.
@@ -42,18 +42,18 @@ from cohortlens.llm.common import pieces, saved, split_words, table, whole_text
 
 HEAD, SLOTS, TAILS, SUFFIXES = 1024, 32, 32, 512
 CLASSES = HEAD // SLOTS + TAILS
-PAIR_ROWS, WORD_ROWS = 4096, 4096
+WORD_ROWS = 4096
 CONTEXTS = HEAD + SUFFIXES + 1              # head words, suffixes of tail words, the text's start
 ROUNDS = 2
 RATE = 0.25
-BATCH = 4096
+BATCH = 8192
 SEGMENTS = 64
-CHUNK_BYTES = 24 << 20
-PIECE = 8 << 20
+CHUNK_BYTES = 12 << 20
+PIECE = 2 << 20
 END = xxhash.xxh3_64_intdigest("\x00end") >> 1
 
-#: Rows of the two weight tables: bias, last word, skip word, last two words; the same by class, then features x class.
-ROWS1 = 1 + 2 * CONTEXTS + PAIR_ROWS
+#: Rows of the two weight tables: bias, last word, skip word; the same by class, hashed.
+ROWS1 = 1 + 2 * CONTEXTS
 ROWS2 = HEAD // SLOTS + 2 * WORD_ROWS
 
 
@@ -66,9 +66,19 @@ class Shape:
     tail_v: np.ndarray          # distinct training tokens of each tail class
 
 
-def suffix_hash(word: str) -> int:
-    letters = [c for c in word[-6:] if c.isalnum()]
-    return xxhash.xxh3_64_intdigest("".join(letters[-2:]))
+def suffix(word: str) -> str:
+    return word.rstrip(".,")[-2:]
+
+
+def suffix_hash(word: str, _known: dict[str, int] = {}) -> int:
+    """Hash of the last two letters; the table of suffixes is emptied when it has a million."""
+    s = suffix(word)
+    h = _known.get(s)
+    if h is None:
+        if len(_known) > 1 << 20:
+            _known.clear()
+        h = _known[s] = xxhash.xxh3_64_intdigest(s)
+    return h
 
 
 def hash_words(words: list[str]) -> np.ndarray:
@@ -90,7 +100,7 @@ def count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, _, words = _stream(batch.column("text"))
         n = np.bincount(codes, minlength=len(words) + 1)
         h = np.append(hash_words(words), END)
-        tail = np.fromiter((suffix_hash(w) % TAILS for w in words), np.int64, len(words))
+        tail = np.fromiter(((suffix_hash(w) & 0xFFFFFF) % TAILS for w in words), np.int64, len(words))
         real = n > 0
         yield pa.RecordBatch.from_arrays([pa.array(h[real]), pa.array(np.append(tail, 0).astype(np.int32)[real]),
                                           pa.array(n[real])], names=["h", "tail", "n"])
@@ -101,10 +111,12 @@ def _events(texts: pa.Array, shape: Shape):
     codes, offsets, words = _stream(texts)
     h = np.append(hash_words(words), END)
     rank = np.fromiter((shape.head.get(x, -1) for x in h.tolist()), np.int64, len(h))
-    cls, slot, ctx = rank // SLOTS, rank % SLOTS, rank.copy()
-    for k in np.flatnonzero(rank < 0):
-        s = suffix_hash(words[k]) if k < len(words) else 0
-        cls[k], slot[k], ctx[k] = HEAD // SLOTS + s % TAILS, -1, HEAD + (s >> 8) % SUFFIXES
+    ends = np.fromiter((suffix_hash(w) & 0xFFFFFF for w in words), np.int64, len(words))
+    ends = np.append(ends, 0)
+    tail = rank < 0
+    cls = np.where(tail, HEAD // SLOTS + ends % TAILS, rank // SLOTS)
+    slot = np.where(tail, -1, rank % SLOTS)
+    ctx = np.where(tail, HEAD + (ends >> 8) % SUFFIXES, rank)
     start = np.zeros(len(codes), bool)
     start[offsets[:-1]] = True
     symbols = ctx[codes]
@@ -116,8 +128,7 @@ def _events(texts: pa.Array, shape: Shape):
 
 
 def _features1(u1: np.ndarray, u2: np.ndarray) -> list[np.ndarray]:
-    pair = ((u1 * 2654435761 + u2 * 40503) >> 7) % PAIR_ROWS
-    return [1 + u1, 1 + CONTEXTS + u2, 1 + 2 * CONTEXTS + pair]
+    return [1 + u1, 1 + CONTEXTS + u2]
 
 
 def _features2(cls: np.ndarray, u1: np.ndarray, u2: np.ndarray) -> list[np.ndarray]:
@@ -138,19 +149,24 @@ def _logits(weights: np.ndarray, rows: list[np.ndarray], bias: np.ndarray | None
 
 def _step(weights: np.ndarray, seen: np.ndarray, used: np.ndarray, rows: list[np.ndarray], target: np.ndarray,
           bias_row: int | None = None) -> None:
-    """One AdaGrad step of a softmax on a minibatch."""
+    """One AdaGrad step of a softmax on a minibatch (row numbers fit 16 bits, so they sort by radix)."""
     z = _logits(weights, rows, weights[bias_row] if bias_row is not None else None)
     np.exp(z, out=z)
     z /= z.sum(1, keepdims=True)
     z[np.arange(len(target)), target] -= 1
     for r in rows:
-        order = np.argsort(r, kind="stable")
+        order = np.argsort(r.astype(np.uint16), kind="stable")
         sorted_rows = r[order]
         at = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
         g = np.add.reduceat(z[order], at, axis=0)
         k = sorted_rows[at]
-        seen[k] += g * g
-        weights[k] -= RATE * g / np.sqrt(seen[k])
+        n = seen[k]
+        n += g * g
+        seen[k] = n
+        np.sqrt(n, out=n)
+        g *= RATE
+        g /= n
+        weights[k] -= g
         used[k] += np.diff(np.append(at, len(r)))
     if bias_row is not None:
         g = z.sum(0)

@@ -53,7 +53,7 @@ def test_lm_events_sum_to_one():
     head = {hashes[w]: k for k, w in enumerate(words[:ME.HEAD])}
     n, v = np.zeros(ME.TAILS), np.zeros(ME.TAILS)
     for w in words[ME.HEAD:]:
-        k = ME.suffix_hash(w) % ME.TAILS
+        k = (ME.suffix_hash(w) & 0xFFFFFF) % ME.TAILS
         n[k] += counts[w]
         v[k] += 1
     shape = ME.Shape(head, np.array([counts[w] for w in words[:ME.HEAD]], float), n, v)
@@ -64,7 +64,7 @@ def test_lm_events_sum_to_one():
     suffixes = {}
     for k in range(676):
         w = f"?{k:04d}{chr(97 + k // 26)}{chr(97 + k % 26)}"
-        suffixes.setdefault(ME.suffix_hash(w) % ME.TAILS, w)
+        suffixes.setdefault((ME.suffix_hash(w) & 0xFFFFFF) % ME.TAILS, w)
     unknown = [suffixes[k] for k in range(ME.TAILS)]
     docs = pa.table({"doc_id": list(range(len(words) + ME.TAILS + 1)), "text": [f"w0003 w0700 {w}" for w in words + unknown]
                      + ["w0003 w0700"], "chunk": [0] * (len(words) + ME.TAILS + 1)})
