@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.common import saved, table
+from cohortlens.llm.common import maybe_in, saved, table
 
 MIN_CHARS = 16
 
@@ -46,8 +46,17 @@ def _keyed(rows: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def _shared(keyed: DataFrame) -> DataFrame:
-    """Keys that two distinct lines have."""
-    return keyed.groupBy("key").agg(F.min("lid").alias("lo"), F.max("lid").alias("hi")).filter("lo != hi").select("key")
+    """Keys that two distinct lines have (lines told apart by a 64-bit hash)."""
+    ids = keyed.select("key", F.xxhash64("lid").alias("x"))
+    return saved(ids.groupBy("key").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).filter("lo != hi")
+                 .select("key"), "line-keys")
+
+
+def _met(keyed: DataFrame) -> DataFrame:
+    """Windows whose key another line has, of each distinct line; few rows pass the bitmap into the join."""
+    keys = _shared(keyed)
+    # Inner joins: a semi join would be moved below the bitmap's join.
+    return maybe_in(keyed, "key", keys).join(keys, "key").select("lid", "m", "q", "w").distinct()
 
 
 def earliest_neighbours(lines: DataFrame) -> DataFrame:
@@ -60,17 +69,15 @@ def earliest_neighbours(lines: DataFrame) -> DataFrame:
     first = first.select("lid", "line", "m", F.expr("CAST(ceil(m / 2) AS INT) AS w"))
     first = first.select("lid", "line", "m", "w", F.expr("explode(array(0, w)) AS q"))
     keyed = _keyed(first, ["lid"])
-    met = keyed.join(_shared(keyed), "key", "left_semi").select("lid", "m", "q", "w").distinct()
-    met = saved(met, "line-windows")
-    texts = lines.select("lid", "line", "place").join(met.select("lid").distinct(), "lid", "left_semi") \
+    met = saved(_met(keyed), "line-windows")
+    texts = maybe_in(lines.select("lid", "line", "place"), "lid", met.select("lid")) \
+        .join(met.select("lid").distinct(), "lid") \
         .groupBy("lid", "line").agg(F.min("place").alias("place"))
     texts = saved(texts, "line-texts")
     level2 = met.join(texts.select("lid", "line"), "lid").select(
         "lid", "line", "m", F.expr("CAST(ceil(w / 16) AS INT) AS w"),
         F.expr("explode(sequence(q, least(q + w, m) - 1, CAST(ceil(w / 16) AS INT))) AS q"))
-    keyed2 = _keyed(level2, ["lid"])
-    met2 = keyed2.join(_shared(keyed2), "key", "left_semi").select("lid", "m", "q", "w").distinct()
-    level3 = saved(met2, "line-places").join(texts, "lid").select(
+    level3 = saved(_met(_keyed(level2, ["lid"])), "line-places").join(texts, "lid").select(
         "lid", "line", "place", "m", F.lit(1).alias("w"), F.expr("explode(sequence(q, least(q + w, m) - 1)) AS q"))
     keyed3 = _keyed(level3, ["lid", "place"]).select("lid", "place", "key")
     groups = keyed3.groupBy("key").agg(F.min("place").alias("near"), F.count(F.lit(1)).alias("n")).filter("n > 1")
