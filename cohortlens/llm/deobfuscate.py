@@ -95,10 +95,10 @@ _THRICE = re.compile(r"(.)\1\1")
 
 def disguised(word: str) -> bool:
     """Whether a lower-case token has something to restore: signs among letters, or a letter three times."""
-    letters = sum(c.isalpha() for c in word)
-    if letters < 2:
-        return False
-    return bool(_THRICE.search(word)) or (letters < len(word) <= 2 * letters)
+    if word.isalpha():
+        return bool(_THRICE.search(word))
+    letters = sum(map(str.isalpha, word))
+    return letters >= 2 and (len(word) <= 2 * letters or bool(_THRICE.search(word)))
 
 
 def restore(word: str, log_p: np.ndarray) -> str:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm import deobfuscate as D
-from cohortlens.llm.common import pieces, split_words, table, whole_text
+from cohortlens.llm.common import pieces, saved, split_words, table, whole_text
 
 TRAIN_ROWS = 20_000
 PREFIXES = (4, 5, 6)
@@ -61,21 +61,15 @@ def character_model(texts: DataFrame) -> np.ndarray:
 
 def forms(word: str, log_p: np.ndarray) -> list[str]:
     """Plain and restored forms of a token."""
-    low = word.lower()
-    core = D.plain(low)
-    out = [core] if core else []
-    for x in {core, low}:
-        if x and D.disguised(x):
-            out.append(D.restore(x, log_p))
-    return out
+    core = D.plain(word.lower())
+    if not core:
+        return []
+    return [core, D.restore(core, log_p)] if D.disguised(core) else [core]
 
 
 def features_of(form: str) -> list[str]:
-    return [form] + [f"{form[:k]}\x00" for k in PREFIXES if len(form) > k]
-
-
-def _hash(feature: str) -> int:
-    return xxhash.xxh3_64_intdigest(feature) >> 1
+    """The form, and its beginnings marked as such."""
+    return [form] + [f"{form[:k]}~" for k in PREFIXES if len(form) > k]
 
 
 def spaced_runs(codes: np.ndarray, offsets: np.ndarray, single: np.ndarray) -> list[tuple[int, np.ndarray]]:
@@ -125,9 +119,12 @@ def _counts(log_p: np.ndarray):
                 h ^= h >> np.uint64(29)
                 least = np.minimum.reduceat(h[code], first)
                 bits[s, doc[first]] = np.uint64(1) << ((least * np.uint64(0xD1342543DE82EF95)) >> np.uint64(58))
-            feats = [[_hash(f) for form in forms(w, log_p) for f in features_of(form)] for w in words]
+            feats = [[f for form in forms(w, log_p) for f in features_of(form)] for w in words]
             sizes = np.fromiter(map(len, feats), np.int64, len(feats))
-            flat = np.fromiter((x for fs in feats for x in fs), np.int64, int(sizes.sum()))
+            number: dict[str, int] = {}
+            flat = np.fromiter((number.setdefault(f, len(number)) for fs in feats for f in fs), np.int64,
+                               int(sizes.sum()))
+            names = pa.array(list(number), pa.string())
             starts = np.cumsum(sizes) - sizes
             n = sizes[code]
             f = flat[np.repeat(starts[code] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))] if len(code) else flat
@@ -145,13 +142,13 @@ def _counts(log_p: np.ndarray):
             c = np.add.reduceat((~hot).astype(np.int64), at)
             maps = [np.bitwise_or.reduceat(np.where(hot, bits[s, d], np.uint64(0)), at).view(np.int64)
                     for s in range(SKETCHES)]
-            yield pa.RecordBatch.from_arrays([pa.array(f[at]), pa.array(t), pa.array(c), *map(pa.array, maps)],
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(f[at])), pa.array(t), pa.array(c), *map(pa.array, maps)],
                                              names=["feature", "t", "c", *[f"b{s}" for s in range(SKETCHES)]])
     return run
 
 
-def learn(train: DataFrame, log_p: np.ndarray) -> tuple[dict[int, float], float]:
-    """Risk by feature hash, and the base score. ``train``: text, toxic (0/1).
+def learn(train: DataFrame, log_p: np.ndarray) -> tuple[dict[str, float], float]:
+    """Risk by feature, and the base score. ``train``: text, toxic (0/1).
 
     The table is bounded by the training sample: every entry needs several documents of it.
     """
@@ -162,44 +159,38 @@ def learn(train: DataFrame, log_p: np.ndarray) -> tuple[dict[int, float], float]
     rate = toxic / rows
     maps = [f"b{s}" for s in range(SKETCHES)]
     counts = train.select("text", "toxic").mapInArrow(
-        _counts(log_p), "feature long, t long, c long, " + ", ".join(f"{m} long" for m in maps)) \
+        _counts(log_p), "feature string, t long, c long, " + ", ".join(f"{m} long" for m in maps)) \
         .groupBy("feature").agg(F.sum("t").alias("t"), F.sum("c").alias("c"),
                                 *[F.expr(f"bit_or({m})").alias(m) for m in maps])
     # Distinct sketches by linear counting; the least of several, as edits may move one of them.
     ones = F.least(*[F.bit_count(m) for m in maps]).cast("double")
     support = F.least(F.col("t").cast("double"), -64 * F.log(F.greatest(1 - ones / 64, F.lit(1 / 128))))
     support = F.when(ones >= 40, F.col("t").cast("double")).otherwise(support)
-    counted = counts.withColumn("s", support)
-    tried = counted.filter(F.col("s") >= LEAST_SUPPORT).count()
+    counted = saved(counts.withColumn("s", support).filter(F.col("s") >= LEAST_SUPPORT)
+                    .select("feature", "s", "c"), "toxic-counts")
+    tried = counted.count()
     n = F.col("s") + F.col("c")
     p = F.col("s") / n
     gain = F.col("s") * F.log(p / rate) + F.when(F.col("c") > 0, F.col("c") * F.log((1 - p) / (1 - rate))).otherwise(0.0)
-    good = counted.filter(F.col("s") >= LEAST_SUPPORT).filter((p > rate) & (gain > float(np.log(max(2, tried)) + 1))) \
+    good = counted.filter((p > rate) & (gain > float(np.log(max(2, tried)) + 1))) \
         .select("feature", ((F.col("s") + rate) / (n + 1)).alias("risk")).filter("risk > 0.5")
     risk = {r["feature"]: r["risk"] for r in good.collect()}
     return risk, min(0.05, rate / 2)
 
 
-def _scores(log_p: np.ndarray, risk: dict[int, float], base: float):
-    known: dict[str, float] = {}
+def _scores(log_p: np.ndarray, risk: dict[str, float], base: float):
+    get = risk.get
 
     def of_form(form: str) -> float:
-        return max((risk.get(_hash(f), 0.0) for f in features_of(form)), default=0.0)
+        return max([get(f, 0.0) for f in features_of(form)])
 
     def of_word(word: str) -> float:
-        return max((of_form(x) for x in forms(word, log_p)), default=0.0)
+        return max([of_form(x) for x in forms(word, log_p)], default=0.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             codes, offsets, words = split_words(batch.column("text"))
-            if len(known) > 1 << 18:
-                known.clear()
-            risks = np.zeros(len(words))
-            for k, w in enumerate(words):
-                r = known.get(w)
-                if r is None:
-                    r = known[w] = of_word(w)
-                risks[k] = r
+            risks = np.fromiter(map(of_word, words), np.float64, len(words))
             docs = len(offsets) - 1
             clear = np.zeros(docs)
             owner = np.repeat(np.arange(docs), np.diff(offsets))
