@@ -32,7 +32,7 @@ MAX_ID = (1 << 16) - 2
 MAGIC = b"TKB1"
 HEAD = struct.Struct("<4sIIIHH")
 
-_T1, _T2 = 13, 14                 # bits of the order-1 and order-2 tables
+_BITS = 14                        # bits of the order-1 and of the order-2 table
 _MIX = 64                         # mixing weights are 1/64ths
 _UNIT = 16                        # order-0 frequencies add up to 2**16
 _TOTAL = 22                       # bits of the whole scale: 64 * 2**16
@@ -57,9 +57,10 @@ class _Model:
         g = np.repeat(np.arange(blocks), LANES)
         lanes = len(g)
         self.vocab, self.width, self.rows = vocab, vocab + 1, rows      # the last symbol is the escape
-        self.t1 = np.zeros(blocks << _T1, np.int32)
-        self.t2 = np.zeros(blocks << _T2, np.int32)
-        self.b1, self.b2, self.bc = g << _T1, g << _T2, (g * _CONTEXTS).astype(np.int32)
+        # Both tables in one array, so that one numpy call serves both: row 0 is order 1, row 1 order 2.
+        self.table = np.zeros(2 * blocks << _BITS, np.int32)
+        self.base = np.stack([2 * g, 2 * g + 1]) << _BITS
+        self.bc = (g * _CONTEXTS).astype(np.int32)
         self.b0, self.bv = g * self.width, (g * vocab).astype(np.int32)
         self.share = np.zeros(blocks * self.width, np.uint32)           # frequency << 16 | cumulated before it
         self.share[vocab::self.width] = 0xFFFF << _UNIT
@@ -70,7 +71,7 @@ class _Model:
         self.seen = np.zeros((_LEARN, lanes), np.int32)
         self.blocks, self.step, self.counted = blocks, 0, 0
         self.p1 = self.p2 = np.zeros(lanes, np.int64)
-        self.x, self.y, self.z = (np.empty(lanes, np.int64) for _ in range(3))
+        self.key = np.empty((2, lanes), np.int64)
         self._weights()
 
     def _weights(self) -> None:
@@ -79,25 +80,20 @@ class _Model:
         self.k = k[:, 0] << 8 | k[:, 1]
 
     def predict(self) -> None:
-        i1, i2, t = self.x, self.y, self.z
-        np.multiply(self.p1, 40503, out=i1)
-        i1 >>= 3
-        i1 &= (1 << _T1) - 1
-        i1 += self.b1
-        np.multiply(self.p1, 2654435761, out=i2)
-        np.multiply(self.p2, 2656934313, out=t)
-        i2 ^= t
-        i2 >>= 9
-        i2 &= (1 << _T2) - 1
-        i2 += self.b2
-        e1, e2 = self.t1.take(i1, mode="clip"), self.t2.take(i2, mode="clip")
-        self.c1, self.c2 = e1 & 0xFFFF, e2 & 0xFFFF
-        e1 >>= 16
-        e2 >>= 16
-        self.n1, self.n2 = e1, e2
-        ctx = e2 << 2
-        ctx += e1
-        ctx += (self.c1 == self.c2).view(np.int8) << 4
+        key = self.key
+        np.multiply(self.p1, 2654435761, out=key[0])
+        np.multiply(self.p2, 2656934313, out=key[1])
+        key[1] ^= key[0]
+        key >>= 12
+        key &= (1 << _BITS) - 1
+        key += self.base
+        e = self.table.take(key, mode="clip")
+        self.c = e & 0xFFFF
+        e >>= 16
+        self.n = e
+        ctx = e[1] << 2
+        ctx += e[0]
+        ctx += (self.c[0] == self.c[1]).view(np.int8) << 4
         ctx += self.bc
         self.ctx = ctx
         k = self.k.take(ctx, mode="clip")
@@ -106,20 +102,19 @@ class _Model:
         self.wl = _MIX - self.over
         self.over <<= _UNIT
 
-    def update(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        """``hit2``, ``hit1``: ids equal to the prediction; tables keep the last id and a confidence of 0 to 3."""
-        small = ids.astype(np.int32)
-        for table, at, n, hit in ((self.t1, self.x, self.n1, hit1), (self.t2, self.y, self.n2, hit2)):
-            n += 1
-            np.minimum(n, 3, out=n)
-            n *= hit
-            n <<= 16
-            n += small
-            table[at] = n
+    def update(self, ids: np.ndarray, hit: np.ndarray) -> None:
+        """``hit``: where the ids equal the predictions; tables keep the last id and a confidence of 0 to 3."""
+        n = self.n
+        n += 1
+        np.minimum(n, 3, out=n)
+        n *= hit
+        n <<= 16
+        n += ids.astype(np.int32)
+        self.table[self.key] = n
         seen = self.seen[self.step % _LEARN]
         np.multiply(self.ctx, 3, out=seen)
-        seen += hit2
-        seen += (hit1 > hit2).view(np.int8) << 1
+        seen += hit[1]
+        seen += (hit[0] > hit[1]).view(np.int8) << 1
         self.p2, self.p1 = self.p1, ids
         self.step += 1
         if self.step % _LEARN == 0:
@@ -129,14 +124,13 @@ class _Model:
             self._order0()
 
     def _order0(self) -> None:
-        for k in range(self.counted, self.step, 64):
-            part = self.rows[k:min(k + 64, self.step)] + self.bv
-            self.counts += np.bincount(part.ravel(), minlength=self.counts.size).astype(np.int32)
+        new = (self.rows[self.counted:self.step] + self.bv).ravel()
+        self.counts += np.bincount(new, minlength=self.counts.size).astype(np.int32)
         self.counted = self.step
         n = self.step * LANES
         for b in range(self.blocks):
             counts = self.counts[b * self.vocab:(b + 1) * self.vocab]
-            ids = np.flatnonzero(counts)
+            ids = counts.nonzero()[0]
             c = counts[ids].astype(np.int64)
             room = (1 << _UNIT) - len(ids)
             escape = min(max((int((c == 1).sum()) + 1 << _UNIT) // (n + 2), 16), room // 2)
@@ -181,10 +175,10 @@ def encode_blocks(ids: np.ndarray, vocab: int) -> list[bytes]:
 
     for x in rows:
         m.predict()
-        hit2, hit1 = m.c2 == x, m.c1 == x
+        hit = m.c == x.astype(np.int32)
         k = m.b0 + x
         share = m.share.take(k, mode="clip")
-        new = np.flatnonzero(share == 0)
+        new = (share == 0).nonzero()[0]
         if len(new):
             share[new] = m.share[m.b0[new] + vocab]
         freq = (share >> _UNIT).astype(np.int64)
@@ -192,19 +186,19 @@ def encode_blocks(ids: np.ndarray, vocab: int) -> list[bytes]:
         freq *= m.wl
         cum *= m.wl
         cum += m.over
-        at = np.flatnonzero(hit1)
+        at = hit[0].nonzero()[0]
         freq[at] = m.w1[at] << _UNIT
         cum[at] = m.w2[at] << _UNIT
-        at = np.flatnonzero(hit2)
+        at = hit[1].nonzero()[0]
         freq[at] = m.w2[at] << _UNIT
         cum[at] = 0
         r = rng >> np.uint64(_TOTAL)
         low += r * cum.view(np.uint64)
         rng = r * freq.view(np.uint64)
-        at = np.flatnonzero(rng < _LOW)
+        at = (rng < _LOW).nonzero()[0]
         if len(at):
             settle(at)
-        esc = new[~(hit2[new] | hit1[new])]
+        esc = new[~(hit[0, new] | hit[1, new])]
         if len(esc):
             r = rng[esc] >> np.uint64(_UNIT)
             low[esc] += r * x[esc].astype(np.uint64)
@@ -212,7 +206,7 @@ def encode_blocks(ids: np.ndarray, vocab: int) -> list[bytes]:
             at = esc[r < _LOW]
             if len(at):
                 settle(at)
-        m.update(x, hit2, hit1)
+        m.update(x, hit)
     everyone = np.arange(lanes)
     who += [everyone, everyone]
     word += [low >> np.uint64(31), (low & _MASK31) << np.uint64(1)]
@@ -222,7 +216,7 @@ def encode_blocks(ids: np.ndarray, vocab: int) -> list[bytes]:
     sizes = np.bincount(lane, minlength=lanes)
     ends = np.cumsum(sizes)
     while True:  # carries move to the word before, which is of the same lane
-        high = np.flatnonzero(words >> np.uint64(32))
+        high = (words >> np.uint64(32)).nonzero()[0]
         if not len(high):
             break
         words[high] &= np.uint64(0xFFFFFFFF)
@@ -290,16 +284,16 @@ def decode_blocks(data: list[bytes], vocab: int) -> np.ndarray:
         freq *= m.wl
         cum *= m.wl
         cum += m.over
-        at = np.flatnonzero(hit1)
+        at = hit1.nonzero()[0]
         w2, w1 = m.w2[at], m.w1[at]
         two = v[at] + (w1 << _UNIT) < 0          # below the order-2 share
         freq[at] = np.where(two, w2, w1) << _UNIT
         cum[at] = np.where(two, 0, w2) << _UNIT
         val -= r * cum.view(np.uint64)
         rng = r * freq.view(np.uint64)
-        x[at] = np.where(two, m.c2[at], m.c1[at])
-        esc = np.flatnonzero(x == vocab)
-        at = np.flatnonzero(rng < _LOW)
+        x[at] = np.where(two, m.c[1, at], m.c[0, at])
+        esc = (x == vocab).nonzero()[0]
+        at = (rng < _LOW).nonzero()[0]
         if len(at):
             settle(at)
         if len(esc):
@@ -314,7 +308,7 @@ def decode_blocks(data: list[bytes], vocab: int) -> np.ndarray:
         if int(x.max()) >= vocab:
             raise ValueError("a token block is damaged")
         out[t] = x
-        m.update(x, m.c2 == x, m.c1 == x)
+        m.update(x, m.c == x.astype(np.int32))
     ids = np.ascontiguousarray(out.T).reshape(blocks, steps * LANES)[:, :n]
     for b in range(blocks):
         if crc_of(ids[b]) != HEAD.unpack_from(data[b])[2]:
