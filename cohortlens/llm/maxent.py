@@ -48,8 +48,8 @@ ROUNDS = 2
 RATE = 0.25
 BATCH = 8192
 SEGMENTS = 64
-CHUNK_BYTES = 12 << 20
-PIECE = 2 << 20
+CHUNK_BYTES = 24 << 20
+PIECE = 4 << 20
 END = xxhash.xxh3_64_intdigest("\x00end") >> 1
 
 #: Rows of the two weight tables: bias, last word, skip word; the same by class, hashed.
@@ -138,9 +138,9 @@ def _features2(cls: np.ndarray, u1: np.ndarray, u2: np.ndarray) -> list[np.ndarr
 
 
 def _logits(weights: np.ndarray, rows: list[np.ndarray], bias: np.ndarray | None = None) -> np.ndarray:
-    z = weights[rows[0]]
+    z = weights.take(rows[0], axis=0)
     for r in rows[1:]:
-        z += weights[r]
+        z += weights.take(r, axis=0)
     if bias is not None:
         z += bias
     z -= z.max(1, keepdims=True)
@@ -158,9 +158,9 @@ def _step(weights: np.ndarray, seen: np.ndarray, used: np.ndarray, rows: list[np
         order = np.argsort(r.astype(np.uint16), kind="stable")
         sorted_rows = r[order]
         at = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
-        g = np.add.reduceat(z[order], at, axis=0)
+        g = np.add.reduceat(z.take(order, axis=0), at, axis=0)
         k = sorted_rows[at]
-        n = seen[k]
+        n = seen.take(k, axis=0)
         n += g * g
         seen[k] = n
         np.sqrt(n, out=n)
