@@ -1,8 +1,8 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
 P(word | history) = P(class | history) * P(word | class, history), each factor
-a softmax over hashed features of the two words before (n-gram: the last word;
-skip: the one before it).
+a softmax over hashed features of the two words before (n-gram: the last word,
+and in the class factor the last two together; skip: the one before the last).
 
 Classes: the ``HEAD`` most frequent training tokens form ``HEAD / SLOTS``
 classes of ``SLOTS`` words each, by frequency rank; every other word is in one
@@ -42,7 +42,7 @@ from cohortlens.llm.common import pieces, saved, split_words, table, whole_text
 
 HEAD, SLOTS, TAILS, SUFFIXES = 1024, 32, 32, 512
 CLASSES = HEAD // SLOTS + TAILS
-WORD_ROWS = 4096
+PAIR_ROWS, WORD_ROWS = 4096, 4096
 CONTEXTS = HEAD + SUFFIXES + 1              # head words, suffixes of tail words, the text's start
 ROUNDS = 2
 RATE = 0.25
@@ -52,8 +52,8 @@ CHUNK_BYTES = 24 << 20
 PIECE = 4 << 20
 END = xxhash.xxh3_64_intdigest("\x00end") >> 1
 
-#: Rows of the two weight tables: bias, last word, skip word; the same by class, hashed.
-ROWS1 = 1 + 2 * CONTEXTS
+#: Rows of the two weight tables: bias, last word, skip word, last two words; bias and both words by class, hashed.
+ROWS1 = 1 + 2 * CONTEXTS + PAIR_ROWS
 ROWS2 = HEAD // SLOTS + 2 * WORD_ROWS
 
 
@@ -128,7 +128,9 @@ def _events(texts: pa.Array, shape: Shape):
 
 
 def _features1(u1: np.ndarray, u2: np.ndarray) -> list[np.ndarray]:
-    return [1 + u1, 1 + CONTEXTS + u2]
+    pair = (u1 * CONTEXTS + u2).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    pair = (pair ^ pair >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)
+    return [1 + u1, 1 + CONTEXTS + u2, 1 + 2 * CONTEXTS + (pair % np.uint64(PAIR_ROWS)).astype(np.int64)]
 
 
 def _features2(cls: np.ndarray, u1: np.ndarray, u2: np.ndarray) -> list[np.ndarray]:

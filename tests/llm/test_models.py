@@ -88,6 +88,13 @@ def test_lm_events_sum_to_one():
     assert total == pytest.approx(1, abs=1e-4) and np.isfinite(score).all()
 
 
+def test_lm_class_factor_sees_word_pairs():
+    """One feature tells the 400 pairs of 20 and 20 words apart (hashed: nearly all of them)."""
+    u1, u2 = np.repeat(np.arange(20), 20), np.tile(np.arange(20), 20)
+    rows = ME._features1(u1, u2)
+    assert max(len(np.unique(r)) for r in rows) > 360 and max(int(r.max()) for r in rows) < ME.ROWS1
+
+
 TOXIC = ["moron", "stupid", "pathetic"]
 
 
