@@ -1,15 +1,22 @@
 """Hashed maximum-entropy language model with a class-factored softmax.
 
 P(word | history) = P(class | history) * P(word | class, history), each factor
-a softmax over hashed features of the two words before (n-gram: the last word,
+softmaxes over hashed features of the two words before (n-gram: the last word,
 and in the class factor the last two together; skip: the one before the last).
+A word of a context is its own hash, whatever its frequency.
 
-Classes: the ``HEAD`` most frequent training tokens form ``HEAD / SLOTS``
-classes of ``SLOTS`` words each, by frequency rank; every other word is in one
-of ``TAILS`` classes by a hash of its last two letters (a final full stop or comma aside). In a head class the
-word is a second softmax; in a tail class it has the smoothed share
-(c + 0.5) / (N + 0.5 (V + 1)) of the class's training tokens, where unknown
-words of the class share one event, so all events of a step sum to 1.
+Classes: the most frequent training tokens form classes of ``SLOTS`` words
+each, by frequency rank; every other word is in one of ``TAILS`` classes by a
+hash of its last two letters (a final full stop or comma aside). In a head
+class the word is a second softmax. A tail class is cut by the bits of the
+word's hash, ``SLOTS`` ways a level, each level a softmax of the history, down
+to leaves of about ``SLOTS`` words; in its leaf a word has the smoothed share
+(c + 0.5) / (N + 0.5 (V + 1)) of the leaf's training tokens, where unknown
+words of the leaf share one event, so all events of a step sum to 1.
+
+The head, the feature rows and the levels grow with the distinct training
+tokens V: 2 sqrt(V) head words, 8 sqrt(V) rows a class feature (four times as
+many a word feature), V / SLOTS leaves, and the floors below.
 
 The weights start at the training shares. Training is distributed: each task runs AdaGrad steps over minibatches of its
 documents, starting from the common weights; the tasks' weights are averaged
@@ -28,6 +35,8 @@ empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,10 +49,9 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm.common import pieces, saved, split_words, table, whole_text
 
-HEAD, SLOTS, TAILS, SUFFIXES = 1024, 32, 32, 512
+HEAD, SLOTS, TAILS, LEAST_BITS = 1024, 32, 32, 12
 CLASSES = HEAD // SLOTS + TAILS
-PAIR_ROWS, WORD_ROWS = 4096, 4096
-CONTEXTS = HEAD + SUFFIXES + 1              # head words, suffixes of tail words, the text's start
+START = 0                                   # the context symbol of the text's start
 ROUNDS = 2
 RATE = 0.25
 BATCH = 8192
@@ -52,18 +60,59 @@ CHUNK_BYTES = 24 << 20
 PIECE = 4 << 20
 END = xxhash.xxh3_64_intdigest("\x00end") >> 1
 
-#: Rows of the two weight tables: bias, last word, skip word, last two words; bias and both words by class, hashed.
-ROWS1 = 1 + 2 * CONTEXTS + PAIR_ROWS
-ROWS2 = HEAD // SLOTS + 2 * WORD_ROWS
+#: Rows of the two weight tables, at least: bias, last word, skip word, last two words; bias and both words by class.
+ROWS1 = 1 + (3 << LEAST_BITS)
+ROWS2 = HEAD // SLOTS + (2 << LEAST_BITS + 2)
 
 
 @dataclass
 class Shape:
-    """What the weights refer to: head words by rank and statistics of the tail classes."""
+    """What the weights refer to: head words by rank and statistics of the tail classes and their leaves."""
     head: dict[int, int]        # hash -> rank
     head_n: np.ndarray          # training tokens of each head word
     tail_n: np.ndarray          # training tokens of each tail class
     tail_v: np.ndarray          # distinct training tokens of each tail class
+    bits: int = 0               # bits of the word's hash that cut a tail class into leaves
+    leaf_n: np.ndarray | None = None    # the statistics by leaf, if there are bits
+    leaf_v: np.ndarray | None = None
+    row_bits: int = LEAST_BITS  # 2 ** row_bits rows a class feature
+
+    @property
+    def heads(self) -> int:
+        return len(self.head_n) // SLOTS
+
+    @property
+    def classes(self) -> int:
+        return self.heads + TAILS
+
+    def mass(self) -> np.ndarray:
+        """Smoothed training tokens of each leaf."""
+        n, v = (self.leaf_n, self.leaf_v) if self.bits else (self.tail_n, self.tail_v)
+        return n + 0.5 * (v + 1)
+
+    def levels(self) -> list[tuple[int, int]]:
+        """First bit and number of bits of each level."""
+        width = SLOTS.bit_length() - 1
+        return [(k, min(width, self.bits - k)) for k in range(0, self.bits, width)]
+
+    def offsets(self) -> list[np.ndarray]:
+        """By level: log of the training mass of each node's children (missing ones can't be met)."""
+        out = []
+        for first, bits in self.levels():
+            sums = self.mass().reshape(TAILS << first, 1 << bits, -1).sum(2)
+            table = np.full((len(sums), SLOTS), -1e4, np.float32)
+            table[:, :1 << bits] = np.log(sums / sums.sum(1, keepdims=True))
+            out.append(table)
+        return out
+
+    def paths(self, h: np.ndarray, cls: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+        """Of words of tail classes: node and child at each level, and the leaf."""
+        at, out = np.maximum(cls - self.heads, 0), []
+        for first, bits in self.levels():
+            child = h >> first & (1 << bits) - 1
+            out.append((at, child))
+            at = at << bits | child
+        return out, at
 
 
 def suffix(word: str) -> str:
@@ -107,36 +156,58 @@ def count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _events(texts: pa.Array, shape: Shape):
-    """Per token: class, slot in a head class (-1 in a tail class), context symbols; and the words' hashes."""
+    """Per token: class, slot in a head class (-1 in a tail class), hashes of the context words; and the words' hashes."""
     codes, offsets, words = _stream(texts)
     h = np.append(hash_words(words), END)
     rank = np.fromiter((shape.head.get(x, -1) for x in h.tolist()), np.int64, len(h))
     ends = np.fromiter((suffix_hash(w) & 0xFFFFFF for w in words), np.int64, len(words))
     ends = np.append(ends, 0)
     tail = rank < 0
-    cls = np.where(tail, HEAD // SLOTS + ends % TAILS, rank // SLOTS)
+    cls = np.where(tail, shape.heads + ends % TAILS, rank // SLOTS)
     slot = np.where(tail, -1, rank % SLOTS)
-    ctx = np.where(tail, HEAD + (ends >> 8) % SUFFIXES, rank)
     start = np.zeros(len(codes), bool)
     start[offsets[:-1]] = True
-    symbols = ctx[codes]
-    u1 = np.concatenate([[CONTEXTS - 1], symbols[:-1]])
-    u1[start] = CONTEXTS - 1
-    u2 = np.concatenate([[CONTEXTS - 1], u1[:-1]])
-    u2[start] = CONTEXTS - 1
+    symbols = h[codes]
+    u1 = np.concatenate([[START], symbols[:-1]])
+    u1[start] = START
+    u2 = np.concatenate([[START], u1[:-1]])
+    u2[start] = START
     return codes, offsets, h, cls, slot, u1, u2
 
 
-def _features1(u1: np.ndarray, u2: np.ndarray) -> list[np.ndarray]:
-    pair = (u1 * CONTEXTS + u2).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    pair = (pair ^ pair >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)
-    return [1 + u1, 1 + CONTEXTS + u2, 1 + 2 * CONTEXTS + (pair % np.uint64(PAIR_ROWS)).astype(np.int64)]
+def _row(x: np.ndarray, bits: int) -> np.ndarray:
+    """A row of 2 ** bits by hash."""
+    x = (x ^ x >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    return (x >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _features1(u1: np.ndarray, u2: np.ndarray, bits: int = LEAST_BITS) -> list[np.ndarray]:
+    a, b = u1.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), u2.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return [1 + _row(a, bits), 1 + (1 << bits) + _row(b, bits), 1 + (2 << bits) + _row(a + b, bits)]
+
 
+def _features2(cls: np.ndarray, u1: np.ndarray, u2: np.ndarray, heads: int = HEAD // SLOTS,
+               bits: int = LEAST_BITS) -> list[np.ndarray]:
+    """Rows of the class's bias and of both words by class; nodes of the tail have numbers from ``heads`` on, no bias."""
+    c = (cls.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD1342543DE82EF95)
+    a, b = u1.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), u2.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return [cls, heads + _row(a ^ c, bits + 2), heads + (4 << bits) + _row(b ^ c, bits + 2)]
 
-def _features2(cls: np.ndarray, u1: np.ndarray, u2: np.ndarray) -> list[np.ndarray]:
-    base = HEAD // SLOTS
-    return [cls, base + ((u1 * 2654435761 + cls * 97) >> 5) % WORD_ROWS,
-            base + WORD_ROWS + ((u2 * 2654435761 + cls * 89) >> 5) % WORD_ROWS]
+
+def _word_steps(shape: Shape, paths, offsets, codes, cls, slot, u1, u2):
+    """The word factor of a minibatch, softmax by softmax: tokens, rows, the child met, fixed offsets."""
+    of_token = slot[codes]
+    head = np.flatnonzero(of_token >= 0)
+    if len(head):
+        yield head, _features2(cls[codes[head]], u1[head], u2[head], shape.heads, shape.row_bits), of_token[head], None
+    tail = np.flatnonzero(of_token < 0)
+    first = shape.heads
+    for (node, child), table in zip(paths, offsets):
+        if len(tail):
+            at = node[codes[tail]]
+            yield (tail, _features2(first + at, u1[tail], u2[tail], shape.heads, shape.row_bits)[1:],
+                   child[codes[tail]], table.take(at, axis=0))
+        first += len(table)
 
 
 def _logits(weights: np.ndarray, rows: list[np.ndarray], bias: np.ndarray | None = None) -> np.ndarray:
@@ -150,14 +221,15 @@ def _logits(weights: np.ndarray, rows: list[np.ndarray], bias: np.ndarray | None
 
 
 def _step(weights: np.ndarray, seen: np.ndarray, used: np.ndarray, rows: list[np.ndarray], target: np.ndarray,
-          bias_row: int | None = None) -> None:
-    """One AdaGrad step of a softmax on a minibatch (row numbers fit 16 bits, so they sort by radix)."""
-    z = _logits(weights, rows, weights[bias_row] if bias_row is not None else None)
+          bias_row: int | None = None, offset: np.ndarray | None = None) -> None:
+    """One AdaGrad step of a softmax on a minibatch (row numbers of a feature that fit 16 bits sort by radix)."""
+    z = _logits(weights, rows, weights[bias_row] if bias_row is not None else offset)
     np.exp(z, out=z)
     z /= z.sum(1, keepdims=True)
     z[np.arange(len(target)), target] -= 1
     for r in rows:
-        order = np.argsort(r.astype(np.uint16), kind="stable")
+        low = r - r.min()
+        order = np.argsort(low.astype(np.uint16) if low.max() < 1 << 16 else low, kind="stable")
         sorted_rows = r[order]
         at = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
         g = np.add.reduceat(z.take(order, axis=0), at, axis=0)
@@ -186,20 +258,32 @@ def _unpacked(raw: bytes, width: int) -> np.ndarray:
     return (np.frombuffer(raw, np.uint16).astype(np.uint32) << 16).view(np.float32).reshape(-1, width)
 
 
+def _shipped(weights: np.ndarray) -> tuple[tuple[int, ...], bytes]:
+    """Weights for the tasks: deflated byte by byte of the numbers, without loss (every executor keeps them on disk)."""
+    return weights.shape, zlib.compress(np.ascontiguousarray(weights.view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def _landed(shape: tuple[int, ...], raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(np.float32).reshape(shape)
+
+
 def _train(shape: Shape, w1: np.ndarray, w2: np.ndarray):
+    sent = _shipped(w1), _shipped(w2)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = w1.copy(), w2.copy()
+        a, b = (_landed(*x) for x in sent)
         seen1, seen2 = np.full(a.shape, 1.0, np.float32), np.full(b.shape, 1.0, np.float32)
         used1, used2 = np.zeros(len(a)), np.zeros(len(b))
+        offsets = shape.offsets()
         for batch in pieces(batches, "text", PIECE):
-            codes, _, _, cls, slot, u1, u2 = _events(batch.column("text"), shape)
-            token_cls, token_slot = cls[codes], slot[codes]
+            codes, _, h, cls, slot, u1, u2 = _events(batch.column("text"), shape)
+            paths, _ = shape.paths(h, cls)
             for k in range(0, len(codes), BATCH):
                 s = slice(k, k + BATCH)
-                _step(a, seen1, used1, _features1(u1[s], u2[s]), token_cls[s], 0)
-                head = np.flatnonzero(token_slot[s] >= 0) + k
-                if len(head):
-                    _step(b, seen2, used2, _features2(token_cls[head], u1[head], u2[head]), token_slot[head])
+                _step(a, seen1, used1, _features1(u1[s], u2[s], shape.row_bits), cls[codes[s]], 0)
+                for _, rows, met, offset in _word_steps(shape, paths, offsets, codes[s], cls, slot, u1[s], u2[s]):
+                    _step(b, seen2, used2, rows, met, None, offset)
         for t, (w, used) in enumerate(((a, used1), (b, used2))):
             for seg, rows in enumerate(np.array_split(np.arange(len(w)), SEGMENTS)):
                 hit = rows[used[rows] > 0]
@@ -211,20 +295,22 @@ def _train(shape: Shape, w1: np.ndarray, w2: np.ndarray):
     return run
 
 
-def _average(key, group):
+def _average(classes: int):
     """Weighted mean of the rows of one segment over tasks."""
-    cols = group.to_pydict()
-    width = CLASSES if cols["seg"][0] < SEGMENTS else SLOTS
-    rows = np.concatenate([np.frombuffer(r, np.int32) for r in cols["rows"]])
-    used = np.concatenate([np.frombuffer(u, np.float64) for u in cols["used"]])
-    values = np.concatenate([_unpacked(w, width) for w in cols["weights"]])
-    ids, at = np.unique(rows, return_inverse=True)
-    n = np.bincount(at, used)
-    out = np.zeros((len(ids), width))
-    np.add.at(out, at, values * used[:, None])
-    return pa.table({"seg": pa.array([cols["seg"][0]], pa.int32()), "rows": pa.array([ids.astype(np.int32).tobytes()], pa.binary()),
-                     "used": pa.array([n.tobytes()], pa.binary()),
-                     "weights": pa.array([_packed(out / n[:, None]).tobytes()], pa.binary())})
+    def run(key, group):
+        cols = group.to_pydict()
+        width = classes if cols["seg"][0] < SEGMENTS else SLOTS
+        rows = np.concatenate([np.frombuffer(r, np.int32) for r in cols["rows"]])
+        used = np.concatenate([np.frombuffer(u, np.float64) for u in cols["used"]])
+        values = np.concatenate([_unpacked(w, width) for w in cols["weights"]])
+        ids, at = np.unique(rows, return_inverse=True)
+        n = np.bincount(at, used)
+        out = np.zeros((len(ids), width))
+        np.add.at(out, at, values * used[:, None])
+        return pa.table({"seg": pa.array([cols["seg"][0]], pa.int32()), "rows": pa.array([ids.astype(np.int32).tobytes()], pa.binary()),
+                         "used": pa.array([n.tobytes()], pa.binary()),
+                         "weights": pa.array([_packed(out / n[:, None]).tobytes()], pa.binary())})
+    return run
 
 
 _PART = "seg int, rows binary, used binary, weights binary"
@@ -236,42 +322,53 @@ def count_table(train: DataFrame) -> DataFrame:
         F.min("tail").alias("tail"), F.sum("n").alias("n")), "lm-counts")
 
 
-def shape_of(counts: DataFrame) -> Shape:
-    top = counts.orderBy(F.desc("n"), "h").limit(HEAD).collect()        # the head's size is a parameter of the model
+def shape_of(counts: DataFrame, kinds: int) -> Shape:
+    """The model's sizes follow ``kinds``, the distinct training tokens."""
+    size = SLOTS * max(HEAD // SLOTS, math.ceil(2 * math.sqrt(kinds) / SLOTS))
+    top = counts.orderBy(F.desc("n"), "h").limit(size).collect()
     head = {r["h"]: k for k, r in enumerate(top)}
+    head_n = np.zeros(size)
+    head_n[:len(top)] = [r["n"] for r in top]
+    bits = max(SLOTS.bit_length() - 1, math.ceil(math.log2(max(1, kinds) / (TAILS * SLOTS))))
+    row_bits = max(LEAST_BITS, math.ceil(math.log2(8 * math.sqrt(max(1, kinds)))))
+    leaves = TAILS << bits
+    shape = Shape(head, head_n, np.zeros(TAILS), np.zeros(TAILS), bits, np.zeros(leaves), np.zeros(leaves), row_bits)
+    leaf = F.col("tail").cast("long")
+    for first, width in shape.levels():
+        leaf = leaf * (1 << width) + F.shiftright("h", first).bitwiseAND(F.lit((1 << width) - 1))
     listed = counts.sparkSession.createDataFrame([(h,) for h in head], "h long")
-    n, v = np.zeros(TAILS), np.zeros(TAILS)
-    for r in counts.join(F.broadcast(listed), "h", "left_anti").groupBy("tail").agg(
+    for r in counts.join(F.broadcast(listed), "h", "left_anti").groupBy(leaf.alias("leaf")).agg(
             F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():
-        n[r["tail"]], v[r["tail"]] = r["n"], r["v"]
-    head_n = np.zeros(HEAD)
-    head_n[:len(top)] = [r["n"] for r in top]
-    return Shape(head, head_n, n, v)
+        shape.leaf_n[r["leaf"]], shape.leaf_v[r["leaf"]] = r["n"], r["v"]
+    shape.tail_n = shape.leaf_n.reshape(TAILS, -1).sum(1)
+    shape.tail_v = shape.leaf_v.reshape(TAILS, -1).sum(1)
+    return shape
 
 
 def first_weights(shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     """Weights under which both factors are the training shares, whatever the history."""
-    w1, w2 = np.zeros((ROWS1, CLASSES), np.float32), np.zeros((ROWS2, SLOTS), np.float32)
+    w1 = np.zeros((1 + (3 << shape.row_bits), shape.classes), np.float32)
+    w2 = np.zeros((shape.heads + (2 << shape.row_bits + 2), SLOTS), np.float32)
     words = shape.head_n.reshape(-1, SLOTS)
-    mass = np.concatenate([words.sum(1), shape.tail_n + 0.5])
+    mass = np.concatenate([words.sum(1), shape.mass().reshape(TAILS, -1).sum(1)])
     w1[0] = np.log(np.maximum(mass, 1e-3) / mass.sum())
     w2[:len(words)] = np.log(np.maximum(words, 1e-3) / np.maximum(words.sum(1, keepdims=True), 1e-3))
     return w1, w2
 
 
 def train_model(train: DataFrame, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of the class and the word softmax (their size is fixed by the module's parameters)."""
+    """Weights of the class and the word softmax (their size goes with the root of the vocabulary)."""
     w1, w2 = first_weights(shape)
     for part in range(ROUNDS):
         docs = train.filter(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == part).select("text")
         got = docs.mapInArrow(_train(shape, w1, w2), _PART) \
-            .withColumn("few", F.pmod(F.spark_partition_id(), F.lit(64)))
+            .withColumn("few", F.shiftright(F.spark_partition_id(), 6))
         # Two levels, so that no group holds the weights of all tasks.
-        got = got.groupBy("seg", "few").applyInArrow(_average, _PART)
-        for r in got.groupBy("seg").applyInArrow(_average, _PART).collect():
+        got = got.groupBy("seg", "few").applyInArrow(_average(shape.classes), _PART)
+        for r in got.groupBy("seg").applyInArrow(_average(shape.classes), _PART).collect():
             rows = np.frombuffer(r["rows"], np.int32)
             if r["seg"] < SEGMENTS:
-                w1[rows] = _unpacked(r["weights"], CLASSES)
+                w1[rows] = _unpacked(r["weights"], shape.classes)
             else:
                 w2[rows] = _unpacked(r["weights"], SLOTS)
     return w1, w2
@@ -290,35 +387,38 @@ def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _score(shape: Shape, w1: np.ndarray, w2: np.ndarray, total: int, kinds: int):
     floor = np.log10(total + 0.5 * (kinds + 1))
-    tail_log = np.log10(shape.tail_n + 0.5 * (shape.tail_v + 1))
+    sent = _shipped(w1), _shipped(w2)
+    held: list[np.ndarray] = []          # in the task: unpacked once, for all its chunks
 
     def run(docs, found):
+        if not held:
+            held.extend((*(_landed(*x) for x in sent), np.log10(shape.mass()), *shape.offsets()))
+        w1, w2, leaf_log, *offsets = held
         h_known = found.column("h").combine_chunks().to_numpy(zero_copy_only=False) if found.num_rows else np.zeros(0, np.int64)
         n_known = found.column("n").combine_chunks().to_numpy(zero_copy_only=False) if found.num_rows else np.zeros(0, np.int64)
         order = np.argsort(h_known, kind="stable")
         h_known, n_known = h_known[order], n_known[order]
         parts = []
         for batch in pieces(iter(docs.combine_chunks().to_batches()), "text", PIECE):
-            codes, offsets, h, cls, slot, u1, u2 = _events(batch.column("text"), shape)
+            codes, starts, h, cls, slot, u1, u2 = _events(batch.column("text"), shape)
             at = np.searchsorted(h_known, h)
             at[at == len(h_known)] = 0
             c = np.where(h_known[at] == h, n_known[at], 0) if len(h_known) else np.zeros(len(h), np.int64)
             base = np.log10(c + 0.5) - floor
-            inside = np.where(slot < 0, np.log10(c + 0.5) - tail_log[np.maximum(cls - HEAD // SLOTS, 0)], 0.0)
-            token_cls, token_slot = cls[codes], slot[codes]
+            paths, leaf = shape.paths(h, cls)
+            inside = np.where(slot < 0, np.log10(c + 0.5) - leaf_log[leaf], 0.0)
             logp = inside[codes]
             for k in range(0, len(codes), BATCH):
                 s = slice(k, k + BATCH)
-                z = _logits(w1, _features1(u1[s], u2[s]), w1[0])
-                t = token_cls[s]
+                z = _logits(w1, _features1(u1[s], u2[s], shape.row_bits), w1[0])
+                t = cls[codes[s]]
                 logp[s] += (z[np.arange(len(t)), t] - np.log(np.exp(z).sum(1))) / np.log(10)
-                head = np.flatnonzero(token_slot[s] >= 0) + k
-                if len(head):
-                    z = _logits(w2, _features2(token_cls[head], u1[head], u2[head]))
-                    logp[head] += (z[np.arange(len(head)), token_slot[head]] - np.log(np.exp(z).sum(1))) / np.log(10)
-            first = offsets[:-1]
+                for at, rows, met, offset in _word_steps(shape, paths, offsets, codes[s], cls, slot, u1[s], u2[s]):
+                    z = _logits(w2, rows, offset)
+                    logp[at + k] += (z[np.arange(len(at)), met] - np.log(np.exp(z).sum(1))) / np.log(10)
+            first = starts[:-1]
             parts.append(pa.table({
-                "doc_id": batch.column("doc_id"), "n_tokens": pa.array(np.diff(offsets)),
+                "doc_id": batch.column("doc_id"), "n_tokens": pa.array(np.diff(starts)),
                 "n_known": pa.array(np.add.reduceat((c > 0).astype(np.int64)[codes], first)),
                 "base_score": pa.array(np.add.reduceat(base[codes], first)),
                 "score": pa.array(np.add.reduceat(logp, first))}))
@@ -336,7 +436,7 @@ def lm_scores(docs: DataFrame, learn_from, id_col: str = "doc_id", text_col: str
     counts = count_table(train)
     sums = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     total, kinds = int(sums[0] or 0), int(sums[1])
-    shape = shape_of(counts)
+    shape = shape_of(counts, kinds)
     w1, w2 = train_model(train, shape)
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-int(size) // CHUNK_BYTES))

@@ -95,6 +95,59 @@ def test_lm_class_factor_sees_word_pairs():
     assert max(len(np.unique(r)) for r in rows) > 360 and max(int(r.max()) for r in rows) < ME.ROWS1
 
 
+def test_lm_tail_words_have_history(spark):
+    """Rare words: each follows one other rare word, in a vocabulary beyond the floor of the head."""
+    r = random.Random(9)
+    names = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(4000)]
+    after = dict(zip(names, r.sample(names, len(names))))
+    rows = []
+    for k in range(1500):
+        w = [u for first in r.sample(names, 12) for u in (first, after[first])]
+        rows.append((k, " ".join(w)))
+    texts = documents(spark, rows).select("text")
+    counts = ME.count_table(texts)
+    kinds = counts.count()
+    shape = ME.shape_of(counts, kinds)
+    assert shape.bits >= 5 and shape.leaf_n.sum() + shape.head_n.sum() == sum(len(t.split()) + 1 for _, t in rows)
+    assert len(ME.shape_of(counts, 10 ** 6).head_n) > ME.HEAD and ME.shape_of(counts, 10 ** 6).row_bits > ME.LEAST_BITS
+    tail = [u for u, h in zip(names, ME.hash_words(names).tolist()) if h not in shape.head]
+    # Two tail words, alike in their last letters, are two contexts.
+    _, _, _, _, _, u1, _ = ME._events(pa.array(["abcxyzq x", "defxyzq x"]), shape)
+    assert u1[1] != u1[4]
+    w1, w2 = ME.train_model(texts, shape)
+    codes, starts, h, cls, slot, u1, u2 = ME._events(pa.array([f"{names[5]} {w}" for w in tail]), shape)
+    paths, leaf = shape.paths(h, cls)
+    at = starts[:-1] + 1
+    gained = 0.0
+    for tokens_, rows_, met, offset in ME._word_steps(shape, paths, shape.offsets(), codes[at], cls, slot, u1[at], u2[at]):
+        z = ME._logits(w2, rows_, offset)
+        p = np.exp(z) / np.exp(z).sum(1, keepdims=True)
+        assert p.sum(1) == pytest.approx(1, abs=1e-4)
+        flat = np.exp(offset)
+        gained = max(gained, float(np.abs(p - flat / flat.sum(1, keepdims=True)).max()))
+    assert gained > 0.01
+    # All known words and one unknown event a leaf, at one history: the events sum to 1.
+    n = {r["h"]: r["n"] for r in counts.collect()}
+    words = names + ["\x00end"]
+    hs = np.append(ME.hash_words(names), ME.END)
+    seen = np.array([n.get(x, 0) for x in hs.tolist()])
+    real = seen > 0
+    one = np.zeros(1, np.int64) + 77
+    z = ME._logits(w1, ME._features1(one, one, shape.row_bits), w1[0])[0]
+    p_class = np.exp(z) / np.exp(z).sum()
+    p_leaf = p_class[shape.heads:].copy()
+    first = shape.heads
+    for table in shape.offsets():
+        node = np.arange(len(table))
+        rows_ = ME._features2(first + node, np.repeat(one, len(node)), np.repeat(one, len(node)), shape.heads, shape.row_bits)[1:]
+        z = ME._logits(w2, rows_, table)
+        p_leaf = (p_leaf[:, None] * np.exp(z) / np.exp(z).sum(1, keepdims=True))[:, table[0] > -1e3].ravel()
+        first += len(table)
+    in_leaf = (shape.leaf_n + 0.5 * shape.leaf_v + 0.5) / shape.mass()
+    assert p_class[:shape.heads].sum() + (p_leaf * in_leaf).sum() == pytest.approx(1, abs=1e-4)
+    assert len(words) == len(hs) and real.all()
+
+
 TOXIC = ["moron", "stupid", "pathetic"]
 
 
