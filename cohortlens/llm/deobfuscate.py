@@ -26,6 +26,7 @@ for _c, _i in CODE.items():
 SWAP, DROP, LOST, LITERAL = 1.0, 1.5, 7.0, 9.0
 REPEAT = 1.0                            # cost of each repeat that stays, in a run of three or more letters
 EDGE_MARKS = ".,;:?\"'()[]{}«»“”…"
+_MUTE_MARKS = "".join(c for c in EDGE_MARKS if c not in LEET)
 
 
 def trigram_counts(words: list[str], times: np.ndarray) -> np.ndarray:
@@ -91,14 +92,21 @@ def viterbi(steps: list[list[tuple[str, float]]], log_p: np.ndarray) -> tuple[st
 
 
 _THRICE = re.compile(r"(.)\1\1")
+# A number, with the signs that belong to one; digits alone could stand for any word.
+_NUMBER = re.compile(r"[+\-#$€£]*[0-9][0-9.,:/\-]*[%$€£+]*")
+_SIGNS = frozenset(LEET)
 
 
 def disguised(word: str) -> bool:
-    """Whether a lower-case token has something to restore: signs among letters, or a letter three times."""
+    """Whether a lower-case token has something to restore: it holds a letter or a leet sign and is not plain.
+
+    Plain are words of letters without one three times in a row, numbers, and one sign however often.
+    """
     if word.isalpha():
         return bool(_THRICE.search(word))
-    letters = sum(map(str.isalpha, word))
-    return letters >= 2 and (len(word) <= 2 * letters or bool(_THRICE.search(word)))
+    if any(map(str.isalpha, word)):
+        return True
+    return len(_SIGNS.intersection(word)) > 1 and not _NUMBER.fullmatch(word)
 
 
 def restore(word: str, log_p: np.ndarray) -> str:
@@ -109,3 +117,8 @@ def restore(word: str, log_p: np.ndarray) -> str:
 def plain(word: str) -> str:
     return word.strip(EDGE_MARKS)
 
+
+def signed(word: str) -> str:
+    """The token with those edge marks that can stand for a letter."""
+    return word.strip(_MUTE_MARKS)
+

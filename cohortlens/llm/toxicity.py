@@ -1,9 +1,11 @@
 """Toxicity of documents: restore disguised words by a noisy channel, then score the restored text.
 
 1. A character model (trigrams with backoff) is counted over the words of all documents.
-2. Tokens with signs among letters or a letter three times, and runs of three
-   or more single-letter tokens, are decoded by Viterbi over a character
-   lattice of leetspeak, separators and repeats under that model.
+2. Tokens that hold a letter or a leet sign and are not plain (letters only,
+   a number, one sign repeated), with and without edge marks that can stand for
+   a letter, and runs of three or more single-letter tokens, are decoded by
+   Viterbi over a character lattice of leetspeak, separators and repeats under
+   that model.
 3. Word features (whole word and its first 4, 5 and 6 letters) are counted
    over labelled documents. A feature is evidence if it is tied to toxic
    labels more than chance allows over all features tried; copies of a
@@ -59,12 +61,27 @@ def character_model(texts: DataFrame) -> np.ndarray:
     return D.log_model(counts)
 
 
-def forms(word: str, log_p: np.ndarray) -> list[str]:
-    """Plain and restored forms of a token."""
-    core = D.plain(word.lower())
-    if not core:
-        return []
-    return [core, D.restore(core, log_p)] if D.disguised(core) else [core]
+def restorer(log_p: np.ndarray):
+    """``D.restore`` that keeps its results; the table is emptied when it has 2 ** 17."""
+    known: dict[str, str] = {}
+
+    def restored(word: str) -> str:
+        out = known.get(word)
+        if out is None:
+            if len(known) >= 1 << 17:
+                known.clear()
+            out = known[word] = D.restore(word, log_p)
+        return out
+    return restored
+
+
+def forms(word: str, restored) -> list[str]:
+    """Plain and restored forms of a token, the latter also with the edge marks that can stand for a letter."""
+    word = word.lower()
+    core, whole = D.plain(word), D.signed(word)
+    out = [core] if core else []
+    out += [restored(x) for x in ((core, whole) if whole != core else (core,)) if D.disguised(x)]
+    return out
 
 
 def features_of(form: str) -> list[str]:
@@ -90,19 +107,20 @@ def spaced_runs(codes: np.ndarray, offsets: np.ndarray, single: np.ndarray) -> l
     return [(int(d), codes[a:z]) for d, a, z in zip(docs, starts, ends) if z - a >= 3]
 
 
-def run_forms(letters: str, log_p: np.ndarray) -> list[str]:
+def run_forms(letters: str, restored) -> list[str]:
     """What single letters in a row can spell: every stretch of 3 to 24 of them, restored."""
     out = []
     for a in range(len(letters)):
         for z in range(a + 3, min(len(letters), a + 24) + 1):
             part = letters[a:z]
-            out.append(D.restore(part, log_p) if D.disguised(part) else part)
+            out.append(restored(part) if D.disguised(part) else part)
     return out
 
 
 def _counts(log_p: np.ndarray):
     """Per piece: feature, toxic and clean documents that have it, bitmaps of the toxic ones' sketches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restored = restorer(log_p)
         for batch in pieces(batches, "text"):
             codes, offsets, words = split_words(batch.column("text"))
             toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(bool)
@@ -119,7 +137,7 @@ def _counts(log_p: np.ndarray):
                 h ^= h >> np.uint64(29)
                 least = np.minimum.reduceat(h[code], first)
                 bits[s, doc[first]] = np.uint64(1) << ((least * np.uint64(0xD1342543DE82EF95)) >> np.uint64(58))
-            feats = [[f for form in forms(w, log_p) for f in features_of(form)] for w in words]
+            feats = [[f for form in forms(w, restored) for f in features_of(form)] for w in words]
             sizes = np.fromiter(map(len, feats), np.int64, len(feats))
             number: dict[str, int] = {}
             flat = np.fromiter((number.setdefault(f, len(number)) for fs in feats for f in fs), np.int64,
@@ -184,10 +202,12 @@ def _scores(log_p: np.ndarray, risk: dict[str, float], base: float):
     def of_form(form: str) -> float:
         return max([get(f, 0.0) for f in features_of(form)])
 
-    def of_word(word: str) -> float:
-        return max([of_form(x) for x in forms(word, log_p)], default=0.0)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restored = restorer(log_p)
+
+        def of_word(word: str) -> float:
+            return max([of_form(x) for x in forms(word, restored)], default=0.0)
+
         for batch in pieces(batches, "text"):
             codes, offsets, words = split_words(batch.column("text"))
             risks = np.fromiter(map(of_word, words), np.float64, len(words))
@@ -201,7 +221,7 @@ def _scores(log_p: np.ndarray, risk: dict[str, float], base: float):
             single = np.fromiter((len(x) == 1 for x in cores), bool, len(words))
             for d, run_codes in spaced_runs(codes, offsets, single):
                 letters = "".join(cores[c] for c in run_codes)
-                spelled = max((of_form(x) for x in run_forms(letters, log_p)), default=0.0)
+                spelled = max((of_form(x) for x in run_forms(letters, restored)), default=0.0)
                 if spelled:
                     clear[d] += np.log1p(-spelled)
             score = 1 - (1 - base) * np.exp(clear)

@@ -184,6 +184,21 @@ def test_toxicity(spark):
     assert TX.toxicity_scores(documents(spark, []), table).count() == 0
 
 
+def test_toxicity_restores_words_of_mostly_signs(spark):
+    evidence = ["moron", "stupid", "idiot", "clown"]
+    rows, labels = [], {}
+    for k in range(900):
+        labels[k] = int(k % 6 == 0)
+        rows.append((k, prose(2000 + k, 30) + (" " + evidence[k // 6 % 4] if labels[k] else "")))
+    hidden = ["1d10t", "$+up1d", "m..o..r..o..n", "i..d..i..o..t", "(lown", '"(lown".']
+    rows += [(6000 + k, f"{prose(k, 30)} {w} {prose(k + 50, 30)}") for k, w in enumerate(hidden)]
+    rows += [(7000 + k, f"{prose(k, 30)} {w}") for k, w in enumerate(["1010", "+10.10", "$100", "(see", "!!!", "***", "(", "5:10"])]
+    table = spark.createDataFrame([(i, t) for i, t in labels.items()], "doc_id long, toxic int")
+    got = {x.doc_id: x.score for x in TX.toxicity_scores(documents(spark, rows), table, ~TX.held_out()).collect()}
+    assert [w for k, w in enumerate(hidden) if got[6000 + k] < TX.THRESHOLD] == []
+    assert all(got[7000 + k] < TX.THRESHOLD for k in range(8))
+
+
 def test_viterbi_finds_the_best_path():
     words = ["moron", "stupid", "idiot", "clown", "the", "and", "letter", "hello"]
     log_p = D.log_model(D.trigram_counts(words, np.full(len(words), 50)))
