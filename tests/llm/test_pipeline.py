@@ -39,3 +39,23 @@ def test_stages(spark, tmp_path):
     empty = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
     for name, stage in P.STAGES:
         assert stage(spark, empty, sf).count() == 0
+
+
+def test_rows_without_id_are_judged(spark, tmp_path):
+    rows, labels = toxic_rows(400)
+    item = prose(800, 40)
+    dirty, held = prose(41, 30) + " moron", f"{prose(31, 9)} {item} {prose(32, 9)}"
+    clean = [prose(900 + k, 30) for k in range(40)]
+    docs = documents(spark, rows + [(None, t) for t in [dirty, held, *clean, None]]).select(*P.COLUMNS)
+    spark.createDataFrame([(i, t) for i, t in labels.items()], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+
+    def loose(df):
+        return {r.text for r in df.filter("doc_id IS NULL").collect()}
+    assert loose(P.toxic_out(spark, docs, str(tmp_path))) == {held, *clean, None}
+    assert loose(P.benchmark_out(spark, docs, str(tmp_path))) == {dirty, *clean, None}
+    assert 5 < len(loose(P.mixed(spark, docs, str(tmp_path))) & set(clean)) < 40
+    # A copy without id goes, the document with an id stays.
+    twice = documents(spark, [(7, clean[0]), (None, clean[0]), (None, clean[1])]).select(*P.COLUMNS)
+    kept = P.near_copies_out(spark, twice, str(tmp_path)).collect()
+    assert {(r.doc_id, r.text) for r in kept} == {(7, clean[0]), (None, clean[1])}
