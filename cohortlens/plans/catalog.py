@@ -223,7 +223,8 @@ from ..operators import contributions as CO  # noqa: E402
 from ..operators import features as FE  # noqa: E402
 from ..operators import models as MO  # noqa: E402
 from ..plans import experiment as EX  # noqa: E402
-from ..sources.standins import EVENT_BLOCKS, EVENT_SET_DROPS, EVENT_SET_PCA  # noqa: E402
+from ..presets import FEATURE_SET_DROPS, FEATURE_SET_PCA_BLOCKS  # noqa: E402
+from ..sources.standins import EVENT_BLOCKS, EVENT_SET_DROPS, EVENT_SET_PCA, EVENT_STUDY_BLOCKS  # noqa: E402
 
 CATEGORICAL = EVENT_SPEC.categorical_columns
 
@@ -349,7 +350,9 @@ def q_contribution_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_experiment(spark: SparkSession, sf: str) -> DataFrame:
-    cfg = experiment_config(feature_sets=("all",), models=("LR", "RF", "XGB"))
+    """The whole sweep: the study's feature sets, every PCA mode and model, and the ensemble over all models."""
+    cfg = experiment_config(blocks=EVENT_STUDY_BLOCKS, set_drops=FEATURE_SET_DROPS,
+                            set_pca_blocks=FEATURE_SET_PCA_BLOCKS)
     return EX.run_experiment(spark, training_rows(spark, sf), cfg)
 
 

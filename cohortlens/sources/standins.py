@@ -179,5 +179,11 @@ EVENT_BLOCKS = {
     "activity": _with_changes(("click", "view", "signup", "active")),
     "spend": _with_changes(("purchase", "income", "tier", "error")),
 }
+# The same columns under the study's three block names, for the sweep over its five feature sets.
+EVENT_STUDY_BLOCKS = {
+    "bio": _with_changes(("purchase", "error")),
+    "physical": _with_changes(("click", "view")),
+    "life": _with_changes(("signup", "active", "income", "tier")),
+}
 EVENT_SET_DROPS = {"all": (), "activity": ("spend",), "spend": ("activity",)}
 EVENT_SET_PCA = {"all": ("activity", "spend"), "activity": ("activity",), "spend": ("spend",)}

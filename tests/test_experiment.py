@@ -5,7 +5,9 @@ import random
 
 import pytest
 
+from cohortlens import presets as P
 from cohortlens.operators import models as MO
+from cohortlens.plans import catalog
 from cohortlens.plans import experiment as EX
 
 
@@ -15,6 +17,17 @@ def test_grid_keys_must_be_known():
             MO.get_preset(name).build({"columns": 0.5}, 1, 10, 3)
 
 
+def test_registered_sweep_is_whole(monkeypatch):
+    seen = []
+    monkeypatch.setattr(catalog, "training_rows", lambda spark, sf: None)
+    monkeypatch.setattr(EX, "run_experiment", lambda spark, df, cfg: seen.append(cfg))
+    catalog.MODEL_QUERIES["experiment"](None, "")
+    assert (seen[0].feature_sets, seen[0].pca_modes, seen[0].models) == (P.FEATURE_SETS, P.PCA_MODES, P.MODEL_NAMES)
+    assert seen[0].ensemble and set(P.FEATURE_SETS) <= set(seen[0].set_drops) & set(seen[0].set_pca_blocks)
+    assert all(seen[0].blocks[b] for drops in seen[0].set_drops.values() for b in drops)
+    assert {c for b in seen[0].blocks.values() for c in b} == {c for b in catalog.EVENT_BLOCKS.values() for c in b}
+
+
 def test_sweep_metrics_and_json(spark, tmp_path):
     rnd = random.Random(1)
     rows = []
