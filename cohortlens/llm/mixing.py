@@ -2,7 +2,10 @@
 
 Documents are counted into cells (source, language, topic) with their tokens
 (white-space words). Raking multiplies the cells' token weights in turn to the
-target share of every source, language and topic until all marginals agree.
+target share of every source, language and topic until all marginals agree,
+or, from ``LOOKS`` looks on, no longer get closer by a tenth from look to look
+(targets that empty cells keep from being met together): then a warning gives
+the largest error left.
 A document's weight is its cell's raked weight over its cell's tokens; the
 sampling probability is min(1, scale * weight) with the one scale that makes
 the expected tokens the wanted part of all tokens. A document is taken if a
@@ -24,6 +27,9 @@ repeated rows count each and share one decision; an empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -35,7 +41,7 @@ TOPICS = 8
 TEMPER = 0.7
 KEEP = 0.6
 ROUNDS = 4          # raking rounds between two looks at the marginals
-MOST_LOOKS = 15
+LOOKS = 15
 TOLERANCE = 1e-6
 
 
@@ -68,7 +74,7 @@ def tempered(cells: DataFrame, dim: str, temper: float) -> DataFrame:
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
-    """Cells with column ``share``: token shares that meet every target marginal.
+    """Cells with column ``share``: token shares that meet every target marginal (a warning says if they can't).
 
     ``targets``: by dimension a table value, target; values that no cell has
     count for nothing, values without a target get none.
@@ -78,7 +84,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
         start = start.join(t.select(F.col("value").alias(d), F.col("target").alias(f"target_{d}")), d, "left")
     start = start.withColumn("share", F.when(F.col("tokens") > 0, F.col("tokens").cast("double")).otherwise(0.0))
     cur = saved(start.fillna(0.0, [f"target_{d}" for d in targets]), "mix-cells")
-    for look in range(MOST_LOOKS):
+    last = float("inf")
+    for look in itertools.count(1):
         step = cur
         for _ in range(ROUNDS):
             for d in targets:
@@ -90,6 +97,10 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
                    .agg(F.max("off")).first()[0] or 0.0) for d in targets)
         if off < TOLERANCE:
             break
+        if look >= LOOKS and off > 0.9 * last:
+            warnings.warn(f"the mixing targets can't be met together: a share is off by {off:.3g}", stacklevel=2)
+            break
+        last = off
     return cur
 
 

@@ -223,6 +223,15 @@ def test_viterbi_finds_the_best_path():
     assert [D.restore(w, log_p) for w in ("m0r0n", "1d10t", "stuuupid", "cl0wn", "l3tter")] == ["moron", "idiot", "stupid", "clown", "letter"]
 
 
+def test_mixing_tells_of_targets_that_disagree(spark):
+    """Source a alone holds language x, but is to have less than x."""
+    cells = spark.createDataFrame([("a", "x", "t", 10), ("b", "y", "t", 10)], "source string, lang string, topic string, tokens long")
+    def shares(**of):
+        return spark.createDataFrame(list(of.items()), "value string, target double")
+    with pytest.warns(UserWarning, match="off by 0.4"):
+        MX.rake(cells, {"source": shares(a=0.1, b=0.9), "lang": shares(x=0.5, y=0.5), "topic": shares(t=1.0)})
+
+
 def test_mixing(spark):
     r = random.Random(8)
     rows = [(k, prose(k, r.randint(1, 40)), r.choice(["en", "de"]), "big" if k % 3 else r.choice("xyz")) for k in range(400)]
