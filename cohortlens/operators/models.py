@@ -176,7 +176,9 @@ def early_stopping_cut(model, valid: DataFrame, patience: int) -> tuple[int, flo
     then the booster's rule: keep going while a new best appears within
     ``patience`` rounds; the first maximum wins."""
     n = len(model.trees)
-    wide = prefix_margins(model, valid, n)
+    # Written first: the AUC reads its input in several branches, and each would plan the chain of trees anew.
+    ensure_checkpoint_dir(valid.sparkSession)
+    wide = prefix_margins(model, valid.select("label", FEATURES), n).select("label", "__margins").checkpoint(eager=True)
     long = wide.select("label", F.posexplode("__margins").alias("pos", "score")) \
         .select("label", (F.col("pos") + 1).alias("prefix"), "score")
     aucs = {r["prefix"]: r["auc"] for r in
