@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from cohortlens.llm import (chat_format, decontaminate, exact_dedup, line_dedup, maxent, minhash_dedup, mixing, sharding,
-                            token_output, toxicity)
+from cohortlens.llm import (centroids, chat_format, collocations, decontaminate, exact_dedup, line_dedup, maxent, minhash_dedup, mixing,
+                            packing, sharding, token_output, toxicity)
 
 
 def llm_queries() -> dict:
@@ -18,6 +18,9 @@ def llm_queries() -> dict:
         "op8_minhash_dedup": minhash_dedup.op8_minhash_dedup,
         "op9_line_dedup": line_dedup.op9_line_dedup,
         "op10_sharding": sharding.op10_sharding,
+        "op11_collocations": collocations.op11_collocations,
+        "op12_packing": packing.op12_packing,
+        "op13_centroid_clusters": centroids.op13_centroid_clusters,
     }
 
 
@@ -26,4 +29,8 @@ def llm_oracles() -> dict:
         "op4_chat_format": chat_format.OP4_SQL,
         "op7_exact_dedup": exact_dedup.OP7_SQL,
         "op9_line_dedup": line_dedup.OP9_SQL,
+        "op11_collocations": collocations.op11_collocations,
+        "op12_packing": packing.op12_packing,
+        "op11_collocations": collocations.OP11_SQL,
+        "op13_centroid_clusters": centroids.OP13_SQL,
     }
