@@ -22,6 +22,7 @@ table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,13 +33,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.llm.common import maybe_in, pieces, saved, table, whole_text
+from cohortlens.llm.common import maybe_in, pieces, saved, table, whole_text, work_dir
 
 MAX_WORDS, MIN_COUNT, TOP = 3, 10, 2000
 #: A phrase inside a longer one goes if 100 * f(longer) >= CONTAINED * f.
 CONTAINED = 50
 SCORE_SCALE = 1_000_000
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+#: Bytes of text that a task holds for blocks of several languages.
+HELD_BYTES = 32 << 20
 #: Parts in which a language's ranking is cut before the last step.
 RANK_PARTS = 64
 
@@ -63,27 +66,65 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, list[str]]:
     return codes[codes > -2], [w for w in words if w not in ("", ".")]
 
 
+def _block(lang: str, held: list[pa.Array], block: int) -> pa.RecordBatch | None:
+    codes, words = word_codes(pa.concat_arrays(held))
+    if not words:
+        return None
+    counts = np.bincount(codes[codes >= 0], minlength=len(words))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([block]), pa.array([lang]), pa.array([codes.tobytes()], pa.binary()), pa.array([words], pa.list_(pa.string())),
+         pa.array([counts.tolist()], pa.list_(pa.int64()))], names=["block", "lang", "codes", "words", "counts"])
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number = 0
+    held: dict[str, list[pa.Array]] = {}
+    sizes: dict[str, int] = {}
+    number = task = 0
+
+    def cut(lang):
+        nonlocal number
+        sizes.pop(lang)
+        number += 1
+        return _block(lang, held.pop(lang), (task << 32) + number)
     for batch in pieces(batches, "text", BLOCK_BYTES):
-        langs = batch.column("lang")
+        langs, task = batch.column("lang"), batch.column("task")[0].as_py()
         for lang in pc.unique(langs).to_pylist():
-            codes, words = word_codes(batch.column("text").filter(pc.equal(langs, lang)))
-            if not words:
-                continue
-            counts = np.bincount(codes[codes >= 0], minlength=len(words))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([(batch.column("task")[0].as_py() << 32) + number]), pa.array([lang]),
-                 pa.array([codes.tobytes()], pa.binary()), pa.array([words], pa.list_(pa.string())),
-                 pa.array([counts.tolist()], pa.list_(pa.int64()))], names=["block", "lang", "codes", "words", "counts"])
-            number += 1
-
-
-def occurrences(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+            texts = batch.column("text").filter(pc.equal(langs, lang))
+            held.setdefault(lang, []).append(texts)
+            sizes[lang] = sizes.get(lang, 0) + pc.sum(pc.binary_length(texts)).as_py()
+            if sizes[lang] >= BLOCK_BYTES:
+                yield cut(lang)
+        while sum(sizes.values()) > HELD_BYTES:
+            yield cut(max(sizes, key=sizes.get))
+    for lang in list(held):
+        yield cut(lang)
+
+
+def _full(blocks):
+    def run(batches):
+        return (b for b in blocks(batches) if b is not None)
+    return run
+
+
+def dealt(relation: DataFrame, names: list | None = None) -> DataFrame:
+    """Write a relation to the shared folder in buckets by block, so that the joins by block read it where it lies.
+
+    ``names`` gets the table's name, for whoever drops it.
+    """
+    spark = relation.sparkSession
+    name = f"phrase_places_{uuid.uuid4().hex}"
+    if names is not None:
+        names.append(name)
+    relation.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").sortBy("block") \
+        .option("path", work_dir(spark, "phrase-places")).saveAsTable(name)
+    return spark.table(name)
+
+
+def occurrences(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", names: list | None = None) -> DataFrame:
     """The word relation of all texts, before any word is dropped; written."""
     rows = docs.select(whole_text(text_col).alias("text"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.spark_partition_id().alias("task"))
-    return saved(rows.mapInArrow(_blocks, RAW), "phrase-words")
+    return dealt(rows.mapInArrow(_full(_blocks), RAW), names)
 
 
 def extended(codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -145,12 +186,13 @@ def _relation(left: pa.Table, right: pa.Table, spread, read_ids) -> pa.Table:
                                                         ("ids", pa.binary())]))
 
 
-def semi_joined(relation: DataFrame, asked: DataFrame, frequent: DataFrame, keys: list[str], apply) -> DataFrame:
+def semi_joined(relation: DataFrame, asked: DataFrame, frequent: DataFrame, keys: list[str], apply,
+                names: list | None = None) -> DataFrame:
     """The relation with the frequent phrases only: ``asked`` (block, spot, keys) names what each block holds."""
     one = F.struct(*keys)
     near = maybe_in(asked.withColumn("key", one), "key", frequent.select(one.alias("key"))).drop("key")
     spots = near.join(frequent.select(*keys, "id"), keys).select(F.col("block").alias("held_by"), "spot", "id")
-    return saved(relation.groupBy("block").cogroup(spots.groupBy("held_by")).applyInArrow(apply, RELATION), "phrase-places")
+    return dealt(relation.groupBy("block").cogroup(spots.groupBy("held_by")).applyInArrow(apply, RELATION), names)
 
 
 def frequent_words(raw: DataFrame, min_count: int) -> DataFrame:
@@ -209,15 +251,20 @@ def uncontained(phrases: DataFrame, longer: DataFrame, share: int = CONTAINED) -
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS,
                  min_count: int = MIN_COUNT, share: int = CONTAINED, top: int = TOP) -> DataFrame:
     """Each language's first ``top`` phrases: lang, rank, phrase, a, l, r, n, score."""
-    raw = occurrences(docs, text_col, lang_col)
+    names: list[str] = []
+    raw = occurrences(docs, text_col, lang_col, names)
     totals = raw.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda s, c: s + c)).alias("n"))
+    totals = saved(totals, "phrase-totals")
     levels = [frequent_words(raw, min_count)]
     held = raw.select("block", "lang", F.posexplode("words").alias("spot", "phrase"))
-    relation = semi_joined(raw.select("block", "lang", "codes"), held, levels[0], ["lang", "phrase"], _kept_words)
+    relation = semi_joined(raw.select("block", "lang", "codes"), held, levels[0], ["lang", "phrase"], _kept_words,
+                           names)
     for words in range(2, max_words + 1):
         levels.append(frequent_phrases(relation, levels[-1], words, min_count))
         if words < max_words:
-            relation = semi_joined(relation, pairs(relation).drop("n"), levels[-1], ["left", "right"], _kept_pairs)
+            relation = semi_joined(relation, pairs(relation).drop("n"), levels[-1], ["left", "right"], _kept_pairs, names)
+    for name in names:      # all that is read from here on is in the tables of phrases
+        docs.sparkSession.sql(f"DROP TABLE {name}")
     found = None
     for words in range(2, max_words + 1):
         rows = scored(levels[words - 1], words)
