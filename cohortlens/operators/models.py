@@ -1,7 +1,7 @@
 """Model registry, validation-set grid search, scoring and model tables.
 
-Each preset is a Spark ML estimator factory plus its (single-valued, as
-shipped) grid. Training data are the ``train`` rows of a split table; the
+Each preset is a factory (of a Spark ML estimator, or of boosting parameters)
+plus its (single-valued, as shipped) grid. Training data are the ``train`` rows of a split table; the
 grid is scored by exact AUC on the ``validation`` rows (not a random
 re-split); the winning model is kept and scores ``validation`` and ``test``.
 """
@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import math
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.errors import IllegalArgumentException
@@ -20,15 +21,21 @@ from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import presets as P
 from ..session import ensure_checkpoint_dir
+from . import boosting as BO
 from . import metrics as ME
 from .features import assemble_stages
 
 FEATURES = "features"
+#: Grid entries that are fitted at a time, as concurrent jobs over one encoded table.
+PARALLEL_FITS = 4
+#: Iterations of a network between two looks at the validation loss.
+NETWORK_STEP = 5
 
 
 def _known(params: dict, *names: str) -> dict:
@@ -42,7 +49,7 @@ def _known(params: dict, *names: str) -> dict:
 @dataclass
 class ModelPreset:
     name: str
-    encoding: str                 # onehot | index
+    encoding: str                 # onehot | index | bins (boosted here, see ``boosting``)
     grid: list                    # list of dicts: estimator param name -> value
     build: callable               # (seed, n_train, n_features) -> estimator
     scale: bool = False           # standardise the vector first (networks)
@@ -83,6 +90,17 @@ def _gbt(rounds, rate, subsample):
     return build
 
 
+def _boost(**base):
+    def build(params, seed, n, d):
+        _known(params, "maxIter", "maxDepth", "stepSize", "maxLeaves", "subsamplingRate", "columnRate", "regLambda",
+               "minHessian", "minRows")
+        names = {"maxIter": "rounds", "maxDepth": "max_depth", "stepSize": "rate", "maxLeaves": "max_leaves",
+                 "subsamplingRate": "row_share", "columnRate": "col_share", "regLambda": "reg_lambda",
+                 "minHessian": "min_hessian", "minRows": "min_rows"}
+        return BO.BoostParams(**{**base, **{names[k]: v for k, v in params.items()}})
+    return build
+
+
 def _mlp(hidden, epochs):
     def build(params, seed, n, d):
         _known(params, "maxIter")
@@ -98,23 +116,32 @@ REGISTRY = {
                       notes="L1 logistic regression, C=1, 500 iterations"),
     "RF": ModelPreset("RF", "onehot", [{"numTrees": 50, "maxDepth": 5}], _rf,
                       notes="50 trees, depth 5, sqrt features"),
-    "XGB": ModelPreset("XGB", "index", [{"maxIter": 10, "maxDepth": 5, "stepSize": 0.01}],
-                       _gbt(10, 0.01, 0.5), notes="boosted trees: 10 rounds, rate .01, rows .5, columns .5",
-                       extra={"early_stopping": 10}),
-    "LGBM": ModelPreset("LGBM", "index", [{"maxIter": 50, "maxDepth": 5, "stepSize": 0.01}],
-                        _gbt(50, 0.01, 1.0), notes="boosted trees: 50 rounds, rate .01, columns .5",
+    "XGB": ModelPreset("XGB", "bins", [{"maxIter": 10, "maxDepth": 5, "stepSize": 0.01}],
+                       _boost(rounds=10, rate=0.01, row_share=0.5, col_share=0.5, min_hessian=1.0),
+                       notes="boosted trees: 10 rounds, rate .01, rows .5, columns .5", extra={"early_stopping": 10}),
+    "LGBM": ModelPreset("LGBM", "bins", [{"maxIter": 50, "maxDepth": 5, "stepSize": 0.01}],
+                        _boost(rounds=50, rate=0.01, col_share=0.5, max_leaves=10, min_hessian=1e-3, min_rows=20),
+                        notes="boosted trees, best first: 50 rounds, rate .01, 10 leaves, columns .5",
                         extra={"early_stopping": 10}),
     "ANN": ModelPreset("ANN", "onehot", [{"maxIter": 50}], _mlp((64,), 50), scale=True,
-                       notes="feed-forward network, 64 hidden units"),
+                       notes="feed-forward network, 64 hidden units", extra={"patience": 3}),
     "RNN": ModelPreset("RNN", "onehot", [{"maxIter": 30}], _mlp((32, 16), 30), scale=True,
-                       notes="one-step recurrent net = feed-forward 32-16"),
+                       notes="one-step recurrent net = feed-forward 32-16", extra={"patience": 3}),
+}
+# Spark ML's own boosted trees with the presets' round counts: depth-wise, no leaf cap, no missing values.
+SPARK_TREES = {
+    "GBT_A": ModelPreset("GBT_A", "index", [{"maxIter": 10, "maxDepth": 5, "stepSize": 0.01}], _gbt(10, 0.01, 0.5),
+                         extra={"early_stopping": 10}),
+    "GBT_B": ModelPreset("GBT_B", "index", [{"maxIter": 50, "maxDepth": 5, "stepSize": 0.01}], _gbt(50, 0.01, 1.0),
+                         extra={"early_stopping": 10}),
 }
 
 
 def get_preset(name: str) -> ModelPreset:
-    if name not in REGISTRY:
-        raise ValueError(f"model {name!r} is not one of {list(REGISTRY)}")
-    return REGISTRY[name]
+    known = {**REGISTRY, **SPARK_TREES}
+    if name not in known:
+        raise ValueError(f"model {name!r} is not one of {list(known)}")
+    return known[name]
 
 
 def vector_names(df: DataFrame, col: str = FEATURES) -> list:
@@ -141,7 +168,14 @@ class FittedModel:
 
     def score(self, df: DataFrame, keys) -> DataFrame:
         """(keys..., split, model, label, prob) for the given rows."""
-        enc = self.prep.transform(df)
+        if isinstance(self.model, BO.Boosted):
+            tab = BO.binned(df, self.model.bins, [*keys, "split", "label"])
+            return BO.scores(tab, {self.name: (self.model, self.n_trees)}, [*keys, "split", "label"]) \
+                .select(*keys, "split", "model", "label", "prob")
+        return self.score_encoded(self.prep.transform(df), keys)
+
+    def score_encoded(self, enc: DataFrame, keys) -> DataFrame:
+        """The same for rows that the feature pipeline has been through."""
         if self.n_trees is not None:
             out = prefix_margins(self.model, enc, self.n_trees)
             prob = 1.0 / (1.0 + F.exp(-2.0 * F.element_at("__margins", -1)))
@@ -183,8 +217,13 @@ def early_stopping_cut(model, valid: DataFrame, patience: int) -> tuple[int, flo
         .select("label", (F.col("pos") + 1).alias("prefix"), "score")
     aucs = {r["prefix"]: r["auc"] for r in
             ME.roc_auc(long, keys=["prefix"], score="score").collect()}
+    return first_best(aucs, patience)
+
+
+def first_best(aucs: dict, patience: int) -> tuple[int, float]:
+    """The booster's rule over AUCs by number of trees: go on while a new best comes within ``patience`` rounds."""
     best_p, best = 1, aucs[1]
-    for p in range(2, n + 1):
+    for p in range(2, max(aucs) + 1):
         if p - best_p > patience:
             break
         if aucs[p] > best:
@@ -199,30 +238,54 @@ def prep_pipeline(preset: ModelPreset, numeric, categorical) -> Pipeline:
     return Pipeline(stages=stages)
 
 
+def in_threads(fn, items, parallel: int = PARALLEL_FITS) -> list:
+    """``fn`` of every item in order, as concurrent jobs of this session."""
+    items = list(items)
+    if len(items) < 2 or parallel < 2:
+        return [fn(x) for x in items]
+    with ThreadPoolExecutor(parallel) as pool:
+        return list(pool.map(inheritable_thread_target(fn), items))
+
+
 def fit_model(name: str, data: DataFrame, numeric, categorical, keys, seed: int = P.SPLIT_SEED,
               grid: list | None = None) -> FittedModel:
     """Fit every grid entry on ``train``, score by AUC on ``validation``, keep
-    the first best (earliest grid entry wins ties). Only the logistic grid
-    skips entries, and only those whose parameters Spark rejects; they stay in
-    the log with their error. All failing raises."""
+    the first best (earliest grid entry wins ties). The encoded table is
+    written once and all entries are fitted on it, as concurrent jobs (boosted
+    presets: all entries in one pass). Only the logistic grid skips entries,
+    and only those whose parameters Spark rejects; they stay in the log with
+    their error. All failing raises."""
     preset = get_preset(name)
-    grid = grid or preset.grid
+    if preset.encoding == "bins":
+        request = BoostRequest(name, name, list(numeric), list(categorical), grid, seed)
+        return fit_boosted_models(data, [request], keys)[0][name]
     prep = prep_pipeline(preset, numeric, categorical).fit(data)
     enc = prep.transform(data)
-    train = enc.filter(F.col("split") == "train")
-    valid = enc.filter(F.col("split") == "validation")
-    n_train = train.count()
     names = vector_names(enc)
-    log, best = [], None
-    for i, params in enumerate(grid):
+    ensure_checkpoint_dir(data.sparkSession)
+    used = [FEATURES, *(["__scaled"] if preset.scale else [])]
+    return search_grid(name, prep, enc.select("split", "label", *used).checkpoint(eager=True), names, seed, grid)
+
+
+def search_grid(name: str, prep, enc: DataFrame, names: list, seed: int = P.SPLIT_SEED,
+                grid: list | None = None) -> FittedModel:
+    """The grid search over an encoded, written table."""
+    preset = get_preset(name)
+    grid = grid or preset.grid
+    train, valid = (enc.filter(F.col("split") == s) for s in ("train", "validation"))
+    n_train = train.count()
+
+    def one(params):
         try:
             estimator = preset.build(params, seed, n_train, len(names))
-            model = estimator.fit(train)
+            if preset.extra.get("patience"):
+                model, rounds = fit_network(estimator, train, valid, preset.extra["patience"])
+            else:
+                model, rounds = estimator.fit(train), None
         except (IllegalArgumentException, TypeError, ValueError) as exc:
             if name != "LR":
                 raise
-            log.append({**params, "AUC": None, "error": str(exc)})
-            continue
+            return {**params, "AUC": None, "error": str(exc)}, None, None, params
         cut = None
         if preset.extra.get("early_stopping"):
             cut, auc = early_stopping_cut(model, valid, preset.extra["early_stopping"])
@@ -231,16 +294,88 @@ def fit_model(name: str, data: DataFrame, numeric, categorical, keys, seed: int
                 "label", vector_to_array(F.col("__proba"))[1].alias("prob"), F.lit(name).alias("model"),
                 F.lit("validation").alias("split"))
             auc = ME.roc_auc(scored).first()["auc"]
-        log.append({**params, "AUC": auc, **({"best_iteration": cut} if cut else {})})
-        if best is None or auc > best[0]:
-            best = (auc, i, model, params, cut)
-    if best is None:
+        stop = {**({"best_iteration": cut} if cut else {}), **({"iterations": rounds} if rounds else {})}
+        return {**params, "AUC": auc, **stop}, model, cut, {**params, **stop}
+    found = in_threads(one, grid)
+    log = [f[0] for f in found]
+    fit = [f for f in found if f[1] is not None]
+    if not fit:
         first = next((e.get("error") for e in log if e.get("error")), "")
         raise RuntimeError(f"no entry of the {name} grid could be fitted; the first failed with: {first}")
-    params = dict(best[3])
-    if best[4]:
-        params["best_iteration"] = best[4]
-    return FittedModel(name, prep, best[2], params, log, names, n_train, best[4])
+    entry, model, cut, params = max(fit, key=lambda f: f[0]["AUC"])      # the first of equals
+    return FittedModel(name, prep, model, params, log, names, n_train, cut)
+
+
+def fit_network(estimator, train: DataFrame, valid: DataFrame, patience: int, step: int = NETWORK_STEP) -> tuple:
+    """Train in warm-started rounds of ``step`` iterations until the validation loss has not fallen for ``patience``
+    rounds; returns the best round's model and its iterations."""
+    whole, best, weights = estimator.getMaxIter(), None, None
+    for done in range(step, whole + step, step):
+        part = estimator.copy().setMaxIter(min(step, whole - done + step))
+        if weights is not None:
+            part.setInitialWeights(weights)
+        model = part.fit(train)
+        weights = model.weights
+        p = vector_to_array(F.col("__proba"))[1]
+        right = F.when(F.col("label") == 1, p).otherwise(1 - p)
+        loss = model.transform(valid).agg(F.avg(-F.log(F.greatest(right, F.lit(1e-7)))).alias("l")).first()["l"]
+        if best is None or loss < best[0]:
+            best = (loss, model, min(done, whole), done)
+        elif done - best[3] >= patience * step:
+            break
+    return best[1], best[2]
+
+
+@dataclass
+class BoostRequest:
+    """A boosted preset to fit under ``key`` on some columns of a table."""
+    key: str
+    preset: str
+    numeric: list
+    categorical: list
+    grid: list | None = None
+    seed: int = P.SPLIT_SEED
+
+
+def fit_boosted_models(data: DataFrame, requests: list, keys) -> tuple:
+    """All requests, with all their grid entries, in one pass a tree level over one binned, written table.
+
+    Returns key -> FittedModel; key -> (model over the binned table, trees used); the binned table."""
+    keys = list(keys)
+    numeric = list(dict.fromkeys(c for r in requests for c in r.numeric))
+    categorical = list(dict.fromkeys(c for r in requests for c in r.categorical))
+    bins = BO.find_bins(data.filter("split = 'train'"), numeric, categorical)
+    place = {b.name: i for i, b in enumerate(bins)}
+    ensure_checkpoint_dir(data.sparkSession)
+    table = BO.binned(data, bins, [*keys, "split", "label"]).checkpoint(eager=True)
+    train, valid = (table.filter(F.col("split") == s) for s in ("train", "validation"))
+    n_train, jobs, owner = train.count(), [], []
+    for r in requests:
+        preset = get_preset(r.preset)
+        for params in r.grid or preset.grid:
+            used = [place[c] for c in [*r.numeric, *r.categorical]]
+            jobs.append(BO.Job(preset.build(params, r.seed, n_train, len(used)), used, r.seed))
+            owner.append((r, params))
+    models = BO.fit_boosted(train, bins, jobs, keys)
+    looked = BO.prefix_scores(valid, {str(i): m for i, m in enumerate(models)}).checkpoint(eager=True)
+    aucs: dict[int, dict] = {}
+    for row in ME.roc_auc(looked, keys=["model", "prefix"], score="score").collect():       # a row a tree
+        aucs.setdefault(int(row["model"]), {})[row["prefix"]] = row["auc"]
+    fitted, wide = {}, {}
+    for r in requests:
+        best, log = None, []
+        for i, (other, params) in enumerate(owner):
+            if other is not r:
+                continue
+            cut, auc = first_best(aucs[i], get_preset(r.preset).extra["early_stopping"])
+            log.append({**params, "AUC": auc, "best_iteration": cut})
+            if best is None or auc > best[0]:
+                best = (auc, models[i], params, cut)
+        _, model, params, cut = best
+        own = model.trimmed()
+        fitted[r.key] = FittedModel(r.preset, None, own, {**params, "best_iteration": cut}, log, own.names, n_train, cut)
+        wide[r.key] = (model, cut)
+    return fitted, wide, table
 
 
 def grid_log_frame(spark, fitted: FittedModel) -> DataFrame:
@@ -254,6 +389,8 @@ def importance(fitted: FittedModel, data: DataFrame) -> dict:
     """LR: coefficient and a descriptive p-value per encoded feature; trees:
     normalised split-gain importance; networks: none."""
     m = fitted.model
+    if isinstance(m, BO.Boosted):
+        return {n: [v] for n, v in m.importance().items()}
     if fitted.name == "LR":
         return coefficient_table(fitted, data)
     if hasattr(m, "featureImportances"):
@@ -287,25 +424,36 @@ def coefficient_table(fitted: FittedModel, data: DataFrame) -> dict:
 
 def save_model(fitted: FittedModel, path: str) -> None:
     """Spark ML persistence for the feature pipeline and the classifier, and what scoring needs besides."""
-    fitted.prep.write().overwrite().save(f"{path}/prep")
-    fitted.model.write().overwrite().save(f"{path}/model")
+    spark = _session(fitted)
+    if isinstance(fitted.model, BO.Boosted):
+        spark.createDataFrame([(fitted.model.to_json(),)], "value string").write.mode("overwrite").text(f"{path}/model")
+    else:
+        fitted.prep.write().overwrite().save(f"{path}/prep")
+        fitted.model.write().overwrite().save(f"{path}/model")
     rest = {k: getattr(fitted, k) for k in ("name", "params", "grid_log", "feature_names", "n_train", "n_trees")}
     rest["class"] = type(fitted.model).__name__
-    _session(fitted).createDataFrame([(json.dumps(rest),)], "value string").write.mode("overwrite").text(f"{path}/rest")
+    spark.createDataFrame([(json.dumps(rest),)], "value string").write.mode("overwrite").text(f"{path}/rest")
 
 
 def load_model(spark, path: str) -> FittedModel:
     """A saved model; it scores as the one that was saved, early-stopping cut included."""
     rest = json.loads(spark.read.text(f"{path}/rest").first()["value"])
-    model = getattr(classification, rest.pop("class")).load(f"{path}/model")
+    kind = rest.pop("class")
+    if kind == "Boosted":
+        return FittedModel(prep=None, model=BO.Boosted.from_json(spark.read.text(f"{path}/model").first()["value"]), **rest)
+    model = getattr(classification, kind).load(f"{path}/model")
     return FittedModel(prep=PipelineModel.load(f"{path}/prep"), model=model, **rest)
 
 
 def tree_table(fitted: FittedModel, path: str | None = None) -> DataFrame:
     """Node table of a tree ensemble, read back from the model's own saved data:
     (tree_id, node_id, feature, threshold, categories, yes, no, missing, gain,
-    cover, leaf). ``cover`` is the training-row count at the node; Spark trees
-    have no default direction for missing values, so ``missing`` is null."""
+    cover, leaf). Boosted presets: ``cover`` is the sum of hessians, ``missing`` the
+    default direction, categories are the levels that go left. Spark's own trees:
+    ``cover`` is the training-row count, ``missing`` null (they have no default
+    direction), categories are indices."""
+    if isinstance(fitted.model, BO.Boosted):
+        return BO.node_table(_session(fitted), fitted.model)
     if path is None:
         base = ensure_checkpoint_dir(_session(fitted))
         path = f"{base}/trees-{uuid.uuid4().hex}"

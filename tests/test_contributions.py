@@ -20,7 +20,7 @@ def fitted(spark):
         y = int(a + 0.5 * b + (0.4 if c == "x" else 0) + rnd.gauss(0, 0.2) > 1.0)
         rows.append((i, "train" if i < 300 else "validation", y, a, b, c))
     df = spark.createDataFrame(rows, "rid long, split string, label int, a double, b double, c string")
-    fm = MO.fit_model("XGB", df, ["a", "b"], ["c"], ["rid"])
+    fm = MO.fit_model("GBT_A", df, ["a", "b"], ["c"], ["rid"])
     return fm, df
 
 
@@ -32,7 +32,7 @@ def _margins(fm, df):
 
 def test_local_accuracy(spark, fitted):
     fm, df = fitted
-    _, _, bias = CO.model_tables(fm)
+    _, bias = CO.model_leaves(fm)
     contrib = CO.contributions(fm, df, ["rid"])
     sums = {r.rid: r.s for r in contrib.groupBy("rid").agg(F.sum("contribution").alias("s")).collect()}
     margins = _margins(fm, df)
@@ -102,3 +102,62 @@ def test_summary_has_every_row_and_feature(spark, fitted):
     top = CO.contribution_summary(contrib).orderBy("rank").collect()
     assert [r["rank"] for r in top] == list(range(1, len(fm.feature_names) + 1))
     assert [r.mean_abs for r in top] == sorted((r.mean_abs for r in top), reverse=True)
+
+
+# --- boosted presets and long paths -------------------------------------------------
+
+def brute_leaves(leaves, x, passes):
+    """Shapley values of the sum of the leaves' games by enumeration."""
+    feats = sorted({f for leaf in leaves for f in leaf.features})
+
+    def value(S):
+        total = 0.0
+        for leaf in leaves:
+            v = leaf.value
+            for f, tests, r in zip(leaf.features, leaf.tests, leaf.ratios):
+                v *= float(all(passes(x[f], t) for t in tests)) if f in S else r
+            total += v
+        return total
+    out = {}
+    for f in feats:
+        others = [g for g in feats if g != f]
+        out[f] = sum(math.factorial(s) * math.factorial(len(feats) - s - 1) / math.factorial(len(feats))
+                     * (value(set(S) | {f}) - value(set(S))) for s in range(len(feats)) for S in combinations(others, s))
+    return out
+
+
+def test_paths_of_14_features_equal_brute_force():
+    rnd = random.Random(7)
+    leaves = []
+    for _ in range(3):
+        steps = [(f, (True, rnd.random(), None, rnd.random() < 0.5), rnd.choice([0.0, 1.0, rnd.random()])) for f in range(14)]
+        steps += [(rnd.randrange(14), (True, rnd.random(), None, True), rnd.random()) for _ in range(3)]
+        leaves.append(CO.Leaf.of(rnd.gauss(0, 1), steps))
+    assert all(len(leaf.features) == 14 for leaf in leaves)
+    x = [rnd.random() for _ in range(14)]
+    got = [0.0] * 14
+    import numpy as np
+    for leaf in leaves:
+        met = np.array([[all(CO._passes(np.array(x[f]), t) for t in tests) for f, tests in zip(leaf.features, leaf.tests)]])
+        for f, v in zip(leaf.features, CO.leaf_values(met, leaf.ratios, leaf.value)[0]):
+            got[f] += v
+    for f, v in brute_leaves(leaves, x, lambda v, t: bool(CO._passes(np.array(v), t))).items():
+        assert got[f] == pytest.approx(v, abs=1e-9)
+
+
+def test_boosted_presets_local_accuracy_and_brute_force(spark, fitted):
+    import numpy as np
+    _, df = fitted
+    df = df.withColumn("a", F.when(F.col("rid") % 7 != 0, F.col("a")))            # missing values
+    fm = MO.fit_model("LGBM", df, ["a", "b"], ["c"], ["rid"], grid=[{"maxIter": 6, "stepSize": 0.3}])
+    leaves, bias = CO.model_leaves(fm)
+    sums = {r.rid: r.contributions for r in CO.row_contributions(fm, df, ["rid"]).collect()}
+    probs = {r.rid: r.prob for r in fm.score(df, ["rid"]).collect()}
+    assert len(sums) == len(probs) == 400
+    for rid, p in probs.items():
+        assert sum(sums[rid]) + bias == pytest.approx(math.log(p / (1 - p)), abs=1e-9)
+    from cohortlens.operators import boosting as BO
+    for r in BO.binned(df.filter("rid in (3, 7, 310)"), fm.model.bins, ["rid"]).collect():
+        x = np.frombuffer(r["__bins"], np.uint8)
+        for f, v in brute_leaves(leaves, x, lambda v, t: bool(t[v])).items():
+            assert sums[r.rid][f] == pytest.approx(v, abs=1e-9)
