@@ -22,7 +22,7 @@ from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import presets as P
@@ -244,7 +244,7 @@ def in_threads(fn, items, parallel: int = PARALLEL_FITS) -> list:
     if len(items) < 2 or parallel < 2:
         return [fn(x) for x in items]
     with ThreadPoolExecutor(parallel) as pool:
-        return list(pool.map(inheritable_thread_target(fn), items))
+        return list(pool.map(inheritable_thread_target(SparkSession.getActiveSession())(fn), items))
 
 
 def fit_model(name: str, data: DataFrame, numeric, categorical, keys, seed: int = P.SPLIT_SEED,
@@ -483,7 +483,6 @@ def tree_table(fitted: FittedModel, path: str | None = None) -> DataFrame:
 
 
 def _session(fitted: FittedModel):
-    from pyspark.sql import SparkSession
     return SparkSession.getActiveSession()
 
 

@@ -1,24 +1,30 @@
 """Entry 2: feature set x PCA mode x model sweep with an averaging ensemble.
 
-Per combination: select features -> PCA -> participant split (optionally
-oversampled) -> category strings, cut to the shared checkpoint folder once
-and reused by every model. Each model scores the validation and test rows
-into one long prediction table, so AUC, cutoff metrics and the ensemble for
-all models come out of a few jobs. Only metrics, parameters and
-importances reach the driver; the result is a metrics DataFrame.
+What all combinations share is made once: the participant split (it depends
+on ids and labels), the oversampling, the principal components of every block
+(from one correlation matrix), the category strings and their encodings. They
+form one wide table, cut to the shared checkpoint folder; a combination is a
+choice of its columns. The boosted models of all combinations are fitted in
+one pass a tree level; the others as concurrent jobs. All predictions form
+one long table, so AUC, cutoffs and ensembles of the whole sweep are a few
+jobs. Only metrics, parameters and importances reach the driver; the result
+is a metrics DataFrame.
 """
 
 from __future__ import annotations
 
 import json
-from concurrent.futures import ThreadPoolExecutor
+import uuid
 from dataclasses import dataclass, field
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import presets as P
+from ..operators import boosting as BO
 from ..operators import features as FE
 from ..operators import metrics as ME
 from ..operators import models as MO
@@ -61,7 +67,7 @@ class ExperimentConfig:
     shrink: bool = False                # allow oversampling targets below the positives present
     output: str | None = None           # folder of the sweep's files, written if set
     ensemble: bool = True
-    parallel_combos: int = 1
+    parallel_combos: int = 8            # fits that run at a time
 
 
 def prepare_combo(df: DataFrame, feature_set: str, pca_mode: str, cfg: ExperimentConfig) -> DataFrame:
@@ -71,14 +77,7 @@ def prepare_combo(df: DataFrame, feature_set: str, pca_mode: str, cfg: Experimen
     fit_on = rows.filter("split = 'train'") if cfg.pca_train_only else sel
     rows = FE.pca_features(rows, pca_mode, feature_set, cfg.blocks, cfg.set_pca_blocks, fit_on=fit_on,
                            groups=cfg.pca_groups, on_unreached=cfg.on_unreached)
-    if cfg.sampling == "over":
-        targets = cfg.targets
-        if targets is None:
-            n = rows.filter("split = 'train'").agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
-            targets = {"train": max(n[0] or 0, n[1] or 0)}
-        rows = SP.oversample_positive(rows, targets, list(cfg.row_keys), cfg.seed, shrink=cfg.shrink)
-    else:
-        rows = rows.withColumn("copy", F.lit(0).cast("long"))
+    rows = _sampled(rows, cfg)
     rows = FE.nominal_strings(rows, cfg.categorical)
     ensure_checkpoint_dir(rows.sparkSession)
     return rows.checkpoint(eager=True)
@@ -103,26 +102,6 @@ def combo_predictions(rows: DataFrame, cfg: ExperimentConfig) -> tuple[DataFrame
     return preds, fitted
 
 
-def combo_metrics(preds: DataFrame, fitted: dict, rows: DataFrame, feature_set: str,
-                  pca_mode: str, cfg: ExperimentConfig) -> list:
-    aucs = {(r["model"], r["split"]): r["auc"] for r in ME.roc_auc(preds).collect()}
-    cuts = {r["model"]: r.asDict() for r in ME.best_cutoff(preds).collect()}
-    out = []
-    names = list(cfg.models) + (["Ensemble"] if cfg.ensemble and len(cfg.models) > 1 else [])
-    for name in names:
-        c = cuts.get(name, {})
-        if name == "Ensemble":
-            params = {"method": "average of predicted probabilities", "models": json.dumps(list(cfg.models))}
-            imp = {}
-        else:
-            params = {k: str(v) for k, v in fitted[name].params.items()}
-            imp = MO.importance(fitted[name], rows)
-        out.append((feature_set, pca_mode, name, aucs.get((name, "validation")), aucs.get((name, "test")),
-                    c.get("cutoff"), c.get("precision"), c.get("recall"), c.get("f1"), c.get("accuracy"),
-                    params, {k: [x for x in v] for k, v in imp.items()}))
-    return out
-
-
 def write_combo(preds: DataFrame, fitted: dict, path: str) -> None:
     """The files of one combination: per model its grid log, itself, its trees; ROC points of all models."""
     spark = preds.sparkSession
@@ -134,31 +113,165 @@ def write_combo(preds: DataFrame, fitted: dict, path: str) -> None:
     ME.roc_points(preds).write.mode("overwrite").parquet(f"{path}/roc_points")
 
 
-def run_combo(df: DataFrame, feature_set: str, pca_mode: str, cfg: ExperimentConfig) -> list:
-    rows = prepare_combo(df, feature_set, pca_mode, cfg)
-    preds, fitted = combo_predictions(rows, cfg)
-    if cfg.output:
-        write_combo(preds, fitted, f"{cfg.output}/{feature_set}/{pca_mode}")
-    return combo_metrics(preds, fitted, rows, feature_set, pca_mode, cfg)
+@dataclass
+class Shared:
+    """The wide table of a sweep and the columns that each combination takes of it."""
+    rows: DataFrame                 # split, oversampled, with all components and category strings
+    columns: dict                   # (feature set, PCA mode) -> (numeric, categorical)
+    keys: list
+
+
+def share(df: DataFrame, cfg: ExperimentConfig) -> Shared:
+    """Split, oversample, fit every PCA block of the sweep and append the components, once."""
+    blocks, members = {}, {}
+    for fs in cfg.feature_sets:
+        have = FE.feature_selection(df, fs, cfg.blocks, cfg.set_drops)
+        if fs not in cfg.set_pca_blocks:
+            raise ValueError(f"no PCA blocks are known for feature set {fs}")
+        for name in cfg.set_pca_blocks[fs]:
+            cols = FE.existing(have, FE.block_members(name, cfg.blocks, cfg.pca_groups))
+            if cols:
+                # Blocks go by name; one that means other columns in this set is a block of its own.
+                own = name if blocks.get(name, cols) == cols else f"{fs}_{name}"
+                blocks[own] = cols
+                members.setdefault(fs, []).append((name, own, cols))
+    rows = SP.data_split(df, None, cfg.seed)
+    pca = FE.PCABlocks(blocks if set(cfg.pca_modes) - {"none"} else {}, on_unreached=cfg.on_unreached) \
+        .fit(rows.filter("split = 'train'") if cfg.pca_train_only else df)
+    rows = _sampled(pca.transform(rows) if pca.loadings else rows, cfg)
+    rows = FE.nominal_strings(rows, cfg.categorical)
+    ensure_checkpoint_dir(rows.sparkSession)
+    keys, columns = [*cfg.row_keys, "copy"], {}
+    components = {c for name in pca.loadings for c in pca.output_columns(name)}
+    for fs in cfg.feature_sets:
+        plain = [c for c in FE.feature_selection(rows, fs, cfg.blocks, cfg.set_drops).columns if c not in components]
+        plain = [c for c in plain if c in FE.feature_columns(rows, FE.ID_LIKE + tuple(keys))]
+        for mode in cfg.pca_modes:
+            if mode not in ("none", "plus", "only"):
+                raise ValueError(f"PCA mode {mode!r} is not one of none, plus, only")
+            own = list(plain)
+            if mode != "none":
+                own += [c for _, block, _ in members.get(fs, ()) for c in pca.output_columns(block)]
+            if mode == "only":
+                gone = {c for _, _, cols in members.get(fs, ()) for c in cols}
+                own = [c for c in own if c not in gone]
+            cat = [c for c in own if c in set(cfg.categorical)]
+            columns[fs, mode] = ([c for c in own if c not in cat], cat)
+    return Shared(rows.checkpoint(eager=True), columns, keys)
+
+
+def _sampled(rows: DataFrame, cfg: ExperimentConfig) -> DataFrame:
+    if cfg.sampling != "over":
+        return rows.withColumn("copy", F.lit(0).cast("long"))
+    targets = cfg.targets
+    if targets is None:
+        n = rows.filter("split = 'train'").agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
+        targets = {"train": max(n[0] or 0, n[1] or 0)}
+    return SP.oversample_positive(rows, targets, list(cfg.row_keys), cfg.seed, shrink=cfg.shrink)
+
+
+class Encoded:
+    """Category encodings of the wide table, fitted and written once; combinations only assemble and scale."""
+
+    def __init__(self, shared: Shared):
+        self.shared = shared
+        cats = list(dict.fromkeys(c for _, cat in shared.columns.values() for c in cat))
+        self.cats, self.fitted = cats, {"onehot": [], "index": []}
+        self.rows = shared.rows
+        if cats:
+            model = Pipeline(stages=FE.one_hot_stages(cats)).fit(shared.rows)
+            self.rows = model.transform(shared.rows).checkpoint(eager=True)
+            self.fitted = {"onehot": list(model.stages), "index": list(model.stages[:1])}
+
+    def model_input(self, combo, encoding: str, scale: bool) -> tuple:
+        """(pipeline of shared and own fitted stages, encoded rows) of one combination and encoding."""
+        numeric, cat = self.shared.columns[combo]
+        suffix = "__hot" if encoding == "onehot" else "__idx"
+        stages = [VectorAssembler(inputCols=[*numeric, *[c + suffix for c in cat]], outputCol=MO.FEATURES, handleInvalid="keep")]
+        enc = stages[0].transform(self.rows)
+        if scale:
+            stages.append(StandardScaler(inputCol=MO.FEATURES, outputCol="__scaled", withMean=True, withStd=True).fit(enc))
+            enc = stages[1].transform(enc)
+        prep = PipelineModel(stages=[*(self.fitted[encoding] if cat else []), *stages])
+        return prep, enc
 
 
 def run_experiment(spark: SparkSession, df: DataFrame, cfg: ExperimentConfig) -> DataFrame:
-    """All combinations; ``parallel_combos`` > 1 submits combinations as
-    concurrent Spark jobs from a driver thread pool. With ``cfg.output`` the
-    sweep's files are written there."""
+    """All combinations. With ``cfg.output`` the sweep's files are written there."""
     for m in cfg.models:
         MO.get_preset(m)
-    ensure_checkpoint_dir(spark)
-    df = df.checkpoint(eager=True)  # every combination re-reads this, not its lineage
-    tasks = [(fs, pm) for fs in cfg.feature_sets for pm in cfg.pca_modes]
-    if cfg.parallel_combos > 1:
-        with ThreadPoolExecutor(cfg.parallel_combos) as ex:
-            parts = list(ex.map(lambda t: run_combo(df, t[0], t[1], cfg), tasks))
-    else:
-        parts = [run_combo(df, fs, pm, cfg) for fs, pm in tasks]
-    rows = [(*r, k) for k, r in enumerate(r for p in parts for r in p)]
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sweep-{uuid.uuid4().hex}"
+    shared = share(df.checkpoint(eager=True), cfg)
+    combos = [(fs, pm) for fs in cfg.feature_sets for pm in cfg.pca_modes]
+    keys, held = shared.keys, F.col("split").isin("validation", "test")
+    where = ["feature_set", "pca_mode"]
+    fitted: dict = {}
+    importance: dict = {}
+
+    def predicted(preds, combo):
+        return preds.select(*[F.lit(v).alias(c) for c, v in zip(where, combo)], *keys, "split", "model", "label", "prob")
+
+    boosted = [m for m in cfg.models if MO.get_preset(m).encoding == "bins"]
+    others = [m for m in cfg.models if m not in boosted]
+
+    def fit_boosted():
+        requests = [MO.BoostRequest((c, m), m, *shared.columns[c], None, cfg.seed) for c in combos for m in boosted]
+        found, wide, table = MO.fit_boosted_models(shared.rows, requests, keys)
+        fitted.update(found)
+        names = {json.dumps([*c, m]): v for (c, m), v in wide.items()}
+        long = BO.scores(table.filter(held), names, [*keys, "split", "label"])
+        parts = F.from_json("model", "array<string>")
+        long.select(*[parts[i].alias(c) for i, c in enumerate(where)], *keys, "split", parts[2].alias("model"), "label", "prob") \
+            .write.parquet(f"{folder}/boosted")
+
+    encoded = Encoded(shared) if others else None
+
+    def fit_one(task):
+        if task is None:
+            return fit_boosted()
+        combo, name = task
+        preset = MO.get_preset(name)
+        prep, enc = encoded.model_input(combo, preset.encoding, preset.scale)
+        slots = MO.vector_names(enc)
+        used = [MO.FEATURES, *(["__scaled"] if preset.scale else [])]
+        model = MO.search_grid(name, prep, enc.select("split", "label", *used), slots, cfg.seed)
+        fitted[combo, name] = model
+        predicted(model.score_encoded(enc.filter(held), keys), combo).write.parquet(
+            f"{folder}/{combos.index(combo)}-{name}")
+        importance[combo, name] = MO.importance(model, shared.rows)
+
+    tasks = ([None] if boosted else []) + [(c, m) for c in combos for m in others]
+    MO.in_threads(fit_one, tasks, cfg.parallel_combos)
+    for key, fm in fitted.items():
+        if key not in importance:
+            importance[key] = MO.importance(fm, shared.rows)
+    paths = ([f"{folder}/boosted"] if boosted else []) + [f"{folder}/{combos.index(c)}-{m}" for c in combos for m in others]
+    preds = spark.read.parquet(*paths)
+    with_ensemble = cfg.ensemble and len(cfg.models) > 1
+    if with_ensemble:
+        ens = ME.ensemble_mean(preds, list(cfg.models), (*where, *keys, "split"))
+        preds = preds.unionByName(ens.select(*preds.columns)).checkpoint(eager=True)
+    # A row per combination, model and split at most.
+    aucs = {(r["feature_set"], r["pca_mode"], r["model"], r["split"]): r["auc"]
+            for r in ME.roc_auc(preds, keys=[*where, "model", "split"]).collect()}
+    cuts = {(r["feature_set"], r["pca_mode"], r["model"]): r for r in ME.best_cutoff(preds, keys=[*where, "model"]).collect()}
+    rows = []
+    for combo in combos:
+        for name in [*cfg.models, *(["Ensemble"] if with_ensemble else [])]:
+            if name == "Ensemble":
+                params = {"method": "average of predicted probabilities", "models": json.dumps(list(cfg.models))}
+                imp = {}
+            else:
+                params = {k: str(v) for k, v in fitted[combo, name].params.items()}
+                imp = importance[combo, name]
+            c = cuts[(*combo, name)]
+            rows.append((*combo, name, aucs.get((*combo, name, "validation")), aucs.get((*combo, name, "test")), c["cutoff"],
+                         c["precision"], c["recall"], c["f1"], c["accuracy"], params, imp, len(rows)))
     metrics = spark.createDataFrame(rows, METRICS_SCHEMA)
     if cfg.output:
+        for combo in combos:
+            own = preds.filter((F.col("feature_set") == combo[0]) & (F.col("pca_mode") == combo[1])).drop(*where)
+            write_combo(own, {m: fitted[combo, m] for m in cfg.models}, f"{cfg.output}/{combo[0]}/{combo[1]}")
         write_metrics(metrics, cfg.output)
     return metrics
 

@@ -66,12 +66,17 @@ def test_sweep_metrics_and_json(spark, tmp_path):
         == {"LR", "XGB", "Ensemble"}
     rows = EX.prepare_combo(df, "all", "plus", cfg)
     preds, fitted = EX.combo_predictions(rows, cfg)
+    keys, test = ["rid", "visit", "copy"], rows.filter("split = 'test'")
     for name in ("LR", "XGB"):
-        again = MO.load_model(spark, str(one / name / "fitted"))
-        keys = ["rid", "visit", "copy"]
-        a = sorted(map(tuple, again.score(rows.filter("split = 'test'"), keys).collect()))
-        b = sorted(map(tuple, fitted[name].score(rows.filter("split = 'test'"), keys).collect()))
+        MO.save_model(fitted[name], str(tmp_path / name))
+        again = MO.load_model(spark, str(tmp_path / name))
+        a = sorted(map(tuple, again.score(test, keys).collect()))
+        b = sorted(map(tuple, fitted[name].score(test, keys).collect()))
         assert a == b and again.n_trees == fitted[name].n_trees
+    # The sweep's own files hold the model of the one combination fitted alone.
+    swept = {tuple(r[:3]): r.prob for r in MO.load_model(spark, str(one / "LR" / "fitted")).score(test, keys).collect()}
+    for r in fitted["LR"].score(test, keys).collect():
+        assert swept[tuple(r[:3])] == pytest.approx(r.prob, abs=1e-6)
     assert json.loads((spark.read.text(str(tmp_path / "sweep" / "results_json")).first().value))["all"]
     ranked = EX.auc_summary(metrics).collect()
     assert ranked[0].auc_test == max(r.auc_test for r in got)
