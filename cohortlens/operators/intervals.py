@@ -8,7 +8,7 @@ is narrow (no shuffle) and grows linearly with the panel.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import presets as P
@@ -68,6 +68,45 @@ def build_intervals(df: DataFrame, spec: PanelSpec = STUDY, outcomes=OUTCOMES,
     return rows.selectExpr(*out, *diffs, f"__o.tag AS {X.q(tag_col)}")
 
 
+def build_intervals_long(long_df: DataFrame, people: DataFrame, spec: PanelSpec = STUDY, outcomes=OUTCOMES,
+                         tag_col: str = "data_type") -> DataFrame:
+    """The same interval examples from a long panel: (id, feature, visit, value), carried forward, ``age`` a feature.
+
+    The next visit's value comes by ``lead`` over (id, feature), a window of
+    ``n_visits`` rows, so no participant is gathered as a whole before the
+    last grouping. ``people`` has a row per participant with the status and
+    baseline columns.
+    """
+    for o in outcomes:
+        if o not in _EXCLUDED:
+            raise ValueError("an outcome is diag or drug")
+    dm, status = spec.status_columns
+    plans = []
+    for o in outcomes:
+        n, pos = X.interval_plan(X.q(dm), X.q(status), o, _EXCLUDED[o])
+        plans.append(f"named_struct('tag', '{o}', 'n', {n}, 'pos', {pos})")
+    wanted = people.selectExpr(X.q(spec.id_col), *[X.q(c) for c in spec.base_columns], f"explode(array({', '.join(plans)})) AS __o") \
+        .filter("__o.n > 0").selectExpr("*", "explode(sequence(1, __o.n)) AS visit")
+    nxt = F.lead("value").over(Window.partitionBy(spec.id_col, "feature").orderBy("visit"))
+    steps = long_df.withColumn("__next", nxt)
+    kinds = {f: spec.n_levels(f) for f in spec.features}
+    change = "__next - value"
+    for levels in sorted({n for n in kinds.values() if n is not None}):
+        names = ", ".join(f"'{f}'" for f, n in kinds.items() if n == levels)
+        change = f"CASE WHEN feature IN ({names}) THEN {X.transition_code('value', '__next', levels, spec.sentinel)} ELSE {change} END"
+    steps = steps.selectExpr(X.q(spec.id_col), "feature", "CAST(visit AS INT) AS visit", "value", f"{change} AS __change")
+    cells = []
+    for f in spec.features:
+        cells += [F.max(F.when(F.col("feature") == f, F.col("value"))).alias(f),
+                  F.max(F.when(F.col("feature") == f, F.col("__change"))).alias(f"{f}_diff")]
+    age = F.max(F.when(F.col("feature") == "age", F.col("value"))).alias("age")
+    rows = steps.groupBy(spec.id_col, "visit").agg(age, *cells).join(
+        wanted.withColumn("visit", F.col("visit").cast("int")), [spec.id_col, "visit"])
+    return rows.select(spec.id_col, "visit", F.expr("coalesce(CAST(visit = __o.pos AS INT), 0)").alias("label"),
+                       *spec.base_columns, "age", *spec.features, *[f"{f}_diff" for f in spec.features],
+                       F.col("__o.tag").alias(tag_col))
+
+
 def drop_missing_baseline(df: DataFrame, spec: PanelSpec = STUDY, outcome: str = "drug",
                           tag_col: str = "data_type") -> DataFrame:
     """Drop rows of one outcome whose listed baseline columns hold the sentinel."""

@@ -40,3 +40,13 @@ def hash_rank(df: DataFrame, group_cols, key_cols, seed: int, rank_col: str = "r
     ranked = tagged.withColumn("__k", F.row_number().over(inner)).join(offsets, [*group_cols, "__b"]) \
         .withColumn(rank_col, F.col("__off") + F.col("__k"))
     return ranked.drop("__h", "__b", "__off", "__k")
+
+
+def seeded_sample(df: DataFrame, k: int, key_cols, seed: int) -> DataFrame:
+    """``k`` rows (all, if there are fewer), those with the least MD5 of ``seed:key``.
+
+    Each task keeps its own first ``k`` and those meet (``TakeOrderedAndProject``): nothing is sorted as a whole, and
+    the same rows come whatever the partitions, if the keys are unique. ``k`` is the feature: a report's sample.
+    """
+    hashed = df.withColumn("__h", seeded_hash(key_cols, seed))
+    return hashed.orderBy("__h", *key_cols).limit(k).drop("__h")

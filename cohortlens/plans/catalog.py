@@ -7,18 +7,24 @@ so a check against another engine does not hinge on summation order.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import impute as IM
-from ..operators.intervals import build_intervals, drop_missing_baseline, transition_table
-from ..operators.panel import (clean_measurements, lowercase_columns, merge_panels,
+from ..operators.intervals import (build_intervals, build_intervals_long, drop_missing_baseline,
+                                   transition_table)
+from ..operators.panel import (carry_forward_long, clean_measurements, lowercase_columns, merge_panels, panel_to_long,
                                scale_income_columns)
-from ..plans.preprocess import prepared_panel, preprocess
+from ..operators.ranking import seeded_sample
+from ..plans.preprocess import prepared_panel, preprocess, write_intervals
+from ..session import ensure_checkpoint_dir
 from ..sources.standins import EVENT_SPEC, customer_measurements, event_cohort
 
 ROUND_DIGITS = 6
+SAMPLE_SEED = 123
 
 
 def rounded(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
@@ -94,6 +100,28 @@ def q_preprocess_union(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(preprocess(coh, meas, EVENT_SPEC, scale_income=True))
 
 
+def q_intervals_long(spark: SparkSession, sf: str) -> DataFrame:
+    """Interval examples of both outcomes from the long panel: carry-forward and next visit by windows."""
+    coh, meas = _event_inputs(spark, sf)
+    panel = prepared_panel(coh, meas, EVENT_SPEC)
+    people = panel.select(EVENT_SPEC.id_col, *EVENT_SPEC.status_columns, *EVENT_SPEC.base_columns)
+    long = carry_forward_long(panel_to_long(panel, EVENT_SPEC), id_col=EVENT_SPEC.id_col)
+    return build_intervals_long(long, people, EVENT_SPEC)
+
+
+def q_training_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Interval rows written by row type and read back for one type: only its folder is read."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/intervals-{uuid.uuid4().hex}"
+    write_intervals(q_preprocess_union(spark, sf), path)
+    return FE.load_training_data(spark, path, data_type="diag")
+
+
+def q_seeded_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """1,000 rows of the line items by seeded hash (W8's sample)."""
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return seeded_sample(rows, 1000, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], SAMPLE_SEED)
+
+
 def q_preprocess_raw(spark: SparkSession, sf: str) -> DataFrame:
     coh, meas = _event_inputs(spark, sf)
     return rounded(preprocess(coh, meas, EVENT_SPEC, scale_income=True, impute_missing=False))
@@ -112,6 +140,9 @@ PREPROCESS_QUERIES = {
     "impute_mean": q_impute_mean,
     "preprocess_union": q_preprocess_union,
     "preprocess_raw": q_preprocess_raw,
+    "intervals_long": q_intervals_long,
+    "training_round_trip": q_training_round_trip,
+    "seeded_sample": q_seeded_sample,
 }
 
 
@@ -267,6 +298,15 @@ def q_pca_block(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("rid", "visit", *[c for c in out.columns if "_pca_" in c])
 
 
+def q_block_correlations(spark: SparkSession, sf: str) -> DataFrame:
+    """The matrix that all PCA blocks of the sweep come from: (first, second, correlation) of the block columns."""
+    rows = FE.training_table(q_preprocess_union(spark, sf), "diag")
+    blocks = FE.PCABlocks({n: FE.existing(rows, c) for n, c in EVENT_BLOCKS.items()}).fit(rows)
+    cells = [(a, b, round(float(blocks.matrix[i, j]), ROUND_DIGITS)) for i, a in enumerate(blocks.columns)
+             for j, b in enumerate(blocks.columns) if i < j]
+    return spark.createDataFrame(cells, "first string, second string, correlation double")
+
+
 def _prepared(spark, sf, sampling=None):
     cfg = experiment_config(sampling=sampling)
     rows = training_rows(spark, sf).checkpoint(eager=True)
@@ -284,14 +324,34 @@ def _fit_query(name):
     return q
 
 
-# fixed values: the boosted preset A's alternative learning rate kept next to the shipped one
-XGB_RATE_GRID = [{"maxIter": 10, "maxDepth": 5, "stepSize": r} for r in (0.01, 0.1)]
+# The presets' shipped values, and beside each the alternative its grid names.
+TWO_ENTRY_GRIDS = {
+    "LR": [{"C": 1.0, "penalty": "l1"}, {"C": 0.1, "penalty": "l1"}],
+    "RF": [{"numTrees": 50, "maxDepth": 5}, {"numTrees": 50, "maxDepth": 8}],
+    "XGB": [{"maxIter": 10, "maxDepth": 5, "stepSize": r} for r in (0.01, 0.1)],
+    "LGBM": [{"maxIter": 50, "maxDepth": 5, "stepSize": r} for r in (0.01, 0.1)],
+    "ANN": [{"maxIter": 50}, {"maxIter": 20}],
+    "RNN": [{"maxIter": 30}, {"maxIter": 15}],
+}
 
 
 def q_grid_search(spark: SparkSession, sf: str) -> DataFrame:
-    """Validation-set grid search (M7) over preset A's two learning rates; log, best AUC first."""
-    fm = _boosted(spark, sf, "XGB", XGB_RATE_GRID)
-    return MO.grid_log_frame(spark, fm)
+    """Validation-set grid search (M7) of all six presets, two entries each; log, best AUC first.
+
+    The boosted presets are fitted in one pass a level; the others share one table and run as concurrent jobs."""
+    rows, cfg = _prepared(spark, sf)
+    keys = [*cfg.row_keys, "copy"]
+    cat = FE.existing(rows, CATEGORICAL)
+    num = [c for c in FE.feature_columns(rows, FE.ID_LIKE + tuple(keys)) if c not in cat]
+    boosted = [MO.BoostRequest(n, n, num, cat, TWO_ENTRY_GRIDS[n], cfg.seed) for n in ("XGB", "LGBM")]
+    fitted = MO.fit_boosted_models(rows, boosted, keys)[0]
+    for name in ("LR", "RF", "ANN", "RNN"):
+        fitted[name] = MO.fit_model(name, rows, num, cat, keys, cfg.seed, TWO_ENTRY_GRIDS[name])
+    logs = [MO.grid_log_frame(spark, fm) for fm in fitted.values()]
+    out = logs[0]
+    for log in logs[1:]:
+        out = out.unionByName(log)
+    return out.orderBy(F.desc("auc"), "model", "params")
 
 
 def q_coef_table(spark: SparkSession, sf: str) -> DataFrame:
@@ -361,6 +421,7 @@ MODEL_QUERIES = {
     "one_hot": q_one_hot,
     "one_hot_slots": q_one_hot_slots,
     "pca_block": q_pca_block,
+    "block_correlations": q_block_correlations,
     **{f"fit_{m.lower()}": _fit_query(m) for m in ("LR", "RF", "XGB", "LGBM", "ANN", "RNN")},
     "grid_search": q_grid_search,
     "coef_table": q_coef_table,

@@ -257,7 +257,38 @@ def preprocess_raw():
     return _cte(*ctes) + f"SELECT {_round_all(_interval_columns(), _interval_doubles())} FROM iv"
 
 
+def intervals_long():
+    return (_cte(*_panel_ctes(), *_interval_ctes("diag", "iv1"), *_interval_ctes("drug", "iv2"))
+            + "SELECT * FROM iv1 UNION ALL SELECT * FROM iv2")
+
+
+def training_round_trip():
+    return f"SELECT * EXCLUDE (data_type) FROM ({preprocess_union()}) WHERE data_type = 'diag'"
+
+
+def seeded_sample():
+    from .catalog import SAMPLE_SEED
+    keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    text = ", ".join(f"CAST({k} AS VARCHAR)" for k in keys)
+    return (f"SELECT {', '.join(keys)} FROM lineitem ORDER BY md5(concat_ws(':', '{SAMPLE_SEED}', {text})), "
+            f"{', '.join(keys)} LIMIT 1000")
+
+
+def block_correlations():
+    from .catalog import EVENT_BLOCKS
+    have = set(_interval_columns())
+    cols = list(dict.fromkeys(c for block in EVENT_BLOCKS.values() for c in block if c in have))
+    pairs = [f"SELECT '{a}' AS first, '{b}' AS second, CASE WHEN stddev_pop({a}) = 0 OR stddev_pop({b}) = 0 THEN 0.0 "
+             f"ELSE round(corr({a}, {b}), 6) END AS correlation FROM rows"
+             for i, a in enumerate(cols) for b in cols[i + 1:]]
+    return f"WITH rows AS MATERIALIZED ({training_round_trip()}) " + " UNION ALL ".join(pairs)
+
+
 PREPROCESS_ORACLES = {
+    "intervals_long": intervals_long,
+    "training_round_trip": training_round_trip,
+    "seeded_sample": seeded_sample,
+    "block_correlations": block_correlations,
     "panel_join": panel_join,
     "income_scale": income_scale,
     "clean_missing": clean_missing,

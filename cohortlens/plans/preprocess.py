@@ -60,8 +60,10 @@ def preprocess(cohort: DataFrame, measurements: DataFrame | None, spec: PanelSpe
 
 
 def write_intervals(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """Sink: partitioned by ``data_type`` so a later row-type filter prunes directories."""
-    w = df.write.mode(mode).partitionBy("data_type")
+    """Sink: partitioned by ``data_type`` so a later row-type filter prunes directories.
+
+    Writing over a folder replaces the row types that ``df`` has and leaves the others."""
+    w = df.write.mode(mode).partitionBy("data_type").option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:
