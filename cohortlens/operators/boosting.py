@@ -425,10 +425,12 @@ def fit_boosted(train: DataFrame, bins: list, jobs: list, row_keys, label: str =
                          F.lit(bytearray(start)).alias("__margins"))
     state.repartition(1 + total["n"] // TASK_ROWS).write.parquet(f"{folder}/0")
     state = spark.read.schema(state.schema).parquet(f"{folder}/0")
+    tasks = state.rdd.getNumPartitions()
     written, recent = 0, [[] for _ in jobs]         # trees that the written margins hold, and those that they lack
     for t in range(max(j.params.rounds for j in jobs)):
         if t - written == REWRITE:
             state = _rewritten(state, recent, width, f"{folder}/{t}")
+            tasks = state.rdd.getNumPartitions()
             written, recent = t, [[] for _ in jobs]
         live = [j for j, job in enumerate(jobs) if job.params.rounds > t]
         growing = {j: [Node()] for j in live}
@@ -440,9 +442,14 @@ def fit_boosted(train: DataFrame, bins: list, jobs: list, row_keys, label: str =
             if not opened:
                 break
             size = sum(len(o.nodes) * len(o.columns) for o in opened) * 3 * 8 * slots
-            parts = state.mapInArrow(_histograms(opened, width, slots, len(jobs)), "job int, node int, sums binary")
-            met = parts.repartition(1 + size // SUMS_BYTES, "job", "node").sortWithinPartitions("job", "node")
-            found = met.mapInArrow(_splits({j: (columns[j], jobs[j].params) for j in live}, slots, is_level), SPLIT_SCHEMA).collect()
+            sums = _histograms(opened, width, slots, len(jobs))
+            splits = _splits({j: (columns[j], jobs[j].params) for j in live}, slots, is_level)
+            if tasks == 1:                  # the sums of a single task are whole as they are
+                found = state.mapInArrow(lambda rows: splits(sums(rows)), SPLIT_SCHEMA).collect()
+            else:
+                met = state.mapInArrow(sums, "job int, node int, sums binary") \
+                    .repartition(1 + size // SUMS_BYTES, "job", "node").sortWithinPartitions("job", "node")
+                found = met.mapInArrow(splits, SPLIT_SCHEMA).collect()
             frontier = {j: [] for j in live}
             for r in sorted(found, key=lambda r: (r.job, r.node)):       # a row an open node
                 tree, p = growing[r.job], jobs[r.job].params

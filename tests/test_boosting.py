@@ -100,6 +100,7 @@ def test_many_models_in_one_pass_equal_each_alone(spark, binned, monkeypatch):
     jobs = [BO.Job(BO.BoostParams(5, 0.3, 3, row_share=0.5, col_share=0.5), [0, 1, 2], 7),
             BO.Job(BO.BoostParams(3, 0.3, 2, max_leaves=3), [1, 2], 8)]
     both = BO.fit_boosted(train, bins, jobs, ["rid"])
+    monkeypatch.setattr(BO, "TASK_ROWS", 100)                      # several tasks, whose sums meet
     alone = [BO.fit_boosted(train.repartition(7), bins, [j], ["rid"])[0] for j in jobs]     # other partitions, too
     for m, n in zip(both, alone):
         assert len(m.trees) == m.params.rounds
