@@ -253,9 +253,16 @@ def contaminations(docs: DataFrame, items: DataFrame, seed: int = SEED, percent:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, seed: int = SEED, percent: int = PERCENT) -> DataFrame:
-    """The documents that no item contaminates, with all their columns."""
-    hit = saved(contaminations(docs, items, seed, percent).select("doc_id").distinct(), "tile-docs")
-    return docs.join(hit, "doc_id", "left_anti")
+    """The documents that no item contaminates, with all their columns.
+
+    Documents go by their ids (all that share one go, if one is hit); a
+    document without an id goes by a hash of its text, 2 ** 62 and above.
+    """
+    own = F.xxhash64(whole_text("text")).bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
+    named = docs.withColumn("_named", F.coalesce(F.col("doc_id").cast("long"), own))
+    found = contaminations(named.select(F.col("_named").alias("doc_id"), "text"), items, seed, percent)
+    hit = saved(found.select(F.col("doc_id").alias("_named")).distinct(), "tile-docs")
+    return named.join(hit, "_named", "left_anti").select(*docs.columns)
 
 
 def op2_decontamination(spark, sf_dir: str) -> DataFrame:

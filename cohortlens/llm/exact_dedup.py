@@ -6,8 +6,11 @@ texts with one hash never merge. A hot group of copies shrinks to one row per
 map task before the shuffle.
 
 Defined cases: null text counts as empty and all empty texts are equal; a
-null id never wins over a real one; rows that repeat an id and text share one
-decision; an empty table gives an empty result; other columns are not read.
+null id never wins over a real one; an empty table gives an empty result. In
+``exact_groups`` rows that repeat an id and text share one decision, and a
+group without any id keeps all its rows (its ``keep_id`` is null); other
+columns are not read. ``exact_dedup`` keeps exactly one row of every text,
+with or without an id.
 """
 
 from __future__ import annotations
@@ -49,10 +52,22 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                       "text_sha256")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max") -> DataFrame:
-    """The documents that stay, with all their columns."""
-    stay = exact_groups(docs, id_col, text_col, keep).filter("kept").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(stay, id_col, "left_semi")
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "max",
+                hash_of=content_hash) -> DataFrame:
+    """One document of each text, with all its columns: that of the best id, as in ``exact_groups``.
+
+    The row itself is carried through the grouping, so a text that only
+    documents without an id have stays too, once. Of rows that share text and
+    id, the one with the largest hash of its columns stays.
+    """
+    best = {"max": F.max_by, "min": F.min_by}[keep]
+    others = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    unnamed = F.col(id_col).isNull()
+    order = F.struct(~unnamed if keep == "max" else unnamed, F.col(id_col), F.xxhash64(*others))
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    kept = docs.select(row.alias("_row"), order.alias("_order"), whole_text(text_col).alias("_body")) \
+        .withColumn("_hash", hash_of(F.col("_body"))).groupBy("_hash", "_body").agg(best("_row", "_order").alias("_row"))
+    return kept.select("_row.*")
 
 
 def op7_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -125,7 +125,7 @@ def scale_for(cells: DataFrame, want: float) -> float:
 
 
 def uniform(id_col: Column) -> Column:
-    """A number in [0, 1) from the MD5 of the id as text."""
+    """A number in [0, 1) from the MD5 of the id as text; documents without an id share one number."""
     return F.conv(F.substring(F.md5(F.coalesce(id_col.cast("string"), F.lit(""))), 1, 13), 16, 10).cast("double") \
         / float(1 << 52)
 

@@ -165,3 +165,12 @@ def test_ring_gives_new_shards_only():
     old, new = dict(SH.ring_arcs(10)), dict(SH.ring_arcs(11))
     assert all(new[at] == s for at, s in old.items() if at in new)
     assert set(new.values()) - set(old.values()) == {10}
+
+
+def test_exact_dedup_keeps_one_row_of_every_text(spark):
+    rows = [(1, "a"), (2, "a"), (2, "a"), (None, "a"), (None, "lonely"), (None, "lonely"), (None, "b"), (3, None), (4, ""), (None, "")]
+    for keep, a, empty in (("max", 2, 4), ("min", 1, 3)):
+        got = sorted(((r.text or "", r.doc_id) for r in ED.exact_dedup(documents(spark, rows), keep=keep).collect()), key=repr)
+        assert got == sorted([("a", a), ("lonely", None), ("b", None), ("", empty)], key=repr)
+    weak = ED.exact_dedup(documents(spark, rows), hash_of=lambda t: F.lit("same"))           # collisions stay apart
+    assert weak.count() == 4 and weak.columns == documents(spark, rows).columns

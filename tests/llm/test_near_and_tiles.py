@@ -141,3 +141,11 @@ def test_shingle_sets_equal_plain_sets():
     texts = [t for _, t in EDGE]
     x, offsets = MH.shingle_sets(pa.array(texts), 3)
     assert np.diff(offsets).tolist() == [len(shingles(t, 3)) for t in texts]
+
+
+def test_decontaminate_judges_documents_without_an_id(spark):
+    leak = prose(71, 40)
+    items = spark.createDataFrame([(1, leak)], "item_id long, text string")
+    rows = [(1, leak), (None, prose(72, 30) + " " + leak), (None, prose(73, 60)), (2, prose(74, 60)), (None, None)]
+    got = sorted(((r.doc_id, r.text) for r in DC.decontaminate(documents(spark, rows), items).collect()), key=repr)
+    assert got == sorted(rows[2:], key=repr)
