@@ -8,9 +8,10 @@ is frequent, and ``ids`` the phrases behind a block's codes. All of a piece
 lies in one block, so the merge join of the relation with itself on (piece,
 position + 1) walks one sorted array beside itself, shifted by one: two
 phrases that overlap in k - 1 words make one of k + 1. Blocks count their own
-pairs, Spark adds the counts up by phrase (a pair that is everywhere is one
-row a block), and the relation is semi-joined with the frequent phrases before
-the next length: first by a bitmap of fixed size, then exactly.
+pairs and deal them out by phrase with the place they come from (a pair that
+is everywhere is one row a block); sorted by phrase, the counts add up, and
+the frequent phrases' rows go back to their blocks, which is the semi-join
+before the next length. A phrase's id is its first place.
 
 Scores go by decimals of 38 digits and are exact up to counts of 10 ** 16.
 
@@ -33,7 +34,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.llm.common import maybe_in, pieces, saved, table, whole_text, work_dir
+from cohortlens.llm.common import pieces, saved, table, whole_text, work_dir
 
 MAX_WORDS, MIN_COUNT, TOP = 3, 10, 2000
 #: A phrase inside a longer one goes if 100 * f(longer) >= CONTAINED * f.
@@ -44,6 +45,8 @@ BLOCK_BYTES = 8 << 20
 HELD_BYTES = 32 << 20
 #: Parts in which a language's ranking is cut before the last step.
 RANK_PARTS = 64
+#: A place is a task's number, its block's and the phrase's spot in the block's list: bits of the last two (21 are left).
+BLOCK_BITS, SPOT_BITS = 14, 28
 
 PIECE_END = r"[.,;:!?\x0A-\x0D]"
 RAW = "block long, lang string, codes binary, words array<string>, counts array<long>"
@@ -85,7 +88,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nonlocal number
         sizes.pop(lang)
         number += 1
-        return _block(lang, held.pop(lang), (task << 32) + number)
+        if number >> BLOCK_BITS or task >> 63 - BLOCK_BITS - SPOT_BITS:
+            raise ValueError(f"more than {1 << BLOCK_BITS} blocks in a task, or too many tasks")
+        return _block(lang, held.pop(lang), (task << BLOCK_BITS) + number)
     for batch in pieces(batches, "text", BLOCK_BYTES):
         langs, task = batch.column("lang"), batch.column("task")[0].as_py()
         for lang in pc.unique(langs).to_pylist():
@@ -144,18 +149,68 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codes = np.frombuffer(batch.column("codes")[row].as_buffer(), np.int32)
             ids = np.frombuffer(batch.column("ids")[row].as_buffer(), np.int64)
             _, keys, _, counts = extended(codes, max(len(ids), 1))
-            block, lang = batch.column("block")[row], batch.column("lang")[row]
+            first = batch.column("block")[row].as_py() << SPOT_BITS
             for a in range(0, len(keys), 1 << 16):
                 part = keys[a:a + (1 << 16)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(block, len(part)), pa.repeat(lang, len(part)), pa.array(np.arange(a, a + len(part), dtype=np.int32)),
-                     pa.array(ids[part // len(ids)]), pa.array(ids[part % len(ids)]), pa.array(counts[a:a + (1 << 16)])],
-                    names=["block", "lang", "spot", "left", "right", "n"])
+                    [pa.array(ids[part // len(ids)]), pa.array(ids[part % len(ids)]),
+                     pa.array(first + np.arange(a, a + len(part))), pa.array(counts[a:a + (1 << 16)])],
+                    names=["left", "right", "place", "n"])
 
 
 def pairs(relation: DataFrame) -> DataFrame:
-    """(block, lang, spot, left, right, n): the phrases of the next length that each block holds, and how often."""
-    return relation.mapInArrow(_pairs, "block long, lang string, spot int, left long, right long, n long")
+    """(left, right, place, n): the phrases of the next length that each block holds, where, and how often."""
+    return relation.select("block", "codes", "ids").mapInArrow(_pairs, "left long, right long, place long, n long")
+
+
+def _met(keys: list[str], types: list[str], min_count: int):
+    """From rows sorted by ``keys``: (place, id) of the frequent ones, with count and keys in the row of the id."""
+    kinds = {"long": pa.int64(), "string": pa.string()}
+
+    def groups(table: pa.Table, last: bool) -> tuple[pa.RecordBatch, pa.Table]:
+        new = np.zeros(table.num_rows, bool)
+        new[:1] = True
+        for k in keys:
+            column = table.column(k)
+            new[1:] |= pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy()
+        starts = np.flatnonzero(new)
+        end = table.num_rows if last else int(starts[-1])          # the last group may go on
+        rest, table, starts = table.slice(end), table.slice(0, end), starts[:None if last else -1]
+        place = table.column("place").to_numpy()
+        if not len(starts):
+            total = ids = which = np.zeros(0, np.int64)
+        else:
+            total = np.add.reduceat(table.column("n").to_numpy(), starts)
+            ids = np.minimum.reduceat(place, starts)
+            which = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, end)))
+        rows = np.flatnonzero(total[which] >= min_count)
+        which = which[rows]
+        other = pa.array(place[rows] != ids[which])
+        named = [pc.if_else(other, pa.scalar(None, kinds[t]), table.column(k).take(pa.array(rows)).combine_chunks())
+                 for k, t in zip(keys, types)]
+        out = pa.RecordBatch.from_arrays([pa.array(place[rows]), pa.array(ids[which]),
+                                          pc.if_else(other, pa.scalar(None, pa.int64()), pa.array(total[which])), *named],
+                                         names=["place", "id", "f", *keys])
+        return out, rest
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if batch.num_rows:
+                both = pa.Table.from_batches([batch])
+                out, rest = groups(both if rest is None else pa.concat_tables([rest, both]), False)
+                yield out
+        if rest is not None and rest.num_rows:
+            yield groups(rest, True)[0]
+    return run
+
+
+def frequent(offered: DataFrame, keys: list[str], min_count: int, name: str) -> DataFrame:
+    """(place, id, f, keys): the places of all frequent groups; f and keys once a group. Written."""
+    types = [dict(offered.dtypes)[k].replace("bigint", "long") for k in keys]
+    dealt_out = offered.select(*keys, "place", "n").repartition(*keys).sortWithinPartitions(*keys)
+    schema = "place long, id long, f long, " + ", ".join(f"{k} {t}" for k, t in zip(keys, types))
+    return saved(dealt_out.mapInArrow(_met(keys, types, min_count), schema), name)
 
 
 def _kept_words(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -186,36 +241,31 @@ def _relation(left: pa.Table, right: pa.Table, spread, read_ids) -> pa.Table:
                                                         ("ids", pa.binary())]))
 
 
-def semi_joined(relation: DataFrame, asked: DataFrame, frequent: DataFrame, keys: list[str], apply,
-                names: list | None = None) -> DataFrame:
-    """The relation with the frequent phrases only: ``asked`` (block, spot, keys) names what each block holds."""
-    one = F.struct(*keys)
-    near = maybe_in(asked.withColumn("key", one), "key", frequent.select(one.alias("key"))).drop("key")
-    spots = near.join(frequent.select(*keys, "id"), keys).select(F.col("block").alias("held_by"), "spot", "id")
+def semi_joined(relation: DataFrame, met: DataFrame, apply, names: list | None = None) -> DataFrame:
+    """The relation with the frequent phrases only, whose places ``met`` has."""
+    spots = met.select(F.shiftright("place", SPOT_BITS).alias("held_by"),
+                       F.col("place").bitwiseAND(F.lit((1 << SPOT_BITS) - 1)).cast("int").alias("spot"), "id")
     return dealt(relation.groupBy("block").cogroup(spots.groupBy("held_by")).applyInArrow(apply, RELATION), names)
 
 
-def frequent_words(raw: DataFrame, min_count: int) -> DataFrame:
+def word_phrases(met: DataFrame) -> DataFrame:
     """(id, lang, phrase, last, f, heads, tails) of the frequent words."""
-    words = raw.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")) \
-        .groupBy("lang", F.col("w.words").alias("phrase")).agg(F.sum("w.counts").alias("f")).filter(F.col("f") >= min_count)
     none = F.array().cast("array<long>")
-    return saved(words.select(F.monotonically_increasing_id().alias("id"), "lang", "phrase", F.col("phrase").alias("last"),
-                              "f", none.alias("heads"), none.alias("tails")), "phrases-1")
+    return met.filter("f IS NOT NULL").select("id", "lang", "phrase", F.col("phrase").alias("last"), "f", none.alias("heads"),
+                                              none.alias("tails"))
 
 
-def frequent_phrases(relation: DataFrame, shorter: DataFrame, words: int, min_count: int) -> DataFrame:
-    """The same of phrases one word longer, with ``left`` and ``right``, the phrases they overlap in.
+def longer_phrases(counts: DataFrame, shorter: DataFrame, words: int) -> DataFrame:
+    """The same of phrases one word longer, from (id, left, right, f): ``left`` and ``right`` are what they overlap in.
 
     ``heads`` are the counts of a phrase's first 1, 2, ... words, ``tails`` of its last 1, 2, ... words.
     """
-    counts = pairs(relation).groupBy("lang", "left", "right").agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count)
-    first = shorter.select(F.col("id").alias("left"), F.col("phrase").alias("start"),
+    first = shorter.select(F.col("id").alias("left"), "lang", F.col("phrase").alias("start"),
                            F.concat("heads", F.array("f")).alias("heads"))
     second = shorter.select(F.col("id").alias("right"), "last", F.concat("tails", F.array("f")).alias("tails"))
     found = counts.join(first, "left").join(second, "right")
-    return saved(found.select(F.monotonically_increasing_id().alias("id"), "lang", F.concat_ws(" ", "start", "last").alias("phrase"),
-                              "last", "f", "heads", "tails", "left", "right"), f"phrases-{words}")
+    return saved(found.select("id", "lang", F.concat_ws(" ", "start", "last").alias("phrase"), "last", "f", "heads", "tails",
+                              "left", "right"), f"phrases-{words}")
 
 
 def scored(phrases: DataFrame, words: int) -> DataFrame:
@@ -255,14 +305,18 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     raw = occurrences(docs, text_col, lang_col, names)
     totals = raw.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda s, c: s + c)).alias("n"))
     totals = saved(totals, "phrase-totals")
-    levels = [frequent_words(raw, min_count)]
-    held = raw.select("block", "lang", F.posexplode("words").alias("spot", "phrase"))
-    relation = semi_joined(raw.select("block", "lang", "codes"), held, levels[0], ["lang", "phrase"], _kept_words,
-                           names)
-    for words in range(2, max_words + 1):
-        levels.append(frequent_phrases(relation, levels[-1], words, min_count))
-        if words < max_words:
-            relation = semi_joined(relation, pairs(relation).drop("n"), levels[-1], ["left", "right"], _kept_pairs, names)
+    spot = F.col("block") * F.lit(1 << SPOT_BITS)
+    held = raw.select("lang", spot.alias("first"), F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w")) \
+        .select("lang", F.col("w.words").alias("phrase"), (F.col("first") + F.col("at")).alias("place"), F.col("w.counts").alias("n"))
+    met = frequent(held, ["lang", "phrase"], min_count, "phrases-1")
+    levels = [word_phrases(met)]
+    relation = semi_joined(raw.select("block", "lang", "codes"), met, _kept_words, names)
+    for words in range(2, max_words):
+        met = frequent(pairs(relation), ["left", "right"], min_count, f"phrase-counts-{words}")
+        levels.append(longer_phrases(met.filter("f IS NOT NULL"), levels[-1], words))
+        relation = semi_joined(relation, met, _kept_pairs, names)
+    counts = pairs(relation).groupBy("left", "right").agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count)
+    levels.append(longer_phrases(counts.withColumn("id", F.monotonically_increasing_id()), levels[-1], max_words))
     for name in names:      # all that is read from here on is in the tables of phrases
         docs.sparkSession.sql(f"DROP TABLE {name}")
     found = None

@@ -73,6 +73,24 @@ def test_collocations_equal_plain(spark, words, monkeypatch):
     assert sorted(map(tuple, got.collect())) == plain_collocations([(r[1], r[2]) for r in rows], words, top=40)
 
 
+def test_groups_may_span_batches():
+    import pyarrow as pa
+    rnd = random.Random(4)
+    rows = sorted((rnd.randint(0, 3), rnd.randint(0, 2), place, rnd.randint(1, 3)) for place in rnd.sample(range(1000), 90))
+    counts, first = collections.Counter(), {}
+    for left, right, place, n in rows:
+        counts[left, right] += n
+        first[left, right] = min(first.get((left, right), place), place)
+    want = {(place, first[left, right]) for left, right, place, _ in rows if counts[left, right] >= 16}
+    for size in (1, 2, 7, 90):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[a:a + size])],
+                                              names=["left", "right", "place", "n"]) for a in range(0, 90, size)]
+        got = [r for b in collocations._met(["left", "right"], ["long", "long"], 16)(iter(batches)) for r in b.to_pylist()]
+        assert {(r["place"], r["id"]) for r in got} == want and len(got) == len(want)
+        assert {(r["left"], r["right"]): r["f"] for r in got if r["f"] is not None} == {k: v for k, v in counts.items() if v >= 16}
+        assert all((r["f"] is None) == (r["place"] != r["id"]) == (r["left"] is None) for r in got)
+
+
 def test_collocations_of_nothing(spark):
     assert collocations.collocations(documents(spark, [(1, "a")]).limit(0)).count() == 0
     assert collocations.collocations(documents(spark, [(1, None), (None, " \n"), (2, "one two")])).count() == 0
