@@ -40,9 +40,9 @@ MAX_WORDS, MIN_COUNT, TOP = 3, 10, 2000
 #: A phrase inside a longer one goes if 100 * f(longer) >= CONTAINED * f.
 CONTAINED = 50
 SCORE_SCALE = 1_000_000
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Bytes of text that a task holds for blocks of several languages.
-HELD_BYTES = 32 << 20
+HELD_BYTES = 16 << 20
 #: Parts in which a language's ranking is cut before the last step.
 RANK_PARTS = 64
 #: A place is a task's number, its block's and the phrase's spot in the block's list: bits of the last two (21 are left).
@@ -53,30 +53,30 @@ RAW = "block long, lang string, codes binary, words array<string>, counts array<
 RELATION = "block long, lang string, codes binary, ids binary"
 
 
-def word_codes(texts: pa.Array) -> tuple[np.ndarray, list[str]]:
+def word_codes(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Codes of all words in order, -1 at the ends of pieces and texts, and the distinct words.
 
     A mark that no word can hold stands for every piece end.
     """
     marked = pc.replace_substring_regex(pc.ascii_lower(texts), PIECE_END, " . ")
-    lists = pc.ascii_split_whitespace(pc.binary_join_element_wise(marked, ".", " "))
-    coded = lists.flatten().dictionary_encode()
-    codes = coded.indices.to_numpy(zero_copy_only=False)
-    words = coded.dictionary.to_pylist()
-    place = np.cumsum([w not in ("", ".") for w in words]) - 1
-    place = np.array([-2 if w == "" else -1 if w == "." else p for w, p in zip(words, place)], np.int32)
-    codes = place[codes]
-    return codes[codes > -2], [w for w in words if w not in ("", ".")]
+    coded = pc.ascii_split_whitespace(pc.binary_join_element_wise(marked, ".", " ")).flatten().dictionary_encode()
+    words = coded.dictionary
+    mark, none = (pc.equal(words, v).to_numpy(zero_copy_only=False) for v in (".", ""))
+    place = (np.cumsum(~mark & ~none) - 1).astype(np.int32)
+    place[mark], place[none] = -1, -2
+    codes = place[coded.indices.to_numpy(zero_copy_only=False)]
+    return codes[codes > -2], words.filter(pa.array(~mark & ~none))
 
 
 def _block(lang: str, held: list[pa.Array], block: int) -> pa.RecordBatch | None:
     codes, words = word_codes(pa.concat_arrays(held))
-    if not words:
+    if not len(words):
         return None
-    counts = np.bincount(codes[codes >= 0], minlength=len(words))
+    counts, all_of_them = np.bincount(codes[codes >= 0], minlength=len(words)), pa.array([0, len(words)], pa.int32())
     return pa.RecordBatch.from_arrays(
-        [pa.array([block]), pa.array([lang]), pa.array([codes.tobytes()], pa.binary()), pa.array([words], pa.list_(pa.string())),
-         pa.array([counts.tolist()], pa.list_(pa.int64()))], names=["block", "lang", "codes", "words", "counts"])
+        [pa.array([block]), pa.array([lang]), pa.array([codes.tobytes()], pa.binary()),
+         pa.ListArray.from_arrays(all_of_them, words), pa.ListArray.from_arrays(all_of_them, pa.array(counts, pa.int64()))],
+        names=["block", "lang", "codes", "words", "counts"])
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
