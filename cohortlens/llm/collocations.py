@@ -40,7 +40,7 @@ MAX_WORDS, MIN_COUNT, TOP = 3, 10, 2000
 #: A phrase inside a longer one goes if 100 * f(longer) >= CONTAINED * f.
 CONTAINED = 50
 SCORE_SCALE = 1_000_000
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 #: Bytes of text that a task holds for blocks of several languages.
 HELD_BYTES = 16 << 20
 #: Parts in which a language's ranking is cut before the last step.
@@ -198,7 +198,7 @@ def _met(keys: list[str], types: list[str], min_count: int):
         for batch in batches:
             if batch.num_rows:
                 both = pa.Table.from_batches([batch])
-                out, rest = groups(both if rest is None else pa.concat_tables([rest, both]), False)
+                out, rest = groups(both if rest is None else pa.concat_tables([rest, both]).combine_chunks(), False)
                 yield out
         if rest is not None and rest.num_rows:
             yield groups(rest, True)[0]
