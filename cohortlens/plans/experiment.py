@@ -109,7 +109,7 @@ def write_combo(preds: DataFrame, fitted: dict, path: str) -> None:
         MO.grid_log_frame(spark, fm).write.mode("overwrite").parquet(f"{path}/{name}/grid_log")
         MO.save_model(fm, f"{path}/{name}/fitted")
         if hasattr(fm.model, "trees"):
-            MO.tree_table(fm).write.mode("overwrite").parquet(f"{path}/{name}/trees")
+            MO.tree_table(fm).repartition("tree_id").write.mode("overwrite").partitionBy("tree_id").parquet(f"{path}/{name}/trees")
     ME.roc_points(preds).write.mode("overwrite").parquet(f"{path}/roc_points")
 
 

@@ -62,6 +62,8 @@ def test_sweep_metrics_and_json(spark, tmp_path):
     one = tmp_path / "sweep" / "all" / "plus"
     assert spark.read.parquet(str(one / "XGB" / "grid_log")).count() == 1
     assert spark.read.parquet(str(one / "XGB" / "trees")).count() > 10
+    trees = spark.read.parquet(str(one / "XGB" / "trees")).filter("tree_id = 3")         # one folder a tree
+    assert "PartitionFilters: [isnotnull(tree_id" in trees._jdf.queryExecution().toString() and trees.count() > 0
     assert {r.model for r in spark.read.parquet(str(one / "roc_points")).select("model").distinct().collect()} \
         == {"LR", "XGB", "Ensemble"}
     rows = EX.prepare_combo(df, "all", "plus", cfg)
@@ -80,3 +82,17 @@ def test_sweep_metrics_and_json(spark, tmp_path):
     assert json.loads((spark.read.text(str(tmp_path / "sweep" / "results_json")).first().value))["all"]
     ranked = EX.auc_summary(metrics).collect()
     assert ranked[0].auc_test == max(r.auc_test for r in got)
+
+
+def test_interval_folders_are_pruned_and_replaced_by_type(spark, tmp_path):
+    from cohortlens.operators.features import load_training_data
+    from cohortlens.plans.preprocess import write_intervals
+    both = spark.createDataFrame([(1, 0, 1.0, "diag"), (2, 1, 2.0, "diag"), (3, 1, 3.0, "drug")],
+                                 "rid long, label int, x double, data_type string")
+    path = str(tmp_path / "intervals")
+    write_intervals(both, path)
+    write_intervals(both.filter("rid = 3").withColumn("x", both.x + 1), path)            # the other type stays
+    diag, drug = (load_training_data(spark, path, data_type=t) for t in ("diag", "drug"))
+    assert sorted(map(tuple, diag.collect())) == [(1, 0, 1.0), (2, 1, 2.0)] and [r.x for r in drug.collect()] == [4.0]
+    plan = diag._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(data_type" in plan
