@@ -43,7 +43,7 @@ MAX_LEVELS = 254
 #: Rounds between two writes of the margins.
 REWRITE = 10
 #: Training rows of one task, and bytes of sums (of one source task) that meet in one.
-TASK_ROWS, SUMS_BYTES = 1 << 15, 8 << 20
+TASK_ROWS, SUMS_BYTES = 1 << 17, 8 << 20
 NODE_SCHEMA = ("tree_id int, node_id int, feature string, threshold double, categories array<string>, yes int, no int, "
                "missing int, gain double, cover double, leaf double")
 
@@ -197,8 +197,18 @@ def binned(rows: DataFrame, bins: list, keep) -> DataFrame:
     return rows.select(*keep, *cols).mapInArrow(run, schema)
 
 
+def _bytes(column: pa.Array) -> np.ndarray:
+    """All bytes of a binary column, one value after the other, where they lie."""
+    if not len(column):
+        return np.zeros(0, np.uint8)
+    size = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    ends = np.frombuffer(column.buffers()[1], size)[column.offset:column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    return np.frombuffer(data, np.uint8)[ends[0]:ends[-1]] if data is not None else np.zeros(0, np.uint8)
+
+
 def grid_of(column: pa.Array, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), width)
+    return _bytes(column).reshape(len(column), width)
 
 
 # --- trees on binned rows ----------------------------------------------------------
@@ -273,7 +283,7 @@ def _histograms(opened: list, width: int, slots: int, n_jobs: int):
             if not batch.num_rows:
                 continue
             grid = grid_of(batch.column("__bins"), width)
-            base = np.frombuffer(b"".join(batch.column("__margins").to_pylist()), "<f8").reshape(-1, n_jobs)
+            base = _bytes(batch.column("__margins")).view("<f8").reshape(-1, n_jobs)
             label, row_hash = batch.column("label").to_numpy(), batch.column("__row").to_numpy()
             for o in opened:
                 m = base[:, o.job].copy()
@@ -395,7 +405,7 @@ def _rewritten(state: DataFrame, recent: list, width: int, path: str) -> DataFra
             if not batch.num_rows:
                 continue
             grid = grid_of(batch.column("__bins"), width)
-            m = np.frombuffer(b"".join(batch.column("__margins").to_pylist()), "<f8").reshape(-1, n_jobs).copy()
+            m = _bytes(batch.column("__margins")).view("<f8").reshape(-1, n_jobs).copy()
             for j, trees in enumerate(recent):
                 for walk in trees:
                     m[:, j] += walk.values(grid)
