@@ -70,10 +70,16 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BY
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
-        pa.default_memory_pool().release_unused()
+        release()
 
 
-def split_words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def release() -> None:
+    """Give back the memory that Arrow's pools and (by the system pool's trim) numpy have freed."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+
+
+def coded_words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of each text: codes of all words in order, offsets by text, the distinct words.
 
     ``lower`` folds A-Z only.
@@ -85,13 +91,24 @@ def split_words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.nda
     counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     coded = lists.flatten().dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    words = coded.dictionary.to_pylist()
     offsets = np.concatenate([[0], np.cumsum(counts)])
-    if "" in words:  # leading or trailing white space
-        real = codes != words.index("")
+    empty = pc.index(coded.dictionary, "").as_py()
+    if empty >= 0:  # leading or trailing white space
+        real = codes != empty
         offsets = np.concatenate([[0], np.cumsum(real)])[offsets]
         codes = codes[real]
-    return codes, offsets, words
+    return codes, offsets, coded.dictionary
+
+
+def split_words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """``coded_words`` with the distinct words as Python strings."""
+    codes, offsets, words = coded_words(texts, lower)
+    return codes, offsets, strings(words)
+
+
+def strings(words: pa.Array) -> list[str]:
+    """Python strings of an array without nulls (by way of numpy, several times as fast as one by one)."""
+    return words.to_numpy(zero_copy_only=False).tolist()
 
 
 def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:

@@ -38,7 +38,8 @@ _UNIT = 16                        # order-0 frequencies add up to 2**16
 _TOTAL = 22                       # bits of the whole scale: 64 * 2**16
 _LOW = np.uint64(1 << 31)         # the range is kept at or above this
 _MASK31 = np.uint64((1 << 31) - 1)
-_REFRESH = {4, 32, 128, 448}   # steps that rebuild the order-0 distribution
+# Steps that rebuild the order-0 distribution: the first ones early, then evenly to a block's end.
+_REFRESH = {4, 32, *range(128, BLOCK // LANES, 128)}
 _CONTEXTS = 32
 _LEARN = 32                       # steps between two updates of the mixing weights
 

@@ -28,6 +28,7 @@ import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortlens.llm import idcodec
-from cohortlens.llm.common import pieces, ragged, split_words, table, whole_text, work_dir
+from cohortlens.llm.common import coded_words, pieces, ragged, strings, table, whole_text, work_dir
 
 END_ID = 1
 DOCS_PER_SHARD = 8192
@@ -53,6 +54,9 @@ BLOCK_SCHEMA = ("shard int, block int, first long, n_ids int, payload binary, do
 SIMPLE = frozenset(c for c in map(chr, [*range(97, 123), *range(0xDF, 0x180)])
                    if c.isalpha() and c.lower() == c and unicodedata.normalize("NFKD", c)[0].isalpha()
                    and unicodedata.normalize("NFC", c) == c)
+_SIMPLE_WORD = f"^[{''.join(sorted(SIMPLE))}]+$"
+#: Words whose last mark is a piece of its own (other letters would do as well, but aren't needed).
+_TAILED = "[A-Za-zÀ-ÖØ-öø-ɏ][.,]$"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -100,23 +104,18 @@ class WordIds:
         ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
         return ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
 
-    def _learn(self, cores: list[str]) -> None:
-        if len(self.place) > CACHED_WORDS:
-            self.clear()
-        simple, rest, capital = [], [], []
-        for c in cores:
-            if c in self.place:
-                continue
-            if self.direct and c:
-                if SIMPLE.issuperset(c):
-                    simple.append(c)
-                    continue
-                low = c.lower()         # other capitals of the same letters
-                if len(low) == len(c) and SIMPLE.issuperset(low):
-                    capital.append((c, low))
-                    continue
-            rest.append(c)
-        simple = list(dict.fromkeys(simple + [low for _, low in capital if low not in self.place]))
+    def _learn(self, cores: pa.Array) -> None:
+        """Add the ids of distinct new words."""
+        simple_word = pc.match_substring_regex(cores, _SIMPLE_WORD) if self.direct else pa.array([False] * len(cores))
+        simple, rest, capital = strings(cores.filter(simple_word)), [], []
+        for c in strings(cores.filter(pc.invert(simple_word))):
+            low = c.lower()         # other capitals of the same letters
+            if self.direct and c and len(low) == len(c) and SIMPLE.issuperset(low):
+                capital.append((c, low))
+            else:
+                rest.append(c)
+        if capital:
+            simple = list(dict.fromkeys(simple + [low for _, low in capital if low not in self.place]))
         ids, counts = self._direct(simple)
         others = self._whole(rest)
         self.place.update(zip(simple + rest, range(len(self.counts), len(self.counts) + len(simple) + len(rest))))
@@ -127,20 +126,24 @@ class WordIds:
         for x in others:
             self.flat.extend(x)
 
-    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words, one after the other, and their number by word."""
-        tails = self.tails
-        cut = [len(w) > 1 and w[-1] in tails and w[-2].isalpha() for w in words]
-        cores = [w[:-1] if t else w for w, t in zip(words, cut)]
-        self._learn(list(dict.fromkeys(c for c in cores if c not in self.place)))
-        place = self.place
-        missing = [c for c in dict.fromkeys(cores) if c not in place]     # the cache was emptied meanwhile
-        if missing:
-            self._learn(missing)
-        k = np.fromiter((place[c] for c in cores), np.int64, len(cores))
+        cut = pc.match_substring_regex(words, _TAILED)
+        coded = pc.if_else(cut, pc.utf8_slice_codeunits(words, 0, -1), words).dictionary_encode()
+        cores = strings(coded.dictionary)
+        if len(self.place) > CACHED_WORDS:
+            self.clear()
+        k = np.fromiter(map(self.place.get, cores, repeat(-1)), np.int64, len(cores))
+        new = np.flatnonzero(k < 0)
+        if len(new):
+            self._learn(coded.dictionary.take(pa.array(new)))
+            k[new] = np.fromiter(map(self.place.__getitem__, map(cores.__getitem__, new.tolist())), np.int64, len(new))
+        k = k[coded.indices.to_numpy(zero_copy_only=False)]
         counts = np.frombuffer(self.counts, np.uint32).astype(np.int64)
         starts = np.cumsum(counts) - counts
-        tail = np.fromiter((tails[w[-1]][0] + 1 if t else 0 for w, t in zip(words, cut)), np.int64, len(words))
+        marks = [self.tails[t][0] + 1 for t in ".,"]
+        tail = np.where(pc.ends_with(words, ",").to_numpy(zero_copy_only=False), marks[1], marks[0]) \
+            * cut.to_numpy(zero_copy_only=False)
         n = counts[k]
         total = n + (tail > 0)
         ends = np.cumsum(total)
@@ -153,7 +156,7 @@ class WordIds:
         """All ids of the texts in order, and the number of ids of each text (without an end id)."""
         # Letters A-Z are lower-cased by the tokenizer; only marks of special tokens are told apart before that.
         special = bool(pc.any(pc.match_substring(pc.fill_null(texts, ""), "<|")).as_py())
-        codes, offsets, words = split_words(texts, lower=not special)
+        codes, offsets, words = coded_words(texts, lower=not special)
         if not len(codes):
             return np.zeros(0, np.uint16), np.diff(offsets)
         ids, counts = self.words(words)
