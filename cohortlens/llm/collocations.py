@@ -34,15 +34,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortlens.llm.common import pieces, saved, table, whole_text, work_dir
+from cohortlens.llm.common import pieces, release, saved, table, whole_text, work_dir
 
 MAX_WORDS, MIN_COUNT, TOP = 3, 10, 2000
 #: A phrase inside a longer one goes if 100 * f(longer) >= CONTAINED * f.
 CONTAINED = 50
 SCORE_SCALE = 1_000_000
 BLOCK_BYTES = 8 << 20
-#: Bytes of text that a task holds for blocks of several languages.
-HELD_BYTES = 16 << 20
+#: Bytes of text whose words a task holds, as codes, for blocks of several languages; and bytes coded at a time.
+HELD_BYTES, CODED_BYTES = 16 << 20, 1 << 20
 #: Parts in which a language's ranking is cut before the last step.
 RANK_PARTS = 64
 #: A place is a task's number, its block's and the phrase's spot in the block's list: bits of the last two (21 are left).
@@ -68,11 +68,17 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return codes[codes > -2], words.filter(pa.array(~mark & ~none))
 
 
-def _block(lang: str, held: list[pa.Array], block: int) -> pa.RecordBatch | None:
-    codes, words = word_codes(pa.concat_arrays(held))
+def _block(lang: str, held: list[tuple[np.ndarray, pa.Array]], block: int) -> pa.RecordBatch | None:
+    """One block of the parts ``held``, each coded by its own words."""
+    coded = pa.concat_arrays([w for _, w in held]).dictionary_encode()
+    words, place, at, parts = coded.dictionary, coded.indices.to_numpy(), 0, []
     if not len(words):
         return None
-    counts, all_of_them = np.bincount(codes[codes >= 0], minlength=len(words)), pa.array([0, len(words)], pa.int32())
+    for codes, own in held:
+        parts.append(np.append(place[at:at + len(own)], np.int32(-1))[codes])    # the last place is for -1 itself
+        at += len(own)
+    codes, all_of_them = np.concatenate(parts), pa.array([0, len(words)], pa.int32())
+    counts = np.bincount(codes + 1, minlength=len(words) + 1)[1:]
     return pa.RecordBatch.from_arrays(
         [pa.array([block]), pa.array([lang]), pa.array([codes.tobytes()], pa.binary()),
          pa.ListArray.from_arrays(all_of_them, words), pa.ListArray.from_arrays(all_of_them, pa.array(counts, pa.int64()))],
@@ -80,7 +86,7 @@ def _block(lang: str, held: list[pa.Array], block: int) -> pa.RecordBatch | None
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: dict[str, list[pa.Array]] = {}
+    held: dict[str, list[tuple[np.ndarray, pa.Array]]] = {}
     sizes: dict[str, int] = {}
     number = task = 0
 
@@ -91,16 +97,18 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if number >> BLOCK_BITS or task >> 63 - BLOCK_BITS - SPOT_BITS:
             raise ValueError(f"more than {1 << BLOCK_BITS} blocks in a task, or too many tasks")
         return _block(lang, held.pop(lang), (task << BLOCK_BITS) + number)
-    for batch in pieces(batches, "text", BLOCK_BYTES):
+    for batch in pieces(batches, "text", CODED_BYTES):
         langs, task = batch.column("lang"), batch.column("task")[0].as_py()
         for lang in pc.unique(langs).to_pylist():
             texts = batch.column("text").filter(pc.equal(langs, lang))
-            held.setdefault(lang, []).append(texts)
+            held.setdefault(lang, []).append(word_codes(texts))
             sizes[lang] = sizes.get(lang, 0) + pc.sum(pc.binary_length(texts)).as_py()
             if sizes[lang] >= BLOCK_BYTES:
                 yield cut(lang)
+                release()
         while sum(sizes.values()) > HELD_BYTES:
             yield cut(max(sizes, key=sizes.get))
+            release()
     for lang in list(held):
         yield cut(lang)
 
@@ -139,8 +147,9 @@ def extended(codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     and the count of each pair.
     """
     at = np.flatnonzero((codes[:-1] >= 0) & (codes[1:] >= 0))
-    keys, which, counts = np.unique(codes[at].astype(np.int64) * n + codes[at + 1], return_inverse=True, return_counts=True)
-    return at, keys, which, counts
+    coded = pa.array(codes[at].astype(np.int64) * n + codes[at + 1]).dictionary_encode()
+    which = coded.indices.to_numpy()
+    return at, coded.dictionary.to_numpy(), which, np.bincount(which, minlength=len(coded.dictionary))
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,6 +165,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     [pa.array(ids[part // len(ids)]), pa.array(ids[part % len(ids)]),
                      pa.array(first + np.arange(a, a + len(part))), pa.array(counts[a:a + (1 << 16)])],
                     names=["left", "right", "place", "n"])
+            release()
 
 
 def pairs(relation: DataFrame) -> DataFrame:
@@ -237,6 +247,7 @@ def _relation(left: pa.Table, right: pa.Table, spread, read_ids) -> pa.Table:
         new[spots] = np.arange(len(spots))      # the last place stays -1, for -1 itself
         rows.append({"block": left.column("block")[k].as_py(), "lang": left.column("lang")[k].as_py(),
                      "codes": new[codes].tobytes(), "ids": ids.astype(np.int64).tobytes()})
+    release()
     return pa.Table.from_pylist(rows, schema=pa.schema([("block", pa.int64()), ("lang", pa.string()), ("codes", pa.binary()),
                                                         ("ids", pa.binary())]))
 
