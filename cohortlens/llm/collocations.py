@@ -122,6 +122,7 @@ def _full(blocks):
 def dealt(relation: DataFrame, names: list | None = None) -> DataFrame:
     """Write a relation to the shared folder in buckets by block, so that the joins by block read it where it lies.
 
+    Its rows are long, so it goes by zstd, which streams; snappy keeps native buffers as long as a page.
     ``names`` gets the table's name, for whoever drops it.
     """
     spark = relation.sparkSession
@@ -129,7 +130,7 @@ def dealt(relation: DataFrame, names: list | None = None) -> DataFrame:
     if names is not None:
         names.append(name)
     relation.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "block").sortBy("block") \
-        .option("path", work_dir(spark, "phrase-places")).saveAsTable(name)
+        .option("compression", "zstd").option("path", work_dir(spark, "phrase-places")).saveAsTable(name)
     return spark.table(name)
 
 
@@ -230,7 +231,7 @@ def _kept_words(left: pa.Table, right: pa.Table) -> pa.Table:
 def _kept_pairs(left: pa.Table, right: pa.Table) -> pa.Table:
     def spread(codes, ids):
         at, _, which, _ = extended(codes, max(len(ids), 1))
-        out = np.full(len(codes), -1, np.int64)
+        out = np.full(len(codes), -1, np.int32)
         out[at] = which
         return out
     return _relation(left, right, spread, lambda row: np.frombuffer(row, np.int64))
@@ -241,8 +242,8 @@ def _relation(left: pa.Table, right: pa.Table, spread, read_ids) -> pa.Table:
     spots, ids = right.column("spot").to_numpy(), right.column("id").to_numpy()
     rows = []
     for k in range(left.num_rows):
-        codes = np.frombuffer(left.column("codes")[k].as_py(), np.int32)
-        codes = spread(codes, read_ids(left.column("ids")[k].as_py() if "ids" in left.column_names else None))
+        codes = np.frombuffer(left.column("codes")[k].as_buffer(), np.int32)
+        codes = spread(codes, read_ids(left.column("ids")[k].as_buffer() if "ids" in left.column_names else None))
         new = np.full(max(int(codes.max(initial=-1)), int(spots.max(initial=-1))) + 2, -1, np.int32)
         new[spots] = np.arange(len(spots))      # the last place stays -1, for -1 itself
         rows.append({"block": left.column("block")[k].as_py(), "lang": left.column("lang")[k].as_py(),
