@@ -19,7 +19,11 @@ line needs: no pairs are emitted, whatever the size of a group. The edit
 distance to that earliest line is verified. DataFrame functions only.
 
 Defined cases: null text has no lines; repeated rows keep equal decisions (they
-share their place in the order); empty tables give no rows.
+share their place in the order), and so do lines of one number in documents
+without an id, which come before all others; of equal lines the smallest (id,
+number) stays; empty tables give no rows; other columns are not read.
+``dedup_lines`` keeps them, whatever they are called, and leaves the texts of
+documents without an id as they are.
 """
 
 from __future__ import annotations
@@ -112,12 +116,13 @@ def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """The documents with dropped lines removed from their texts; ids must be unique."""
+    lines, key = (name + "_" * sum(map(len, docs.columns)) for name in ("gone_lines", "gone_id"))    # longer than any column
     gone = line_decisions(docs, id_col, text_col, min_chars).filter("NOT kept").groupBy("doc_id") \
-        .agg(F.collect_set("line_no").alias("gone_lines")).withColumnRenamed("doc_id", "gone_id")
-    out = docs.join(gone, F.col(id_col) == F.col("gone_id"), "left")
+        .agg(F.collect_set("line_no").alias(lines)).withColumnRenamed("doc_id", key)
+    out = docs.join(gone, F.col(id_col) == F.col(key), "left")
     kept = F.filter(F.transform(F.split(F.col(text_col), "\n", -1), lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
-                    lambda s: ~F.array_contains("gone_lines", s["i"]))
-    new = F.when(F.col("gone_lines").isNull(), F.col(text_col)).otherwise(
+                    lambda s: ~F.array_contains(lines, s["i"]))
+    new = F.when(F.col(lines).isNull(), F.col(text_col)).otherwise(
         F.array_join(F.transform(kept, lambda s: s["x"]), "\n"))
     return out.withColumn(text_col, new).select(*docs.columns)
 

@@ -174,3 +174,13 @@ def test_exact_dedup_keeps_one_row_of_every_text(spark):
         assert got == sorted([("a", a), ("lonely", None), ("b", None), ("", empty)], key=repr)
     weak = ED.exact_dedup(documents(spark, rows), hash_of=lambda t: F.lit("same"))           # collisions stay apart
     assert weak.count() == 4 and weak.columns == documents(spark, rows).columns
+
+
+def test_dedup_lines_keeps_columns_of_any_name_and_texts_without_an_id(spark):
+    one = "a line of more than sixteen characters"
+    rows = [(1, one, "p", "q"), (2, f"{one}\nother", "p", "q"), (None, f"{one}\nmore", "p", "q"), (None, "x", "p", "q")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, gone_lines string, gone_id string")
+    from cohortlens.llm.line_dedup import dedup_lines
+    got = sorted((str(r.doc_id), r.text, r.gone_lines, r.gone_id) for r in dedup_lines(docs).collect())
+    # A null id comes first in the order, so the other two copies go; its own documents stay as they are.
+    assert got == [("1", "", "p", "q"), ("2", "other", "p", "q"), ("None", f"{one}\nmore", "p", "q"), ("None", "x", "p", "q")]
