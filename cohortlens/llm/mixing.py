@@ -2,10 +2,13 @@
 
 Documents are counted into cells (source, language, topic) with their tokens
 (white-space words). Raking multiplies the cells' token weights in turn to the
-target share of every source, language and topic until all marginals agree,
-or, from ``LOOKS`` looks on, no longer get closer by a tenth from look to look
-(targets that empty cells keep from being met together): then a warning gives
-the largest error left.
+target share of every source, language and topic until all marginals agree or
+it is proven that no weights meet all targets (empty cells can keep them from
+it): a warning then gives the largest error left. The proof is Farkas' lemma
+with the logarithms of a round's factors: weights that met the targets would
+bring the targets' mean of them to at most the largest sum in any cell.
+Targets that can be met only with cells of no weight get close without end:
+raking gives up after ``LOOKS`` looks, also with a warning.
 A document's weight is its cell's raked weight over its cell's tokens; the
 sampling probability is min(1, scale * weight) with the one scale that makes
 the expected tokens the wanted part of all tokens. A document is taken if a
@@ -22,7 +25,9 @@ handled as a table all the same, and only sums come to the driver.
 
 Defined cases: null text counts as empty (0 tokens, weight kept, topic of
 the empty word); null source, language or topic counts as the empty string;
-repeated rows count each and share one decision; an empty table gives no rows.
+repeated rows count each and share one decision, and so do all documents
+without an id (one random number for an id); an empty table gives no rows;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -41,7 +46,7 @@ TOPICS = 8
 TEMPER = 0.7
 KEEP = 0.6
 ROUNDS = 4          # raking rounds between two looks at the marginals
-LOOKS = 15
+LOOKS = 250
 TOLERANCE = 1e-6
 
 
@@ -84,24 +89,42 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
         start = start.join(t.select(F.col("value").alias(d), F.col("target").alias(f"target_{d}")), d, "left")
     start = start.withColumn("share", F.when(F.col("tokens") > 0, F.col("tokens").cast("double")).otherwise(0.0))
     cur = saved(start.fillna(0.0, [f"target_{d}" for d in targets]), "mix-cells")
-    last = float("inf")
     for look in itertools.count(1):
         step = cur
         for _ in range(ROUNDS):
             for d in targets:
-                sums = F.sum("share").over(W.partitionBy(d))
-                step = step.withColumn("share", F.when(sums > 0, F.col("share") * F.col(f"target_{d}") / sums)
-                                       .otherwise(0.0))
+                step = step.withColumn("_sum", F.sum("share").over(W.partitionBy(d))) \
+                    .withColumn(f"factor_{d}", F.when(F.col("_sum") > 0, F.col(f"target_{d}") / F.col("_sum"))) \
+                    .withColumn("share", F.coalesce(F.col("share") * F.col(f"factor_{d}"), F.lit(0.0))).drop("_sum")
         cur = saved(step, "mix-cells")
         off = max((cur.groupBy(d).agg(F.abs(F.sum("share") - F.first(f"target_{d}")).alias("off"))
                    .agg(F.max("off")).first()[0] or 0.0) for d in targets)
         if off < TOLERANCE:
             break
-        if look >= LOOKS and off > 0.9 * last:
+        if out_of_reach(cur, list(targets)):
             warnings.warn(f"the mixing targets can't be met together: a share is off by {off:.3g}", stacklevel=2)
             break
-        last = off
-    return cur
+        if look >= LOOKS:
+            warnings.warn(f"the mixing targets are not met after {look * ROUNDS} rounds: a share is off by {off:.3g}",
+                          stacklevel=2)
+            break
+    return cur.drop(*[f"factor_{d}" for d in targets])
+
+
+def out_of_reach(cells: DataFrame, dims: list[str]) -> bool:
+    """Whether the factors of the last round (``factor_`` columns) prove that no weights of the cells meet the targets."""
+    mean, totals = 0.0, []
+    for d in dims:
+        values = cells.groupBy(d).agg(F.first(f"target_{d}").alias("t"), F.first(f"factor_{d}").alias("x")).filter("t > 0")
+        r = values.agg(F.sum("t"), F.sum(F.col("t") * F.log("x")), F.count_if(F.col("x").isNull())).first()
+        if r[2]:        # a value with a target whose cells can have no weight
+            return True
+        mean, totals = mean + (r[1] or 0.0), [*totals, r[0] or 0.0]
+    live = cells.filter(F.col("tokens") > 0)
+    for d in dims:
+        live = live.filter(F.col(f"target_{d}") > 0)
+    most = live.agg(F.max(sum(F.log(f"factor_{d}") for d in dims))).first()[0]
+    return most is not None and mean > most * (max(totals) if most > 0 else min(totals)) + 1e-9
 
 
 def scale_for(cells: DataFrame, want: float) -> float:
