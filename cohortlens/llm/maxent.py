@@ -58,7 +58,7 @@ BATCH = 8192
 SEGMENTS = 64
 CHUNK_BYTES = 24 << 20
 PIECE = 4 << 20
-END = xxhash.xxh3_64_intdigest("\x00end") >> 1
+END = -1                                    # the end token: hashes of words are never negative
 
 #: Rows of the two weight tables, at least: bias, last word, skip word, last two words; bias and both words by class.
 ROWS1 = 1 + (3 << LEAST_BITS)
