@@ -54,19 +54,24 @@ def log_model(counts: np.ndarray) -> np.ndarray:
     return np.log(p3)
 
 
+_RUN = re.compile(r"(.)\1*", re.DOTALL)
+
+
 def lattice(text: str) -> list[list[tuple[str, float]]]:
     """For each character the letters it can stand for, with costs; '' where it can be left out."""
     steps: list[list[tuple[str, float]]] = []
-    run = 0
+    run = ahead = 0         # equal characters up to here, and from here on
     for k, c in enumerate(text):
-        run = run + 1 if k and text[k - 1] == c else 1
+        if k and text[k - 1] == c:
+            run, ahead = run + 1, ahead - 1
+        else:
+            run, ahead = 1, _RUN.match(text, k).end() - k
         if c in LEET:
             options = [(x, SWAP) for x in LEET[c]] + [("", DROP if c in SEPARATORS else LOST)]
         elif not c.isalpha():
             options = [("", DROP if c in SEPARATORS else LOST), (c, LITERAL)]
         else:
             options = [(c, 0.0)]
-            ahead = next((j for j in range(k, len(text)) if text[j] != c), len(text)) - k
             if run > 1:
                 options = [(c, REPEAT if run + ahead > 3 else 0.0), ("", 0.0 if run + ahead > 3 else REPEAT)]
         steps.append(options)
@@ -75,20 +80,47 @@ def lattice(text: str) -> list[list[tuple[str, float]]]:
 
 def viterbi(steps: list[list[tuple[str, float]]], log_p: np.ndarray) -> tuple[str, float]:
     """The likeliest letters of a lattice, and their log probability less the channel's costs."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(EDGE, EDGE): (0.0, "")}
+    states = _START
+    for options in steps:
+        states = _after(states, options, log_p)
+    return _best(states, log_p)
+
+
+def viterbi_ends(steps: list[list[tuple[str, float]]], log_p: np.ndarray) -> list[str]:
+    """The likeliest letters of a lattice if it ended after its first step, its second, and so on: one walk for all."""
+    states, out = _START, []
     for options in steps:
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, out) in states.items():
-            for letter, cost in options:
-                if letter:
-                    c = CODE.get(letter, OTHER)
-                    key, value = (b, c), score + float(log_p[a, b, c]) - cost
-                else:
-                    key, value = (a, b), score - cost
-                if key not in after or value > after[key][0]:
-                    after[key] = (value, out + letter)
-        states = after
-    return max(((out, s + float(log_p[a, b, EDGE])) for (a, b), (s, out) in states.items()), key=lambda x: x[1])
+        states = _after(states, options, log_p)
+        out.append(_best(states, log_p)[0])
+    return out
+
+
+#: Letters so far are a chain (those before, the last one), so that a step costs the same however long the text is.
+_START: dict[tuple[int, int], tuple[float, tuple]] = {(EDGE, EDGE): (0.0, ())}
+
+
+def _after(states: dict, options: list[tuple[str, float]], log_p: np.ndarray) -> dict:
+    """The best way into every pair of last letters, one character on."""
+    after: dict[tuple[int, int], tuple[float, tuple]] = {}
+    for (a, b), (score, out) in states.items():
+        for letter, cost in options:
+            if letter:
+                c = CODE.get(letter, OTHER)
+                key, value = (b, c), score + float(log_p[a, b, c]) - cost
+            else:
+                key, value = (a, b), score - cost
+            if key not in after or value > after[key][0]:
+                after[key] = (value, (out, letter) if letter else out)
+    return after
+
+
+def _best(states: dict, log_p: np.ndarray) -> tuple[str, float]:
+    out, score = max(((out, s + float(log_p[a, b, EDGE])) for (a, b), (s, out) in states.items()), key=lambda x: x[1])
+    letters = []
+    while out:
+        out, letter = out
+        letters.append(letter)
+    return "".join(reversed(letters)), score
 
 
 _THRICE = re.compile(r"(.)\1\1")

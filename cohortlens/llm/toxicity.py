@@ -9,7 +9,8 @@
 3. Word features (whole word and its first 4, 5 and 6 letters) are counted
    over labelled documents. A feature is evidence if it is tied to toxic
    labels more than chance allows over all features tried; copies of a
-   document count once or little, by distinct document sketches.
+   document count once or little, by distinct document sketches (their number
+   is exact; the training sample bounds it).
 4. A document's score is 1 - (1 - base) * product of (1 - risk) over its
    distinct evidence words, in plain or restored form.
 
@@ -19,11 +20,14 @@ cover all rows and whole texts.
 
 Defined cases: null and empty texts get the base score; repeated rows get
 equal scores; without labels of both kinds all get the base score; labels
-without a document are ignored; an empty table gives no rows.
+without a document are ignored; an empty table gives no rows; a null id is
+scored like any other; other columns are not read. A run of single-letter
+tokens costs a fixed number of steps a letter, however long it is.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -107,18 +111,28 @@ def spaced_runs(codes: np.ndarray, offsets: np.ndarray, single: np.ndarray) -> l
     return [(int(d), codes[a:z]) for d, a, z in zip(docs, starts, ends) if z - a >= 3]
 
 
-def run_forms(letters: str, restored) -> list[str]:
-    """What single letters in a row can spell: every stretch of 3 to 24 of them, restored."""
-    out = []
-    for a in range(len(letters)):
-        for z in range(a + 3, min(len(letters), a + 24) + 1):
-            part = letters[a:z]
-            out.append(restored(part) if D.disguised(part) else part)
-    return out
+_MANY = re.compile(r"(.)\1{3,}")
+
+
+def run_forms(letters: str, log_p: np.ndarray, longest: int) -> Iterator[str]:
+    """What single letters in a row can spell: every stretch of three or more, restored.
+
+    A stretch goes on to ``longest`` letters and leet signs, other signs not counted: no more are in any word that is
+    looked for. More than three equal characters in a row count as three.
+    """
+    letters = _MANY.sub(r"\1\1\1", letters)
+    solid = np.flatnonzero([c.isalpha() or c in D.LEET for c in letters])
+    for k, a in enumerate(solid.tolist()):
+        part = letters[a:int(solid[k + longest]) if k + longest < len(solid) else len(letters)]
+        if D.disguised(part):
+            ends = D.viterbi_ends(D.lattice(part), log_p)
+            yield from (ends[z - 1] if D.disguised(part[:z]) else part[:z] for z in range(3, len(part) + 1))
+        else:
+            yield from (part[:z] for z in range(3, len(part) + 1))
 
 
 def _counts(log_p: np.ndarray):
-    """Per piece: feature, toxic and clean documents that have it, bitmaps of the toxic ones' sketches."""
+    """Per piece: feature, toxic and clean documents that have it, the toxic ones' sketches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restored = restorer(log_p)
         for batch in pieces(batches, "text"):
@@ -130,13 +144,12 @@ def _counts(log_p: np.ndarray):
             doc, code = pair // width, pair % width
             # Sketches of the documents' word sets: the word of the least hash, for several hashes.
             base = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))
-            bits = np.zeros((SKETCHES, len(toxic)), np.uint64)
+            sketch = np.zeros((SKETCHES, len(toxic)), np.uint64)
             first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else doc
             for s in range(SKETCHES if len(doc) else 0):
                 h = base * np.uint64(2 * s + 0x9E3779B97F4A7C15)
                 h ^= h >> np.uint64(29)
-                least = np.minimum.reduceat(h[code], first)
-                bits[s, doc[first]] = np.uint64(1) << ((least * np.uint64(0xD1342543DE82EF95)) >> np.uint64(58))
+                sketch[s, doc[first]] = np.minimum.reduceat(h[code], first)
             feats = [[f for form in forms(w, restored) for f in features_of(form)] for w in words]
             sizes = np.fromiter(map(len, feats), np.int64, len(feats))
             number: dict[str, int] = {}
@@ -158,9 +171,9 @@ def _counts(log_p: np.ndarray):
             hot = toxic[d]
             t = np.add.reduceat(hot.astype(np.int64), at)
             c = np.add.reduceat((~hot).astype(np.int64), at)
-            maps = [np.bitwise_or.reduceat(np.where(hot, bits[s, d], np.uint64(0)), at).view(np.int64)
-                    for s in range(SKETCHES)]
-            yield pa.RecordBatch.from_arrays([names.take(pa.array(f[at])), pa.array(t), pa.array(c), *map(pa.array, maps)],
+            ends = pa.array(np.concatenate([[0], np.cumsum(t)]), pa.int32())
+            lists = [pa.ListArray.from_arrays(ends, pa.array(sketch[s, d[hot]].view(np.int64))) for s in range(SKETCHES)]
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(f[at])), pa.array(t), pa.array(c), *lists],
                                              names=["feature", "t", "c", *[f"b{s}" for s in range(SKETCHES)]])
     return run
 
@@ -175,15 +188,13 @@ def learn(train: DataFrame, log_p: np.ndarray) -> tuple[dict[str, float], float]
     if not toxic or toxic == rows:
         return {}, 0.5 if not rows else min(0.65, toxic / rows)
     rate = toxic / rows
-    maps = [f"b{s}" for s in range(SKETCHES)]
+    sketches = [f"b{s}" for s in range(SKETCHES)]
     counts = train.select("text", "toxic").mapInArrow(
-        _counts(log_p), "feature string, t long, c long, " + ", ".join(f"{m} long" for m in maps)) \
+        _counts(log_p), "feature string, t long, c long, " + ", ".join(f"{m} array<long>" for m in sketches)) \
         .groupBy("feature").agg(F.sum("t").alias("t"), F.sum("c").alias("c"),
-                                *[F.expr(f"bit_or({m})").alias(m) for m in maps])
-    # Distinct sketches by linear counting; the least of several, as edits may move one of them.
-    ones = F.least(*[F.bit_count(m) for m in maps]).cast("double")
-    support = F.least(F.col("t").cast("double"), -64 * F.log(F.greatest(1 - ones / 64, F.lit(1 / 128))))
-    support = F.when(ones >= 40, F.col("t").cast("double")).otherwise(support)
+                                *[F.size(F.array_distinct(F.flatten(F.collect_list(m)))).alias(m) for m in sketches])
+    # Distinct sketches, a number for each toxic document of the sample; the least of several, as edits may move one.
+    support = F.least(*sketches).cast("double")
     counted = saved(counts.withColumn("s", support).filter(F.col("s") >= LEAST_SUPPORT)
                     .select("feature", "s", "c"), "toxic-counts")
     tried = counted.count()
@@ -198,6 +209,8 @@ def learn(train: DataFrame, log_p: np.ndarray) -> tuple[dict[str, float], float]
 
 def _scores(log_p: np.ndarray, risk: dict[str, float], base: float):
     get = risk.get
+    # No stretch of letters can be evidence by more than this many of them.
+    longest = max([PREFIXES[-1] + 1, *(len(f) for f in risk if not f.endswith("~"))])
 
     def of_form(form: str) -> float:
         return max([get(f, 0.0) for f in features_of(form)])
@@ -221,7 +234,7 @@ def _scores(log_p: np.ndarray, risk: dict[str, float], base: float):
             single = np.fromiter((len(x) == 1 for x in cores), bool, len(words))
             for d, run_codes in spaced_runs(codes, offsets, single):
                 letters = "".join(cores[c] for c in run_codes)
-                spelled = max((of_form(x) for x in run_forms(letters, restored)), default=0.0)
+                spelled = max((of_form(x) for x in run_forms(letters, log_p, longest)), default=0.0) if risk else 0.0
                 if spelled:
                     clear[d] += np.log1p(-spelled)
             score = 1 - (1 - base) * np.exp(clear)

@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -45,6 +46,15 @@ def test_lm_base_and_gain(spark):
     assert len(untrained) == len(EDGE) and all(x.train_tokens == 0 and x.score < 0 for x in untrained)
 
 
+def test_lm_end_token_is_no_word(spark):
+    """A word that is spelled as the tests write the end is counted as a word."""
+    rows = [(k, "\x00end a") for k in range(20)]
+    got = ME.lm_scores(documents(spark, rows), F.lit(True)).collect()
+    want = 3 * math.log10(20.5 / (60 + 0.5 * 4))
+    assert all(x.n_tokens == 3 and x.train_tokens == 60 and x.base_score == pytest.approx(want) for x in got)
+    assert (ME.hash_words(["\x00end", "a", ""]) >= 0).all() and ME.END < 0
+
+
 def test_lm_events_sum_to_one():
     """Over all known words and one unknown event per tail class, at one history, with random weights."""
     words = [f"w{k:04d}" for k in range(1200)]
@@ -199,6 +209,33 @@ def test_toxicity_restores_words_of_mostly_signs(spark):
     assert all(got[7000 + k] < TX.THRESHOLD for k in range(8))
 
 
+def test_restoring_is_linear():
+    """A token of 200,000 characters, alike or not, takes seconds."""
+    log_p = D.log_model(D.trigram_counts(["moron", "the"], np.full(2, 50)))
+    r = random.Random(2)
+    began = time.time()
+    assert len(D.restore("x" * 200_000, log_p)) < 200_000
+    assert len(D.restore("".join(r.choice("abcde13") for _ in range(200_000)), log_p)) > 100_000
+    assert time.time() - began < 60
+
+
+def test_spelled_runs_of_any_length(spark):
+    """Words of more than 24 spaced letters; long runs; every stretch as restored alone."""
+    long = "incontrovertiblemoronishness"
+    log_p = D.log_model(D.trigram_counts(["moron", "the", long], np.full(3, 50)))
+    assert long in set(TX.run_forms(f"xy{long}z", log_p, len(long)))
+    assert "moron" in set(TX.run_forms("the" + "m0r0n" + "xy", log_p, 7))
+    assert "moron" in set(TX.run_forms("m-" + "." * 50 + "o-ron", log_p, 7))
+    letters = "".join(random.Random(1).choice("abcde") for _ in range(50_000))
+    assert sum(1 for _ in TX.run_forms(letters, log_p, 9)) <= 7 * len(letters)
+    rows, labels = toxic_rows()
+    rows = [(i, t + (f" {long}" if labels[i] else "")) for i, t in rows] + [(6000, f"{prose(1, 30)} {' '.join(long)} {prose(2, 30)}")]
+    rows += [(6001, f"{prose(1, 30)} {' '.join('a1' * 400)}"), (6002, " ".join("." * 2000 + "x" * 2000))]
+    table = spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")
+    got = {x.doc_id: x.score for x in TX.toxicity_scores(documents(spark, rows), table).collect()}
+    assert got[6000] >= TX.THRESHOLD > max(got[6001], got[6002])
+
+
 def test_viterbi_finds_the_best_path():
     words = ["moron", "stupid", "idiot", "clown", "the", "and", "letter", "hello"]
     log_p = D.log_model(D.trigram_counts(words, np.full(len(words), 50)))
@@ -220,6 +257,7 @@ def test_viterbi_finds_the_best_path():
     for w in ("m0r0n", "1d10t", "stuuupid", "c.l.0.w.n", "h3ll0o0", "l3tterrr", "$tup!d"):
         got, want = D.viterbi(D.lattice(w), log_p), force(D.lattice(w))
         assert got[1] == pytest.approx(want[1]) and got[0] == want[0]
+        assert D.viterbi_ends(D.lattice(w), log_p)[-1] == want[0]
     assert [D.restore(w, log_p) for w in ("m0r0n", "1d10t", "stuuupid", "cl0wn", "l3tter")] == ["moron", "idiot", "stupid", "clown", "letter"]
 
 
@@ -232,6 +270,22 @@ def test_mixing_tells_of_targets_that_disagree(spark):
         MX.rake(cells, {"source": shares(a=0.1, b=0.9), "lang": shares(x=0.5, y=0.5), "topic": shares(t=1.0)})
 
 
+def test_mixing_goes_on_to_the_targets(spark, recwarn):
+    """Targets that are met slowly (cells near the diagonal), and a value whose cells are all empty."""
+    cells = spark.createDataFrame([("a", "x", "t", 480), ("a", "y", "t", 20), ("b", "x", "t", 20), ("b", "y", "t", 480)],
+                                  "source string, lang string, topic string, tokens long")
+    def shares(**of):
+        return spark.createDataFrame(list(of.items()), "value string, target double")
+    targets = {"source": shares(a=0.55, b=0.45), "lang": shares(x=0.48, y=0.52), "topic": shares(t=1.0)}
+    got = MX.rake(cells, targets).collect()
+    assert not [w for w in recwarn if "mixing targets" in str(w.message)]
+    assert sum(r.share for r in got if r.source == "a") == pytest.approx(0.55, abs=1e-5)
+    assert sum(r.share for r in got if r.lang == "x") == pytest.approx(0.48, abs=1e-5)
+    empty = cells.union(spark.createDataFrame([("c", "x", "t", 0)], cells.schema))
+    with pytest.warns(UserWarning, match="can't be met together"):
+        MX.rake(empty, {**targets, "source": shares(a=0.5, b=0.4, c=0.1)})
+
+
 def test_mixing(spark):
     r = random.Random(8)
     rows = [(k, prose(k, r.randint(1, 40)), r.choice(["en", "de"]), "big" if k % 3 else r.choice("xyz")) for k in range(400)]
