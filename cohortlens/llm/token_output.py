@@ -191,9 +191,11 @@ class _Writer:
         self.docs += 1
 
     def cut(self, last: bool) -> list[dict]:
-        """Rows of the full blocks held; of all ids held if ``last``."""
+        """Rows of the full groups of blocks held; of all ids held if ``last``."""
         flat = np.concatenate(self.ids) if self.ids else np.zeros(0, np.uint16)
         full = self.held // self.block
+        if not last:
+            full -= full % GROUP        # small groups cost more a block
         groups = [flat[a * self.block:min(a + GROUP, full) * self.block].reshape(-1, self.block)
                   for a in range(0, full, GROUP)]
         rest = flat[full * self.block:]
