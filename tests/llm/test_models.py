@@ -314,3 +314,57 @@ def test_mixing(spark):
     assert sum(x.tokens * x.weight for x in some if x.source == "big") == pytest.approx(0.9 * total, rel=1e-4)
     assert all(x.weight == 0 for x in some if x.source in "yz" and x.source and x.tokens)
     assert MX.mix(documents(spark, [])).count() == 0
+
+
+def _topics_plainly(texts):
+    """Topic of each text: every step of the definition, one text after the other."""
+    import hashlib
+    import xxhash
+    bags = []
+    for t in texts:
+        n = collections.Counter(xxhash.xxh3_64_intdigest(w) % MX.BUCKETS
+                                for w in (t or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).split())
+        bags.append({b: round(16 + 16 * math.log(c)) for b, c in n.items()})
+    held = collections.Counter(b for bag in bags for b in bag)
+    vectors = []
+    for bag in bags:
+        v = [0.0] * MX.WIDTH
+        for b in sorted(bag):
+            mixed = (b * 0x9E3779B97F4A7C15 % 2 ** 64) >> 40
+            v[mixed % MX.WIDTH] += bag[b] * math.log((len(texts) + 1) / (held[b] + 0.5)) * (-1 if mixed >> 16 & 1 else 1)
+        length = math.sqrt(sum(x * x for x in v))
+        vectors.append([round(x * MX.LENGTH / length) if length else 0 for x in v])
+    distinct = {bytes(x % 256 for x in v): v for v in vectors if any(v)}
+    centroids = [distinct[k] for k in sorted(distinct, key=lambda k: hashlib.md5(k).digest())[:MX.TOPICS]]
+
+    def nearest(v):
+        return max(range(len(centroids)), key=lambda k: (sum(a * b for a, b in zip(v, centroids[k])), -k))
+    for _ in range(MX.TOPIC_ROUNDS):
+        sums = [[0] * MX.WIDTH for _ in centroids]
+        for v in vectors:
+            if any(v):
+                k = nearest(v)
+                sums[k] = [a + b for a, b in zip(sums[k], v)]
+        centroids = [[round(MX.SCALE * x / math.sqrt(sum(y * y for y in s))) for x in s] if any(s) else c
+                     for s, c in zip(sums, centroids)]
+    return [f"t{nearest(v)}" if any(v) else "" for v in vectors]
+
+
+def test_topics_come_from_the_words(spark):
+    r = random.Random(3)
+    pools = [[f"{name}{k}" for k in range(40)] for name in ("ship", "tax", "gene")]
+    texts = [" ".join(r.choices(pools[k % 3], k=60)) for k in range(240)]
+    rows = [(k, t, "en", "s") for k, t in enumerate(texts)] + [
+        (900, None, None, None), (901, " \t\n", "en", "s"), (902, texts[0], "en", "s"), (None, texts[1], "en", "s"),
+        (903, texts[2].upper(), "en", "s"), (904, " ".join(texts * 5), "en", "s"), (904, texts[0], "en", "s")]
+    got = {(x.doc_id, x.tokens, x.topic) for x in MX.features(documents(spark, rows)).collect()}
+    other = {(x.doc_id, x.tokens, x.topic) for x in MX.features(documents(spark, rows[::-1]).repartition(7)).collect()}
+    want = _topics_plainly([x[1] for x in rows])
+    assert got == other == {(x[0], len((x[1] or "").split()), t) for x, t in zip(rows, want)}
+    by_pool = collections.defaultdict(collections.Counter)
+    for k in range(240):
+        by_pool[want[k]][k % 3] += 1
+    assert all(len(c) == 1 for c in by_pool.values())          # no topic holds texts of two vocabularies
+    empty = MX.features(documents(spark, [(1, None), (2, "")])).collect()
+    assert {x.topic for x in empty} == {""} and len(empty) == 2
+    assert {x.topic for x in MX.features(documents(spark, rows), "topic").collect()} == {"x"}
