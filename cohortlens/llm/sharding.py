@@ -7,15 +7,16 @@ clockwise to the next virtual node of a shard with room. With ``slack=0`` the
 bounds add up to the row count, so shard sizes are at most one apart (law
 ``rows``).
 
-Only counts decide the placement. Rows are counted by (slot, salt); the salt
-comes from the id, so a text that a third of all rows share is spread over
-``salts`` groups. The arcs' totals (shards x vnodes numbers, bounded by the
+Only counts decide the placement. Rows are counted by slot first, and a slot
+with many rows gets one salt for every ``salt_rows`` of them; the salt comes
+from the id, so a text that a third of all rows share is spread over as many
+groups as its count asks for. Rows are then counted by (slot, salt). The arcs' totals (shards x vnodes numbers, bounded by the
 parameters) give intervals of ranks per arc and shard; each row then finds
 its rank by a prefix count and its shard by those intervals. DataFrame
 functions only.
 
 Defined cases: null text counts as empty (16 bytes); null ids are placed like
-others; repeated rows each take a place; an empty table gives no rows.
+others (rows of one text without an id share a salt); repeated rows each take a place; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from cohortlens.llm.common import table, whole_text
 ROW_OVERHEAD = 16
 RING_SLOTS = 1 << 16
 VNODES = 64
-SALTS = 32
+SALT_ROWS = 20_000
 
 
 def ring_arcs(shards: int, vnodes: int = VNODES, ring_slots: int = RING_SLOTS) -> list[tuple[int, int]]:
@@ -86,7 +87,7 @@ def place_arcs(counts: dict[int, int], arcs: list[tuple[int, int]], shards: int,
 
 
 def shard_rows(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: str = "text", vnodes: int = VNODES,
-               slack: float = 0.0, ring_slots: int = RING_SLOTS, salts: int = SALTS) -> DataFrame:
+               slack: float = 0.0, ring_slots: int = RING_SLOTS, salt_rows: int = SALT_ROWS) -> DataFrame:
     """One row per input row: doc_id, size, text_crc32, shard, slot."""
     spark = docs.sparkSession
     arcs = ring_arcs(shards, vnodes, ring_slots)
@@ -95,13 +96,16 @@ def shard_rows(docs: DataFrame, shards: int, id_col: str = "doc_id", text_col: s
     rows = docs.select(F.col(id_col).alias("doc_id"), (F.octet_length(text) + ROW_OVERHEAD).cast("long").alias("size"),
                        F.crc32(text).alias("text_crc32"), F.md5(text).alias("h"))
     ring = F.conv(F.substring("h", 1, 15), 16, 10).cast("long") % ring_slots
-    rows = rows.select("doc_id", "size", "text_crc32", "h", ring.cast("int").alias("ring"),
-                       F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"))
+    slot = rows.select(ring.cast("int").alias("ring")).groupBy("ring").agg(
+        (1 + F.floor(F.count(F.lit(1)) / salt_rows)).alias("salts"))
+    # At most a row a slot, fixed by the parameters.
+    rows = rows.withColumn("ring", ring.cast("int")).join(F.broadcast(slot), "ring").select(
+        "doc_id", "size", "text_crc32", "h", "ring", F.pmod(F.xxhash64("doc_id"), F.col("salts")).alias("salt"))
     # Slot -> arc: ring_slots rows, fixed by the parameters, hence safe to broadcast.
     arc_of = spark.createDataFrame([(x, bisect.bisect_left(ends, x) % len(arcs)) for x in range(ring_slots)],
                                    "ring int, arc int")
     cells = rows.groupBy("ring", "salt").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(arc_of), "ring")
-    # Ranks run through an arc's slots, then salts (an arc holds ring_slots / arcs x salts cells on average).
+    # Ranks run through an arc's slots, then salts (ring_slots / arcs slots on average).
     before = W.partitionBy("arc").orderBy("ring", "salt").rowsBetween(W.unboundedPreceding, -1)
     cells = cells.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
     counts = {r["arc"]: r["n"] for r in cells.groupBy("arc").agg(F.sum("n").alias("n")).collect()}

@@ -124,6 +124,13 @@ def test_shards(spark):
     want = collections.Counter((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in rows)
     assert collections.Counter((r.doc_id, r.size, r.text_crc32) for r in got) == want
     assert SH.shard_rows(documents(spark, []), 7).count() == 0
+    # A hot slot is cut into as many groups as its count asks for, and the law holds as before.
+    cut = SH.shard_rows(documents(spark, rows), 7, salt_rows=10).collect()
+    slots = collections.Counter((r.shard, r.slot) for r in cut)
+    assert len(cut) == len(rows) == len(slots)
+    sizes = collections.Counter(r.shard for r in cut)
+    assert max(sizes.values()) - min(sizes.values()) <= 1
+    assert collections.Counter((r.doc_id, r.size, r.text_crc32) for r in cut) == want
 
 
 @pytest.mark.parametrize("slack", [0.0, 0.2])
