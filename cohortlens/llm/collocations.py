@@ -10,8 +10,8 @@ position + 1) walks one sorted array beside itself, shifted by one: two
 phrases that overlap in k - 1 words make one of k + 1. Blocks count their own
 pairs and deal them out by phrase with the place they come from (a pair that
 is everywhere is one row a block); sorted by phrase, the counts add up, and
-the frequent phrases' rows go back to their blocks, which is the semi-join
-before the next length. A phrase's id is its first place.
+the frequent phrases' places go back to their blocks, packed by block, which is the
+semi-join before the next length. A phrase's id is its first place.
 
 Scores go by decimals of 38 digits and are exact up to counts of 10 ** 16.
 
@@ -24,6 +24,7 @@ table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,6 +48,9 @@ HELD_BYTES, CODED_BYTES = 16 << 20, 1 << 20
 RANK_PARTS = 64
 #: A place is a task's number, its block's and the phrase's spot in the block's list: bits of the last two (21 are left).
 BLOCK_BITS, SPOT_BITS = 14, 28
+#: Frequent places go back to their blocks packed by block; a task packs so many at a time.
+PACKED = ["block", "spots", "ids"]
+PACKED_PLACES = 1 << 20
 
 PIECE_END = r"[.,;:!?\x0A-\x0D]"
 RAW = "block long, lang string, codes binary, words array<string>, counts array<long>"
@@ -174,11 +178,38 @@ def pairs(relation: DataFrame) -> DataFrame:
     return relation.select("block", "codes", "ids").mapInArrow(_pairs, "left long, right long, place long, n long")
 
 
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """Deflated byte by byte of the numbers, without loss."""
+    return zlib.compress(np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, numbers.itemsize).T).tobytes(), 1)
+
+
+def _unsqueezed(raw: bytes, kind) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(raw), np.uint8).reshape(np.dtype(kind).itemsize, -1).T) \
+        .view(kind).ravel()
+
+
+def _packed(place: np.ndarray, ids: np.ndarray, named: list[pa.Field]) -> pa.RecordBatch:
+    """A row for each block that the places lie in: its spots (as steps) in order, and their ids."""
+    order = np.argsort(place)
+    place, ids = place[order], ids[order]
+    block = place >> SPOT_BITS
+    cuts = np.flatnonzero(np.diff(block, prepend=-1))
+    spots, numbers = [], []
+    for a, z in zip(cuts.tolist(), [*cuts[1:].tolist(), len(place)]):
+        spot = (place[a:z] & (1 << SPOT_BITS) - 1).astype(np.int32)
+        spots.append(_squeezed(np.diff(spot, prepend=np.int32(0))))
+        numbers.append(_squeezed(ids[a:z]))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(block[cuts]), pa.array(spots, pa.binary()), pa.array(numbers, pa.binary()),
+         *(pa.nulls(len(cuts), f.type) for f in named)], names=[*PACKED, *(f.name for f in named)])
+
+
 def _met(keys: list[str], types: list[str], min_count: int):
-    """From rows sorted by ``keys``: (place, id) of the frequent ones, with count and keys in the row of the id."""
+    """From rows sorted by ``keys``: the places of the frequent ones by block, and a row (id, f, keys) for each of them."""
     kinds = {"long": pa.int64(), "string": pa.string()}
+    named = [pa.field("id", pa.int64()), pa.field("f", pa.int64()), *(pa.field(k, kinds[t]) for k, t in zip(keys, types))]
 
-    def groups(table: pa.Table, last: bool) -> tuple[pa.RecordBatch, pa.Table]:
+    def groups(table: pa.Table, last: bool) -> tuple[np.ndarray, np.ndarray, pa.RecordBatch, pa.Table]:
         new = np.zeros(table.num_rows, bool)
         new[:1] = True
         for k in keys:
@@ -195,32 +226,40 @@ def _met(keys: list[str], types: list[str], min_count: int):
             ids = np.minimum.reduceat(place, starts)
             which = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, end)))
         rows = np.flatnonzero(total[which] >= min_count)
-        which = which[rows]
-        other = pa.array(place[rows] != ids[which])
-        named = [pc.if_else(other, pa.scalar(None, kinds[t]), table.column(k).take(pa.array(rows)).combine_chunks())
-                 for k, t in zip(keys, types)]
-        out = pa.RecordBatch.from_arrays([pa.array(place[rows]), pa.array(ids[which]),
-                                          pc.if_else(other, pa.scalar(None, pa.int64()), pa.array(total[which])), *named],
-                                         names=["place", "id", "f", *keys])
-        return out, rest
+        own = rows[place[rows] == ids[which[rows]]]         # the row that gives a phrase its id
+        out = [pa.array(place[own]), pa.array(total[which[own]]),
+               *(table.column(k).take(pa.array(own)).combine_chunks() for k in keys)]
+        none = [pa.nulls(len(own), t) for t in (pa.int64(), pa.binary(), pa.binary())]
+        return place[rows], ids[which[rows]], pa.RecordBatch.from_arrays(
+            [*none, *out], names=[*PACKED, *(f.name for f in named)]), rest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        rest, held, n = None, [], 0
+
+        def found(table: pa.Table, last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal rest, n
+            place, ids, out, rest = groups(table, last)
+            yield out
+            held.append((place, ids))
+            n += len(place)
+            if n >= PACKED_PLACES or last and n:
+                yield _packed(*(np.concatenate(x) for x in zip(*held)), named)
+                held.clear()
+                n = 0
         for batch in batches:
             if batch.num_rows:
                 both = pa.Table.from_batches([batch])
-                out, rest = groups(both if rest is None else pa.concat_tables([rest, both]).combine_chunks(), False)
-                yield out
-        if rest is not None and rest.num_rows:
-            yield groups(rest, True)[0]
+                yield from found(both if rest is None else pa.concat_tables([rest, both]).combine_chunks(), False)
+        if rest is not None:
+            yield from found(rest, True)
     return run
 
 
 def frequent(offered: DataFrame, keys: list[str], min_count: int, name: str) -> DataFrame:
-    """(place, id, f, keys): the places of all frequent groups; f and keys once a group. Written."""
+    """Rows (block, spots, ids) with the places of all frequent groups, and rows (id, f, keys) of the groups. Written."""
     types = [dict(offered.dtypes)[k].replace("bigint", "long") for k in keys]
     dealt_out = offered.select(*keys, "place", "n").repartition(*keys).sortWithinPartitions(*keys)
-    schema = "place long, id long, f long, " + ", ".join(f"{k} {t}" for k, t in zip(keys, types))
+    schema = "block long, spots binary, ids binary, id long, f long, " + ", ".join(f"{k} {t}" for k, t in zip(keys, types))
     return saved(dealt_out.mapInArrow(_met(keys, types, min_count), schema), name)
 
 
@@ -238,8 +277,10 @@ def _kept_pairs(left: pa.Table, right: pa.Table) -> pa.Table:
 
 
 def _relation(left: pa.Table, right: pa.Table, spread, read_ids) -> pa.Table:
-    """One block's relation, of the phrases that ``right`` (spot, id) names."""
-    spots, ids = right.column("spot").to_numpy(), right.column("id").to_numpy()
+    """One block's relation, of the phrases that ``right`` (spots, ids) names."""
+    spots = np.concatenate([np.zeros(0, np.int32), *(np.cumsum(_unsqueezed(x, np.int32)) for x in right.column("spots").to_pylist())]) \
+        .astype(np.int32)
+    ids = np.concatenate([np.zeros(0, np.int64), *(_unsqueezed(x, np.int64) for x in right.column("ids").to_pylist())])
     rows = []
     for k in range(left.num_rows):
         codes = np.frombuffer(left.column("codes")[k].as_buffer(), np.int32)
@@ -255,8 +296,7 @@ def _relation(left: pa.Table, right: pa.Table, spread, read_ids) -> pa.Table:
 
 def semi_joined(relation: DataFrame, met: DataFrame, apply, names: list | None = None) -> DataFrame:
     """The relation with the frequent phrases only, whose places ``met`` has."""
-    spots = met.select(F.shiftright("place", SPOT_BITS).alias("held_by"),
-                       F.col("place").bitwiseAND(F.lit((1 << SPOT_BITS) - 1)).cast("int").alias("spot"), "id")
+    spots = met.filter("block IS NOT NULL").select(F.col("block").alias("held_by"), "spots", "ids")
     return dealt(relation.groupBy("block").cogroup(spots.groupBy("held_by")).applyInArrow(apply, RELATION), names)
 
 

@@ -76,7 +76,7 @@ def test_collocations_equal_plain(spark, words, monkeypatch):
 def test_groups_may_span_batches():
     import pyarrow as pa
     rnd = random.Random(4)
-    rows = sorted((rnd.randint(0, 3), rnd.randint(0, 2), place, rnd.randint(1, 3)) for place in rnd.sample(range(1000), 90))
+    rows = sorted((rnd.randint(0, 3), rnd.randint(0, 2), place, rnd.randint(1, 3)) for place in (x << 20 for x in rnd.sample(range(1000), 90)))
     counts, first = collections.Counter(), {}
     for left, right, place, n in rows:
         counts[left, right] += n
@@ -86,9 +86,14 @@ def test_groups_may_span_batches():
         batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[a:a + size])],
                                               names=["left", "right", "place", "n"]) for a in range(0, 90, size)]
         got = [r for b in collocations._met(["left", "right"], ["long", "long"], 16)(iter(batches)) for r in b.to_pylist()]
-        assert {(r["place"], r["id"]) for r in got} == want and len(got) == len(want)
-        assert {(r["left"], r["right"]): r["f"] for r in got if r["f"] is not None} == {k: v for k, v in counts.items() if v >= 16}
-        assert all((r["f"] is None) == (r["place"] != r["id"]) == (r["left"] is None) for r in got)
+        places = [((r["block"] << collocations.SPOT_BITS) + int(spot), int(i)) for r in got if r["block"] is not None
+                  for spot, i in zip(np.cumsum(collocations._unsqueezed(r["spots"], np.int32)),
+                                     collocations._unsqueezed(r["ids"], np.int64), strict=True)]
+        assert set(places) == want and len(places) == len(want)
+        named = [r for r in got if r["block"] is None]
+        assert {(r["left"], r["right"], r["id"], r["f"]) for r in named} == {
+            (*k, first[k], n) for k, n in counts.items() if n >= 16} and len(named) == len({r["id"] for r in named})
+        assert all(r["f"] is None and r["left"] is None for r in got if r["block"] is not None)
 
 
 def test_collocations_of_nothing(spark):
