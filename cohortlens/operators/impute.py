@@ -43,6 +43,7 @@ class ImputeModel:
     by: tuple
     stats: DataFrame     # one row per group: the group columns, then one statistic per column
     columns: list
+    few_groups: bool = False     # the groups are few by their meaning (row types): their row goes to every task
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Fill nulls with the group's statistic; groups without one stay as they are."""
@@ -50,6 +51,8 @@ class ImputeModel:
             return df
         names = [f"`{b}` AS `__by_{b}`" for b in self.by] + [f"`{c}` AS `__fill_{c}`" for c in self.columns]
         side = self.stats.selectExpr(*names, "1 AS __one")
+        if self.few_groups:          # joined by shuffle, all rows of a group would meet in one task
+            side = F.broadcast(side)
         rows = df.withColumn("__here", F.lit(1))
         on = rows["__here"] == side["__one"]
         for b in self.by:
@@ -102,4 +105,5 @@ def impute_intervals(df: DataFrame, spec: PanelSpec = STUDY, by=("data_type",))
     clean = sentinel_to_null(df, spec.threshold, exclude=(spec.id_col,))
     model = fit_imputer(clean, spec.categorical_columns, by=by,
                         exclude=(spec.id_col, "label", "visit"))
+    model.few_groups = tuple(by) in ((), ("data_type",))
     return model.transform(clean)

@@ -203,3 +203,17 @@ def test_interval_plan_columns(spark):
     df = spark.createDataFrame([(2.0, 0.0), (1.0, 0.0), (25.0, 0.0)], "d double, s double")
     got = df.selectExpr(*[f"{x} AS {n}" for x, n in zip(X.interval_plan("d", "s", "drug", 1.2), ("n", "pos"))]).collect()
     assert [(r.n, r.pos) for r in got] == [(1, 1), (0, None), (0, None)]
+
+
+def test_imputed_rows_are_not_shuffled_by_row_type(spark):
+    """Two row types as the key of a shuffle would bring all rows to two tasks: the statistics go to the rows."""
+    from cohortlens.operators.impute import impute_intervals
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.createDataFrame([(1, 1, 0, "diag", 1.0), (2, 1, 1, "drug", None)],
+                                     "rid long, visit int, label int, data_type string, x double")
+        plan = impute_intervals(rows)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
