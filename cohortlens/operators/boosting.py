@@ -42,8 +42,8 @@ MAX_BINS = 64
 MAX_LEVELS = 254
 #: Rounds between two writes of the margins.
 REWRITE = 10
-#: Training rows of one task, and bytes of sums (of one source task) that meet in one.
-TASK_ROWS, SUMS_BYTES = 1 << 17, 8 << 20
+#: Training rows times models of one task, its rows at least, and bytes of sums (of one source task) that meet in one.
+TASK_ROWS, LEAST_ROWS, SUMS_BYTES = 1 << 16, 1 << 12, 8 << 20
 NODE_SCHEMA = ("tree_id int, node_id int, feature string, threshold double, categories array<string>, yes int, no int, "
                "missing int, gain double, cover double, leaf double")
 
@@ -72,12 +72,8 @@ class Bins:
     def count(self) -> int:
         return len(self.levels) if self.levels is not None else len(self.edges) + 1
 
-    def place(self, column: pa.Array) -> np.ndarray:
-        if self.levels is not None:
-            import pyarrow.compute as pc
-            at = pc.index_in(column.cast(pa.string()), pa.array(self.levels, pa.string()))
-            return (at.fill_null(-1).to_numpy(zero_copy_only=False) + 1).astype(np.uint8)
-        x = column.cast(pa.float64()).fill_null(float("nan")).to_numpy(zero_copy_only=False)
+    def place(self, x: np.ndarray) -> np.ndarray:
+        """The bins of numbers (NaN: missing)."""
         return np.where(np.isnan(x), 0, np.searchsorted(self.edges, x, side="left") + 1).astype(np.uint8)
 
 
@@ -185,16 +181,28 @@ def binned(rows: DataFrame, bins: list, keep) -> DataFrame:
     """``keep`` columns and ``__bins``, a byte per entry of ``bins``."""
     keep = list(keep)
     schema = T.StructType([rows.schema[k] for k in keep] + [T.StructField("__bins", T.BinaryType())])
-    spare = {b.name: f"__v{i}" for i, b in enumerate(bins)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grid = np.stack([b.place(batch.column(spare[b.name])) for b in bins], axis=1) if bins \
-                else np.zeros((batch.num_rows, 0), np.uint8)
-            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], pa.array([r.tobytes() for r in grid], pa.binary())],
-                                             names=[*keep, "__bins"])
-    cols = [F.col(b.name).cast("double" if b.levels is None else "string").alias(spare[b.name]) for b in bins]
-    return rows.select(*keep, *cols).mapInArrow(run, schema)
+            grid = np.zeros((batch.num_rows, len(bins)), np.uint8)
+            if grid.size:
+                values = batch.column("__values").flatten().to_numpy(zero_copy_only=False).reshape(grid.shape)
+                for i, b in enumerate(bins):
+                    grid[:, i] = b.place(values[:, i]) if b.levels is None else values[:, i]
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], binary_rows(grid)], names=[*keep, "__bins"])
+    # One array a row: many columns are slow to hand over. A level becomes its number on the way.
+    cells = [F.coalesce(F.col(b.name).cast("double"), F.lit(float("nan"))) if b.levels is None
+             else F.coalesce(F.array_position(F.array(*[F.lit(v) for v in b.levels]), F.col(b.name).cast("string")), F.lit(0)).cast("double")
+             if b.levels else F.lit(0.0) for b in bins]
+    values = F.array(*cells) if cells else F.array().cast("array<double>")
+    return rows.select(*keep, values.alias("__values")).mapInArrow(run, schema)
+
+
+def binary_rows(grid: np.ndarray) -> pa.Array:
+    """The rows of a matrix as binary values."""
+    grid = np.ascontiguousarray(grid)
+    ends = np.arange(len(grid) + 1, dtype=np.int64) * (grid.shape[1] * grid.itemsize)
+    return pa.Array.from_buffers(pa.large_binary(), len(grid), [None, pa.py_buffer(ends), pa.py_buffer(grid)]).cast(pa.binary())
 
 
 def _bytes(column: pa.Array) -> np.ndarray:
@@ -221,18 +229,26 @@ class Walk:
         self.feature = np.array([n.feature for n in tree])
         self.child = np.array([[n.right, n.left] for n in tree])
         none = bytes(256)
-        self.left = np.frombuffer(b"".join(n.left_bins or none for n in tree), np.bool_).reshape(len(tree), 256)
+        left = np.frombuffer(b"".join(n.left_bins or none for n in tree), np.bool_).reshape(len(tree), 256)
+        # The next node by node and bin; a leaf is its own next, whatever column is looked at.
+        inner = self.feature >= 0
+        here = np.arange(len(tree))[:, None]
+        self.next = np.where(inner[:, None], np.where(left, self.child[:, 1:], self.child[:, :1]), here).astype(np.intp).ravel()
+        self.column = np.where(inner, self.feature, 0).astype(np.intp)
+        self.depth, open_nodes = 0, [0] if inner[0] else []
+        while open_nodes:
+            self.depth += 1
+            open_nodes = [c for n in open_nodes for c in (tree[n].left, tree[n].right) if inner[c]]
 
     def where(self, grid: np.ndarray) -> np.ndarray:
         """The node each row ends in."""
-        at = np.zeros(len(grid), np.int64)
-        rows = np.arange(len(grid))
-        while True:
-            rows = rows[self.feature[at[rows]] >= 0]
-            if not len(rows):
-                return at
-            here = at[rows]
-            at[rows] = self.child[here, self.left[here, grid[rows, self.feature[here]]].astype(np.int64)]
+        at = np.zeros(len(grid), np.intp)
+        if not self.depth or not len(grid):
+            return at
+        cells, first = grid.ravel(), np.arange(len(grid)) * grid.shape[1]
+        for _ in range(self.depth):
+            at = self.next.take((at << 8) + cells.take(first + self.column.take(at)))
+        return at
 
     def values(self, grid: np.ndarray) -> np.ndarray:
         return self.value[self.where(grid)]
@@ -278,7 +294,7 @@ class _Open:
 
 def _histograms(opened: list, width: int, slots: int, n_jobs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple, np.ndarray] = {}
+        sums: dict[int, np.ndarray] = {}         # by model: node, column, (gradient, hessian, rows), bin
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -295,17 +311,19 @@ def _histograms(opened: list, width: int, slots: int, n_jobs: int):
                 at = place[o.growing.where(grid)]
                 rows = np.flatnonzero((at >= 0) & _drawn(row_hash, o.seed, o.tree, o.share))
                 g, h, at = (p - label)[rows], (p * (1 - p))[rows], at[rows]
-                size = len(o.nodes) * slots
+                size, first = len(o.nodes) * slots, at * slots
+                if o.job not in sums:
+                    sums[o.job] = np.zeros((len(o.nodes), len(o.columns), 3, slots))
+                whole = sums[o.job]
                 for k, c in enumerate(o.columns):
-                    spot = at * slots + grid[rows, c]
-                    part = np.stack([np.bincount(spot, g, size), np.bincount(spot, h, size), np.bincount(spot, None, size)])
-                    for s, node in enumerate(o.nodes):
-                        whole = sums.setdefault((o.job, node), np.zeros((len(o.columns), 3, slots)))
-                        whole[k] += part[:, s * slots:(s + 1) * slots]
+                    spot = first + grid[rows, c]
+                    for i, weights in enumerate((g, h, None)):
+                        whole[:, k, i] += np.bincount(spot, weights, size).reshape(-1, slots)
         if sums:
+            found = [(o.job, node, part) for o in opened for node, part in zip(o.nodes, sums[o.job])]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([j for j, _ in sums], pa.int32()), pa.array([n for _, n in sums], pa.int32()),
-                 pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["job", "node", "sums"])
+                [pa.array([j for j, _, _ in found], pa.int32()), pa.array([n for _, n, _ in found], pa.int32()),
+                 pa.array([v.tobytes() for _, _, v in found], pa.binary())], names=["job", "node", "sums"])
     return run
 
 
@@ -409,13 +427,17 @@ def _rewritten(state: DataFrame, recent: list, width: int, path: str) -> DataFra
             for j, trees in enumerate(recent):
                 for walk in trees:
                     m[:, j] += walk.values(grid)
-            arrays = [batch.column(c) if c != "__margins" else pa.array([r.tobytes() for r in m], pa.binary())
-                      for c in batch.schema.names]
+            arrays = [batch.column(c) if c != "__margins" else binary_rows(m) for c in batch.schema.names]
             yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
     state.mapInArrow(run, state.schema).write.parquet(path)
     return state.sparkSession.read.schema(state.schema).parquet(path)
 
 
+def task_count(rows: int, models: int) -> int:
+    """Tasks of a level: by rows times models, as a task looks at each row once a model."""
+    return 1 + min(rows * models // TASK_ROWS, rows // min(LEAST_ROWS, TASK_ROWS))
+
+
 def fit_boosted(train: DataFrame, bins: list, jobs: list, row_keys, label: str = "label") -> list:
     """Fit all ``jobs`` on ``train`` (``row_keys``, label and ``__bins``); a list of ``Boosted``.
 
@@ -433,7 +455,7 @@ def fit_boosted(train: DataFrame, bins: list, jobs: list, row_keys, label: str =
     start = np.full(len(jobs), base).astype("<f8").tobytes()
     state = train.select("__bins", F.col(label).cast("long").alias("label"), F.xxhash64(*row_keys).alias("__row"),
                          F.lit(bytearray(start)).alias("__margins"))
-    state.repartition(1 + total["n"] // TASK_ROWS).write.parquet(f"{folder}/0")
+    state.repartition(task_count(total["n"], len(jobs))).write.parquet(f"{folder}/0")
     state = spark.read.schema(state.schema).parquet(f"{folder}/0")
     tasks = state.rdd.getNumPartitions()
     written, recent = 0, [[] for _ in jobs]         # trees that the written margins hold, and those that they lack

@@ -167,3 +167,19 @@ def test_blocks_of_one_matrix_equal_single_blocks(spark):
     with pytest.raises(ValueError, match="gaps"):
         FE.PCABlocks({"x": ["p"]}).fit(df.union(spark.createDataFrame([(9, None, 1.0, 1.0, 1.0, 1.0)], df.schema)))
     assert math.isfinite(got[0]["all_pca_1"])
+
+
+def test_tasks_grow_with_models():
+    """Many models on few rows are spread over tasks; one model on few rows stays in one."""
+    assert BO.task_count(40_000, 1) == 1
+    assert BO.task_count(40_000, 30) > 5
+    assert BO.task_count(100, 30) == 1
+
+
+def test_binned_places_values_in_the_jvm_as_the_edges_say(spark):
+    """Numbers by upper edge, levels by text, null, NaN and unseen as missing."""
+    rows = spark.createDataFrame([(1, 2.0, "b"), (2, 2.5, "a"), (3, None, None), (4, float("nan"), "z"), (5, 9.0, "b")],
+                                 "id int, x double, c string")
+    bins = [BO.Bins("x", edges=[2.0, 3.0]), BO.Bins("c", levels=["a", "b"]), BO.Bins("c", levels=[])]
+    found = {r["id"]: list(r["__bins"]) for r in BO.binned(rows, bins, ["id"]).collect()}
+    assert found == {1: [1, 2, 0], 2: [2, 1, 0], 3: [0, 0, 0], 4: [0, 0, 0], 5: [3, 2, 0]}
