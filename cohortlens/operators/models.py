@@ -273,21 +273,6 @@ def search_grid(name: str, prep, enc: DataFrame, names: list, seed: int = P.SPLI
     preset = get_preset(name)
     grid = grid or preset.grid
     train, valid = (enc.filter(F.col("split") == s) for s in ("train", "validation"))
-    kept = []
-    if preset.extra.get("patience"):    # read anew every NETWORK_STEP iterations: kept as the vectors they read
-        used = ["label", "__scaled" if preset.scale else FEATURES]
-        kept = [d.select(*used).persist() for d in (train, valid)]
-        # Selected once more: Spark's network keeps its own blocks only of rows that aren't kept as they are.
-        train, valid = (d.select(*used) for d in kept)
-    try:
-        return _best_of_grid(name, preset, prep, train, valid, names, seed, grid)
-    finally:
-        for d in kept:
-            d.unpersist()
-
-
-def _best_of_grid(name: str, preset: ModelPreset, prep, train: DataFrame, valid: DataFrame, names: list, seed: int,
-                  grid: list) -> FittedModel:
     n_train = train.count()
 
     def one(params):
