@@ -15,13 +15,15 @@ to leaves of about ``SLOTS`` words; in its leaf a word has the smoothed share
 words of the leaf share one event, so all events of a step sum to 1.
 
 The head, the feature rows and the levels grow with the distinct training
-tokens V: 2 sqrt(V) head words, 8 sqrt(V) rows a class feature (four times as
-many a word feature), V / SLOTS leaves, and the floors below.
+tokens V: 34 V^(1/4) head words (each class costs every token a number), 8 sqrt(V)
+rows a class feature (four times as many a word feature), V / SLOTS leaves, and
+the floors below.
 
 The weights start at the training shares. Training is distributed: each task runs AdaGrad steps over minibatches of its
 documents, starting from the common weights; the tasks' weights are averaged
 row by row, weighted by how often a task used the row. ``ROUNDS`` rounds see
-disjoint parts that together are all training documents.
+disjoint parts that together are all training documents. Tasks return the
+changes of their rows, in 255 steps of a row's largest one.
 
 Scoring joins exact training counts without shipping the vocabulary to
 everyone: documents are dealt to chunks, each chunk's distinct words meet the
@@ -56,6 +58,10 @@ ROUNDS = 2
 RATE = 0.25
 BATCH = 8192
 SEGMENTS = 64
+AT_ONCE = 24
+FEW = 64
+LEAST_TASKS = 8
+TEXT_A_WEIGHT = 1.5
 CHUNK_BYTES = 24 << 20
 PIECE = 4 << 20
 END = -1                                    # the end token: hashes of words are never negative
@@ -210,6 +216,34 @@ def _word_steps(shape: Shape, paths, offsets, codes, cls, slot, u1, u2):
         first += len(table)
 
 
+def _contexts(u1: np.ndarray, u2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens sorted by their two words before (in order of a hash), and where each distinct context starts, and the end."""
+    key = u1.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + u2.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    order = np.argsort(key ^ key >> np.uint64(29))
+    a, b = u1[order], u2[order]
+    new = np.flatnonzero((a[1:] != a[:-1]) | (b[1:] != b[:-1])) + 1
+    return order, np.concatenate([[0], new, [len(order)]]) if len(order) else np.zeros(1, np.int64)
+
+
+def _by_context(u1: np.ndarray, u2: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Minibatches of ``BATCH`` distinct contexts: tokens, the context of each, and a token of each context."""
+    order, starts = _contexts(u1, u2)
+    for k in range(0, len(starts) - 1, BATCH):
+        at = starts[k:k + BATCH + 1]
+        yield order[at[0]:at[-1]], np.repeat(np.arange(len(at) - 1), np.diff(at)), order[at[:-1]]
+
+
+def _met(offset: np.ndarray | None) -> int:
+    """Children that a softmax can meet: all slots of a head class, of a level those that its bits number."""
+    return SLOTS if offset is None else int((offset[0] > -1e3).sum())
+
+
+def _narrowed(weights: np.ndarray, rows: list[np.ndarray], width: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The first ``width`` numbers of the rows, as rows of a view (widths are powers of two)."""
+    times = weights.shape[1] // width
+    return (weights, rows) if times == 1 else (weights.reshape(-1, width), [r * times for r in rows])
+
+
 def _logits(weights: np.ndarray, rows: list[np.ndarray], bias: np.ndarray | None = None) -> np.ndarray:
     z = weights.take(rows[0], axis=0)
     for r in rows[1:]:
@@ -220,20 +254,43 @@ def _logits(weights: np.ndarray, rows: list[np.ndarray], bias: np.ndarray | None
     return z
 
 
+def _summed(z: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct rows, how often each comes, and the sums of their ``z``: the n-th ones of all rows are added at once.
+
+    Row numbers that fit 16 bits sort by radix.
+    """
+    low = rows - rows.min()
+    order = np.argsort(low.astype(np.uint16) if low.max() < 1 << 16 else low, kind="stable")
+    sorted_rows = rows[order]
+    at = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
+    n = np.diff(at, append=len(rows))
+    most = np.argsort(-n, kind="stable")
+    at, n = at[most], n[most]
+    g = z.take(order[at], axis=0)
+    many = int(np.searchsorted(-n, -AT_ONCE))       # rows that come more often
+    for k in range(many):
+        z.take(order[at[k]:at[k] + n[k]], axis=0).sum(0, out=g[k])
+    for j in range(1, AT_ONCE):
+        stop = int(np.searchsorted(-n, -j))
+        if stop <= many:
+            break
+        g[many:stop] += z.take(order[at[many:stop] + j], axis=0)
+    return sorted_rows[at], n, g
+
+
 def _step(weights: np.ndarray, seen: np.ndarray, used: np.ndarray, rows: list[np.ndarray], target: np.ndarray,
           bias_row: int | None = None, offset: np.ndarray | None = None) -> None:
-    """One AdaGrad step of a softmax on a minibatch (row numbers of a feature that fit 16 bits sort by radix)."""
-    z = _logits(weights, rows, weights[bias_row] if bias_row is not None else offset)
+    """One AdaGrad step of a softmax on a minibatch."""
+    full = weights.shape[1]
+    width = full if bias_row is not None else _met(offset)
+    seen = seen.reshape(-1, width)
+    weights, rows = _narrowed(weights, rows, width)
+    z = _logits(weights, rows, weights[bias_row] if bias_row is not None else None if offset is None else offset[:, :width])
     np.exp(z, out=z)
     z /= z.sum(1, keepdims=True)
     z[np.arange(len(target)), target] -= 1
     for r in rows:
-        low = r - r.min()
-        order = np.argsort(low.astype(np.uint16) if low.max() < 1 << 16 else low, kind="stable")
-        sorted_rows = r[order]
-        at = np.flatnonzero(np.concatenate([[True], sorted_rows[1:] != sorted_rows[:-1]]))
-        g = np.add.reduceat(z.take(order, axis=0), at, axis=0)
-        k = sorted_rows[at]
+        k, times, g = _summed(z, r)
         n = seen.take(k, axis=0)
         n += g * g
         seen[k] = n
@@ -241,7 +298,7 @@ def _step(weights: np.ndarray, seen: np.ndarray, used: np.ndarray, rows: list[np
         g *= RATE
         g /= n
         weights[k] -= g
-        used[k] += np.diff(np.append(at, len(r)))
+        used[k // (full // width)] += times
     if bias_row is not None:
         g = z.sum(0)
         seen[bias_row] += g * g
@@ -249,13 +306,28 @@ def _step(weights: np.ndarray, seen: np.ndarray, used: np.ndarray, rows: list[np
         used[bias_row] += len(target)
 
 
-def _packed(weights: np.ndarray) -> np.ndarray:
-    """The upper halves of the float32 numbers."""
-    return (weights.astype(np.float32).view(np.uint32) >> 16).astype(np.uint16)
+def _half(weights: np.ndarray) -> np.ndarray:
+    """The float32 numbers rounded to their upper halves."""
+    return (weights.astype(np.float32).view(np.uint32) + np.uint32(0x8000) & np.uint32(0xFFFF0000)).view(np.float32)
+
+
+def _packed(change: np.ndarray) -> bytes:
+    """Changes of rows in 255 steps of each row's largest, deflated."""
+    top = np.maximum(np.abs(change).max(1), 1e-30).astype(np.float32)
+    steps = np.rint(change * (127 / top)[:, None]).astype(np.int8)
+    return top.tobytes() + pa.compress(steps.tobytes(), "zstd", asbytes=True)
+
 
+def _unpacked(raw: bytes, rows: int, width: int) -> np.ndarray:
+    top = np.frombuffer(raw, np.float32, rows)
+    steps = np.frombuffer(pa.decompress(memoryview(raw)[4 * rows:], rows * width, "zstd"), np.int8)
+    return steps.reshape(rows, width) * (top / np.float32(127))[:, None]
 
-def _unpacked(raw: bytes, width: int) -> np.ndarray:
-    return (np.frombuffer(raw, np.uint16).astype(np.uint32) << 16).view(np.float32).reshape(-1, width)
+
+def _part(segment: int, rows: np.ndarray, used: np.ndarray, change: np.ndarray) -> list[pa.Array]:
+    """Columns of ``_PART``: one segment's used rows, how often they were used, and their changes."""
+    return [pa.array([segment], pa.int32()), pa.array([rows.astype(np.int32).tobytes()], pa.binary()),
+            pa.array([used.astype(np.float32).tobytes()], pa.binary()), pa.array([_packed(change)], pa.binary())]
 
 
 def _shipped(weights: np.ndarray) -> tuple[tuple[int, ...], bytes]:
@@ -284,36 +356,36 @@ def _train(shape: Shape, w1: np.ndarray, w2: np.ndarray):
                 _step(a, seen1, used1, _features1(u1[s], u2[s], shape.row_bits), cls[codes[s]], 0)
                 for _, rows, met, offset in _word_steps(shape, paths, offsets, codes[s], cls, slot, u1[s], u2[s]):
                     _step(b, seen2, used2, rows, met, None, offset)
-        for t, (w, used) in enumerate(((a, used1), (b, used2))):
+        del seen1, seen2
+        for t, (w, used, x) in enumerate(((a, used1, sent[0]), (b, used2, sent[1]))):
+            before = _landed(*x)
             for seg, rows in enumerate(np.array_split(np.arange(len(w)), SEGMENTS)):
                 hit = rows[used[rows] > 0]
                 if len(hit):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([t * SEGMENTS + seg], pa.int32()), pa.array([hit.astype(np.int32).tobytes()], pa.binary()),
-                         pa.array([used[hit].tobytes()], pa.binary()), pa.array([_packed(w[hit]).tobytes()], pa.binary())],
-                        names=["seg", "rows", "used", "weights"])
+                    yield pa.RecordBatch.from_arrays(_part(t * SEGMENTS + seg, hit, used[hit], w[hit] - before[hit]),
+                                                     names=_PART_NAMES)
     return run
 
 
 def _average(classes: int):
-    """Weighted mean of the rows of one segment over tasks."""
+    """Weighted mean of the rows' changes of one segment over tasks."""
     def run(key, group):
         cols = group.to_pydict()
         width = classes if cols["seg"][0] < SEGMENTS else SLOTS
-        rows = np.concatenate([np.frombuffer(r, np.int32) for r in cols["rows"]])
-        used = np.concatenate([np.frombuffer(u, np.float64) for u in cols["used"]])
-        values = np.concatenate([_unpacked(w, width) for w in cols["weights"]])
-        ids, at = np.unique(rows, return_inverse=True)
-        n = np.bincount(at, used)
-        out = np.zeros((len(ids), width))
-        np.add.at(out, at, values * used[:, None])
-        return pa.table({"seg": pa.array([cols["seg"][0]], pa.int32()), "rows": pa.array([ids.astype(np.int32).tobytes()], pa.binary()),
-                         "used": pa.array([n.tobytes()], pa.binary()),
-                         "weights": pa.array([_packed(out / n[:, None]).tobytes()], pa.binary())})
+        rows = [np.frombuffer(r, np.int32) for r in cols["rows"]]
+        ids = np.unique(np.concatenate(rows))
+        n, out = np.zeros(len(ids)), np.zeros((len(ids), width), np.float32)
+        for r, u, w in zip(rows, cols["used"], cols["weights"]):
+            at, used = np.searchsorted(ids, r), np.frombuffer(u, np.float32)
+            n[at] += used                           # a part has each row once
+            out[at] += _unpacked(w, len(r), width) * used[:, None]
+        out /= n[:, None].astype(np.float32)
+        return pa.table(_part(cols["seg"][0], ids, n, out), names=_PART_NAMES)
     return run
 
 
 _PART = "seg int, rows binary, used binary, weights binary"
+_PART_NAMES = ["seg", "rows", "used", "weights"]
 
 
 def count_table(train: DataFrame) -> DataFrame:
@@ -324,7 +396,7 @@ def count_table(train: DataFrame) -> DataFrame:
 
 def shape_of(counts: DataFrame, kinds: int) -> Shape:
     """The model's sizes follow ``kinds``, the distinct training tokens."""
-    size = SLOTS * max(HEAD // SLOTS, math.ceil(2 * math.sqrt(kinds) / SLOTS))
+    size = SLOTS * max(HEAD // SLOTS, math.ceil(34 * kinds ** 0.25 / SLOTS))
     top = counts.orderBy(F.desc("n"), "h").limit(size).collect()
     head = {r["h"]: k for k, r in enumerate(top)}
     head_n = np.zeros(size)
@@ -356,21 +428,26 @@ def first_weights(shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     return w1, w2
 
 
-def train_model(train: DataFrame, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of the class and the word softmax (their size goes with the root of the vocabulary)."""
+def train_model(train: DataFrame, shape: Shape, text_bytes: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the class and the word softmax; ``text_bytes``: of all training texts, if known.
+
+    A task returns up to the whole model's changes, so it gets ``TEXT_A_WEIGHT`` bytes of text for each weight
+    (and there are ``LEAST_TASKS`` at least): what the tasks return goes with the texts.
+    """
     w1, w2 = first_weights(shape)
+    if text_bytes is None:
+        text_bytes = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = max(LEAST_TASKS, int(text_bytes / (TEXT_A_WEIGHT * (w1.size + w2.size))))
     for part in range(ROUNDS):
-        docs = train.filter(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == part).select("text")
-        got = docs.mapInArrow(_train(shape, w1, w2), _PART) \
-            .withColumn("few", F.shiftright(F.spark_partition_id(), 6))
-        # Two levels, so that no group holds the weights of all tasks.
-        got = got.groupBy("seg", "few").applyInArrow(_average(shape.classes), _PART)
+        docs = train.filter(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == part).select("text").coalesce(tasks)
+        got = docs.mapInArrow(_train(shape, w1, w2), _PART)
+        if tasks > FEW:         # two levels, so that no group holds the weights of all tasks
+            got = got.withColumn("few", (F.spark_partition_id() / F.lit(FEW)).cast("int")).groupBy("seg", "few") \
+                .applyInArrow(_average(shape.classes), _PART)
         for r in got.groupBy("seg").applyInArrow(_average(shape.classes), _PART).collect():
             rows = np.frombuffer(r["rows"], np.int32)
-            if r["seg"] < SEGMENTS:
-                w1[rows] = _unpacked(r["weights"], shape.classes)
-            else:
-                w2[rows] = _unpacked(r["weights"], SLOTS)
+            w = w1 if r["seg"] < SEGMENTS else w2
+            w[rows] = _half(w[rows] + _unpacked(r["weights"], len(rows), w.shape[1]))
     return w1, w2
 
 
@@ -408,14 +485,17 @@ def _score(shape: Shape, w1: np.ndarray, w2: np.ndarray, total: int, kinds: int)
             paths, leaf = shape.paths(h, cls)
             inside = np.where(slot < 0, np.log10(c + 0.5) - leaf_log[leaf], 0.0)
             logp = inside[codes]
-            for k in range(0, len(codes), BATCH):
-                s = slice(k, k + BATCH)
-                z = _logits(w1, _features1(u1[s], u2[s], shape.row_bits), w1[0])
-                t = cls[codes[s]]
-                logp[s] += (z[np.arange(len(t)), t] - np.log(np.exp(z).sum(1))) / np.log(10)
+            for s, owner, one in _by_context(u1, u2):
+                z = _logits(w1, _features1(u1[one], u2[one], shape.row_bits), w1[0])
+                at_met = z[owner, cls[codes[s]]]
+                np.exp(z, out=z)
+                logp[s] += (at_met - np.log(z.sum(1))[owner]) / np.log(10)
                 for at, rows, met, offset in _word_steps(shape, paths, offsets, codes[s], cls, slot, u1[s], u2[s]):
-                    z = _logits(w2, rows, offset)
-                    logp[at + k] += (z[np.arange(len(at)), met] - np.log(np.exp(z).sum(1))) / np.log(10)
+                    width = _met(offset)
+                    z = _logits(*_narrowed(w2, rows, width), None if offset is None else offset[:, :width])
+                    at_met = z[np.arange(len(at)), met]
+                    np.exp(z, out=z)
+                    logp[s[at]] += (at_met - np.log(z.sum(1))) / np.log(10)
             first = starts[:-1]
             parts.append(pa.table({
                 "doc_id": batch.column("doc_id"), "n_tokens": pa.array(np.diff(starts)),

@@ -158,6 +158,65 @@ def test_lm_tail_words_have_history(spark):
     assert len(words) == len(hs) and real.all()
 
 
+def test_lm_step_is_the_plain_step():
+    """Rows met once, often and very often, in a full softmax with a bias row and in a narrow level."""
+    r = np.random.default_rng(3)
+    rows = [np.concatenate([np.zeros(60, int), r.integers(1, 9, 80), np.arange(9, 49)]) + k * 50 for k in range(2)]
+    for width, bias, offset in ((ME.SLOTS, 0, None), (4, None, np.where(np.arange(ME.SLOTS) < 4, 0.1, -1e4)[None].repeat(180, 0)
+                                                      .astype(np.float32))):
+        w = r.normal(size=(101, ME.SLOTS)).astype(np.float32)
+        target = r.integers(0, width, 180)
+        got, seen, used = w.copy(), np.ones_like(w), np.zeros(101)
+        ME._step(got, seen, used, rows, target, bias, offset)
+        z = sum(w[x].astype(float) for x in rows) + (w[0] if bias == 0 else offset)
+        g = np.exp(z - z.max(1, keepdims=True))
+        g /= g.sum(1, keepdims=True)
+        g[np.arange(180), target] -= 1
+        want, n, times = w.astype(float), np.ones(w.shape), np.zeros(101)
+        for x in rows:
+            total = np.zeros(w.shape)
+            np.add.at(total, x, g)
+            n += total ** 2
+            want -= ME.RATE * total / np.sqrt(n)
+            times += np.bincount(x, minlength=101)
+        if bias == 0:
+            n[0] += g.sum(0) ** 2
+            want[0] -= ME.RATE * g.sum(0) / np.sqrt(n[0])
+            times[0] += 180
+        assert got == pytest.approx(want, abs=1e-4) and seen == pytest.approx(n, rel=1e-4) and (used == times).all()
+
+
+def test_lm_contexts_are_scored_once():
+    """Every token is in one minibatch, with a token of its own context."""
+    r = np.random.default_rng(5)
+    u1, u2 = r.integers(0, 200, 30_000), r.integers(0, 200, 30_000)
+    met = []
+    for tokens_, owner, one in ME._by_context(u1, u2):
+        assert (u1[one][owner] == u1[tokens_]).all() and (u2[one][owner] == u2[tokens_]).all() and len(one) <= ME.BATCH
+        assert len(set(zip(u1[one], u2[one]))) == len(one)
+        met.append(tokens_)
+    assert sorted(np.concatenate(met).tolist()) == list(range(30_000))
+
+
+def test_lm_changes_are_small(spark):
+    """What a task returns: a byte a weight at most, and tasks by the texts' bytes, not by the table's partitions."""
+    change = np.random.default_rng(2).normal(size=(500, 68)).astype(np.float32)
+    raw = ME._packed(change)
+    assert len(raw) < 1.1 * change.size + 4 * len(change)
+    assert np.abs(ME._unpacked(raw, 500, 68) - change).max() <= np.abs(change).max() / 253
+    texts = documents(spark, [(k, prose(k, 20)) for k in range(300)]).select("text").repartition(40)
+    counts = ME.count_table(texts)
+    shape = ME.shape_of(counts, counts.count())
+    seen = []
+    before = type(texts).mapInArrow
+    try:
+        type(texts).mapInArrow = lambda self, *a, **k: seen.append(self.rdd.getNumPartitions()) or before(self, *a, **k)
+        ME.train_model(texts, shape)
+    finally:
+        type(texts).mapInArrow = before
+    assert seen and max(seen) <= ME.LEAST_TASKS
+
+
 TOXIC = ["moron", "stupid", "pathetic"]
 
 
