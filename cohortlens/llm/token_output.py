@@ -14,8 +14,8 @@ A task holds at most ``GROUP`` blocks of ids and the model's tables for them,
 however long a document is.
 
 Words are tokenized once per worker: the tokenizer's pieces never cross white
-space, and a letter followed by one ``.`` or ``,`` at a word's end starts a new
-piece, so a word's ids do not depend on its neighbours.
+space, and the marks that follow a letter up to a word's end are a piece of
+their own, so a word's ids do not depend on its neighbours.
 
 Defined cases: null text counts as empty (the end id alone); documents with
 one id keep their order by a hash of the text, repeated rows are written each;
@@ -55,8 +55,9 @@ SIMPLE = frozenset(c for c in map(chr, [*range(97, 123), *range(0xDF, 0x180)])
                    if c.isalpha() and c.lower() == c and unicodedata.normalize("NFKD", c)[0].isalpha()
                    and unicodedata.normalize("NFC", c) == c)
 _SIMPLE_WORD = f"^[{''.join(sorted(SIMPLE))}]+$"
-#: Words whose last mark is a piece of its own (other letters would do as well, but aren't needed).
-_TAILED = "[A-Za-zÀ-ÖØ-öø-ɏ][.,]$"
+#: Words whose last marks are a piece of their own (other letters and marks would do as well, but aren't needed).
+_MARKS = ".,!?;:%&$#*"
+_TAILED = f"[A-Za-zÀ-ÖØ-öø-ɏ][{_MARKS}]+$"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -81,13 +82,11 @@ class WordIds:
         self.last = np.zeros(self.vocab, bool)
         for piece, i in self.tok.get_vocab(with_added_tokens=False).items():
             self.last[i] = piece.endswith(suffix)
-        self.tails = {t: self._whole([t])[0] for t in ".,"}
         self.clear()
         # Used only if it gives what the whole tokenizer gives.
         probe = ["".join(sorted(SIMPLE)), *sorted(SIMPLE), "the", "thth", "straße", "naïveté"]
         ids, counts = self._direct(probe)
-        self.direct = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == self._whole(probe) \
-            and all(len(t) == 1 for t in self.tails.values())
+        self.direct = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == self._whole(probe)
 
     def clear(self) -> None:
         self.place: dict[str, int] = {}
@@ -104,10 +103,12 @@ class WordIds:
         ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
         return ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
 
-    def _learn(self, cores: pa.Array) -> None:
-        """Add the ids of distinct new words."""
+    def _learn(self, cores: pa.Array) -> np.ndarray:
+        """Add the ids of distinct new words; returns their places."""
         simple_word = pc.match_substring_regex(cores, _SIMPLE_WORD) if self.direct else pa.array([False] * len(cores))
         simple, rest, capital = strings(cores.filter(simple_word)), [], []
+        first, places, easy = len(self.counts), np.empty(len(cores), np.int64), simple_word.to_numpy(zero_copy_only=False)
+        places[easy] = first + np.arange(len(simple))
         for c in strings(cores.filter(pc.invert(simple_word))):
             low = c.lower()         # other capitals of the same letters
             if self.direct and c and len(low) == len(c) and SIMPLE.issuperset(low):
@@ -125,31 +126,43 @@ class WordIds:
         self.counts.extend(map(len, others))
         for x in others:
             self.flat.extend(x)
+        others = strings(cores.filter(pc.invert(simple_word)))
+        places[~easy] = np.fromiter(map(self.place.__getitem__, others), np.int64, len(others))
+        return places
 
     def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words, one after the other, and their number by word."""
-        cut = pc.match_substring_regex(words, _TAILED)
-        coded = pc.if_else(cut, pc.utf8_slice_codeunits(words, 0, -1), words).dictionary_encode()
+        # The regular expression is matched only where a mark ends the word.
+        marked = np.flatnonzero(pc.is_in(pc.utf8_slice_codeunits(words, -1), pa.array(list(_MARKS)))
+                                .to_numpy(zero_copy_only=False))
+        ends_so = words.take(pa.array(marked))
+        marked = marked[pc.match_substring_regex(ends_so, _TAILED).to_numpy(zero_copy_only=False)]
+        ends_so = words.take(pa.array(marked))
+        core = pc.utf8_rtrim(ends_so, _MARKS)
+        tails = pa.array([w[n:] for w, n in zip(strings(ends_so), pc.utf8_length(core).to_pylist())], pa.string())
+        is_marked = np.zeros(len(words), bool)
+        is_marked[marked] = True
+        plain = pc.replace_with_mask(words, pa.array(is_marked), core)
+        coded = pa.chunked_array([plain, tails]).dictionary_encode().combine_chunks()
         cores = strings(coded.dictionary)
         if len(self.place) > CACHED_WORDS:
             self.clear()
         k = np.fromiter(map(self.place.get, cores, repeat(-1)), np.int64, len(cores))
         new = np.flatnonzero(k < 0)
         if len(new):
-            self._learn(coded.dictionary.take(pa.array(new)))
-            k[new] = np.fromiter(map(self.place.__getitem__, map(cores.__getitem__, new.tolist())), np.int64, len(new))
+            k[new] = self._learn(coded.dictionary.take(pa.array(new)))
         k = k[coded.indices.to_numpy(zero_copy_only=False)]
+        # Cores and tails in the words' order.
+        after = np.arange(len(words)) + np.cumsum(is_marked) - is_marked
+        order = np.empty(len(k), np.int64)
+        order[after] = k[:len(words)]
+        order[after[marked] + 1] = k[len(words):]
         counts = np.frombuffer(self.counts, np.uint32).astype(np.int64)
         starts = np.cumsum(counts) - counts
-        marks = [self.tails[t][0] + 1 for t in ".,"]
-        tail = np.where(pc.ends_with(words, ",").to_numpy(zero_copy_only=False), marks[1], marks[0]) \
-            * cut.to_numpy(zero_copy_only=False)
-        n = counts[k]
-        total = n + (tail > 0)
-        ends = np.cumsum(total)
-        out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint16)
-        out[ragged(ends - total, n)] = np.frombuffer(self.flat, np.uint16)[ragged(starts[k], n)] if n.sum() else 0
-        out[ends[tail > 0] - 1] = tail[tail > 0] - 1
+        n = counts[order]
+        out = np.frombuffer(self.flat, np.uint16)[ragged(starts[order], n)] if n.sum() else np.zeros(0, np.uint16)
+        total = n[after]
+        total[marked] += n[after[marked] + 1]
         return out, total
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

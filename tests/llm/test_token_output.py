@@ -60,6 +60,20 @@ def test_word_cache_equals_whole_texts():
         assert ids[a:z].tolist() == whole(t), t
 
 
+def test_marks_are_coded_apart():
+    """Runs of marks at a word's end are words of their own, so the letters before them are met in one form."""
+    texts = ["enheitlich### Einungä%%%, rarrga,%%% the!! the?! the", "It's!! x'?. a.'s.. 12%% é%%, <|endoftext|>!! b<|endoftext|>b!!",
+             "!! ,.;: *", "Ü.,!?;:%&$#* ΣΑΣ!! x\u0301!! \ufb01?", "a!b! c?d", ""]
+    coder = TO.word_ids(TO.tokenizer_path())
+    coder.clear()
+    for repeat in range(2):     # new words, then known ones
+        ids, counts = coder.encode(pa.array(texts))
+        cuts = np.concatenate([[0], np.cumsum(counts)])
+        for t, a, z in zip(texts, cuts[:-1], cuts[1:]):
+            assert ids[a:z].tolist() == whole(t), t
+    assert {"enheitlich", "###", "the", "!!", "?!"} <= set(coder.place) and "the!!" not in coder.place
+
+
 @pytest.mark.parametrize("block,shard", [(C.BLOCK, 8192), (100, 3)])
 def test_documents_round_trip(spark, tmp_path, block, shard):
     rows = EDGE + [(k, prose(k, k % 50)) for k in range(100, 160)]
