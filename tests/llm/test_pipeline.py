@@ -9,7 +9,7 @@ from tests.llm.test_models import toxic_rows
 
 def test_registered():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 11)) and "pipeline" in E.queries()
+    assert {int(n[2:].split("_")[0]) for n in names} == set(range(1, 14)) and "pipeline" in E.queries()
 
 
 def test_stages(spark, tmp_path):
