@@ -20,6 +20,7 @@ from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,7 @@ from .. import presets as P
 from ..session import ensure_checkpoint_dir
 from . import boosting as BO
 from . import metrics as ME
+from . import networks as NE
 from .features import assemble_stages
 
 FEATURES = "features"
@@ -243,8 +245,9 @@ def in_threads(fn, items, parallel: int = PARALLEL_FITS) -> list:
     items = list(items)
     if len(items) < 2 or parallel < 2:
         return [fn(x) for x in items]
+    session = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()     # none is active in a thread of a pool
     with ThreadPoolExecutor(parallel) as pool:
-        return list(pool.map(inheritable_thread_target(SparkSession.getActiveSession())(fn), items))
+        return list(pool.map(inheritable_thread_target(session)(fn), items))
 
 
 def fit_model(name: str, data: DataFrame, numeric, categorical, keys, seed: int = P.SPLIT_SEED,
@@ -268,12 +271,15 @@ def fit_model(name: str, data: DataFrame, numeric, categorical, keys, seed: int
 
 
 def search_grid(name: str, prep, enc: DataFrame, names: list, seed: int = P.SPLIT_SEED,
-                grid: list | None = None) -> FittedModel:
-    """The grid search over an encoded, written table."""
+                grid: list | None = None, n_train: int | None = None, score_single: bool = True) -> FittedModel:
+    """The grid search over an encoded, written table.
+
+    Without ``score_single`` a grid of one entry, which there is nothing to choose from, isn't scored here: its
+    AUC in the log is None until the caller, who scores many models in one job, sets it."""
     preset = get_preset(name)
     grid = grid or preset.grid
     train, valid = (enc.filter(F.col("split") == s) for s in ("train", "validation"))
-    n_train = train.count()
+    n_train = train.count() if n_train is None else n_train
 
     def one(params):
         try:
@@ -289,6 +295,8 @@ def search_grid(name: str, prep, enc: DataFrame, names: list, seed: int = P.SPLI
         cut = None
         if preset.extra.get("early_stopping"):
             cut, auc = early_stopping_cut(model, valid, preset.extra["early_stopping"])
+        elif len(grid) == 1 and not score_single:
+            auc = None
         else:
             scored = model.transform(valid).select(
                 "label", vector_to_array(F.col("__proba"))[1].alias("prob"), F.lit(name).alias("model"),
@@ -326,6 +334,47 @@ def fit_network(estimator, train: DataFrame, valid: DataFrame, patience: int, st
     return best[1], best[2]
 
 
+@dataclass
+class NetworkRequest:
+    """A network preset of one grid entry to fit under ``key`` on some slots of packed rows."""
+    key: object
+    preset: str
+    slots: list
+    prep: object
+    names: list
+    seed: int = P.SPLIT_SEED
+
+
+def fit_network_models(spark: SparkSession, packed, width: int, requests: list, n_train: int) -> dict:
+    """All requests, trained together: key -> FittedModel (its AUC in the log is None, see ``search_grid``).
+
+    ``packed`` makes the packed rows of a block size."""
+    estimators = [get_preset(r.preset).build(get_preset(r.preset).grid[0], r.seed, n_train, len(r.slots)) for r in requests]
+    blocks = {e.getBlockSize() for e in estimators}
+    if len(blocks) > 1:
+        raise ValueError(f"networks that train together need one block size, not {sorted(blocks)}")
+    starts = {(*e.getLayers(), e.getSeed()): e for e in estimators}
+    starts = {k: network_of(spark, e).weights.toArray() for k, e in starts.items()}
+    jobs = [NE.NetworkJob(r.slots, e.getLayers(), starts[*e.getLayers(), e.getSeed()], e.getMaxIter(),
+                          get_preset(r.preset).extra["patience"], NETWORK_STEP, e.getTol())
+            for r, e in zip(requests, estimators)]
+    found = {}
+    for r, e, (weights, steps) in zip(requests, estimators, NE.fit_networks(packed(blocks.pop()), width, jobs)):
+        params = get_preset(r.preset).grid[0]
+        found[r.key] = FittedModel(r.preset, r.prep, network_of(spark, e, weights), {**params, "iterations": steps},
+                                   [{**params, "AUC": None, "iterations": steps}], r.names, n_train)
+    return found
+
+
+def network_of(spark: SparkSession, estimator, weights=None):
+    """Spark's model with these weights (None: those that it starts from): a fit of no steps on a made-up row."""
+    still = estimator.copy().setMaxIter(0)
+    if weights is not None:
+        still.setInitialWeights(Vectors.dense(weights))
+    row = (0, Vectors.dense([0.0] * estimator.getLayers()[0]))
+    return still.fit(spark.createDataFrame([row], [estimator.getLabelCol(), estimator.getFeaturesCol()]).coalesce(1))
+
+
 @dataclass
 class BoostRequest:
     """A boosted preset to fit under ``key`` on some columns of a table."""
@@ -385,26 +434,26 @@ def grid_log_frame(spark, fitted: FittedModel) -> DataFrame:
     return spark.createDataFrame(rows, "model string, params string, auc double, error string").orderBy(F.desc("auc"))
 
 
-def importance(fitted: FittedModel, data: DataFrame) -> dict:
+def importance(fitted: FittedModel, data: DataFrame, encoded: DataFrame | None = None) -> dict:
     """LR: coefficient and a descriptive p-value per encoded feature; trees:
-    normalised split-gain importance; networks: none."""
+    normalised split-gain importance; networks: none. ``encoded``: ``data`` after the feature pipeline, if at hand."""
     m = fitted.model
     if isinstance(m, BO.Boosted):
         return {n: [v] for n, v in m.importance().items()}
     if fitted.name == "LR":
-        return coefficient_table(fitted, data)
+        return coefficient_table(fitted, data, encoded)
     if hasattr(m, "featureImportances"):
         imp = m.featureImportances.toArray()
         return {n: [float(v)] for n, v in zip(fitted.feature_names, imp)}
     return {}
 
 
-def coefficient_table(fitted: FittedModel, data: DataFrame) -> dict:
+def coefficient_table(fitted: FittedModel, data: DataFrame, encoded: DataFrame | None = None) -> dict:
     """Coefficient and p-value with SE = sqrt(var/n + mean^2) (population
     variance of the encoded training column); p is the two-sided normal tail
     of coef / SE. Null p where the variance is 0. Not a Wald test: it is the
     study's descriptive statistic."""
-    enc = fitted.prep.transform(data).filter(F.col("split") == "train")
+    enc = (fitted.prep.transform(data) if encoded is None else encoded).filter(F.col("split") == "train")
     s = enc.select(Summarizer.metrics("mean", "variance", "count").summary(F.col(FEATURES)).alias("s")).first().s
     n = s["count"]
     means, variances = s["mean"].toArray(), s["variance"].toArray()

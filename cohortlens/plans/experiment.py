@@ -5,9 +5,9 @@ on ids and labels), the oversampling, the principal components of every block
 (from one correlation matrix), the category strings and their encodings. They
 form one wide table, cut to the shared checkpoint folder; a combination is a
 choice of its columns. The boosted models of all combinations are fitted in
-one pass a tree level; the others as concurrent jobs. All predictions form
-one long table, so AUC, cutoffs and ensembles of the whole sweep are a few
-jobs. Only metrics, parameters and importances reach the driver; the result
+one pass a tree level, the networks of all combinations in one pass a loss and
+gradient; the others as concurrent jobs. All predictions form one long table,
+so AUC, cutoffs and ensembles of the whole sweep are a few jobs. Only metrics, parameters and importances reach the driver; the result
 is a metrics DataFrame.
 """
 
@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +29,7 @@ from ..operators import boosting as BO
 from ..operators import features as FE
 from ..operators import metrics as ME
 from ..operators import models as MO
+from ..operators import networks as NE
 from ..operators import split as SP
 from ..session import ensure_checkpoint_dir
 
@@ -177,11 +179,18 @@ class Encoded:
         self.shared = shared
         cats = list(dict.fromkeys(c for _, cat in shared.columns.values() for c in cat))
         self.cats, self.fitted = cats, {"onehot": [], "index": []}
-        self.rows = shared.rows
+        self.rows, sizes, self.scalers = shared.rows, [], {}
         if cats:
             model = Pipeline(stages=FE.one_hot_stages(cats)).fit(shared.rows)
             self.rows = model.transform(shared.rows).checkpoint(eager=True)
             self.fitted = {"onehot": list(model.stages), "index": list(model.stages[:1])}
+            sizes = model.stages[1].categorySizes
+        # The slots of the numeric columns and one-hot categories of all combinations, side by side.
+        self.numeric = list(dict.fromkeys(c for num, _ in shared.columns.values() for c in num))
+        self.slots, self.width = {}, 0
+        for c, n in [*((c, 1) for c in self.numeric), *zip(cats, sizes)]:
+            self.slots[c] = range(self.width, self.width + n)
+            self.width += n
 
     def model_input(self, combo, encoding: str, scale: bool) -> tuple:
         """(pipeline of shared and own fitted stages, encoded rows) of one combination and encoding."""
@@ -190,11 +199,28 @@ class Encoded:
         stages = [VectorAssembler(inputCols=[*numeric, *[c + suffix for c in cat]], outputCol=MO.FEATURES, handleInvalid="keep")]
         enc = stages[0].transform(self.rows)
         if scale:
-            stages.append(StandardScaler(inputCol=MO.FEATURES, outputCol="__scaled", withMean=True, withStd=True).fit(enc))
+            if (combo, encoding) not in self.scalers:
+                self.scalers[combo, encoding] = StandardScaler(inputCol=MO.FEATURES, outputCol="__scaled",
+                                                               withMean=True, withStd=True).fit(enc)
+            stages.append(self.scalers[combo, encoding])
             enc = stages[1].transform(enc)
         prep = PipelineModel(stages=[*(self.fitted[encoding] if cat else []), *stages])
         return prep, enc
 
+    def own_slots(self, combo) -> list:
+        """Where the slots of a combination's one-hot vector are among all."""
+        return [i for cols in self.shared.columns[combo] for c in cols for i in self.slots[c]]
+
+    def packed(self, combos, block: int) -> DataFrame:
+        """The networks' inputs: all slots, scaled as in the combinations that use them."""
+        shift, scale = [0.0] * self.width, [0.0] * self.width
+        for combo in combos:
+            fitted = self.scalers[combo, "onehot"]
+            for i, mean, sd in zip(self.own_slots(combo), fitted.mean.toArray().tolist(), fitted.std.toArray().tolist()):
+                shift[i], scale[i] = mean, 1.0 / sd if sd else 0.0
+        wide = VectorAssembler(inputCols=[*self.numeric, *[c + "__hot" for c in self.cats]], outputCol="__wide", handleInvalid="keep")
+        return NE.packed(wide.transform(self.rows), vector_to_array(F.col("__wide")), shift, scale, block)
+
 
 def run_experiment(spark: SparkSession, df: DataFrame, cfg: ExperimentConfig) -> DataFrame:
     """All combinations. With ``cfg.output`` the sweep's files are written there."""
@@ -213,6 +239,9 @@ def run_experiment(spark: SparkSession, df: DataFrame, cfg: ExperimentConfig) ->
 
     boosted = [m for m in cfg.models if MO.get_preset(m).encoding == "bins"]
     others = [m for m in cfg.models if m not in boosted]
+    networks = [m for m in others if MO.get_preset(m).extra.get("patience") and len(MO.get_preset(m).grid) == 1
+                and MO.get_preset(m).scale and MO.get_preset(m).encoding == "onehot"]
+    n_train = shared.rows.filter("split = 'train'").count()
 
     def fit_boosted():
         requests = [MO.BoostRequest((c, m), m, *shared.columns[c], None, cfg.seed) for c in combos for m in boosted]
@@ -226,21 +255,33 @@ def run_experiment(spark: SparkSession, df: DataFrame, cfg: ExperimentConfig) ->
 
     encoded = Encoded(shared) if others else None
 
+    def write_scores(combo, name, model, enc):
+        fitted[combo, name] = model
+        predicted(model.score_encoded(enc.filter(held), keys), combo).write.parquet(
+            f"{folder}/{combos.index(combo)}-{name}")
+
+    def fit_networks():
+        inputs = dict(zip(combos, MO.in_threads(lambda c: encoded.model_input(c, "onehot", True), combos)))
+        requests = [MO.NetworkRequest((c, m), m, encoded.own_slots(c), inputs[c][0], MO.vector_names(inputs[c][1]), cfg.seed)
+                    for c in combos for m in networks]
+        found = MO.fit_network_models(spark, lambda block: encoded.packed(combos, block), encoded.width, requests, n_train)
+        MO.in_threads(lambda r: write_scores(*r.key, found[r.key], inputs[r.key[0]][1]), requests)
+
     def fit_one(task):
-        if task is None:
-            return fit_boosted()
+        if callable(task):
+            return task()
         combo, name = task
         preset = MO.get_preset(name)
         prep, enc = encoded.model_input(combo, preset.encoding, preset.scale)
         slots = MO.vector_names(enc)
         used = [MO.FEATURES, *(["__scaled"] if preset.scale else [])]
-        model = MO.search_grid(name, prep, enc.select("split", "label", *used), slots, cfg.seed)
-        fitted[combo, name] = model
-        predicted(model.score_encoded(enc.filter(held), keys), combo).write.parquet(
-            f"{folder}/{combos.index(combo)}-{name}")
-        importance[combo, name] = MO.importance(model, shared.rows)
+        model = MO.search_grid(name, prep, enc.select("split", "label", *used), slots, cfg.seed, n_train=n_train, score_single=False)
+        write_scores(combo, name, model, enc)
+        importance[combo, name] = MO.importance(model, shared.rows, enc)
 
-    tasks = ([None] if boosted else []) + [(c, m) for c in combos for m in others]
+    # The two long chains of jobs first.
+    tasks = ([fit_boosted] if boosted else []) + ([fit_networks] if networks else []) \
+        + [(c, m) for c in combos for m in others if m not in networks]
     MO.in_threads(fit_one, tasks, cfg.parallel_combos)
     for key, fm in fitted.items():
         if key not in importance:
@@ -255,6 +296,10 @@ def run_experiment(spark: SparkSession, df: DataFrame, cfg: ExperimentConfig) ->
     aucs = {(r["feature_set"], r["pca_mode"], r["model"], r["split"]): r["auc"]
             for r in ME.roc_auc(preds, keys=[*where, "model", "split"]).collect()}
     cuts = {(r["feature_set"], r["pca_mode"], r["model"]): r for r in ME.best_cutoff(preds, keys=[*where, "model"]).collect()}
+    for (combo, name), fm in fitted.items():
+        for entry in fm.grid_log:
+            if entry["AUC"] is None and "error" not in entry:       # a grid of one entry: scored with all others
+                entry["AUC"] = aucs.get((*combo, name, "validation"))
     rows = []
     for combo in combos:
         for name in [*cfg.models, *(["Ensemble"] if with_ensemble else [])]:
